@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, stored
@@ -17,10 +17,12 @@ WIDTH = 4
 PERCENT = 80
 BANDS, ROWS = 40, 6
 #: Rounds of linear pivot comparisons before what is left of a bucket is compared in full.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 4
 
 # The odd constants of the permutation that is shifted, a bijection of 32-bit positions.
 _PI_1, _PI_2 = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
+#: 64-bit words of the parity map that bounds how far two sets differ.
+PARITY_WORDS = 8
 _BATCH_BYTES = 1 << 20
 _BLOCK = 1 << 15
 
@@ -67,6 +69,13 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
+def parity_map(shingles: np.ndarray) -> np.ndarray:
+    """PARITY_WORDS numbers; each shingle flips one bit, so two maps differ in no more bits than the sets in members."""
+    place = (shingles >> np.uint64(20)) % np.uint64(64 * PARITY_WORDS)
+    odd = np.bincount(place.astype(np.int64), minlength=64 * PARITY_WORDS).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
 def _lower_bytes(texts: pd.Series) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass").lower() for t in texts]
 
@@ -93,6 +102,7 @@ def _sign(width: int, bands: int, rows: int):
                         "set_a": np.array(once, np.uint64).view(np.int64),
                         "set_b": np.array(twice, np.uint64).view(np.int64),
                         "bands": keys,
+                        "parity": [parity_map(s) for s in sets],
                     }
                 )
 
@@ -142,9 +152,10 @@ def near_duplicates(
 
     * Equal sets collapse to their smallest id before any band is made, with
       map-side minima, so a group of copies costs its rows once.
-    * In a bucket every member meets a pivot, in a few rounds with other pivots;
-      only members that are still in different components then meet each other.
-      No pair inside a component is made after it is linked.
+    * In each of a few rounds every bucket has a pivot, first the set that meets most
+      others, and every set meets one pivot of its buckets; only sets of a bucket that
+      are then still in different components meet each other. No pair inside a
+      component is made after it is linked.
     * Nulls: a null text is empty; empty texts have no shingles and link with nothing.
       A row without an id has no component and stays (kept is true). Rows that repeat
       an id are one document. An empty table gives an empty result.
@@ -153,7 +164,7 @@ def near_duplicates(
     signed = stored(
         base.mapInPandas(
             _sign(width, bands, rows),
-            "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>",
+            "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, parity array<long>",
         ),
         "minhash",
     )
@@ -165,7 +176,12 @@ def near_duplicates(
     )
     entries = banded.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
     crowded = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key")
-    members = stored(entries.join(crowded, "key").dropDuplicates(["key", "rep"]), "members")
+    members = entries.join(crowded, "key").dropDuplicates(["key", "rep"])
+    # how many others a set meets over all its buckets: what copies were made from meets most
+    crowds = members.groupBy("key").agg(F.count("*").alias("crowd"))
+    reach = members.join(crowds, "key").groupBy("rep").agg(F.sum("crowd").alias("reach"))
+    maps = signed.select(F.col("doc_id").alias("rep"), "parity").join(reach, "rep").dropDuplicates(["rep"])
+    members = stored(members.join(maps, "rep"), "members")
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stored(
         base.join(wanted, "doc_id", "left_semi").mapInPandas(_full_sets(width), "doc_id long, shingles array<long>"),
@@ -173,28 +189,31 @@ def near_duplicates(
     )
     edges = stored(members.limit(0).select(F.col("rep").alias("u"), F.col("rep").alias("v")), "edges")
     labels = None
-    fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
+    # a pair that is similar enough is of like size, and its parity maps differ in few bits
+    bits = " + ".join(f"bit_count(parity[{i}] ^ parity_m[{i}])" for i in range(PARITY_WORDS))
+    fits = f"100 * least(n, m) >= {percent} * greatest(n, m) and {100 + percent} * ({bits}) <= {100 - percent} * (n + m)"
     for turn in range(PIVOT_ROUNDS):
-        named = _named(members, labels)
+        named = _named(members, labels).withColumn("order", _order(turn))
         pivot = named.groupBy("key").agg(
-            F.min_by(F.struct("rep", "n", "label"), F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")).alias("p"),
+            F.max_by(F.struct("rep", "n", "label", "order", "parity"), "order").alias("p"),
             F.min("label").alias("lo"),
             F.max("label").alias("hi"),
         )
-        pivot = pivot.filter("lo < hi").select("key", "p.*").toDF("key", "a", "m", "pivot_label")
+        pivot = pivot.filter("lo < hi").select("key", "p.*").toDF("key", "a", "m", "pivot_label", "pivot_order", "parity_m")
+        # of the pivots in its buckets each set meets one, so a round has no more pairs than sets
         pairs = (
             named.join(pivot, "key")
             .filter("label <> pivot_label").filter(fits)
-            .select("a", F.col("rep").alias("b"))
-            .distinct()
+            .groupBy(F.col("rep").alias("b")).agg(F.max_by("a", "pivot_order").alias("a"))
         )
         found = stored(_verified(pairs, sets, percent), "edges")
-        edges = edges.union(found)
-        if found.isEmpty():
+        if not found.isEmpty():
+            edges = edges.union(found)
+            labels = stored(components(edges), "labels")
+        elif pairs.isEmpty():
             break
-        labels = stored(components(edges), "labels")
     named = _named(members, labels)
-    other = named.select("key", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("label").alias("other"))
+    other = named.select("key", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("parity").alias("parity_m"))
     open_keys = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
     rest = (
         named.join(open_keys, "key").join(other, "key")
@@ -213,7 +232,7 @@ def near_duplicates(
         )
     classes = classes.select(*key, "component_id")
     return (
-        signed.drop("bands")
+        signed.drop("bands", "parity")
         .join(classes, key, "left")
         .select(
             "doc_id",
@@ -225,10 +244,16 @@ def near_duplicates(
     )
 
 
+def _order(turn: int) -> Column:
+    """What makes a set the pivot of a round: its reach, then its age, then a hash."""
+    by = (F.col("reach"), -F.col("rep"))[turn] if turn < 2 else F.xxhash64("rep", F.lit(turn))
+    return F.struct(by.alias("by"), (-F.col("rep")).alias("older"))
+
+
 def _named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
-        return members.withColumn("label", F.col("rep"))
+        return members.select("key", "rep", "n", "reach", "parity", F.col("rep").alias("label"))
     return (
         members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", "n", F.coalesce("label", "rep").alias("label"))
+        .select("key", "rep", "n", "reach", "parity", F.coalesce("label", "rep").alias("label"))
     )
