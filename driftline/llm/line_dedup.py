@@ -65,7 +65,9 @@ def similar_lines(
     different set is kept once at its first line, and sets meet on the tokens of
     their prefixes, under the length filter, the positional filter and a bound from
     64-bit parity maps (each differing token changes one bit at most); what is left
-    is verified on the whole sets. Lines without a token are not listed.
+    is verified on the whole sets. A set first meets the earliest set of each of its
+    buckets, which settles most of a large group of near copies without pairs inside
+    it; only sets not settled so meet the others. Lines without a token are not listed.
     """
     base = id_and_text(docs, id_col, text_col).filter("doc_id is not null")
     ordered = _ordered(_ranks(_lines(base), buckets), buckets)
@@ -76,8 +78,6 @@ def similar_lines(
 
     n = F.col("n")
     probe = n - F.ceil(n * percent / 100).cast("int") + 1
-    # with the shorter set of a pair indexed, its prefix may be shorter
-    index = n - F.ceil(2.0 * percent * n / (100 + percent)).cast("int") + 1
     sets = (
         keyed(base)
         .select(
@@ -88,45 +88,50 @@ def similar_lines(
         .agg(F.min("at").alias("first"))
     )
     sets = stored(sets, "sets")
-    entries = sets.select("set", "n", "parity", index.alias("indexed"), F.posexplode("prefix").alias("pos", "token"))
-    p = entries.select("token", *(F.col(c).alias(f"p_{c}") for c in ("set", "n", "parity", "pos")))
-    i = entries.filter("pos < indexed").select("token", *(F.col(c).alias(f"i_{c}") for c in ("set", "n", "parity", "pos")))
-    # overlap that the similarity asks for
-    asked = F.ceil((F.col("p_n") + F.col("i_n")) * F.lit(percent) / F.lit(100.0 + percent) - 1e-9)
-    differ = F.bit_count(F.col("p_parity").bitwiseXOR(F.col("i_parity")))
+    entries = sets.select("set", "n", "parity", "first", F.posexplode("prefix").alias("pos", "token"))
+    # a set is settled by the first set of a bucket where it can; pairs in number are the prefixes at most
+    pivots = entries.groupBy("token").agg(F.min_by(F.struct("set", "n", "parity", "first", "pos"), F.struct("first", "set")).alias("e"), F.min("set").alias("lo"), F.max("set").alias("hi"))
+    pivots = pivots.filter("lo < hi").select("token", *(F.col(f"e.{c}").alias(f"e_{c}") for c in _ENTRY))
+    settled = _later_of(entries.join(pivots, "token"), base, sets, keyed, percent)
+    # what is left meets every earlier set of its buckets
+    earlier = entries.select("token", *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
+    rest = entries.join(settled, "set", "left_anti")
+    more = _later_of(rest.join(earlier, "token"), base, sets, keyed, percent)
+    return sets.join(settled.union(more), "set", "left_anti").select("first.doc_id", "first.line_no")
+
+
+_ENTRY = ("set", "n", "parity", "first", "pos")
+
+
+def _later_of(pairs: DataFrame, base: DataFrame, sets: DataFrame, keyed, percent: int) -> DataFrame:
+    """The sets of those pairs (a set and an earlier one, e_) that are similar; filtered first, then verified whole."""
+    n, m = F.col("n"), F.col("e_n")
+    asked = F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - 1e-9)  # shared tokens
     candidates = (
-        p.join(i, "token")
-        .filter("i_n < p_n or (i_n = p_n and i_set < p_set)")
-        .filter(F.col("i_n") * 100 >= F.col("p_n") * percent)
-        .filter(1 + F.least(F.col("p_n") - F.col("p_pos") - 1, F.col("i_n") - F.col("i_pos") - 1) >= asked)
-        .filter(differ <= F.col("p_n") + F.col("i_n") - 2 * asked)
-        .select("p_set", "i_set")
+        pairs.filter("e_first < first")
+        .filter((F.least(n, m) * 100 >= F.greatest(n, m) * percent))
+        .filter(1 + F.least(n - F.col("pos") - 1, m - F.col("e_pos") - 1) >= asked)
+        .filter(F.bit_count(F.col("parity").bitwiseXOR(F.col("e_parity"))) <= n + m - 2 * asked)
+        .select("set", "e_set")
         .distinct()
     )
     candidates = stored(candidates, "pairs")
-    wanted = candidates.select(F.explode(F.array("p_set", "i_set")).alias("set")).distinct()
+    wanted = candidates.select(F.explode(F.array("set", "e_set")).alias("set")).distinct()
     places = stored(
-        sets.join(wanted, "set", "left_semi").select("set", "first", F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")),
-        "places",
+        sets.join(wanted, "set", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")), "places"
     )
     # whole sets again, of the documents that hold a wanted line only
     near = base.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
-    whole = stored(
-        keyed(near).join(places.select("doc_id", "line_no", "first"), ["doc_id", "line_no"]).select("set", "first", "tokens"), "whole"
-    )
-    both = F.size(F.array_intersect("p_tokens", "i_tokens"))
-    side = lambda s: whole.select(*(F.col(c).alias(f"{s}_{c}") for c in ("set", "first", "tokens")))
-    matched = (
-        candidates.join(side("p"), "p_set")
-        .join(side("i"), "i_set")
+    whole = stored(keyed(near).join(places, ["doc_id", "line_no"]).select("set", "tokens").dropDuplicates(["set"]), "whole")
+    both = F.size(F.array_intersect("tokens", "e_tokens"))
+    return (
+        candidates.join(whole, "set")
+        .join(whole.select(F.col("set").alias("e_set"), F.col("tokens").alias("e_tokens")), "e_set")
         .withColumn("both", both)
-        .filter(F.col("both") * 100 >= percent * (F.size("p_tokens") + F.size("i_tokens") - F.col("both")))
-        .select(
-            F.when(F.col("p_first") > F.col("i_first"), F.col("p_set")).otherwise(F.col("i_set")).alias("set")
-        )
+        .filter(F.col("both") * 100 >= percent * (F.size("tokens") + F.size("e_tokens") - F.col("both")))
+        .select("set")
         .distinct()
     )
-    return sets.join(matched, "set", "left_anti").select("first.doc_id", "first.line_no")
 
 
 def _parity(tokens: Column) -> Column:
