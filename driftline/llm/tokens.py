@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-#: Words that a worker remembers; beyond that it forgets all and starts anew.
-CACHE_WORDS = 400_000
+#: Pieces and words that a worker remembers; beyond that it forgets all of a kind and starts anew.
+CACHE_PIECES = 300_000
+CACHE_WORDS = 1_000_000
+
+#: A piece of letters and marks after them; apostrophes may open a contraction and stay out.
+_PLAIN = re.compile(r"([^\W\d_]+)([^\w\s']*)")
 
 _loaded: dict[tuple[str, bool], WordTokenizer] = {}
 
@@ -22,11 +27,13 @@ def default_tokenizer() -> str:
 class WordTokenizer:
     """Ids of texts for a vocabulary that drops white space and never merges across it.
 
-    A text is cut at spaces and line feeds, each different piece is encoded once by
-    the ``tokenizers`` library and remembered as bytes; a text's ids are the joined
-    bytes. The result equals ``encode(text, add_special_tokens=False)`` because the
-    vocabulary's pre-tokenizer removes white space and its normalizer works inside
-    pieces. Any other white space stays in a piece and is left to the library.
+    A text is cut at spaces and line feeds, and the ids of each different piece are
+    remembered as bytes; a text's ids are the joined bytes. A piece of letters with
+    marks after them is the ids of both, so only different words reach the
+    ``tokenizers`` library, many in one call, where ids that end a word part them.
+    The result equals ``encode(text, add_special_tokens=False)`` because the
+    vocabulary's pre-tokenizer removes white space and parts letters from marks, and
+    its normalizer works inside pieces. Any other piece is left to the library whole.
     """
 
     def __init__(self, path: str, plain: bool = False) -> None:
@@ -36,26 +43,64 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         if plain:
             self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache: dict[str, bytes] = {"": b""}
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache = {"": b""}
-        new = [w for w in words if w not in self.cache]
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
+        self.pieces: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+
+    def _whole(self, pieces: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _words(self, words: list[str]) -> None:
+        """Learn words of letters only, each of which is one run for the merges."""
+        for a in range(0, len(words), 20_000):
+            part = words[a : a + 20_000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part) or cuts[-1] != len(ids):
+                self.words.update(zip(part, self._whole(part), strict=True))
+                continue
+            raw, begin = ids.tobytes(), 0
+            for w, end in zip(part, (4 * cuts).tolist(), strict=True):
+                self.words[w] = raw[begin:end]
+                begin = end
+
+    def _learn(self, pieces: list[str]) -> None:
+        split, other, words = [], [], set()
+        for p in pieces:
+            m = _PLAIN.fullmatch(p)
+            if m:
+                core, marks = m.groups()
+                core = core.lower() if core.isascii() else core
+                split.append((p, core, marks))
+                words.add(core)
+                if marks not in self.words:
+                    other.append(marks)
+            else:
+                other.append(p)
+        if len(self.words) + len(words) > CACHE_WORDS:
+            self.words = {"": b""}
+            other += list({m for _, _, m in split})
+        self._words([w for w in words if w not in self.words])
+        whole = dict(zip(other, self._whole(other), strict=True))
+        for p, core, marks in split:
+            if marks in whole:
+                self.words[marks] = whole[marks]
+            self.pieces[p] = self.words[core] + self.words[marks]
+        self.pieces.update((p, whole[p]) for p in other)
+        self.pieces[""] = b""
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         pieces = [t.replace("\n", " ").split(" ") for t in texts]
         wanted: set[str] = set()
         wanted.update(*pieces)
-        if len(self.cache) + len(wanted) > CACHE_WORDS:
-            self.cache = {"": b""}
-        self.learn(wanted)
-        get = self.cache.__getitem__
+        if len(self.pieces) + len(wanted) > CACHE_PIECES:
+            self.pieces = {"": b""}
+        self._learn([p for p in wanted if p not in self.pieces])
+        get = self.pieces.__getitem__
         return [b"".join(map(get, p)) for p in pieces]
 
 
