@@ -11,28 +11,42 @@ from .common import id_and_text, stored
 PERCENT = 90
 #: Buckets of the token counts that rank tokens by rarity; the table of ranks is this long at any size.
 BUCKETS = 1 << 16
-_SPACES = r"[ \t\x0B\f\r]+"
 _LOW = 56
 
 
+def _plain(text: Column) -> Column:
+    """Lower case with blanks for all white space but line ends, so that single characters cut it without patterns."""
+    text = F.lower(text)
+    for space in "\t\x0b\f\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return text
+
+
+def _words(line: Column) -> Column:
+    """Words of a plain line, in order of appearance."""
+    return F.array_remove(F.split(line, " "), "")
+
+
 def line_tokens(line: Column) -> Column:
     """Distinct lower-case words of a line, in order of appearance."""
-    return F.array_remove(F.array_distinct(F.split(F.lower(line), _SPACES)), "")
+    return F.array_distinct(_words(_plain(line)))
 
 
 def _lines(base: DataFrame) -> DataFrame:
-    return base.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """doc_id, line_no and the plain line."""
+    return base.select("doc_id", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line"))
 
 
-def _ranks(lines: DataFrame, buckets: int) -> Column:
+def _ranks(base: DataFrame, buckets: int) -> Column:
     """For each bucket of tokens a rank from 0 to 127 that grows with the logarithm of its count.
 
-    All tokens of all lines are counted. What comes to the driver is one number for
+    All words of all texts are counted. What comes to the driver is one number for
     each bucket, a fixed size; it goes out again as a literal.
     """
-    token = F.explode(line_tokens(F.col("line"))).alias("token")
+    words = F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")
     counts = (
-        lines.select(token)
+        base.select(F.explode(words).alias("token"))
+        .filter("token != ''")
         .groupBy(F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int").alias("bucket"))
         .count()
         .select("bucket", F.least(F.lit(127), F.floor(F.log2("count") * 4)).cast("int").alias("rank"))
@@ -52,7 +66,7 @@ def _ordered(ranks: Column, buckets: int) -> Column:
         rank = F.get(ranks, F.pmod(h, F.lit(buckets)).cast("int")).cast("long")
         return F.shiftleft(rank, _LOW).bitwiseOR(h.bitwiseAND(F.lit((1 << _LOW) - 1)))
 
-    return F.sort_array(F.transform(line_tokens(F.col("line")), number))
+    return F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), number)))
 
 
 def similar_lines(
@@ -70,16 +84,16 @@ def similar_lines(
     it; only sets not settled so meet the others. Lines without a token are not listed.
     """
     base = id_and_text(docs, id_col, text_col).filter("doc_id is not null")
-    ordered = _ordered(_ranks(_lines(base), buckets), buckets)
+    ordered = _ordered(_ranks(base, buckets), buckets)
 
-    def keyed(rows: DataFrame) -> DataFrame:
-        tokens = _lines(rows).select("doc_id", "line_no", ordered.alias("tokens")).filter(F.size("tokens") > 0)
+    def keyed(lines: DataFrame) -> DataFrame:
+        tokens = lines.filter("trim(line) != ''").select("doc_id", "line_no", ordered.alias("tokens"))
         return tokens.withColumn("n", F.size("tokens")).withColumn("set", F.xxhash64("tokens"))
 
     n = F.col("n")
     probe = n - F.ceil(n * percent / 100).cast("int") + 1
     sets = (
-        keyed(base)
+        keyed(_lines(base))
         .select(
             "set", "n", F.slice("tokens", 1, probe).alias("prefix"),
             _parity(F.col("tokens")).alias("parity"), F.struct("doc_id", "line_no").alias("at"),
@@ -120,9 +134,10 @@ def _later_of(pairs: DataFrame, base: DataFrame, sets: DataFrame, keyed, percent
     places = stored(
         sets.join(wanted, "set", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")), "places"
     )
-    # whole sets again, of the documents that hold a wanted line only
+    # whole sets again, of the wanted lines only
     near = base.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
-    whole = stored(keyed(near).join(places, ["doc_id", "line_no"]).select("set", "tokens").dropDuplicates(["set"]), "whole")
+    near = _lines(near).join(places, ["doc_id", "line_no"])
+    whole = stored(keyed(near).select("set", "tokens").dropDuplicates(["set"]), "whole")
     both = F.size(F.array_intersect("tokens", "e_tokens"))
     return (
         candidates.join(whole, "set")
