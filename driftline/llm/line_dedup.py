@@ -102,37 +102,44 @@ def similar_lines(
         .agg(F.min("at").alias("first"))
     )
     sets = stored(sets, "sets")
-    entries = sets.select("set", "n", "parity", "first", F.posexplode("prefix").alias("pos", "token"))
+    entries = _entries(sets)
     # a set is settled by the first set of a bucket where it can; pairs in number are the prefixes at most
-    pivots = entries.groupBy("token").agg(F.min_by(F.struct("set", "n", "parity", "first", "pos"), F.struct("first", "set")).alias("e"), F.min("set").alias("lo"), F.max("set").alias("hi"))
-    pivots = pivots.filter("lo < hi").select("token", *(F.col(f"e.{c}").alias(f"e_{c}") for c in _ENTRY))
-    settled = _later_of(entries.join(pivots, "token"), base, sets, keyed, percent)
+    pivots = entries.groupBy("token").agg(F.min(F.struct(*_ENTRY)).alias("e"), F.count("*").alias("size"))
+    pivots = pivots.filter("size > 1").select("token", *(F.col(f"e.{c}").alias(f"e_{c}") for c in _ENTRY))
+    settled = _later_of(entries.join(pivots, "token"), base, keyed, percent)
     # what is left meets every earlier set of its buckets
     earlier = entries.select("token", *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
-    rest = entries.join(settled, "set", "left_anti")
-    more = _later_of(rest.join(earlier, "token"), base, sets, keyed, percent)
+    rest = _entries(sets.join(settled, "set", "left_anti"))
+    more = _later_of(rest.join(earlier, "token"), base, keyed, percent)
     return sets.join(settled.union(more), "set", "left_anti").select("first.doc_id", "first.line_no")
 
 
-_ENTRY = ("set", "n", "parity", "first", "pos")
+#: Columns of a set under one token of its prefix, in the order by which a bucket's first set is chosen.
+_ENTRY = ("doc_id", "line_no", "set", "n", "pos", "parity")
 
 
-def _later_of(pairs: DataFrame, base: DataFrame, sets: DataFrame, keyed, percent: int) -> DataFrame:
+def _entries(sets: DataFrame) -> DataFrame:
+    return sets.select("first.doc_id", "first.line_no", "set", "n", "parity", F.posexplode("prefix").alias("pos", "token"))
+
+
+def _later_of(pairs: DataFrame, base: DataFrame, keyed, percent: int) -> DataFrame:
     """The sets of those pairs (a set and an earlier one, e_) that are similar; filtered first, then verified whole."""
     n, m = F.col("n"), F.col("e_n")
     asked = F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - 1e-9)  # shared tokens
     candidates = (
-        pairs.filter("e_first < first")
+        pairs.filter("e_doc_id < doc_id or (e_doc_id = doc_id and e_line_no < line_no)")
         .filter((F.least(n, m) * 100 >= F.greatest(n, m) * percent))
         .filter(1 + F.least(n - F.col("pos") - 1, m - F.col("e_pos") - 1) >= asked)
         .filter(F.bit_count(F.col("parity").bitwiseXOR(F.col("e_parity"))) <= n + m - 2 * asked)
-        .select("set", "e_set")
+        .select("set", "doc_id", "line_no", "e_set", "e_doc_id", "e_line_no")
         .distinct()
     )
     candidates = stored(candidates, "pairs")
-    wanted = candidates.select(F.explode(F.array("set", "e_set")).alias("set")).distinct()
     places = stored(
-        sets.join(wanted, "set", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no")), "places"
+        candidates.select(
+            F.inline(F.array(F.struct("doc_id", "line_no"), F.struct(F.col("e_doc_id").alias("doc_id"), F.col("e_line_no").alias("line_no"))))
+        ).distinct(),
+        "places",
     )
     # whole sets again, of the wanted lines only
     near = base.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -140,7 +147,7 @@ def _later_of(pairs: DataFrame, base: DataFrame, sets: DataFrame, keyed, percent
     whole = stored(keyed(near).select("set", "tokens").dropDuplicates(["set"]), "whole")
     both = F.size(F.array_intersect("tokens", "e_tokens"))
     return (
-        candidates.join(whole, "set")
+        candidates.select("set", "e_set").join(whole, "set")
         .join(whole.select(F.col("set").alias("e_set"), F.col("tokens").alias("e_tokens")), "e_set")
         .withColumn("both", both)
         .filter(F.col("both") * 100 >= percent * (F.size("tokens") + F.size("e_tokens") - F.col("both")))
