@@ -9,7 +9,7 @@ from .common import id_and_text, stored
 
 #: Jaccard similarity in percent from which a later line goes.
 PERCENT = 90
-#: Buckets of the token counts that rank tokens by rarity; the table of ranks is this long at any size.
+#: Buckets of the token counts that rank tokens by rarity, a power of two; the table of ranks is this long at any size.
 BUCKETS = 1 << 16
 _LOW = 56
 
@@ -47,7 +47,7 @@ def _ranks(base: DataFrame, buckets: int) -> Column:
     counts = (
         base.select(F.explode(words).alias("token"))
         .filter("token != ''")
-        .groupBy(F.pmod(F.xxhash64("token"), F.lit(buckets)).cast("int").alias("bucket"))
+        .groupBy(_bucket(F.xxhash64("token"), buckets).alias("bucket"))
         .count()
         .select("bucket", F.least(F.lit(127), F.floor(F.log2("count") * 4)).cast("int").alias("rank"))
         .collect()
@@ -55,7 +55,11 @@ def _ranks(base: DataFrame, buckets: int) -> Column:
     ranks = [0] * buckets
     for r in counts:
         ranks[r["bucket"]] = r["rank"]
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<long>")
+
+
+def _bucket(h: Column, buckets: int) -> Column:
+    return h.bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
 def _ordered(ranks: Column, buckets: int) -> Column:
@@ -63,8 +67,7 @@ def _ordered(ranks: Column, buckets: int) -> Column:
 
     def number(token: Column) -> Column:
         h = F.xxhash64(token)
-        rank = F.get(ranks, F.pmod(h, F.lit(buckets)).cast("int")).cast("long")
-        return F.shiftleft(rank, _LOW).bitwiseOR(h.bitwiseAND(F.lit((1 << _LOW) - 1)))
+        return F.shiftleft(F.get(ranks, _bucket(h, buckets)), _LOW).bitwiseOR(h.bitwiseAND(F.lit((1 << _LOW) - 1)))
 
     return F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), number)))
 
