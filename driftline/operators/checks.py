@@ -96,13 +96,13 @@ def file_summary(rows: DataFrame) -> DataFrame:
 
 
 def cadence_audit(rows: DataFrame, interval: str = "interval_s") -> DataFrame:
-    """Usual spacing of a file, spacings that differ from the configured one, and the first three such times."""
+    """Usual spacing of a file (the least of equally frequent ones), spacings that differ from the configured one, and the first three such times."""
     d = rows.withColumn("dt", calendar.seconds(F.col("timestamp_local"), F.lag("timestamp_local").over(W.partitionBy("file").orderBy("timestamp_local"))))
     off = F.col("dt").isNotNull() & (F.col("dt") != F.col(interval))
     w = W.partitionBy("file", off).orderBy("timestamp_local")
     d = d.withColumn("off", off).withColumn("nth", F.row_number().over(w))
     return d.groupBy("file").agg(
-        F.mode("dt").alias("usual_s"), F.count_if("off").alias("n_off"), F.count_if(F.col("dt") > F.col(interval)).alias("n_gaps"),
+        F.mode("dt", True).alias("usual_s"), F.count_if("off").alias("n_off"), F.count_if(F.col("dt") > F.col(interval)).alias("n_gaps"),
         F.array_sort(F.collect_list(F.when(F.col("off") & (F.col("nth") <= 3), F.col("timestamp_local")))).alias("first_off"),
     )
 

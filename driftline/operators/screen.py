@@ -43,6 +43,11 @@ def resolution_audit(quarterly: DataFrame, features: list[str]) -> DataFrame:
     return out.withColumn("verdict", stats.resolution_verdict(F.col("n_present"), F.col("n_distinct")))
 
 
+def audit_note(audit: DataFrame, feature: str) -> DataFrame:
+    """The series that a verdict other than ok touches, for one feature."""
+    return audit.filter((F.col("feature") == feature) & (F.col("verdict") != "ok"))
+
+
 def without_skipped(cells: DataFrame, audit: DataFrame) -> DataFrame:
     """Leave out the (series, feature) that the audit excludes."""
     skip = audit.filter(F.col("verdict").isin("not_applicable", "excluded")).select(F.col("source").alias("env_source"), "site_id", "parameter", "depth_m", F.concat("feature", F.lit("_anom")).alias("feature"))

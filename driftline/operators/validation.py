@@ -120,6 +120,11 @@ def band_occupancy(hourly: DataFrame, band: str) -> DataFrame:
     return hourly.groupBy("site_id", "depth_m").agg(F.count(band).alias("n_hours"), F.avg(band).alias("share"))
 
 
+def exposure_share(deployment: DataFrame, days: str) -> DataFrame:
+    """Days beyond a threshold as a share of the observed days."""
+    return deployment.select(*DEPLOYMENT, F.try_divide(F.col(days), F.col("n_days_observed")).alias("share"))
+
+
 def depth_contrast(deployment: DataFrame, column: str = "mean") -> DataFrame:
     """Shallowest and deepest usable deployment of each site and parameter."""
     u = deployment.filter("usable and depth_m is not null")
