@@ -519,7 +519,10 @@ def deployment_hourly(spark, sf_dir):
     return _sub(spark, sf_dir, "hour").select(*D, "hour", "partial_hour", *_SUB)
 
 
-@query()
+@query(f"""WITH a AS (WITH {SQL_DEP}, {sql_reduce("drows", D, v.FEATURES, closed=True)} SELECT * FROM red WHERE n_obs > 0),
+f AS (WITH {_sql_sub('day')} SELECT {', '.join(D)}, sum(n_obs)::BIGINT AS fine_n_obs, sum(expected_obs) AS fine_expected, sum(mean * n_obs) / sum(n_obs) AS fine_mean, count(*) AS n_spans FROM sub GROUP BY ALL)
+SELECT {', '.join('a.' + c for c in D)}, n_obs, n_days_observed, round(expected_obs, 6) AS expected_obs, round(mean, 6) AS mean, fine_n_obs, round(fine_expected, 6) AS fine_expected, round(fine_mean, 6) AS fine_mean, n_spans,
+n_obs = fine_n_obs AS counts_agree, abs(mean - fine_mean) <= 1e-9 * greatest(1.0, abs(mean)) AS means_agree FROM a LEFT JOIN f ON {' AND '.join(f'a.{c} IS NOT DISTINCT FROM f.{c}' for c in D)}""")
 def deployment_grain_audit(spark, sf_dir):
     return validation.grain_audit(_deployment(spark, sf_dir), _sub(spark, sf_dir, "day"))
 
