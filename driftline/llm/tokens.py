@@ -11,8 +11,9 @@ import numpy as np
 CACHE_PIECES = 300_000
 CACHE_WORDS = 1_000_000
 
-#: A piece of letters and marks after them; apostrophes may open a contraction and stay out.
-_PLAIN = re.compile(r"([^\W\d_]+)([^\w\s']*)")
+#: A piece of letters and ASCII marks after them; apostrophes may open a contraction and stay out,
+#: other marks may be accents that the normalizer joins with the letter before them.
+_PLAIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)")
 
 _loaded: dict[tuple[str, bool], WordTokenizer] = {}
 
@@ -29,11 +30,12 @@ class WordTokenizer:
 
     A text is cut at spaces and line feeds, and the ids of each different piece are
     remembered as bytes; a text's ids are the joined bytes. A piece of letters with
-    marks after them is the ids of both, so only different words reach the
+    ASCII marks after them is the ids of both, so only different words reach the
     ``tokenizers`` library, many in one call, where ids that end a word part them.
     The result equals ``encode(text, add_special_tokens=False)`` because the
     vocabulary's pre-tokenizer removes white space and parts letters from marks, and
-    its normalizer works inside pieces. Any other piece is left to the library whole.
+    its normalizer works inside pieces and never joins an ASCII mark with a letter.
+    Any other piece, so every one with a combining accent, is left to the library whole.
     """
 
     def __init__(self, path: str, plain: bool = False) -> None:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from driftline.llm import circulant_minhash, convnet, crf_pii, host_rules, line_dedup, neighbour_vote, packing
 from driftline.llm import qgram_filter, quotation_links, separator_scan
 from driftline.llm.components import components
-from driftline.llm.tokens import default_tokenizer
+from driftline.llm.tokens import default_tokenizer, tokenizer
 from driftline.llm.textarrays import word_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -302,6 +303,13 @@ def test_packing_round_trip(spark):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_decomposed_accents_get_the_ids_of_the_whole_text():
+    texts = ["cafe\u0301 noir", unicodedata.normalize("NFD", "Việt Nam, «été» naïve! l'été…"), "a\u0338, \u2260 =\u0338", "plain, words! (here)"]
+    for plain in (False, True):
+        got = tokenizer(default_tokenizer(), plain).encode(texts)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == encoded(texts, plain)
+
+
 def test_first_fit_decreasing_equals_the_plain_loop():
     r = np.random.default_rng(2)
     for n in (0, 1, 2, 37, 500):
