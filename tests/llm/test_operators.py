@@ -454,6 +454,29 @@ def test_classifiers_on_held_out_rows(spark):
     assert auc > 0.97 and accuracy > 0.97
 
 
+def test_thresholds_do_not_follow_the_mix_of_the_sample():
+    r = np.random.default_rng(4)
+    clean, toxic = r.beta(2, 5, 4500), r.beta(5, 2, 500)  # the table: a tenth is toxic
+    found = []
+    for n in (4500, 500):
+        score, y = np.concatenate([clean[:n], toxic]), np.repeat([0, 1], [n, 500])
+        lang = np.where(np.arange(len(y)) % 2, "en", "de")
+        found.append(convnet._thresholds(score, y, lang, (0.9 * len(y) / n, 0.1 * len(y) / 500)))
+    assert set(found[0]) == {"", "en", "de"}
+    assert all(abs(found[0][k] - found[1][k]) <= 0.1 for k in found[0]), found
+
+
+def test_thresholds_are_set_on_rows_that_the_net_was_not_fitted_on(spark, monkeypatch):
+    seen = []
+    best = convnet._best_threshold
+    monkeypatch.setattr(convnet, "_best_threshold", lambda score, *rest: seen.append(len(score)) or best(score, *rest))
+    texts = [prose(i, 30) + (" awful" if i % 3 == 0 else "") for i in range(400)]
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    convnet.fit(frame(spark, texts), labels)
+    rows = convnet.training_rows(frame(spark, texts), labels, "toxic", convnet.MAX_PER_CLASS).count()
+    assert 0 < max(seen) < 0.3 * rows
+
+
 def test_classifiers_take_odd_and_empty_tables(spark):
     docs = frame(spark, ODD)
     labels = spark.createDataFrame([(i, i % 2, (i // 2) % 2) for i in range(len(ODD))] + [(None, 1, None)], "doc_id long, quality int, toxic int")
