@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -266,6 +267,8 @@ def viterbi(chain: Chain, segments: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+#: Digits that a phone or card number has at most; each token of a run holds one at least.
+MOST_DIGITS = 19
 _EDGE = "\"'`.,;:!?#$%&*|<>[]{}=~^"
 
 
@@ -284,6 +287,60 @@ def _accepted(kind: str, s: str) -> bool:
     return len(s) >= 16 and digits >= 2 and " " not in s
 
 
+def _clear(spans: list[tuple[int, int]]):
+    """Whether a range overlaps none of the spans, each asked by one search."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def clear(a: int, b: int) -> bool:
+        i = bisect_left(starts, b) - 1
+        return i < 0 or ends[i] <= a
+
+    return clear
+
+
+def _numbers(text: str, spans: list[tuple[int, int]], find) -> list[tuple[int, int]]:
+    """The phone or card numbers in a run of neighbouring tokens, by ``find(a, b)`` (a number's range or None).
+
+    The whole run counts if it can. Else it is cut where a line ends or a ``+``
+    begins, and the numbers that cover most tokens are taken; among equals those of
+    the most even lengths.
+    """
+    whole = find(spans[0][0], spans[-1][1]) if len(spans) <= MOST_DIGITS else None
+    if whole:
+        return [whole]
+    digits = [sum(map(str.isdigit, text[a:b])) for a, b in spans]
+    n = len(spans)
+    cut = [k == 0 or "\n" in text[spans[k - 1][1] : spans[k][0]] or text[spans[k][0] : spans[k][1]].lstrip(_EDGE + "(").startswith("+") for k in range(n)]
+    # best[k]: tokens covered, minus squares of digits, of the first k tokens; way[k]: where the last number begins
+    best, way = [(0, 0)] * (n + 1), [None] * (n + 1)
+    for k in range(1, n + 1):
+        best[k] = best[k - 1]
+        total = 0
+        for j in range(k - 1, max(-1, k - 1 - MOST_DIGITS), -1):
+            total += digits[j]
+            if total > MOST_DIGITS:
+                break
+            covered = (best[j][0] + k - j, best[j][1] - total * total)
+            if covered > best[k] and find(spans[j][0], spans[k - 1][1]):
+                best[k], way[k] = covered, j
+            if cut[j]:
+                break
+    out, k = [], n
+    while k:
+        if way[k] is None:
+            k -= 1
+        else:
+            out.append(find(spans[way[k]][0], spans[k - 1][1]))
+            k = way[k]
+    return out[::-1]
+
+
 def added_spans(chain: Chain, texts: list[str], base: list[dict[str, list[tuple[int, int]]]]) -> list[list[tuple[str, int, int]]]:
     """Spans that the chain finds beside the base ones; none overlaps a base span or another."""
     segments, owners = [], []
@@ -296,6 +353,7 @@ def added_spans(chain: Chain, texts: list[str], base: list[dict[str, list[tuple[
             segments.append(_encode(words, a, b))
             owners.append((d, [m.span() for m in matches[a:b]]))
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    free: dict = {}
     for (d, spans), y in zip(owners, viterbi(chain, segments), strict=True):
         k = 0
         while k < len(y):
@@ -303,16 +361,18 @@ def added_spans(chain: Chain, texts: list[str], base: list[dict[str, list[tuple[
             while j < len(y) and y[j] == y[k]:
                 j += 1
             if y[k]:
-                pieces = [(spans[k][0], spans[j - 1][1])] if KINDS[y[k] - 1] in ("phone", "card") else spans[k:j]
-                for a, b in pieces:
-                    s = texts[d][a:b]
-                    left = len(s) - len(s.lstrip(_EDGE))
-                    right = len(s) - len(s.rstrip(_EDGE))
-                    a, b = a + left, b - right
-                    kind = KINDS[y[k] - 1]
-                    taken = [x for v in base[d].values() for x in v]
-                    if a < b and _accepted(kind, texts[d][a:b]) and all(b <= p or q <= a for p, q in taken):
-                        out[d].append((kind, a, b))
+                kind, text = KINDS[y[k] - 1], texts[d]
+                clear = free[d] = free.get(d) or _clear([x for v in base[d].values() for x in v])
+
+                def find(a: int, b: int, kind=kind, text=text, clear=clear) -> tuple[int, int] | None:
+                    s = text[a:b]
+                    a, b = a + len(s) - len(s.lstrip(_EDGE)), b - len(s) + len(s.rstrip(_EDGE))
+                    return (a, b) if a < b and _accepted(kind, text[a:b]) and clear(a, b) else None
+
+                if kind in ("phone", "card"):
+                    out[d] += [(kind, *x) for x in _numbers(text, spans[k:j], find)]
+                else:
+                    out[d] += [(kind, *x) for x in (find(a, b) for a, b in spans[k:j]) if x]
             k = j
     return out
 

@@ -255,6 +255,27 @@ def test_chain_learns_and_adds_only_what_it_should(spark):
     assert out[0].text == 'so token = "<secret>"### it goes' and out[2].text == texts[2] and out[5].text == ""
 
 
+def test_neighbouring_numbers_are_told_apart():
+    def spans(text, kind="phone"):
+        tokens = [m.span() for m in re.finditer(r"\S+", text)]
+        n, label = len(tokens), crf_pii.LABELS.index(kind)
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(crf_pii, "viterbi", lambda chain, segments: [np.full(n, label)])
+            return [text[a:b] for _, a, b in crf_pii.added_spans(None, [text], [crf_pii.base_spans(text)])[0]]
+
+    assert spans("555-123-4567\n555-987-6543") == ["555-123-4567", "555-987-6543"]
+    assert spans("(743) 555-3824 743 555 3825") == ["(743) 555-3824", "743 555 3825"]
+    assert spans("0171 234 5678 90 0171 234 5678 91") == ["0171 234 5678 90", "0171 234 5678 91"]
+    assert spans("12345678 555-123-4567") == ["555-123-4567"]
+    assert spans("+1 743 555 3824 555-123-4567") == ["+1 743 555 3824", "555-123-4567"]
+    assert spans("743 555 3824") == ["743 555 3824"] and spans("1999 2001") == []
+    assert spans("\n".join(f"555-{i:03}-4567" for i in range(300))) == [f"555-{i:03}-4567" for i in range(300)]
+    assert spans("4111 1111 1111 1111, 5500 0000 0000 0004", "card") == []  # both are base spans
+    chain, text = crf_pii.train(crf_pii.labelled_table()), "call 555-123-4567\n555-987-6543 now"
+    found = crf_pii.added_spans(chain, [text], [crf_pii.base_spans(text)])[0]
+    assert [text[a:b] for _, a, b in found] == ["555-123-4567", "555-987-6543"]
+
+
 def test_viterbi_equals_enumeration():
     from itertools import product
 
