@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -10,6 +11,13 @@ from .common import stored
 #: A line's quote marks, possibly with spaces between them.
 QUOTE = r"^[ \t]*((?:>[ \t]?)+)"
 
+#: Successive words by which passages are matched.
+RUN = 5
+#: Turns of a conversation that one lookup of the last message with a hash spans.
+BLOCK_TURNS = 1024
+#: What names a passage.
+PASSAGE = ["conv_id", "turn", "message", "depth", "passage"]
+
 
 def quote_depth(line: Column) -> Column:
     """How many ``>`` marks stand before the line's text."""
@@ -24,16 +32,57 @@ def normalised(line: Column) -> Column:
 
 
 def message_lines(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, line_no, depth, line, hash (null for a line without letters or digits)."""
-    lines = messages.select(
-        "conv_id", "turn", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line")
+    """The messages' columns but text, with line_no, depth, plain, and passage: successive lines of one depth."""
+    kept = [c for c in messages.columns if c != "text"]
+    lines = messages.select(*kept, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = lines.select(*kept, "line_no", quote_depth(F.col("line")).alias("depth"), normalised(F.col("line")).alias("plain"))
+    alike = W.partitionBy("conv_id", "turn", "message", "depth").orderBy("line_no")
+    return lines.withColumn("passage", F.col("line_no") - F.row_number().over(alike))
+
+
+def passage_runs(lines: DataFrame) -> DataFrame:
+    """PASSAGE, copies, hash and the numbers of the lines (at) of what a passage is matched by.
+
+    That is every RUN successive words, across line ends, every whole line, and a
+    passage of fewer words as one.
+    """
+    some = lines.filter("plain != ''").groupBy(*PASSAGE, "copies").agg(
+        F.sort_array(F.collect_list(F.struct("line_no", "plain"))).alias("lines")
     )
-    plain = normalised(F.col("line"))
-    return lines.select(
-        "conv_id", "turn", "line_no", "line",
-        quote_depth(F.col("line")).alias("depth"),
-        F.when(F.length(plain) > 0, F.xxhash64(plain)).alias("hash"),
+    word = lambda x: F.transform(F.split(x["plain"], " "), lambda w: F.struct(x["line_no"].alias("line_no"), w.alias("word")))
+    some = some.withColumn("words", F.flatten(F.transform("lines", word)))
+    n = F.size("words")
+
+    def run(begin: Column) -> Column:
+        part = F.slice("words", begin, RUN)
+        return F.struct(F.xxhash64(F.concat_ws(" ", part["word"])).alias("hash"), F.array_distinct(part["line_no"]).alias("at"))
+
+    whole = lambda x: F.struct(F.xxhash64(x["plain"]).alias("hash"), F.array(x["line_no"]).alias("at"))
+    runs = F.array_union(F.transform("lines", whole), F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - RUN + 1)), run))
+    return some.select(*PASSAGE, "copies", F.inline(runs))
+
+
+def _earlier_own(quoted: DataFrame, own: DataFrame) -> DataFrame:
+    """conv_id, hash, turn, origin: of each quoted hash the first message and the last one before turn that have it as their own.
+
+    The last one is looked up in blocks of turns and over the blocks, so no task sorts
+    all turns of a hash.
+    """
+    asked = quoted.select("conv_id", "hash", "turn").distinct()
+    own = own.join(asked.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
+    first = asked.join(own.groupBy("conv_id", "hash").agg(F.min("turn").alias("origin")), ["conv_id", "hash"])
+    both = own.withColumn("own", F.col("turn")).unionByName(asked.withColumn("own", F.lit(None).cast("long")))
+    both = both.withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS))
+    inside = W.partitionBy("conv_id", "hash", "block").orderBy("turn").rangeBetween(W.unboundedPreceding, -1)
+    over = W.partitionBy("conv_id", "hash").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = both.groupBy("conv_id", "hash", "block").agg(F.max("own").alias("own"))
+    blocks = blocks.select("conv_id", "hash", "block", F.max("own").over(over).alias("before"))
+    last = (
+        both.withColumn("last", F.max("own").over(inside)).filter("own is null")
+        .join(blocks, ["conv_id", "hash", "block"])
+        .select("conv_id", "hash", "turn", F.coalesce("last", "before").alias("origin"))
     )
+    return first.select("conv_id", "hash", "turn", "origin").unionByName(last).filter("origin < turn").distinct()
 
 
 def link_quotes(
@@ -45,17 +94,21 @@ def link_quotes(
 ) -> DataFrame:
     """One row for each message: conv_id, turn, role, parent_turn, root_turn, depth, n_quoted, n_linked, text.
 
-    Quote levels are the ``>`` marks before a line. Every quoted line is hashed
-    without marks, case and punctuation and joined, in its conversation, to the
-    earliest message that has that line as its own; of the messages that a reply
-    quotes at its outermost level the one with most lines is its parent (the latest
-    among equals). Deeper levels count as links only. text is the message without
-    its quotes and without the lines that introduce them (ending in a colon just
-    before a quote). root_turn and depth follow the parents; ordering by conv_id,
-    root_turn, turn gives every reply after what it answers.
-
-    The quoted lines meet a table with one row for each different line of a
-    conversation, so a line that everyone uses makes no product. Parents are followed
+    Quote levels are the ``>`` marks before a line. Successive quoted lines of one
+    level are a passage, which is hashed without marks, case, punctuation and line
+    ends: every RUN successive words, and every whole line. So a quote that was
+    wrapped anew or holds a part of a longer line finds its source; a part of fewer
+    than RUN words does so only where it is a whole line or passage there. Of each hash the first
+    message of the conversation and the last one before the quote that have it as
+    their own are asked how much of the passage they hold. Of the messages that a
+    reply quotes at its outermost level the one with most lines is its parent, among
+    equals the one with most hashes, then the latest. Deeper levels count as links
+    only. text is the message without its quotes and without the lines that introduce
+    them (ending in a colon just before a quote). root_turn and depth follow the
+    parents; ordering by conv_id, root_turn, turn gives every reply after what it answers.
+
+    A hash of a quote has two candidates at most, so a line that everyone uses makes no
+    product. Only conversations with a quote are searched. Parents are followed
     by pointer doubling, in rounds that grow with the logarithm of the longest chain.
 
     Nulls: a null text is empty; a message without conv_id or turn links with nothing
@@ -68,20 +121,32 @@ def link_quotes(
         F.col(f"`{role_col}`").alias("role"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
-    lines = message_lines(base.filter("conv_id is not null and turn is not null")).filter("hash is not null")
-    own = lines.filter("depth = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("origin"))
-    quoted = lines.filter("depth > 0").groupBy("conv_id", "turn", "depth", "hash").agg(F.count("*").alias("n"))
-    linked = quoted.join(own, ["conv_id", "hash"], "left").withColumn(
-        "origin", F.when(F.col("origin") < F.col("turn"), F.col("origin"))
+    whole = base.filter("conv_id is not null and turn is not null").select("conv_id", "turn", "text")
+    # conversations with a quote; a large one is dealt out by its turns
+    deal = F.pmod("turn", F.lit(64)).cast("int").alias("deal")
+    threads = whole.filter(F.col("text").rlike("(?m)" + QUOTE)).select("conv_id").distinct()
+    threads = threads.select("conv_id", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("deal"))
+    live = whole.select("*", deal).join(threads, ["conv_id", "deal"], "left_semi")
+    live = live.groupBy("conv_id", "turn", "text").agg(F.count("*").alias("copies"))
+    lines = stored(message_lines(live.withColumn("message", F.xxhash64("text"))), "lines")
+    runs = stored(passage_runs(lines), "runs")
+    own = runs.filter("depth = 0").select("conv_id", "turn", "hash").distinct()
+    quoted = runs.filter("depth > 0")
+    asked = quoted.join(_earlier_own(quoted, own), ["conv_id", "hash", "turn"]).select(*PASSAGE, "origin").distinct()
+    held = quoted.join(asked, PASSAGE).join(own.withColumnRenamed("turn", "origin"), ["conv_id", "origin", "hash"])
+    linked = held.select(*PASSAGE, "copies", "origin", F.explode("at").alias("line_no")).groupBy(
+        "conv_id", "turn", "message", "copies", "depth", "line_no", "origin"
+    ).agg(F.count("*").alias("n"))
+    votes = linked.filter("depth = 1").groupBy("conv_id", "turn", "origin").agg(
+        F.sum("copies").alias("lines"), F.sum(F.col("copies") * F.col("n")).alias("hashes")
     )
-    votes = linked.groupBy("conv_id", "turn", "origin").agg(
-        F.sum("n").alias("n_lines"),
-        F.coalesce(F.sum(F.when(F.col("depth") == 1, F.col("n"))), F.lit(0)).alias("outer"),
+    parents = votes.groupBy("conv_id", "turn").agg(F.max_by("origin", F.struct("lines", "hashes", "origin")).alias("parent_turn"))
+    n_linked = linked.select("conv_id", "turn", "message", "copies", "line_no").distinct().groupBy("conv_id", "turn").agg(
+        F.sum("copies").alias("n_linked")
     )
-    reply = votes.groupBy("conv_id", "turn").agg(
-        F.max_by("origin", F.when(F.col("origin").isNotNull() & (F.col("outer") > 0), F.struct("outer", "origin"))).alias("parent_turn"),
-        F.sum("n_lines").alias("n_quoted"),
-        F.coalesce(F.sum(F.when(F.col("origin").isNotNull(), F.col("n_lines"))), F.lit(0)).alias("n_linked"),
+    reply = (
+        lines.filter("depth > 0 and plain != ''").groupBy("conv_id", "turn").agg(F.sum("copies").alias("n_quoted"))
+        .join(n_linked, ["conv_id", "turn"], "left").join(parents, ["conv_id", "turn"], "left")
     )
     reply = stored(reply, "replies")
     # pointer doubling over the messages that have a parent

@@ -448,6 +448,25 @@ def test_quotes_are_linked_and_removed(spark):
     assert quotation_links.link_quotes(df.limit(0)).count() == 0
 
 
+def test_quotes_wrapped_anew_or_in_part_find_their_source(spark):
+    a = "the quick brown fox jumps over the lazy dog and then it sleeps all day long in the sun"
+    words = a.split()
+    rows = [
+        (1, 0, "u", a + "\nI agree."),
+        (1, 1, "u", "> " + " ".join(words[:7]) + "\n> " + " ".join(words[7:]) + "\nwrapped anew"),
+        (1, 2, "u", "I agree.\nover the lazy dog and"),
+        (1, 3, "u", "> jumps over the lazy dog and then it sleeps\na part of a line"),
+        (1, 4, "u", "> I agree.\nthe latest one who said it"),
+        (1, 2000, "u", ">> " + " ".join(words[5:12]) + "\n> the latest one\n> who said it\nlate"),
+        (1, 3000, "u", "> I agree\n> that " + " ".join(words[8:14]) + "\nboth are in turn 0"),
+    ]
+    df = spark.createDataFrame(rows + rows[1:2], "conv_id long, turn long, role string, text string")
+    found = quotation_links.link_quotes(df).collect()
+    got = {r.turn: (r.parent_turn, r.n_quoted, r.n_linked) for r in found}
+    assert len(found) == len(rows) + 1
+    assert got == {0: (None, 0, 0), 1: (0, 4, 4), 2: (None, 0, 0), 3: (0, 1, 1), 4: (2, 1, 1), 2000: (4, 3, 3), 3000: (0, 2, 2)}
+
+
 def test_long_reply_chain(spark):
     rows = [(1, i, "u", f"> line {i - 1} is here\nline {i} is here") for i in range(40)]
     got = quotation_links.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
