@@ -241,8 +241,10 @@ def remeasurement(quarterly: DataFrame, column: str) -> DataFrame:
 
 
 def lag_feature_matrix(cells: DataFrame, lags=(0, 1, 2, 3, 4)) -> DataFrame:
-    """r by feature (rows) and lag (columns) of one series and polygon."""
-    return cells.groupBy("feature").pivot("lag", list(lags)).agg(F.first("r"))
+    """r by feature (rows) and lag (columns) of every series and polygon; a repeated cell is refused."""
+    keys = [c for c in CELL if c != "lag"]
+    repeated = F.raise_error(F.lit("a series has two cells of one feature and lag")).cast("double")
+    return cells.groupBy(*keys).pivot("lag", list(lags)).agg(F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max("r")))
 
 
 def lag_profiles(cells: DataFrame, lags=(0, 1, 2, 3, 4)) -> DataFrame:

@@ -429,7 +429,13 @@ def lag_profiles(spark, sf_dir):
 @query(f"""WITH {SQL_SCREEN} SELECT feature, {', '.join(f'max(r) FILTER (WHERE lag = {k}) AS "{k}"' for k in range(5))} FROM scr
 WHERE polygon_id = 'P0' AND site_id = 'S0' AND env_source = 'N' AND parameter = 'O' GROUP BY 1""")
 def lag_feature_matrix(spark, sf_dir):
-    return screen.lag_feature_matrix(_screen(spark, sf_dir).filter("polygon_id = 'P0' and site_id = 'S0' and env_source = 'N' and parameter = 'O'"))
+    one = _screen(spark, sf_dir).filter("polygon_id = 'P0' and site_id = 'S0' and env_source = 'N' and parameter = 'O'")
+    return screen.lag_feature_matrix(one).select("feature", *map(str, range(5)))
+
+
+@query(f"""WITH {SQL_SCREEN} SELECT polygon_id, {_KEYS}, feature, {', '.join(f'max(r) FILTER (WHERE lag = {k}) AS "{k}"' for k in range(5))} FROM scr GROUP BY polygon_id, {_KEYS}, feature""")
+def lag_feature_matrices(spark, sf_dir):
+    return screen.lag_feature_matrix(_screen(spark, sf_dir))
 
 
 _ACF = f"SELECT a.polygon_id, k, count(*) AS n_pairs, CASE WHEN count(*) >= 3 THEN round({_R.format(x='a.v', y='b.v')}, 6) END AS r_k FROM s a, (SELECT unnest([1, 4]) AS k), s b WHERE a.polygon_id = b.polygon_id AND a.q = b.q + k GROUP BY ALL"

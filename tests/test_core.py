@@ -290,3 +290,12 @@ def test_gates(spark):
     assert {(r.year, r.dataset) for r in checks.dataset_owner(years, sets).collect()} == {(2000, "old"), (2010, "mid"), (2020, "new")}
     rows = spark.createDataFrame([("f", "serial", "pass", ""), ("f", "time zone", "fail", ""), ("g", "serial", "pass", "")], "file string, check string, status string, detail string")
     assert {(r.file, r.outcome, r.blocked_by) for r in checks.outcome(rows, ["serial", "time zone"]).collect()} == {("f", "quarantined", "time zone"), ("g", "accepted", None)}
+
+
+def test_lag_feature_matrix_keeps_series_apart(spark):
+    schema = "polygon_id string, env_source string, site_id string, parameter string, depth_m double, lag int, feature string, r double"
+    rows = [("P0", "N", s, "O", None, k, "mean", r) for s, k, r in (("S0", 0, 0.1), ("S0", 1, 0.2), ("S1", 0, 0.3), ("S1", 4, None))]
+    got = {r.site_id: (r["0"], r["1"], r["4"]) for r in screen.lag_feature_matrix(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {"S0": (0.1, 0.2, None), "S1": (0.3, None, None)}
+    with pytest.raises(Exception, match="two cells"):
+        screen.lag_feature_matrix(spark.createDataFrame(rows + rows[:1], schema)).collect()
