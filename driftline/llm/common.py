@@ -26,12 +26,25 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def stored(df: DataFrame, label: str, **options: object) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``options`` go to the Parquet writer. :func:`discard` deletes the table again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`stored` made, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

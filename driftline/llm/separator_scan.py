@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
@@ -15,10 +17,14 @@ from .textarrays import batches
 from .tokens import default_tokenizer, tokenizer
 
 END_ID = 49407
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 14
 _BATCH_BYTES = 2 << 20
+#: Bytes of a row group of stored blocks, which a writer holds in memory.
+_ROW_GROUP = 16 << 20
 #: Pages of blocks that one window of the prefix scan covers before pages are summed themselves.
 PAGE_BLOCKS = 4096
+#: Blocks of a file that one range of :func:`read_token_files` covers.
+RANGE_BLOCKS = 1024
 
 
 def _flatten(path: str, end_id: int, block_tokens: int):
@@ -76,35 +82,64 @@ def flat_blocks(
     )
 
 
-def read_token_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, token_bytes: int = 4) -> DataFrame:
+def read_token_files(
+    spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, token_bytes: int = 4, by_ranges: bool = True
+) -> DataFrame:
     """Blocks of existing flat files of little-endian unsigned ids of 2 or 4 bytes.
 
-    A file is read as a whole by one task, so shards should stay below about 1 GB.
-    file_id is the file's path.
+    Spark lists the files; each is cut in ranges of RANGE_BLOCKS blocks, the ranges
+    are dealt to tasks, and a task reads its ranges a block at a time through
+    ``pyarrow.fs``, so a file may be of any size. A store that pyarrow cannot open
+    needs ``by_ranges=False``: Spark then reads each file whole in one task, which
+    holds for files below 2 GB. file_id is the file's path; an empty file gives no block.
     """
     kind = {2: "<u2", 4: "<u4"}[token_bytes]
+    step = token_bytes * block_tokens
+    columns = ["file_id", "block_no", "ids"]
+    schema = "file_id string, block_no long, ids binary"
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def block(name: str, number: int, raw: bytes) -> pd.DataFrame:
+        ids = np.frombuffer(raw, kind).astype("<u4").tobytes()
+        return pd.DataFrame([(name, number, ids)], columns=columns)
+
+    def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
-                step = token_bytes * block_tokens
                 for k, a in enumerate(range(0, len(content), step)):
-                    ids = np.frombuffer(content[a : a + step], kind).astype("<u4").tobytes()
-                    yield pd.DataFrame([(name, k, ids)], columns=["file_id", "block_no", "ids"])
+                    yield block(name, k, content[a : a + step])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(run, "file_id string, block_no long, ids binary")
+    def ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for frame in frames:
+            for name, first, last in zip(frame["path"], frame["first"], frame["last"], strict=True):
+                store, inside = fs.FileSystem.from_uri(quote(re.sub("^file:/+", "file:///", name), safe="/:@"))
+                with store.open_input_file(inside) as f:
+                    for k in range(first, last):
+                        yield block(name, k, f.read_at(step, k * step))
+
+    files = spark.read.format("binaryFile").load(path)
+    if not by_ranges:
+        return files.select("path", "content").mapInPandas(whole, schema)
+    blocks = F.ceil(F.col("length") / step)
+    pieces = files.select("path", blocks.alias("blocks")).filter("blocks > 0").select(
+        "path", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1, F.lit(RANGE_BLOCKS).cast("long"))).alias("first")
+    )
+    pieces = pieces.select("path", "first", F.least("blocks", F.col("first") + RANGE_BLOCKS).alias("last"))
+    # without a count the range of each hash is left to the session and to adaptive execution
+    return pieces.repartition("path", "first").mapInPandas(ranges, schema)
 
 
 def _search(end_id: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            out, blocks = frame.drop(columns="ids"), frame["ids"].tolist()
+            del frame
             n, found = [], []
-            for block in frame["ids"]:
+            for block in blocks:
                 ids = np.frombuffer(block, "<u4")
                 n.append(len(ids))
                 found.append(np.flatnonzero(ids == end_id))
-            out = frame.drop(columns="ids")
             out["n_tokens"], out["ends"] = n, found
             yield out
 
@@ -189,7 +224,13 @@ def separator_scan(blocks: DataFrame, end_id: int = END_ID, page_blocks: int = P
 def token_counts(docs: DataFrame, **options) -> DataFrame:
     """Write ``docs`` as flat token files and count each document's tokens by scanning them.
 
+    A file is what one task writes of its input, so file_id, doc_no and start follow
+    the input's partitions; doc_id, n_tokens and complete do not.
+
     Nulls: a null text is an empty document of 0 tokens; rows without an id and
-    repeated rows are counted each. An empty table gives no rows.
+    repeated rows are counted each. A long text runs over as many blocks as it needs.
+    Only the two named columns of ``docs`` are read, so others of any name never
+    clash. An empty table gives no rows.
     """
-    return separator_scan(stored(flat_blocks(docs, **options), "tokens"), options.get("end_id", END_ID))
+    blocks = stored(flat_blocks(docs, **options), "tokens", **{"parquet.block.size": _ROW_GROUP})
+    return separator_scan(blocks, options.get("end_id", END_ID))

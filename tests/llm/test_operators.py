@@ -113,6 +113,23 @@ def test_near_duplicates_of_nothing_and_of_null_ids(spark):
     assert got == [(-1, None, True), (1, 1, True), (1, 1, True)]
 
 
+def test_near_duplicates_of_texts_that_share_an_id(spark):
+    rows = [(1, BASE), (1, prose(71, 80)), (2, BASE), (3, prose(71, 80)), (4, prose(72, 80)), (4, prose(72, 80))]
+    docs = spark.createDataFrame([(i, t, "en", "h", 1) for i, t in rows], SCHEMA)
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in circulant_minhash.near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 4, True)]
+
+
+def test_labels_follow_their_chains(spark):
+    found = spark.createDataFrame([(i + 1, i) for i in range(0, 30)] + [(50, 40), (41, 40)], "u long, v long")
+    labels = circulant_minhash._followed(circulant_minhash.stored(circulant_minhash._relabelled(None, found), "labels"))
+    more = spark.createDataFrame([(40, 0), (60, 41)], "u long, v long")
+    first = {r.node: r.label for r in labels.collect()}
+    assert first == {**{i: 0 for i in range(1, 31)}, 50: 40, 41: 40}
+    labels = circulant_minhash._followed(circulant_minhash.stored(circulant_minhash._relabelled(labels, more), "labels"))
+    assert {r.node: r.label for r in labels.collect()} == {**{i: 0 for i in range(1, 31)}, 50: 0, 41: 0, 40: 0, 60: 0}
+
+
 def test_signature_estimates_similarity():
     r = np.random.default_rng(0)
     a = np.unique(r.integers(0, 2**63, 3000).astype(np.uint64))
@@ -163,6 +180,19 @@ def test_line_removal_keeps_columns_nulls_and_order(spark):
     assert line_dedup.without_repeated_lines(frame(spark, [])).count() == 0
 
 
+def test_lines_of_texts_that_share_an_id(spark):
+    rows = [(1, "zz yy\nc d"), (1, "c d\nzz yy"), (1, "zz yy\nc d"), (2, "c d\nnew"), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "h", 1) for i, t in rows], SCHEMA)
+    counts = line_dedup.line_counts(docs, line_dedup.similar_lines(docs)).collect()
+    assert len(counts) == 5 and all(0 <= r.n_removed <= r.n_token_lines for r in counts)
+    assert sorted((r.doc_id, r.n_removed) for r in counts if r.doc_id != 1) == [(2, 1), (3, 0)]
+    one = sorted(r.n_removed for r in counts if r.doc_id == 1)
+    assert one in ([0, 0, 2], [0, 2, 2])  # equal rows alike, the other text later or earlier
+    kept = sorted((r.doc_id, r.text) for r in line_dedup.without_repeated_lines(docs).collect() if r.text)
+    assert (2, "new") in kept and len(kept) == 4 - one.count(2)
+    assert sorted(set(kept)) in ([(1, "c d\nzz yy"), (2, "new")], [(1, "zz yy\nc d"), (2, "new")])
+
+
 # --- 3: quality -------------------------------------------------------------------------
 
 
@@ -363,11 +393,41 @@ def test_flat_files_on_disk(spark, tmp_path):
     b = np.array([1, 2, 3, 9], "<u2")
     (tmp_path / "a.bin").write_bytes(a.tobytes())
     (tmp_path / "b.bin").write_bytes(b.tobytes())
-    blocks = separator_scan.read_token_files(spark, str(tmp_path), block_tokens=2, token_bytes=2)
-    rows = separator_scan.separator_scan(blocks, end_id=9).orderBy("file_id", "doc_no").collect()
-    assert [(r.file_id[-5], r.doc_no, r.start, r.n_tokens, r.complete) for r in rows] == [
-        ("a", 0, 0, 0, True), ("a", 1, 1, 2, True), ("a", 2, 4, 1, False), ("b", 0, 0, 3, True),
-    ]
+    (tmp_path / "c.bin").write_bytes(b"")
+    for by_ranges in (True, False):
+        blocks = separator_scan.read_token_files(spark, str(tmp_path), 2, 2, by_ranges)
+        rows = separator_scan.separator_scan(blocks, end_id=9).orderBy("file_id", "doc_no").collect()
+        assert [(r.file_id[-5], r.doc_no, r.start, r.n_tokens, r.complete) for r in rows] == [
+            ("a", 0, 0, 0, True), ("a", 1, 1, 2, True), ("a", 2, 4, 1, False), ("b", 0, 0, 3, True),
+        ]
+
+
+def test_ranges_of_a_long_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(separator_scan, "RANGE_BLOCKS", 3)
+    ids = np.random.default_rng(5).integers(0, 12, 1001).astype("<u4")
+    (tmp_path / "long file.bin").write_bytes(ids.tobytes())
+    got = separator_scan.separator_scan(separator_scan.read_token_files(spark, str(tmp_path), 16), end_id=9, page_blocks=4)
+    ends = np.flatnonzero(ids == 9)
+    want = np.diff(np.concatenate(([-1], ends))) - 1
+    got = got.orderBy("doc_no").collect()
+    assert [r.n_tokens for r in got if r.complete] == want.tolist()
+    assert [r.n_tokens for r in got if not r.complete] == ([1001 - ends[-1] - 1] if ends[-1] < 1000 else [])
+
+
+def test_null_ids_and_repeated_rows_are_counted_and_packed_each(spark):
+    docs = spark.createDataFrame([(None, BASE, "en", "h", 1)] * 40 + [(1, BASE, "en", "h", 1)] * 2, SCHEMA)
+    n = len(encoded([BASE])[0])
+    counted = separator_scan.token_counts(docs).collect()
+    assert [r.n_tokens for r in counted] == [n] * 42 and sum(r.doc_id is None for r in counted) == 40
+    packed = packing.pack(docs, group_pieces=7).collect()
+    assert [r.length for r in packed] == [n + 1] * 42
+    assert len({r.sequence_id >> 32 for r in packed}) > 3  # equal rows are dealt apart
+
+
+def test_packing_leaves_little_padding(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    row = packing.pack(docs).agg(F.sum("length").alias("ids"), F.countDistinct("sequence_id").alias("n")).first()
+    assert row.ids / (row.n * packing.CAPACITY) > 0.97
 
 
 # --- 7: benchmark -----------------------------------------------------------------------
