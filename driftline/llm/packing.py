@@ -18,7 +18,7 @@ CAPACITY = 2048
 END_ID = 1
 #: Pieces that one group holds on average; a group is packed by one task.
 GROUP_PIECES = 8192
-_BATCH_BYTES = 2 << 20
+_BATCH_BYTES = 4 << 20
 
 
 def _cut(path: str, capacity: int, end_id: int):
@@ -117,20 +117,24 @@ def pack(
     """Pieces with their sequence: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids, with ``end_id`` after them, are cut every ``capacity`` ids. The
-    pieces are dealt to groups by a salted hash of document and start, about
-    ``group_pieces`` in each, and every group is packed on its own, so work and
-    memory of a task stay bounded at any size of the input; the padding that
-    grouping adds is at most one unfilled tail of bins for each group.
+    pieces are dealt to groups by a salted hash of the piece and its number in the
+    stored table, about ``group_pieces`` in each, so equal rows are dealt apart too.
+    Every group is packed on its own, so work and memory of a task stay bounded at any
+    size of the input; the padding that grouping adds is at most one unfilled tail of
+    bins for each group. Among pieces of one length the smaller doc_id and start come
+    first. Which pieces share a sequence follows the input's partitions.
 
     Nulls: a null text is empty and gives one piece that holds ``end_id`` alone; a
-    row without an id is packed too. Rows that repeat are packed each. An empty
-    table gives no rows.
+    row without an id is packed too. Rows that repeat are packed each. A long text
+    fills as many pieces as it needs. Only the two named columns of ``docs`` are read,
+    so others of any name never clash. An empty table gives no rows.
     """
-    cut = stored(pieces(docs, id_col, text_col, capacity, tokenizer_path, end_id), "pieces")
+    cut = pieces(docs, id_col, text_col, capacity, tokenizer_path, end_id)
+    cut = stored(cut.withColumn("number", F.monotonically_increasing_id()), "pieces")
     groups = max(1, round(cut.count() / group_pieces))
     dealt = cut.withColumn(
-        "pack_group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32"), F.lit(groups))
-    )
+        "pack_group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "number"), F.lit(groups))
+    ).drop("number")
     return dealt.groupBy("pack_group").applyInPandas(
         _pack_group(capacity),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
