@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
+from .common import discard, id_and_text, stored
 
 #: Jaccard similarity in percent from which a later line goes.
 PERCENT = 90
 #: Buckets of the token counts that rank tokens by rarity, a power of two; the table of ranks is this long at any size.
 BUCKETS = 1 << 16
 _LOW = 56
+#: A line's place: the document, which of the texts under its id, and the line's number.
+PLACE = ["doc_id", "version", "line_no"]
+_BLANK = " \t\x0b\f\r"
 
 
 def _plain(text: Column) -> Column:
@@ -32,22 +37,33 @@ def line_tokens(line: Column) -> Column:
     return F.array_distinct(_words(_plain(line)))
 
 
-def _lines(base: DataFrame) -> DataFrame:
-    """doc_id, line_no and the plain line."""
-    return base.select("doc_id", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line"))
+def _versioned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and version, which tells the texts under one id apart."""
+    return id_and_text(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
+
+
+def _sets(base: DataFrame) -> DataFrame:
+    """Each different token set of all lines, as sorted 64-bit fingerprints, with the place where it comes first."""
+    lines = base.select("doc_id", "version", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line"))
+    tokens = F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), lambda t: F.xxhash64(t))))
+    return (
+        lines.filter("trim(line) != ''")
+        .select(F.struct(*PLACE).alias("at"), tokens.alias("tokens"))
+        .groupBy(F.xxhash64("tokens").alias("hash"), "tokens")
+        .agg(F.min("at").alias("at"))
+        .select("at.*", "tokens", F.size("tokens").alias("n"))
+    )
 
 
-def _ranks(base: DataFrame, buckets: int) -> Column:
+def _ranks(sets: DataFrame, buckets: int) -> Column:
     """For each bucket of tokens a rank from 0 to 127 that grows with the logarithm of its count.
 
-    All words of all texts are counted. What comes to the driver is one number for
+    The tokens of all sets are counted. What comes to the driver is one number for
     each bucket, a fixed size; it goes out again as a literal.
     """
-    words = F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")
     counts = (
-        base.select(F.explode(words).alias("token"))
-        .filter("token != ''")
-        .groupBy(_bucket(F.xxhash64("token"), buckets).alias("bucket"))
+        sets.select(F.explode("tokens").alias("token"))
+        .groupBy(_bucket(F.col("token"), buckets).alias("bucket"))
         .count()
         .select("bucket", F.least(F.lit(127), F.floor(F.log2("count") * 4)).cast("int").alias("rank"))
         .collect()
@@ -58,103 +74,92 @@ def _ranks(base: DataFrame, buckets: int) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<long>")
 
 
-def _bucket(h: Column, buckets: int) -> Column:
-    return h.bitwiseAND(F.lit(buckets - 1)).cast("int")
+def _bucket(token: Column, buckets: int) -> Column:
+    return token.bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
-def _ordered(ranks: Column, buckets: int) -> Column:
-    """A line's tokens as numbers, rarest first: rank above, fingerprint of the token below."""
+def _rarest_first(ranks: Column, buckets: int) -> Column:
+    """Tokens as numbers that sort by rarity: rank above, low bits of the fingerprint below."""
+    number = lambda t: F.shiftleft(F.get(ranks, _bucket(t, buckets)), _LOW).bitwiseOR(t.bitwiseAND(F.lit((1 << _LOW) - 1)))
+    return F.sort_array(F.transform("tokens", number))
 
-    def number(token: Column) -> Column:
-        h = F.xxhash64(token)
-        return F.shiftleft(F.get(ranks, _bucket(h, buckets)), _LOW).bitwiseOR(h.bitwiseAND(F.lit((1 << _LOW) - 1)))
 
-    return F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), number)))
+#: What an entry of a bucket holds of its set, in the order by which a bucket's first set is chosen.
+_ENTRY = (*PLACE, "n", "pos", "parity")
 
 
 def similar_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, buckets: int = BUCKETS
 ) -> DataFrame:
-    """doc_id, line_no of every line that stays although others may match it.
-
-    Lines are token sets. A line goes if an earlier one, by doc_id and line number,
-    has ``100 * intersection >= percent * union``. Tokens are ordered by rarity, each
-    different set is kept once at its first line, and sets meet on the tokens of
-    their prefixes, under the length filter, the positional filter and a bound from
-    64-bit parity maps (each differing token changes one bit at most); what is left
-    is verified on the whole sets. A set first meets the earliest set of each of its
-    buckets, which settles most of a large group of near copies without pairs inside
-    it; only sets not settled so meet the others. Lines without a token are not listed.
+    """doc_id, version, line_no of every line that stays although others may match it.
+
+    Lines are token sets. A line goes if an earlier one, by PLACE, has
+    ``100 * intersection >= percent * union``. The texts are read once: each different
+    set is stored with its first place, which also names it, so a set never goes for
+    another's hash. Tokens are ordered by rarity, and sets meet on the tokens of their
+    prefixes, under the length filter, the positional filter and a bound from 64-bit
+    parity maps (each differing token changes one bit at most); what is left is
+    verified on the whole sets. Sets so small that only equal ones match have no
+    prefix. A set first meets the earliest set of each of its buckets, which settles
+    most of a large group of near copies without pairs inside it; only sets not
+    settled so meet the others, in buckets parted by length. Lines without a token are
+    not listed.
+
+    Nulls: rows without an id match nothing and are not listed; a null text has no
+    tokens. Rows that repeat id and text share their places; other texts under one
+    id are told apart by version, a hash of the text, and come in its order.
     """
-    base = id_and_text(docs, id_col, text_col).filter("doc_id is not null")
-    ordered = _ordered(_ranks(base, buckets), buckets)
-
-    def keyed(lines: DataFrame) -> DataFrame:
-        tokens = lines.filter("trim(line) != ''").select("doc_id", "line_no", ordered.alias("tokens"))
-        return tokens.withColumn("n", F.size("tokens")).withColumn("set", F.xxhash64("tokens"))
-
+    base = _versioned(docs, id_col, text_col).filter("doc_id is not null")
+    sets = stored(_sets(base), "sets")
     n = F.col("n")
     probe = n - F.ceil(n * percent / 100).cast("int") + 1
-    sets = (
-        keyed(_lines(base))
-        .select(
-            "set", "n", F.slice("tokens", 1, probe).alias("prefix"),
-            _parity(F.col("tokens")).alias("parity"), F.struct("doc_id", "line_no").alias("at"),
-        )
-        .groupBy("set", "n", "prefix", "parity")
-        .agg(F.min("at").alias("first"))
+    entries = (
+        sets.filter(n * (100 - percent) >= percent)  # below, no other set is similar enough
+        .select(*PLACE, "n", _parity(F.col("tokens")).alias("parity"), F.slice(_rarest_first(_ranks(sets, buckets), buckets), 1, probe).alias("prefix"))
+        .select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "token"))
     )
-    sets = stored(sets, "sets")
-    entries = _entries(sets)
     # a set is settled by the first set of a bucket where it can; pairs in number are the prefixes at most
     pivots = entries.groupBy("token").agg(F.min(F.struct(*_ENTRY)).alias("e"), F.count("*").alias("size"))
-    pivots = pivots.filter("size > 1").select("token", *(F.col(f"e.{c}").alias(f"e_{c}") for c in _ENTRY))
-    settled = _later_of(entries.join(pivots, "token"), base, keyed, percent)
-    # what is left meets every earlier set of its buckets
-    earlier = entries.select("token", *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
-    rest = _entries(sets.join(settled, "set", "left_anti"))
-    more = _later_of(rest.join(earlier, "token"), base, keyed, percent)
-    return sets.join(settled.union(more), "set", "left_anti").select("first.doc_id", "first.line_no")
-
-
-#: Columns of a set under one token of its prefix, in the order by which a bucket's first set is chosen.
-_ENTRY = ("doc_id", "line_no", "set", "n", "pos", "parity")
-
-
-def _entries(sets: DataFrame) -> DataFrame:
-    return sets.select("first.doc_id", "first.line_no", "set", "n", "parity", F.posexplode("prefix").alias("pos", "token"))
-
-
-def _later_of(pairs: DataFrame, base: DataFrame, keyed, percent: int) -> DataFrame:
-    """The sets of those pairs (a set and an earlier one, e_) that are similar; filtered first, then verified whole."""
+    pivots = pivots.filter("size > 1").select("token", F.col("e").alias("first"))
+    shared = stored(entries.join(pivots, "token"), "entries")
+    met = shared.select(*_ENTRY, *(F.col(f"first.{c}").alias(f"e_{c}") for c in _ENTRY))
+    settled = stored(_later_of(met, sets, percent), "settled")
+    # what is left meets every earlier set of its buckets that is of like length
+    step = log(100 / percent) if percent < 100 else 1.0
+    length = F.floor(F.log(n) / F.lit(step))
+    earlier = shared.select("token", length.alias("length"), *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
+    left = shared.join(settled, PLACE, "left_anti").filter(_later("first.")).select("token", *_ENTRY)
+    left = left.select("*", F.explode(F.array(length - 1, length, length + 1)).alias("length"))
+    more = stored(_later_of(left.join(earlier, ["token", "length"]), sets, percent), "settled")
+    staying = stored(sets.select(*PLACE).join(settled.union(more), PLACE, "left_anti"), "staying")
+    discard(sets, shared, settled, more)
+    return staying
+
+
+def _later(prefix: str) -> Column:
+    """Whether the row's place comes after the one under ``prefix``."""
+    return F.struct(*PLACE) > F.struct(*(F.col(prefix + c) for c in PLACE))
+
+
+def _later_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The places of the sets of those pairs (a set and an earlier one, e_) that are similar; filtered first, then verified whole."""
     n, m = F.col("n"), F.col("e_n")
     asked = F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - 1e-9)  # shared tokens
     candidates = (
-        pairs.filter("e_doc_id < doc_id or (e_doc_id = doc_id and e_line_no < line_no)")
+        pairs.filter(_later("e_"))
         .filter((F.least(n, m) * 100 >= F.greatest(n, m) * percent))
         .filter(1 + F.least(n - F.col("pos") - 1, m - F.col("e_pos") - 1) >= asked)
         .filter(F.bit_count(F.col("parity").bitwiseXOR(F.col("e_parity"))) <= n + m - 2 * asked)
-        .select("set", "doc_id", "line_no", "e_set", "e_doc_id", "e_line_no")
+        .select(*PLACE, *(f"e_{c}" for c in PLACE))
         .distinct()
     )
-    candidates = stored(candidates, "pairs")
-    places = stored(
-        candidates.select(
-            F.inline(F.array(F.struct("doc_id", "line_no"), F.struct(F.col("e_doc_id").alias("doc_id"), F.col("e_line_no").alias("line_no"))))
-        ).distinct(),
-        "places",
-    )
-    # whole sets again, of the wanted lines only
-    near = base.join(places.select("doc_id").distinct(), "doc_id", "left_semi")
-    near = _lines(near).join(places, ["doc_id", "line_no"])
-    whole = stored(keyed(near).select("set", "tokens").dropDuplicates(["set"]), "whole")
     both = F.size(F.array_intersect("tokens", "e_tokens"))
     return (
-        candidates.select("set", "e_set").join(whole, "set")
-        .join(whole.select(F.col("set").alias("e_set"), F.col("tokens").alias("e_tokens")), "e_set")
+        candidates.join(sets.select(*PLACE, "tokens"), PLACE)
+        .join(sets.select(*(F.col(c).alias(f"e_{c}") for c in PLACE), F.col("tokens").alias("e_tokens")), [f"e_{c}" for c in PLACE])
         .withColumn("both", both)
         .filter(F.col("both") * 100 >= percent * (F.size("tokens") + F.size("e_tokens") - F.col("both")))
-        .select("set")
+        .select(*PLACE)
         .distinct()
     )
 
@@ -165,16 +170,25 @@ def _parity(tokens: Column) -> Column:
     )
 
 
+def _has_token(line: Column) -> Column:
+    return F.btrim(line, F.lit(_BLANK)) != ""
+
+
 def line_counts(docs: DataFrame, staying: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_token_lines, n_removed for each row, from the lines that stay."""
-    kept = staying.groupBy("doc_id").agg(F.count("*").alias("n_staying"))
+    """doc_id, n_lines, n_token_lines, n_removed for each row, from the lines that stay.
+
+    Nulls: a null text is one empty line; a row without an id loses nothing. Rows that
+    repeat id and text have equal counts; another text under the same id has its
+    own. An empty table gives no rows. Only the two named columns are read.
+    """
+    kept = staying.groupBy("doc_id", "version").agg(F.count("*").alias("n_staying"))
     lines = F.split("text", "\n")
-    counted = id_and_text(docs, id_col, text_col).select(
-        "doc_id",
+    counted = _versioned(docs, id_col, text_col).select(
+        "doc_id", "version",
         F.size(lines).cast("long").alias("n_lines"),
-        F.size(F.filter(lines, lambda x: x.rlike(r"[^ \t\x0B\f\r]"))).cast("long").alias("n_token_lines"),
+        F.size(F.filter(lines, _has_token)).cast("long").alias("n_token_lines"),
     )
-    return counted.join(kept, "doc_id", "left").select(
+    return counted.join(kept, ["doc_id", "version"], "left").select(
         "doc_id", "n_lines", "n_token_lines",
         F.when(F.col("doc_id").isNull(), F.lit(0).cast("long"))
         .otherwise(F.col("n_token_lines") - F.coalesce("n_staying", F.lit(0))).alias("n_removed"),
@@ -190,21 +204,26 @@ def without_repeated_lines(
     token stay where others do.
 
     Nulls: a null text stays null; rows without an id are passed through untouched
-    and match nothing. Rows that repeat an id share one position, so each keeps the
-    same line numbers. An empty table gives no rows. Columns of other names pass
-    unchanged.
+    and match nothing. Rows that repeat id and text keep the same lines; another text
+    under the same id is a document of its own. An empty table gives no rows. Columns
+    of other names pass unchanged, those that begin with ``__line_`` are not allowed.
     """
     staying = similar_lines(docs, id_col, text_col, percent, buckets)
-    kept = staying.groupBy("doc_id").agg(F.array_sort(F.collect_set("line_no")).alias("__staying")).withColumnRenamed("doc_id", "__id")
+    kept = staying.groupBy(F.col("doc_id").alias("__line_id"), F.col("version").alias("__line_version")).agg(
+        F.array_sort(F.collect_list("line_no")).alias("__line_staying")
+    )
     text = F.col(f"`{text_col}`")
-    lines = F.split(text, "\n")
-    blank = lambda x: ~x.rlike(r"[^ \t\x0B\f\r]")
-    left = F.array_join(F.filter(lines, lambda x, i: blank(x) | F.array_contains("__staying", i)), "\n")
-    has_token = text.rlike(r"[^ \t\n\x0B\f\r]")
-    joined = docs.join(kept, F.col(f"`{id_col}`").cast("long") == F.col("__id"), "left")
-    untouched = F.col(f"`{id_col}`").isNull() | text.isNull() | ~has_token
+    left = F.array_join(
+        F.filter(F.split(text, "\n"), lambda x, i: ~_has_token(x) | F.array_contains("__line_staying", i)), "\n"
+    )
+    joined = docs.join(
+        kept,
+        (F.col(f"`{id_col}`").cast("long") == F.col("__line_id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__line_version")),
+        "left",
+    )
+    untouched = F.col(f"`{id_col}`").isNull() | text.isNull() | ~text.rlike(r"[^ \t\n\x0B\f\r]")
     return (
-        joined.filter(untouched | F.col("__id").isNotNull())
+        joined.filter(untouched | F.col("__line_id").isNotNull())
         .withColumn(text_col, F.when(untouched, text).otherwise(left))
         .select(*(F.col(f"`{c}`") for c in docs.columns))
     )
