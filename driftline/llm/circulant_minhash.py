@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
+from .common import discard, id_and_text, stored
 from .components import components
 from .textarrays import batches, mix, shingle_sets
 
 WIDTH = 4
 PERCENT = 80
 BANDS, ROWS = 40, 6
-#: Rounds of linear pivot comparisons before what is left of a bucket is compared in full.
+#: Rounds of linear pivot comparisons, at most, before what is left of a bucket is compared in full.
 PIVOT_ROUNDS = 4
+#: A round of which less than this share of the pairs is confirmed is the last.
+WORTH = 0.1
 
 # The odd constants of the permutation that is shifted, a bijection of 32-bit positions.
 _PI_1, _PI_2 = np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35)
@@ -121,7 +124,7 @@ def _full_sets(width: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the similarity, counted on both whole sets."""
+    """u and v, the labels, of those pairs (a, b) whose full sets meet the similarity, counted on both whole sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -130,7 +133,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .join(left, "a")
         .withColumn("both", both)
         .filter(F.col("both") * 100 >= percent * (F.size("sa") + F.size("sb") - F.col("both")))
-        .select(F.col("a").alias("u"), F.col("b").alias("v"))
+        .select("u", "v")
     )
 
 
@@ -153,12 +156,16 @@ def near_duplicates(
     * Equal sets collapse to their smallest id before any band is made, with
       map-side minima, so a group of copies costs its rows once.
     * In each of a few rounds every bucket has a pivot, first the set that meets most
-      others, and every set meets one pivot of its buckets; only sets of a bucket that
-      are then still in different components meet each other. No pair inside a
-      component is made after it is linked.
+      others, and every set meets one pivot of its buckets. What a round links is
+      contracted: a link joins two labels, and sets of one label never meet again.
+      After the rounds only sets of a bucket with different labels meet, in buckets
+      parted by size, since sets of unlike size are never similar.
+    * Components are found once, over the links between labels.
     * Nulls: a null text is empty; empty texts have no shingles and link with nothing.
       A row without an id has no component and stays (kept is true). Rows that repeat
-      an id are one document. An empty table gives an empty result.
+      an id and text are one document; texts that differ under one id are compared each,
+      and the id stands for all of them. An empty table gives an empty result.
+      Only the two named columns of ``docs`` are read, so others of any name never clash.
     """
     base = id_and_text(docs, id_col, text_col)
     signed = stored(
@@ -170,30 +177,24 @@ def near_duplicates(
     )
     key = ["set_a", "set_b", "n_shingles"]
     usable = signed.filter("n_shingles > 0 and doc_id is not null")
-    reps = stored(usable.groupBy(*key).agg(F.min("doc_id").alias("rep")), "reps")
-    banded = signed.select("doc_id", "n_shingles", "bands").join(
-        reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"
-    )
-    entries = banded.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"))
-    crowded = entries.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo < hi").select("key")
-    members = entries.join(crowded, "key").dropDuplicates(["key", "rep"])
+    reps = stored(usable.groupBy(*key).agg(F.min(F.struct("doc_id", "bands", "parity")).alias("r")), "reps")
+    sized = reps.select(F.col("r.doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.col("r.parity").alias("parity"))
+    entries = reps.select(F.explode("r.bands").alias("key"), F.col("r.doc_id").alias("rep"))
+    crowded = entries.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     # how many others a set meets over all its buckets: what copies were made from meets most
-    crowds = members.groupBy("key").agg(F.count("*").alias("crowd"))
-    reach = members.join(crowds, "key").groupBy("rep").agg(F.sum("crowd").alias("reach"))
-    maps = signed.select(F.col("doc_id").alias("rep"), "parity").join(reach, "rep").dropDuplicates(["rep"])
-    members = stored(members.join(maps, "rep"), "members")
+    met = entries.join(crowded, "key").groupBy("rep").agg(F.collect_list("key").alias("keys"), F.sum("crowd").alias("reach"))
+    members = stored(met.join(sized, "rep"), "members")  # the bands of a set are its keys at most
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stored(
         base.join(wanted, "doc_id", "left_semi").mapInPandas(_full_sets(width), "doc_id long, shingles array<long>"),
         "sets",
     )
-    edges = stored(members.limit(0).select(F.col("rep").alias("u"), F.col("rep").alias("v")), "edges")
-    labels = None
+    labels, spent, edges = None, [signed, reps, members, sets], []
     # a pair that is similar enough is of like size, and its parity maps differ in few bits
     bits = " + ".join(f"bit_count(parity[{i}] ^ parity_m[{i}])" for i in range(PARITY_WORDS))
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m) and {100 + percent} * ({bits}) <= {100 - percent} * (n + m)"
     for turn in range(PIVOT_ROUNDS):
-        named = _named(members, labels).withColumn("order", _order(turn))
+        named = _named(members, labels).select("*", F.explode("keys").alias("key"), _order(turn).alias("order"))
         pivot = named.groupBy("key").agg(
             F.max_by(F.struct("rep", "n", "label", "order", "parity"), "order").alias("p"),
             F.min("label").alias("lo"),
@@ -201,37 +202,54 @@ def near_duplicates(
         )
         pivot = pivot.filter("lo < hi").select("key", "p.*").toDF("key", "a", "m", "pivot_label", "pivot_order", "parity_m")
         # of the pivots in its buckets each set meets one, so a round has no more pairs than sets
-        pairs = (
+        pairs = stored(
             named.join(pivot, "key")
             .filter("label <> pivot_label").filter(fits)
-            .groupBy(F.col("rep").alias("b")).agg(F.max_by("a", "pivot_order").alias("a"))
+            .groupBy(F.col("rep").alias("b")).agg(F.max_by(F.struct("a", "pivot_label", "label"), "pivot_order").alias("at"))
+            .select("b", "at.a", F.col("at.label").alias("v"), F.col("at.pivot_label").alias("u")),
+            "pairs",
         )
         found = stored(_verified(pairs, sets, percent), "edges")
-        if not found.isEmpty():
-            edges = edges.union(found)
-            labels = stored(components(edges), "labels")
-        elif pairs.isEmpty():
+        asked, confirmed = pairs.count(), found.count()
+        discard(pairs)
+        edges.append(found)
+        if confirmed:
+            before, labels = labels, stored(_relabelled(labels, found), "labels")
+            spent += [before] if before is not None else []
+        if confirmed <= WORTH * asked:
             break
-    named = _named(members, labels)
-    other = named.select("key", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("parity").alias("parity_m"))
+    # pairs of different labels; the larger set of a pair, or the later of equals, looks for the other
+    size_class = F.floor(F.log("n") / F.lit(log(100 / percent) if percent < 100 else 1.0))
+    named = _named(members, labels).select("rep", "n", "label", "parity", size_class.alias("size"), F.explode("keys").alias("key"))
     open_keys = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    named = stored(named.join(open_keys, "key"), "open")
+    other = named.select(
+        "key", "size", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("label").alias("u"), F.col("parity").alias("parity_m")
+    )
     rest = (
-        named.join(open_keys, "key").join(other, "key")
-        .filter("rep > a and label <> other").filter(fits)
-        .select("a", F.col("rep").alias("b"))
+        named.select("key", "rep", "n", F.col("label").alias("v"), "parity", F.explode(F.array("size", F.col("size") - 1)).alias("size"))
+        .join(other, ["key", "size"])
+        .filter("(n > m or (n = m and rep > a)) and u <> v").filter(fits)
+        .select("a", F.col("rep").alias("b"), "u", "v")
         .distinct()
     )
-    found = stored(_verified(rest, sets, percent), "edges")
-    if not found.isEmpty():
-        labels = stored(components(edges.union(found)), "labels")
+    edges.append(stored(_verified(rest, sets, percent), "edges"))
+    linked = edges[0]
+    for more in edges[1:]:
+        linked = linked.union(more)
+    if labels is not None:
+        labels = _followed(labels)
+    whole = components(_contracted(linked, labels))
     if labels is None:
-        classes = reps.withColumn("component_id", F.col("rep"))
+        nodes = whole
     else:
-        classes = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-            "component_id", F.coalesce("label", "rep")
-        )
-    classes = classes.select(*key, "component_id")
-    return (
+        # what was contracted follows its label; labels that no link joined further stand for themselves
+        nodes = labels.select("node", F.col("label").alias("old")).join(whole.withColumnRenamed("node", "old"), "old", "left")
+        nodes = nodes.select("node", F.coalesce("label", "old").alias("label"))
+        nodes = nodes.union(whole.join(labels, "node", "left_anti"))
+    classes = reps.join(nodes.select(F.col("node").alias("doc_id"), "label"), F.col("r.doc_id") == F.col("doc_id"), "left")
+    classes = classes.select(*key, F.coalesce("label", "r.doc_id").alias("component_id"))
+    result = (
         signed.drop("bands", "parity")
         .join(classes, key, "left")
         .select(
@@ -242,6 +260,9 @@ def near_duplicates(
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    result = stored(result, "near_duplicates")
+    discard(*spent, named, *edges, *([] if labels is None else [labels]))
+    return result
 
 
 def _order(turn: int) -> Column:
@@ -251,9 +272,47 @@ def _order(turn: int) -> Column:
 
 
 def _named(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members with their label, a set of the same component; at first each its own."""
     if labels is None:
-        return members.select("key", "rep", "n", "reach", "parity", F.col("rep").alias("label"))
-    return (
-        members.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", "n", "reach", "parity", F.coalesce("label", "rep").alias("label"))
-    )
+        return members.withColumn("label", F.col("rep"))
+    labels = labels.select(F.col("node").alias("rep"), "label")
+    return members.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+
+
+def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Labels (node, label) after every label of ``found`` (u, v) went to the smallest it is linked with, two steps on.
+
+    A label goes to a smaller one only, so chains end; :func:`_followed` walks them, and
+    what is left apart is joined by the components at the end.
+    """
+    both = found.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("label"))
+    hook = both.groupBy("node").agg(F.min("label").alias("label"))
+    next_ = hook.select(F.col("node").alias("label"), F.col("label").alias("further"))
+    hook = hook.join(next_, "label", "left").select("node", F.coalesce("further", "label").alias("label"))
+    if labels is None:
+        return hook
+    moved = labels.join(hook.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left")
+    moved = moved.select("node", F.coalesce("further", "label").alias("label"))
+    return moved.union(hook.join(labels, "node", "left_anti"))
+
+
+def _followed(labels: DataFrame) -> DataFrame:
+    """Labels that no label of their own moves further, by pointer doubling."""
+    while True:
+        further = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        if labels.join(further, "label", "left_semi").isEmpty():
+            return labels
+        before = labels
+        labels = stored(labels.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")), "labels")
+        discard(before)
+
+
+def _contracted(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Links (u, v) between the present labels of their ends."""
+    edges = edges.select("u", "v")
+    if labels is None:
+        return edges
+    for end in ("u", "v"):
+        now = labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_now"))
+        edges = edges.join(now, end, "left").withColumn(end, F.coalesce(f"{end}_now", end)).drop(f"{end}_now")
+    return edges.filter("u <> v").distinct()

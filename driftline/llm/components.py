@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -34,15 +34,16 @@ def components(edges: DataFrame) -> DataFrame:
             both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         # every node keeps its link to its own minimum
-        large = large.union(least.filter("u <> m").select("u", F.col("m").alias("v"))).distinct()
+        large = large.union(least.filter("u <> m").select("u", F.col("m").alias("v")))
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(down, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         ).union(down.select("u", F.col("m").alias("v")))
-        e = stored(
+        last, e = e, stored(
             small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
             "cc",
         )
+        discard(last)
         new = _mark(e)
         if new == mark:
             break
