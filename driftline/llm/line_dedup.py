@@ -42,28 +42,28 @@ def _versioned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return id_and_text(docs, id_col, text_col).withColumn("version", F.xxhash64("text"))
 
 
-def _sets(base: DataFrame) -> DataFrame:
-    """Each different token set of all lines, as sorted 64-bit fingerprints, with the place where it comes first."""
+def _lines(base: DataFrame) -> DataFrame:
+    """PLACE and the plain line, of the lines that hold more than blanks."""
     lines = base.select("doc_id", "version", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line_no", "line"))
-    tokens = F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), lambda t: F.xxhash64(t))))
-    return (
-        lines.filter("trim(line) != ''")
-        .select(F.struct(*PLACE).alias("at"), tokens.alias("tokens"))
-        .groupBy(F.xxhash64("tokens").alias("hash"), "tokens")
-        .agg(F.min("at").alias("at"))
-        .select("at.*", "tokens", F.size("tokens").alias("n"))
-    )
+    return lines.filter("trim(line) != ''")
+
 
+def _numbers(line: Column, number) -> Column:
+    """Sorted distinct ``number`` of the words of a plain line."""
+    numbers = F.array_remove(F.transform(F.split(line, " "), number), number(F.lit("")))
+    return F.sort_array(F.array_distinct(numbers))
 
-def _ranks(sets: DataFrame, buckets: int) -> Column:
+
+def _ranks(base: DataFrame, buckets: int) -> Column:
     """For each bucket of tokens a rank from 0 to 127 that grows with the logarithm of its count.
 
-    The tokens of all sets are counted. What comes to the driver is one number for
+    All words of all texts are counted. What comes to the driver is one number for
     each bucket, a fixed size; it goes out again as a literal.
     """
+    words = F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")
     counts = (
-        sets.select(F.explode("tokens").alias("token"))
-        .groupBy(_bucket(F.col("token"), buckets).alias("bucket"))
+        base.select(F.explode(words).alias("token"))
+        .groupBy(_bucket(F.xxhash64("token"), buckets).alias("bucket"))
         .count()
         .select("bucket", F.least(F.lit(127), F.floor(F.log2("count") * 4)).cast("int").alias("rank"))
         .collect()
@@ -74,14 +74,18 @@ def _ranks(sets: DataFrame, buckets: int) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<long>")
 
 
-def _bucket(token: Column, buckets: int) -> Column:
-    return token.bitwiseAND(F.lit(buckets - 1)).cast("int")
+def _bucket(h: Column, buckets: int) -> Column:
+    return h.bitwiseAND(F.lit(buckets - 1)).cast("int")
+
+
+def _by_rarity(ranks: Column, buckets: int):
+    """A token as a number that sorts by rarity: rank above, low bits of its fingerprint below."""
 
+    def number(token: Column) -> Column:
+        h = F.xxhash64(token)
+        return F.shiftleft(F.get(ranks, _bucket(h, buckets)), _LOW).bitwiseOR(h.bitwiseAND(F.lit((1 << _LOW) - 1)))
 
-def _rarest_first(ranks: Column, buckets: int) -> Column:
-    """Tokens as numbers that sort by rarity: rank above, low bits of the fingerprint below."""
-    number = lambda t: F.shiftleft(F.get(ranks, _bucket(t, buckets)), _LOW).bitwiseOR(t.bitwiseAND(F.lit((1 << _LOW) - 1)))
-    return F.sort_array(F.transform("tokens", number))
+    return number
 
 
 #: What an entry of a bucket holds of its set, in the order by which a bucket's first set is chosen.
@@ -94,10 +98,9 @@ def similar_lines(
     """doc_id, version, line_no of every line that stays although others may match it.
 
     Lines are token sets. A line goes if an earlier one, by PLACE, has
-    ``100 * intersection >= percent * union``. The texts are read once: each different
-    set is stored with its first place, which also names it, so a set never goes for
-    another's hash. Tokens are ordered by rarity, and sets meet on the tokens of their
-    prefixes, under the length filter, the positional filter and a bound from 64-bit
+    ``100 * intersection >= percent * union``. Equal sets, by 128 bits of their tokens,
+    collapse to their first place, which names the set from then on. Tokens are ordered
+    by rarity, and sets meet on the tokens of their prefixes, under the length filter, the positional filter and a bound from 64-bit
     parity maps (each differing token changes one bit at most); what is left is
     verified on the whole sets. Sets so small that only equal ones match have no
     prefix. A set first meets the earliest set of each of its buckets, which settles
@@ -110,27 +113,35 @@ def similar_lines(
     id are told apart by version, a hash of the text, and come in its order.
     """
     base = _versioned(docs, id_col, text_col).filter("doc_id is not null")
-    sets = stored(_sets(base), "sets")
     n = F.col("n")
+    tokens = _numbers(F.col("line"), _by_rarity(_ranks(base, buckets), buckets))
     probe = n - F.ceil(n * percent / 100).cast("int") + 1
-    entries = (
-        sets.filter(n * (100 - percent) >= percent)  # below, no other set is similar enough
-        .select(*PLACE, "n", _parity(F.col("tokens")).alias("parity"), F.slice(_rarest_first(_ranks(sets, buckets), buckets), 1, probe).alias("prefix"))
-        .select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "token"))
+    matchable = n * (100 - percent) >= percent  # below, no other set is similar enough
+    sets = (
+        _lines(base).select(*PLACE, tokens.alias("tokens")).withColumn("n", F.size("tokens"))
+        .select(
+            F.struct(*PLACE).alias("at"), "n", F.xxhash64("tokens").alias("set_a"), F.xxhash64(F.lit(1), "tokens").alias("set_b"),
+            F.when(matchable, F.slice("tokens", 1, probe)).alias("prefix"), F.when(matchable, _parity(F.col("tokens"))).alias("parity"),
+        )
+        .groupBy("set_a", "set_b", "n", "prefix", "parity")
+        .agg(F.min("at").alias("at"))
+        .select("at.*", "n", "prefix", "parity")
     )
+    sets = stored(sets, "sets")
+    entries = sets.select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "token"))
     # a set is settled by the first set of a bucket where it can; pairs in number are the prefixes at most
     pivots = entries.groupBy("token").agg(F.min(F.struct(*_ENTRY)).alias("e"), F.count("*").alias("size"))
     pivots = pivots.filter("size > 1").select("token", F.col("e").alias("first"))
     shared = stored(entries.join(pivots, "token"), "entries")
     met = shared.select(*_ENTRY, *(F.col(f"first.{c}").alias(f"e_{c}") for c in _ENTRY))
-    settled = stored(_later_of(met, sets, percent), "settled")
+    settled = _later_of(met, base, percent)
     # what is left meets every earlier set of its buckets that is of like length
     step = log(100 / percent) if percent < 100 else 1.0
     length = F.floor(F.log(n) / F.lit(step))
     earlier = shared.select("token", length.alias("length"), *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
     left = shared.join(settled, PLACE, "left_anti").filter(_later("first.")).select("token", *_ENTRY)
     left = left.select("*", F.explode(F.array(length - 1, length, length + 1)).alias("length"))
-    more = stored(_later_of(left.join(earlier, ["token", "length"]), sets, percent), "settled")
+    more = _later_of(left.join(earlier, ["token", "length"]), base, percent)
     staying = stored(sets.select(*PLACE).join(settled.union(more), PLACE, "left_anti"), "staying")
     discard(sets, shared, settled, more)
     return staying
@@ -141,27 +152,49 @@ def _later(prefix: str) -> Column:
     return F.struct(*PLACE) > F.struct(*(F.col(prefix + c) for c in PLACE))
 
 
-def _later_of(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _later_of(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
     """The places of the sets of those pairs (a set and an earlier one, e_) that are similar; filtered first, then verified whole."""
     n, m = F.col("n"), F.col("e_n")
     asked = F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - 1e-9)  # shared tokens
+    other = [f"e_{c}" for c in PLACE]
     candidates = (
         pairs.filter(_later("e_"))
         .filter((F.least(n, m) * 100 >= F.greatest(n, m) * percent))
         .filter(1 + F.least(n - F.col("pos") - 1, m - F.col("e_pos") - 1) >= asked)
         .filter(F.bit_count(F.col("parity").bitwiseXOR(F.col("e_parity"))) <= n + m - 2 * asked)
-        .select(*PLACE, *(f"e_{c}" for c in PLACE))
+        .select(*PLACE, *other)
         .distinct()
     )
+    candidates = stored(candidates, "pairs")
+    # whole sets again, of the wanted lines only, which are fetched with their document
+    both_ends = F.array(F.struct(*PLACE), F.struct(*(F.col(o).alias(c) for o, c in zip(other, PLACE, strict=True))))
+    wanted = candidates.select(F.inline(both_ends)).groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("line_no")).alias("numbers"))
+    wanted = wanted.withColumn("chosen", _chosen(F.col("numbers")))
+    lines = F.filter(F.split(_plain(F.col("text")), "\n"), lambda x, i: F.coalesce(F.get("chosen", i), F.lit(False)))
+    found = base.join(wanted, ["doc_id", "version"]).select(
+        "doc_id", "version", F.inline(F.arrays_zip(F.col("numbers").alias("line_no"), lines.alias("line")))
+    )
+    whole = found.select(*PLACE, _numbers(F.col("line"), lambda t: F.xxhash64(t)).alias("tokens")).dropDuplicates(PLACE)
+    whole = stored(whole, "whole")
     both = F.size(F.array_intersect("tokens", "e_tokens"))
-    return (
-        candidates.join(sets.select(*PLACE, "tokens"), PLACE)
-        .join(sets.select(*(F.col(c).alias(f"e_{c}") for c in PLACE), F.col("tokens").alias("e_tokens")), [f"e_{c}" for c in PLACE])
+    later = stored(
+        candidates.join(whole, PLACE)
+        .join(whole.select(*(F.col(c).alias(o) for o, c in zip(other, PLACE, strict=True)), F.col("tokens").alias("e_tokens")), other)
         .withColumn("both", both)
         .filter(F.col("both") * 100 >= percent * (F.size("tokens") + F.size("e_tokens") - F.col("both")))
         .select(*PLACE)
-        .distinct()
+        .distinct(),
+        "settled",
     )
+    discard(candidates, whole)
+    return later
+
+
+def _chosen(numbers: Column) -> Column:
+    """An array that is true at each of the sorted numbers, so that a line is looked up in one step."""
+    before = F.concat(F.array(F.lit(-1)), numbers)
+    gaps = F.zip_with(numbers, F.slice(before, 1, F.size(numbers)), lambda b, a: F.concat(F.array_repeat(F.lit(False), b - a - 1), F.array(F.lit(True))))
+    return F.flatten(gaps)
 
 
 def _parity(tokens: Column) -> Column:
@@ -210,11 +243,11 @@ def without_repeated_lines(
     """
     staying = similar_lines(docs, id_col, text_col, percent, buckets)
     kept = staying.groupBy(F.col("doc_id").alias("__line_id"), F.col("version").alias("__line_version")).agg(
-        F.array_sort(F.collect_list("line_no")).alias("__line_staying")
+        _chosen(F.sort_array(F.collect_set("line_no"))).alias("__line_staying")
     )
     text = F.col(f"`{text_col}`")
     left = F.array_join(
-        F.filter(F.split(text, "\n"), lambda x, i: ~_has_token(x) | F.array_contains("__line_staying", i)), "\n"
+        F.filter(F.split(text, "\n"), lambda x, i: ~_has_token(x) | F.coalesce(F.get("__line_staying", i), F.lit(False))), "\n"
     )
     joined = docs.join(
         kept,
