@@ -13,6 +13,8 @@ from .common import discard, id_and_text, stored
 PERCENT = 90
 #: Buckets of the token counts that rank tokens by rarity, a power of two; the table of ranks is this long at any size.
 BUCKETS = 1 << 16
+#: Entries of a bucket beyond which it is parted by length.
+LARGE = 1000
 _LOW = 56
 #: A line's place: the document, which of the texts under its id, and the line's number.
 PLACE = ["doc_id", "version", "line_no"]
@@ -105,7 +107,7 @@ def similar_lines(
     verified on the whole sets. Sets so small that only equal ones match have no
     prefix. A set first meets the earliest set of each of its buckets, which settles
     most of a large group of near copies without pairs inside it; only sets not
-    settled so meet the others, in buckets parted by length. Lines without a token are
+    settled so meet the others, in large buckets parted by length. Lines without a token are
     not listed.
 
     Nulls: rows without an id match nothing and are not listed; a null text has no
@@ -131,16 +133,17 @@ def similar_lines(
     entries = sets.select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "token"))
     # a set is settled by the first set of a bucket where it can; pairs in number are the prefixes at most
     pivots = entries.groupBy("token").agg(F.min(F.struct(*_ENTRY)).alias("e"), F.count("*").alias("size"))
-    pivots = pivots.filter("size > 1").select("token", F.col("e").alias("first"))
+    pivots = pivots.filter("size > 1").select("token", F.col("e").alias("first"), "size")
     shared = stored(entries.join(pivots, "token"), "entries")
     met = shared.select(*_ENTRY, *(F.col(f"first.{c}").alias(f"e_{c}") for c in _ENTRY))
     settled = _later_of(met, base, percent)
-    # what is left meets every earlier set of its buckets that is of like length
+    # what is left meets every earlier set of its buckets; a large bucket is parted by length
     step = log(100 / percent) if percent < 100 else 1.0
-    length = F.floor(F.log(n) / F.lit(step))
-    earlier = shared.select("token", length.alias("length"), *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
-    left = shared.join(settled, PLACE, "left_anti").filter(_later("first.")).select("token", *_ENTRY)
-    left = left.select("*", F.explode(F.array(length - 1, length, length + 1)).alias("length"))
+    length, large = F.floor(F.log(n) / F.lit(step)), F.col("size") > LARGE
+    earlier = shared.select("token", F.when(large, length).otherwise(0).alias("length"), *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
+    left = shared.filter(_later("first.")).join(settled, PLACE, "left_anti")
+    asked = F.when(large, F.array(length - 1, length, length + 1)).otherwise(F.array(F.lit(0).cast("long")))
+    left = left.select("token", *_ENTRY, F.explode(asked).alias("length"))
     more = _later_of(left.join(earlier, ["token", "length"]), base, percent)
     staying = stored(sets.select(*PLACE).join(settled.union(more), PLACE, "left_anti"), "staying")
     discard(sets, shared, settled, more)

@@ -154,7 +154,7 @@ def brute_lines(texts, percent=90):
     }
 
 
-def test_lines_equal_all_pairs(spark):
+def test_lines_equal_all_pairs(spark, monkeypatch):
     r = np.random.default_rng(8)
     pool = [prose(200 + k, int(r.integers(1, 40)), 300) for k in range(40)]
     texts = [None, "", "\n\n", "The.\nthe.\nTHE.  the."]
@@ -162,7 +162,8 @@ def test_lines_equal_all_pairs(spark):
         part = [pool[int(k)] for k in r.integers(0, len(pool), 4)]
         part = [p.replace(p.split()[0], f"n{r.integers(99)}") if r.random() < 0.3 else p for p in part]
         texts.append("\n".join(part))
-    for percent in (80, 90):
+    for percent, large in ((80, 1000), (80, 3), (90, 1000)):
+        monkeypatch.setattr(line_dedup, "LARGE", large)
         got = {(x.doc_id, x.line_no) for x in line_dedup.similar_lines(frame(spark, texts), percent=percent).collect()}
         assert got == brute_lines(texts, percent)
 
