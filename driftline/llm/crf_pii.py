@@ -377,30 +377,56 @@ def added_spans(chain: Chain, texts: list[str], base: list[dict[str, list[tuple[
     return out
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = TRAIN_SENTENCES) -> DataFrame:
+#: Rows of a given labelled table that training reads at most.
+MAX_LABELLED = 20_000
+
+
+def _rows_of(labelled: DataFrame) -> list[tuple[list[str], list[int]]]:
+    """Sentences of a labelled table: tokens and labels, arrays of strings; unknown labels are refused."""
+    number = {k: i for i, k in enumerate(LABELS)}
+    rows = labelled.select("tokens", "labels").filter("tokens is not null and labels is not null").limit(MAX_LABELLED).collect()
+    return [(r["tokens"], [number[x] for x in r["labels"]]) for r in rows]
+
+
+def _model(docs: DataFrame, sentences: int, labelled: DataFrame | None):
+    rows = labelled_table(sentences) if labelled is None else _rows_of(labelled)
+    return docs.sparkSession.sparkContext.broadcast(train(rows))
+
+
+def _all_spans(chain: Chain, texts: list[str]) -> list[list[tuple[str, int, int, bool]]]:
+    """(kind, start, end, base) of each text, by kind as listed, then start."""
+    order = {k: i for i, k in enumerate(KINDS)}
+    base = [base_spans(t) for t in texts]
+    out = []
+    for b, more in zip(base, added_spans(chain, texts, base), strict=True):
+        every = [(k, s, e, True) for k in BASE for s, e in b[k]] + [(k, s, e, False) for k, s, e in more]
+        out.append(sorted(every, key=lambda x: (order[x[0]], x[1])))
+    return out
+
+
+def find_pii(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = TRAIN_SENTENCES, labelled: DataFrame | None = None
+) -> DataFrame:
     """doc_id and spans (kind, start, end, base) of every row, over whole texts.
 
     Base spans follow fixed patterns and checks; the chain, trained from the small
-    labelled table of this module, adds addresses, numbers and secrets that the
-    patterns do not cover and that overlap no base span. Tokens without a digit or
+    ``labelled`` table (tokens, labels; MAX_LABELLED rows at most) or, without one, from
+    that of this module, adds addresses, numbers and secrets that the patterns do not
+    cover and that overlap no base span. Tokens without a digit or
     an ``@`` are outside by definition, so the Viterbi search runs over the other
     runs, which it decodes in batches. Offsets are code points, the end is exclusive.
 
     Nulls: a null text is empty; rows without an id and repeated rows are searched
-    each. An empty table gives no rows.
+    each. An empty table gives no rows. Only the two named columns are read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(labelled_table(sentences)))
+    model = _model(docs, sentences, labelled)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        order = {k: i for i, k in enumerate(KINDS)}
         for frame in frames:
-            texts = frame["text"].tolist()
-            base = [base_spans(t) for t in texts]
-            rows = []
-            for b, more in zip(base, added_spans(model.value, texts, base), strict=True):
-                every = [(k, s, e, True) for k in BASE for s, e in b[k]] + [(k, s, e, False) for k, s, e in more]
-                every.sort(key=lambda x: (order[x[0]], x[1]))
-                rows.append([{"kind": k, "start": s, "end": e, "base": f} for k, s, e, f in every])
+            rows = [
+                [{"kind": k, "start": s, "end": e, "base": f} for k, s, e, f in every]
+                for every in _all_spans(model.value, frame["text"].tolist())
+            ]
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "spans": rows})
 
     return id_and_text(docs, id_col, text_col).mapInPandas(
@@ -408,31 +434,47 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
     )
 
 
-def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the text with every span replaced by its kind in angle brackets."""
-    found = find_pii(docs.select(F.col(id_col), F.col(text_col)), id_col, text_col)
-    texts = id_and_text(docs, id_col, text_col)
-    spans = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
-    piece = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at")),
-        lambda acc, s: F.struct(
-            F.when(s["start"] >= acc["at"], F.concat(acc["done"], F.substring("text", acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int")), F.lit("<"), s["kind"], F.lit(">")))
-            .otherwise(acc["done"]).alias("done"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        ),
-        lambda acc: F.concat(acc["done"], F.substring("text", acc["at"].cast("int") + 1, F.length("text"))),
-    )
-    return found.join(texts, "doc_id").select("doc_id", piece.alias("text"))
+def mask(text: str, spans: list[tuple[str, int, int, bool]]) -> str:
+    """The text with every span replaced by its kind in angle brackets; spans that overlap go as one, under the first's kind."""
+    out, at = [], 0
+    for kind, start, end, _ in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if start >= at:
+            out += [text[at:start], f"<{kind}>"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def masked(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: int = TRAIN_SENTENCES, labelled: DataFrame | None = None
+) -> DataFrame:
+    """doc_id and the text with every span of :func:`find_pii` replaced by its kind in angle brackets.
+
+    A text is masked by the task that searches it, so each row gives one row whatever
+    its id: rows without an id and rows that repeat one are masked each. A null text
+    is empty. An empty table gives no rows.
+    """
+    model = _model(docs, sentences, labelled)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts = frame["text"].tolist()
+            clean = [mask(t, spans) for t, spans in zip(texts, _all_spans(model.value, texts), strict=True)]
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "text": clean})
+
+    return id_and_text(docs, id_col, text_col).mapInPandas(run, "doc_id long, text string")
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts of base spans, SHA-256 of the base spans and all spans as one string."""
+    """Counts of base spans, SHA-256 of them, all spans as one string, counts of added spans, and whether there is any."""
     word = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("spans", lambda s: s["base"])
     count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    more = F.filter("spans", lambda s: ~s["base"])
+    added = lambda k: F.size(F.filter(more, lambda s: s["kind"] == k)).cast("long").alias(f"n_added_{k}")
     return found.select(
         "doc_id", *(count(k) for k in BASE),
         F.sha2(F.array_join(F.transform(base, word), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", word), ",").alias("spans"),
+        *(added(k) for k in KINDS),
+        (F.size("spans") > 0).alias("has_pii"),
     )
