@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,8 @@ BINS = {
     "words": (3, 10, 20, 50, 200, 1000),
 }
 META = sum(len(b) + 1 for b in BINS.values())
-META_WEIGHT = 0.6
+#: Weight of a bin beside the trigrams, whose row has length 1 before idf.
+META_WEIGHT = 0.35
 
 
 def terms(texts: list[str]) -> np.ndarray:
@@ -66,6 +68,7 @@ class Voters:
     projection: np.ndarray
     vectors: np.ndarray
     labels: np.ndarray
+    names: np.ndarray  # fingerprint of each voter's text
     prior: float
     class_weight: tuple[float, float]
 
@@ -74,13 +77,15 @@ class Voters:
         return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-12)
 
     def scores(self, texts: list[str]) -> np.ndarray:
+        """Each text's vote; a voter of the same text has none, of voters at one cosine the earlier are nearer."""
         out = np.full(len(texts), self.prior)
         if not len(self.labels):
             return out
         for a in range(0, len(texts), BLOCK):
-            cosine = self.latent(terms(texts[a : a + BLOCK])) @ self.vectors.T
-            k = min(NEIGHBOURS, cosine.shape[1])
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+            part = texts[a : a + BLOCK]
+            cosine = self.latent(terms(part)) @ self.vectors.T
+            cosine[names(part)[:, None] == self.names] = -1
+            near = nearest(cosine, min(NEIGHBOURS, cosine.shape[1]))
             weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** SHARPNESS
             label = self.labels[near]
             weight *= np.where(label == 1, self.class_weight[1], self.class_weight[0])
@@ -90,6 +95,19 @@ class Voters:
         return np.clip(out, 0, 1)
 
 
+def names(texts: list[str]) -> np.ndarray:
+    """A 64-bit fingerprint of each text."""
+    return np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts], np.uint64)
+
+
+def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest numbers of each row, in column order; equal ones fall to the first columns."""
+    least = np.partition(cosine, -k, axis=1)[:, -k, None]
+    above, level = cosine > least, cosine == least
+    chosen = above | (level & (np.cumsum(level, 1) <= k - above.sum(1, keepdims=True)))
+    return np.nonzero(chosen)[1].reshape(len(cosine), k)
+
+
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class: int = MAX_PER_CLASS) -> Voters:
     """Project a bounded labelled sample by a truncated singular value decomposition.
 
@@ -98,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class:
     shares of the whole label table.
     """
     rows = training_rows(docs, labels, target, per_class).toPandas()
-    rows = rows.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    rows = rows.sort_values("doc_id", kind="stable")
     y = rows["y"].to_numpy(np.float64)
     share = (
         labels.filter(F.col(target).isin(0, 1) & ~is_held_out(F.col("doc_id")))
@@ -110,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class:
     idf = (np.log((1 + len(x)) / (1 + df)) + 0.5).astype(np.float32)
     idf[TERMS:] = 1
     if not len(x):
-        return Voters(idf, np.zeros((TERMS + META, 1), np.float32), np.zeros((0, 1), np.float32), y, share, (1, 1))
+        return Voters(idf, np.zeros((TERMS + META, 1), np.float32), np.zeros((0, 1), np.float32), y, names([]), share, (1, 1))
     weighted = x * idf
     rng = np.random.default_rng(11)
     d = min(DIMENSIONS, *weighted.shape)
@@ -120,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", per_class:
     projection = basis @ np.linalg.svd(weighted @ basis, full_matrices=False)[2].T[:, :d]
     ys = y.mean()
     even = (share * (1 - ys) / max(ys * (1 - share), 1e-9)) if 0 < ys < 1 else 1.0
-    made = Voters(idf, projection.astype(np.float32), np.zeros((0, 1), np.float32), y, share, (1.0, float(even)))
+    made = Voters(idf, projection.astype(np.float32), np.zeros((0, 1), np.float32), y, names(rows["text"].tolist()), share, (1.0, float(even)))
     made.vectors = np.concatenate([made.latent(x[a : a + BLOCK]) for a in range(0, len(x), BLOCK)])
     return made
 
@@ -130,8 +148,11 @@ def vote(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
 
     The labelled vectors, 2 * ``per_class`` at most, are broadcast; every document
     meets all of them by exact blocked cosine products. Only the text enters a
-    score. A null text is an empty one; rows without an id and repeated rows are
-    scored each. Without labels the score is 0.5. An empty table gives no rows.
+    score. A voter with the very text of the document has no vote, so no labelled row
+    meets its own label; of voters at one cosine those of smaller doc_id are nearer.
+    A null text is an empty one; rows without an id and repeated rows are
+    scored each. Without labels the score is 0.5. An empty table gives no rows. Of
+    ``docs`` doc_id and text are read, so columns of other names never clash.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, "quality", per_class))
 
