@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW = 5
@@ -18,6 +18,8 @@ DUP_LINE_SHARE = 0.5
 MEAN_WORD = (2.5, 12.0)
 #: A host is distrusted from this shrunken rate of failing documents on.
 HOST_RATE = 0.5
+#: Hosts, of some 60 bytes each, up to which their table is broadcast.
+BROADCAST_HOSTS = 100_000
 
 _SYMBOLS = "#*$%&|<>"
 _WHITE = " \t\n\x0b\x0c\r"
@@ -71,40 +73,40 @@ def measures(text: str) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - white, symbols, dup, repeated_words(words)
 
 
-def _measured(names: list[str]):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [measures(t) for t in frame["text"].fillna("")]
-            out = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
-            out.insert(0, "doc_id", frame["doc_id"].astype("Int64").to_numpy())
-            out.insert(1, "host", frame["host"].to_numpy())
-            out.insert(2, "n_lines", frame["text"].fillna("").str.count("\n").to_numpy() + 1)
-            yield out[names]
+_MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-    return run
 
+def _measured(text: Column) -> Column:
+    """A struct of n_lines and the measures of a text; null is empty."""
 
-def document_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """Measures and rule failures of each row: doc_id, host, counts, base_failed, soft_failed."""
-    names = ["doc_id", "host", "n_lines", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    picked = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.col(f"`{host_col}`").cast("string").alias("host"),
-        F.col(f"`{text_col}`").alias("text"),
-    )
-    counts = picked.mapInPandas(
-        _measured(names), "doc_id long, host string, " + ", ".join(f"{n} long" for n in names[2:])
-    )
+    @F.pandas_udf(", ".join(f"{n} long" for n in ("n_lines", *_MEASURES)))
+    def run(texts: pd.Series) -> pd.DataFrame:
+        texts = texts.fillna("")
+        out = pd.DataFrame([measures(t) for t in texts], columns=_MEASURES)
+        out.insert(0, "n_lines", texts.str.count("\n").to_numpy() + 1)
+        return out.astype("int64")
+
+    return run(text)
+
+
+def _failures() -> list[Column]:
     mean = F.try_divide(F.col("word_chars"), F.col("n_words"))
     soft = (
         (F.col("n_symbols") > SYMBOLS_PER_WORD * F.col("n_words"))
         | (F.col("n_dup_lines") > DUP_LINE_SHARE * F.col("n_lines"))
         | F.coalesce(~mean.between(*MEAN_WORD), F.lit(False))
     )
-    return counts.withColumn(
-        "base_failed",
-        (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")),
-    ).withColumn("soft_failed", soft)
+    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
+    return [base.alias("base_failed"), soft.alias("soft_failed")]
+
+
+def document_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """Measures and rule failures of each row: doc_id, host, counts, base_failed, soft_failed."""
+    return docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{host_col}`").cast("string").alias("host"),
+        _measured(F.col(f"`{text_col}`")).alias("m"),
+    ).select("doc_id", "host", "m.*").select("*", *_failures())
 
 
 def host_verdicts(rules: DataFrame, rate: float = HOST_RATE) -> DataFrame:
@@ -155,21 +157,46 @@ def quality_verdicts(
     line or a repeated run of words): a host's record lowers what is tolerated and
     never condemns a spotless document.
 
-    Nulls: a null text has no words and fails; a row without a host is judged alone.
-    Rows that repeat are judged each. An empty table gives no rows. Hosts are a
-    dimension table that grows with the data, so Spark chooses the join and splits
-    a hot host.
+    Nulls: a null text has no words and fails; a row without a host is judged alone,
+    one without an id like any other.
+    Rows that repeat are judged each. An empty table gives no rows. Only the three
+    named columns are read. Up to BROADCAST_HOSTS hosts meet the documents by
+    broadcast; beyond, Spark chooses the join and splits a hot host.
     """
-    from .common import stored
-
     rules = stored(document_rules(docs, id_col, text_col, host_col), "rules")
-    hosts = host_verdicts(rules, rate)
-    offends = (F.col("n_symbols") > 0) | (F.col("n_dup_lines") > 0) | (F.col("n_repeat_words") > 0)
-    joined = rules.join(hosts, "host", "left")
-    distrusted: Column = F.coalesce("distrusted", F.lit(False))
-    return joined.withColumn(
-        "kept", ~(F.col("base_failed") | F.col("soft_failed") | (distrusted & offends))
-    ).select(
+    judged = _judged(rules, host_verdicts(rules, rate))
+    return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "host", "n_docs", "n_failed", F.round("shrunk_rate", 6).alias("shrunk_rate"), "soft_failed",
     )
+
+
+def _judged(rules: DataFrame, hosts: DataFrame) -> DataFrame:
+    """``rules`` with the figures of each row's host and kept."""
+    hosts = stored(hosts, "hosts")
+    if hosts.count() <= BROADCAST_HOSTS:
+        hosts = F.broadcast(hosts)
+    offends = (F.col("n_symbols") > 0) | (F.col("n_dup_lines") > 0) | (F.col("n_repeat_words") > 0)
+    distrusted = F.coalesce("distrusted", F.lit(False))
+    return rules.join(hosts, "host", "left").withColumn(
+        "kept", ~(F.col("base_failed") | F.col("soft_failed") | (distrusted & offends))
+    )
+
+
+def without_rejected(
+    docs: DataFrame, text_col: str = "text", host_col: str = "source", rate: float = HOST_RATE
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`quality_verdicts` keeps, with all their columns.
+
+    The measures are stored beside each row, so every row is judged by its own text and
+    host whatever its id: rows without an id, and rows that repeat one, are judged each.
+    A null text goes. An empty table gives no rows. Column names that begin
+    with ``__quality`` are not allowed.
+    """
+    rows = docs.select("*", _measured(F.col(f"`{text_col}`")).alias("__quality"))
+    rows = stored(rows, "measured")
+    host = F.col(f"`{host_col}`").cast("string").alias("host")
+    rules = rows.select(host, "__quality.*").select("*", *_failures())
+    whole = rows.select(host, "__quality.*", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__quality_row"))
+    judged = _judged(whole.select("*", *_failures()), host_verdicts(rules, rate))
+    return judged.filter("kept").select("__quality_row.*")
