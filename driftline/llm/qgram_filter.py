@@ -7,16 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import id_and_text, stored
 from .textarrays import FOLD, batches
 
 Q = 8
 ERROR_RATIO = 0.06
 #: Items that one broadcast block holds; a larger benchmark is searched block by block.
 BLOCK_ITEMS = 20_000
+#: Places of one q-gram in a block of items beyond which items do without it where they can.
+COMMON = 64
 _BATCH_BYTES = 1 << 20
 _BITS = 20
 _SCATTER = np.uint64(0x9E3779B97F4A7C15)
@@ -75,6 +77,13 @@ def build_index(items: list[tuple[int, str]], ratio: float = ERROR_RATIO, q: int
     every = np.concatenate([*per, np.empty(0, np.uint64)])
     item_of = np.repeat(np.arange(len(texts)), [len(p) for p in per]).astype(np.int64)
     place = np.concatenate([*(np.arange(len(p)) for p in per), np.empty(0, int)]).astype(np.int64)
+    # an item does without its common q-grams, and asks for as many fewer, if it then asks for one at least
+    _, same, times = np.unique(every, return_inverse=True, return_counts=True)
+    common = times[same] > COMMON
+    n_common = np.bincount(item_of[common], minlength=len(texts))
+    least = np.where(least - n_common >= 1, least - n_common, least)
+    left = ~(common & (least < m - q + 1 - q * k)[item_of])
+    every, item_of, place = every[left], item_of[left], place[left]
     order = np.argsort(every, kind="stable")
     gram, first = np.unique(every[order], return_index=True)
     present = np.zeros(1 << _BITS, bool)
@@ -180,21 +189,63 @@ def search(ix: Index, texts: list[bytes], q: int = Q) -> Iterator[tuple[int, int
         yield d, i, edits, a, b
 
 
-def _search_block(ix, q: int):
+class Block:
+    """Some items of the benchmark; each worker builds its own index of them, once."""
+
+    def __init__(self, items: list[tuple[int, str]], ratio: float, q: int) -> None:
+        self.items, self.ratio, self.q = items, ratio, q
+        self._index: Index | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_index": None}
+
+    @property
+    def index(self) -> Index:
+        if self._index is None:
+            self._index = build_index(self.items, self.ratio, self.q)
+        return self._index
+
+    def found(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(text, item's id, edits, start, end) of every match."""
+        folded = [fold(t) for t in texts]
+        for part in batches(folded, _BATCH_BYTES):
+            for d, i, *rest in search(self.index, folded[part], self.q):
+                yield part.start + d, self.index.ids[i], *rest
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, ratio: float, q: int, block_items: int) -> Iterator:
+    """Broadcast blocks of the items, about ``block_items`` in each; the driver holds the raw texts of one at a time."""
+    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), F.col(f"`{text_col}`").alias("text"))
+    items = items.filter("item_id is not null and text is not null")
+    blocks = max(1, -(-items.count() // block_items))
+    for part in range(blocks):
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == part) if blocks > 1 else items
+        block = Block([(r["item_id"], r["text"]) for r in rows.toLocalIterator()], ratio, q)
+        yield benchmark.sparkSession.sparkContext.broadcast(block), part == blocks - 1
+
+
+def _search_block(block):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = ix.value
         for frame in frames:
-            texts = [fold(t) for t in frame["text"]]
             ids = frame["doc_id"].tolist()
-            rows = []
-            for part in batches(texts, _BATCH_BYTES):
-                for d, i, edits, a, b in search(index, texts[part], q):
-                    rows.append((ids[part.start + d], index.ids[i], edits, a, b))
+            rows = [(ids[d], *rest) for d, *rest in block.value.found(frame["text"].tolist())]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "start", "end"]).astype({"doc_id": "Int64"})
 
     return run
 
 
+def _holds(block, text: Column) -> Column:
+    """Whether a text holds an item of the block."""
+
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        hit = np.zeros(len(texts), bool)
+        hit[[d for d, *_ in block.value.found(texts.fillna("").tolist())]] = True
+        return pd.Series(hit)
+
+    return run(text)
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -213,25 +264,46 @@ def contaminated(
     lemma would ask for no shared q-gram; none for items shorter than q). The row has
     the fewest edits and where that part lies in the folded text, in bytes.
 
-    The benchmark is read in blocks of about ``block_items`` items, dealt by a hash,
-    so what is broadcast is bounded whatever its size, and every document meets every
-    block. Nulls: null or empty texts on either side match nothing, an item
+    The benchmark is read in blocks of about ``block_items`` items, dealt by a hash.
+    A block's raw texts are broadcast, so what is broadcast is bounded whatever the
+    benchmark's size, and each worker builds the index. Every document meets every
+    block, one pass for each. A q-gram that a block holds very often is left out
+    for the items that can do without it.
+    Nulls: null or empty texts on either side match nothing, an item
     without an id is left out, a document without one is searched and reported with a
-    null id. Items that repeat an id are each searched. Empty tables give no rows.
+    null id. Items that repeat an id are each searched, rows that repeat are reported each. A
+    long text is searched whole. Empty tables give no rows. Only the named columns are read.
     """
-    spark = docs.sparkSession
     base = id_and_text(docs, id_col, text_col)
-    items = benchmark.select(
-        F.col(f"`{item_id_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").alias("text")
-    ).filter("item_id is not null and text is not null")
-    blocks = max(1, -(-items.count() // block_items))
     found = None
-    for part in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == part) if blocks > 1 else items
-        index = build_index([(r["item_id"], r["text"]) for r in rows.toLocalIterator()], error_ratio, q)
-        one = base.mapInPandas(
-            _search_block(spark.sparkContext.broadcast(index), q),
-            "doc_id long, item_id long, edits long, start long, end long",
-        )
+    for block, last in _blocks(benchmark, item_id_col, item_text_col, error_ratio, q, block_items):
+        one = base.mapInPandas(_search_block(block), "doc_id long, item_id long, edits long, start long, end long")
+        if not last:
+            one = stored(one, "leaks")
+            block.unpersist()
         found = one if found is None else found.unionByName(one)
     return found
+
+
+def without_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    error_ratio: float = ERROR_RATIO,
+    q: int = Q,
+    block_items: int = BLOCK_ITEMS,
+) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item occurs, with all their columns.
+
+    Each row is judged by its own text whatever its id, so rows without an id and rows
+    that repeat one are judged each. Null and empty texts stay. Empty tables: no rows,
+    or all of them.
+    """
+    for block, last in _blocks(benchmark, item_id_col, item_text_col, error_ratio, q, block_items):
+        docs = docs.filter(~_holds(block, F.col(f"`{text_col}`")))
+        if not last:
+            docs = stored(docs, "clean")
+            block.unpersist()
+    return docs
