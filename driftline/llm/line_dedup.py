@@ -258,8 +258,6 @@ def without_repeated_lines(
         "left",
     )
     untouched = F.col(f"`{id_col}`").isNull() | text.isNull() | ~text.rlike(r"[^ \t\n\x0B\f\r]")
-    return (
-        joined.filter(untouched | F.col("__line_id").isNotNull())
-        .withColumn(text_col, F.when(untouched, text).otherwise(left))
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
-    )
+    new = F.when(untouched, text).otherwise(left)
+    kept_rows = joined.filter(untouched | F.col("__line_id").isNotNull()).withColumn("__line_left", new)
+    return kept_rows.select(*(F.col("__line_left").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))

@@ -283,9 +283,20 @@ def test_chain_learns_and_adds_only_what_it_should(spark):
     assert [k for k, _, _ in found[1]] == ["phone"]
     assert found[2] == found[3] == found[4] == []
     out = crf_pii.masked(frame(spark, texts + [None])).orderBy("doc_id").collect()
+    rows = spark.createDataFrame([(1, "x a@b.cd"), (1, "y"), (None, "z 1.2.3.4"), (None, "z 1.2.3.4")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.text) for r in crf_pii.masked(rows).collect()) == [(0, "z <ip>"), (0, "z <ip>"), (1, "x <email>"), (1, "y")]
+    assert len(crf_pii.digest(crf_pii.find_pii(rows)).collect()) == 4
     assert out[0].text == 'so token = "<secret>"### it goes' and out[2].text == texts[2] and out[5].text == ""
 
 
+def test_a_labelled_table_can_be_given(spark):
+    rows = [(w, [crf_pii.LABELS[k] for k in y]) for w, y in crf_pii.labelled_table(200)]
+    labelled = spark.createDataFrame(rows, "tokens array<string>, labels array<string>")
+    docs = frame(spark, ["call (743) 555-3824 now", None])
+    got = {r.doc_id: r for r in crf_pii.digest(crf_pii.find_pii(docs, labelled=labelled)).collect()}
+    assert (got[0].n_added_phone, got[0].has_pii, got[1].has_pii) == (1, True, False)
+
+
 def test_neighbouring_numbers_are_told_apart():
     def spans(text, kind="phone"):
         tokens = [m.span() for m in re.finditer(r"\S+", text)]
@@ -445,11 +456,12 @@ def brute_edits(item, text):
     return int(prev.min())
 
 
-def test_leaks_equal_full_alignment(spark):
+def test_leaks_equal_full_alignment(spark, monkeypatch):
     r = np.random.default_rng(6)
     letters = list("abcdefgh ")
     word = lambda n: "".join(r.choice(letters, n))
-    items = [(i, word(int(r.integers(30, 140)))) for i in range(12)] + [(90, "tiny"), (91, None), (92, "  "), (None, "zz" * 20)]
+    same = word(20)  # q-grams that every second item begins with
+    items = [(i, same * (i % 2) + word(int(r.integers(30, 140)))) for i in range(12)] + [(90, "tiny"), (91, None), (92, "  "), (None, "zz" * 20)]
 
     def damaged(s, k):
         s = list(s)
@@ -481,6 +493,10 @@ def test_leaks_equal_full_alignment(spark):
     for x in got:
         part = qgram_filter.fold(texts[x.doc_id])[x.start : x.end]
         assert brute_edits(qgram_filter.fold(dict(items)[x.item_id]), part) == x.edits
+    for common in (0, 3):  # q-grams that many items share are done without
+        monkeypatch.setattr(qgram_filter, "COMMON", common)
+        block = qgram_filter.Block([(i, s) for i, s in items if i is not None], qgram_filter.ERROR_RATIO, qgram_filter.Q)
+        assert {x[:3] for x in block.found([t or "" for t in texts])} == want
     none = spark.createDataFrame([], "item_id long, text string")
     assert qgram_filter.contaminated(frame(spark, texts), none).count() == 0
     assert qgram_filter.contaminated(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
@@ -528,6 +544,35 @@ def test_quotes_wrapped_anew_or_in_part_find_their_source(spark):
     assert got == {0: (None, 0, 0), 1: (0, 4, 4), 2: (None, 0, 0), 3: (0, 1, 1), 4: (2, 1, 1), 2000: (4, 3, 3), 3000: (0, 2, 2)}
 
 
+def test_nested_quotes_equal_the_sql(spark, tmp_path):
+    import duckdb
+
+    from driftline.llm.oracles import QUOTATIONS
+
+    r, rows = np.random.default_rng(12), []
+    for conv in range(6):
+        said = []
+        for turn in range(14):
+            lines = [f"{prose(conv * 100 + turn * 3 + k, 9, 5000)}" for k in range(2)]
+            text, quoted = list(lines), []
+            if turn and r.random() < 0.8:
+                up = int(r.integers(turn))
+                quoted = [f"> {x}" for x in said[up][0]] + [f"> {x}" for x in said[up][1]]
+                text = ["They wrote:"] * int(r.random() < 0.5) + [f"> {said[up][0][0]}", *(f">{x}" for x in said[up][1])] + text
+            said.append((lines, [f"> {lines_}" for lines_ in (said[up][0][:1] if quoted else [])]))
+            rows.append((conv, turn, "user", "\n".join(text)))
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    db = duckdb.connect()
+    db.execute(f"create view conversations as from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = db.execute(QUOTATIONS).fetchdf()
+    got = quotation_links.link_quotes(df).toPandas()[list(want.columns)]
+    key = ["conv_id", "turn"]
+    a, b = got.sort_values(key).astype(str).values.tolist(), want.sort_values(key).astype(str).values.tolist()
+    clean = lambda rows_: [[x.replace(".0", "").replace("<NA>", "nan").replace("None", "nan") for x in row] for row in rows_]
+    assert clean(a) == clean(b) and (want["n_linked"] > 0).sum() > 30 and (want["depth"] > 1).any()
+
+
 def test_long_reply_chain(spark):
     rows = [(1, i, "u", f"> line {i - 1} is here\nline {i} is here") for i in range(40)]
     got = quotation_links.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
@@ -578,6 +623,44 @@ def test_thresholds_are_set_on_rows_that_the_net_was_not_fitted_on(spark, monkey
     assert 0 < max(seen) < 0.3 * rows
 
 
+def test_convnet_equals_a_plain_loop():
+    texts = [prose(i, 25, 60) + (" awful thing" if i % 3 == 0 else "") for i in range(150)] + ["", "one"]
+    net, _ = convnet.train(texts, [int(i % 3 == 0) for i in range(152)], epochs=2)
+    folded = [convnet.fold(t) for t in texts]
+    got = net.logits(*convnet.pieces(folded))
+    for t, z in zip(folded, got):
+        rows = net.rows(convnet.pieces([t])[0])
+        x = [net.embedding[r].sum(0) for r in rows] or [np.zeros(convnet.DIM)]
+        want = net.bias
+        for q, (k, b) in enumerate(zip(net.kernels, net.biases)):
+            for f in range(convnet.FILTERS):
+                best = max(b[f] + sum(x[i + j] @ k[j][:, f] for j in range(len(k)) if i + j < len(x)) for i in range(len(x)))
+                want += max(best, 0) * net.out[q * convnet.FILTERS + f]
+        assert abs(z - want) < 1e-3
+
+
+def test_votes_equal_a_dense_sort(spark):
+    texts = [prose(i, 40) + (" ###" * (i % 2) * 6) for i in range(60)] + [prose(3, 40) + " ###" * 6] * 3
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = neighbour_vote.fit(frame(spark, texts), labels)
+    got = model.scores(texts)
+    for t, s in zip(texts, got):
+        v = model.latent(neighbour_vote.terms([t]))[0]
+        near = [(-float(v @ w), i) for i, w in enumerate(model.vectors) if model.names[i] != neighbour_vote.names([t])[0]]
+        chosen = [(max(-c, 0) ** neighbour_vote.SHARPNESS * model.class_weight[int(model.labels[i])], model.labels[i]) for c, i in sorted(near)[: neighbour_vote.NEIGHBOURS]]
+        assert abs(s - sum(w * y for w, y in chosen) / sum(w for w, _ in chosen)) < 1e-3
+    ties = np.array([[0.5, 0.9, 0.5, 0.5, 0.1], [0.2] * 5])
+    assert neighbour_vote.nearest(ties, 3).tolist() == [[0, 1, 2], [0, 1, 2]]
+
+
+def test_repeated_labels_and_rows_reach_the_driver_once(spark):
+    docs = spark.createDataFrame([(1, f"t{i % 3}", "en", "h", 1) for i in range(50)] + [(None, "x", None, "h", 1)], SCHEMA)
+    labels = spark.createDataFrame([(1, 1, 1), (1, 0, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = convnet.training_rows(docs, labels, "toxic", 10, with_lang=True).collect()
+    assert [(r.doc_id, r.text, r.y) for r in rows] == [(1, "t0", 0)]
+    assert convnet.toxicity(docs, labels).count() == neighbour_vote.vote(docs, labels).count() == 51
+
+
 def test_classifiers_take_odd_and_empty_tables(spark):
     docs = frame(spark, ODD)
     labels = spark.createDataFrame([(i, i % 2, (i // 2) % 2) for i in range(len(ODD))] + [(None, 1, None)], "doc_id long, quality int, toxic int")
