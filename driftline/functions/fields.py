@@ -74,8 +74,13 @@ def file_parts(name: Column) -> tuple[Column, Column, Column]:
 
 
 def depth_of_altitude(z: Column) -> Column:
-    """Depth below the surface; a positive altitude is refused by :mod:`driftline.operators.checks`."""
-    return F.when(z <= 0, -z)
+    """Depth below the surface; a positive altitude is refused."""
+    return refused(z > 0, "a positive altitude", -z, "double")
+
+
+def refused(bad: Column, what: str, value: Column, kind: str) -> Column:
+    """``value``, or an error where ``bad`` holds."""
+    return F.when(bad, F.raise_error(F.lit(f"refused: {what}")).cast(kind)).otherwise(value)
 
 
 def canopy_missing(value: Column, observed_cells: Column) -> Column:

@@ -53,8 +53,9 @@ def fisher_z(r: Column, n_eff: Column) -> Column:
 
 
 def lower_bound(r: Column, n_eff: Column) -> Column:
-    """Lower end of the 95 % interval of the size of r, not below 0."""
-    return F.tanh(F.greatest(F.abs(F.atanh(r)) - 1.96 / _fisher_room(n_eff), F.lit(0.0)))
+    """Lower end of the 95 % interval of the size of r, not below 0; null where n_eff is 3 at most."""
+    low = F.abs(F.atanh(r)) - 1.96 / _fisher_room(n_eff)
+    return F.when(low.isNotNull(), F.tanh(F.greatest(low, F.lit(0.0))))
 
 
 def adjusted_skew(x: Column) -> Column:

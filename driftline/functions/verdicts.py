@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 PASS, NOT_EVALUATED, SUSPECT, FAIL, MISSING = 1, 2, 3, 4, 9
 STATUS = {"pass": PASS, "suspect": SUSPECT, "fail": FAIL, "missing": MISSING}
 #: Tests in the order they are written; others follow by name.
-ORDER = ("gross_range", "spike", "rate_of_change")
+ORDER = ("deployment_window", "gross_range", "spike", "rate_of_change")
 
 
 def parse(packed: Column) -> Column:
@@ -63,5 +63,8 @@ def usable(df: DataFrame, most: int = NOT_EVALUATED) -> DataFrame:
 
 
 def source_code_status(code: Column) -> Column:
-    """Status of an archive's flag code: 0 pass, 1 to 4 suspect, 5 fail, else null."""
-    return F.when(code == 0, "pass").when(code.between(1, 4), "suspect").when(code == 5, "fail")
+    """Status of an archive's flag code: 0 pass, 1 to 4 suspect, 5 fail; null has none, another code is refused."""
+    return (
+        F.when(code == 0, "pass").when(code.between(1, 4), "suspect").when(code == 5, "fail")
+        .when(code.isNotNull(), F.raise_error(F.concat(F.lit("unknown flag code "), code.cast("string"))))
+    )

@@ -41,6 +41,57 @@ def canopy_counts(landed: DataFrame, cell_area: float = 900.0) -> DataFrame:
     )
 
 
+def shore_pins(headers: DataFrame, pins: DataFrame, tolerance: float = 0.0005) -> DataFrame:
+    """Check rows of shore archives against the registry, in order: position, legend, depths, archive date.
+
+    ``headers`` is what the preamble says (file, latitude, longitude, surface_m, bottom_m,
+    archive_date, legend); ``pins`` what is registered for a file (file, site_lat,
+    site_lon, site_surface_m, site_bottom_m, site_archive_date, site_legend). A file without
+    a pin fails every check. An archive newer than its pin warns, since it asks for a
+    new look at the rest.
+    """
+    j = headers.join(pins, "file", "left")
+    entries = lambda m: F.array_sort(F.map_entries(m))
+    near = position_matches(F.col("latitude"), F.col("longitude"), F.col("site_lat"), F.col("site_lon"), tolerance)
+    depths = (F.col("surface_m") == F.col("site_surface_m")) & (F.col("bottom_m") == F.col("site_bottom_m"))
+    known = lambda c: F.coalesce(c, F.lit(False))
+    date, pin = F.col("archive_date"), F.col("site_archive_date")
+    rows = [
+        j.select(*check_row("position", known(near), F.concat_ws(",", "latitude", "longitude"))),
+        j.select(*check_row("legend", known(entries(F.col("legend")) == entries(F.col("site_legend"))), F.array_join(F.map_keys("legend"), ","))),
+        j.select(*check_row("depths", known(depths), F.concat_ws(",", "surface_m", "bottom_m"))),
+        j.select("file", F.lit("archive date").alias("check"), F.when(date == pin, "pass").when(date > pin, "warn").otherwise("fail").alias("status"), date.cast("string").alias("detail")),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+#: The order in which a shore archive's and a logger file's checks decide.
+SHORE_ORDER = ["position", "legend", "depths", "archive date"]
+LOGGER_ORDER = ["edited", "serial", "events", "cadence", "statistics", "time zone"]
+
+
+def logger_checks(rows: DataFrame, extra_columns: DataFrame, files: DataFrame, events: DataFrame, reported: DataFrame, spans: DataFrame, offsets: dict[str, float]) -> DataFrame:
+    """All check rows of logger files, in LOGGER_ORDER: signs of editing, serial, events, cadence, reported statistics, zone."""
+    edited = edited_file(rows, extra_columns).select(*check_row("edited", F.size("signs") == 0, F.array_join("signs", ",")))
+    cadence = cadence_audit(rows.join(events.select("file", "interval_s"), "file"))
+    paced = cadence.select(*check_row("cadence", F.col("n_off") == 0, F.col("n_off"), "warn"))
+    out = edited
+    for more in (serials(files), events_check(rows, events), paced, statistics_check(rows, reported), zone_check(spans, offsets)):
+        out = out.unionByName(more)
+    return out
+
+
+def first_flagged(rows: DataFrame, code: int = 5, k: int = 5) -> DataFrame:
+    """The first k days on which each series of a file has a reading of a source flag, and how many have one."""
+    hit = rows.filter((F.col("flag") == code) & F.col("value").isNotNull())
+    days = hit.select("file", "series", F.to_date("timestamp").alias("day")).distinct()
+    ranked = days.withColumn("rn", F.row_number().over(W.partitionBy("file", "series").orderBy("day")))
+    return ranked.groupBy("file", "series").agg(F.count("*").alias("n_days"), F.array_sort(F.collect_list(F.when(F.col("rn") <= k, F.col("day")))).alias("first_days"))
+
+
 def units(headers: DataFrame, expected: dict[str, str]) -> DataFrame:
     """Columns whose declared unit is not the expected one; ``headers`` has file, column, unit."""
     table = F.create_map(*[F.lit(x) for kv in expected.items() for x in kv])

@@ -43,12 +43,11 @@ def gate() -> Column:
 
 def attrition(comparison: DataFrame) -> DataFrame:
     """Nested counts of the gate's steps and of what lags reach, in one pass."""
-    response, env = F.col("canopy_usable"), F.coalesce("env_usable", F.lit(False))
-    has = F.col("canopy_anom").isNotNull()
+    response, present, env = F.col("canopy_usable"), F.col("env_usable").isNotNull(), F.coalesce("env_usable", F.lit(False))
     return comparison.agg(
-        F.count("*").alias("n_rows"), F.count_if(response).alias("n_response_usable"), F.count_if(response & has).alias("n_response_anomaly"),
-        F.count_if(response & has & F.col("env_usable").isNotNull()).alias("n_predictor_present"), F.count_if(gate()).alias("n_gated"),
-        F.count_if(gate() & (F.col("lag") == 0)).alias("n_gated_lag0"),
+        F.count("*").alias("n_rows"), F.count_if(response).alias("n_response_usable"), F.count_if(response & present).alias("n_predictor_present"),
+        F.count_if(response & env).alias("n_predictor_usable"), F.count_if(gate()).alias("n_gated"),
+        F.count_if(response & ~present).alias("n_predictor_missing"), F.count_if(gate() & (F.col("lag") == 0)).alias("n_gated_lag0"),
         F.count_distinct(F.when(gate(), F.struct("polygon_id", "year", "quarter"))).alias("n_quarters_reached"),
     )
 

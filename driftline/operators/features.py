@@ -26,7 +26,7 @@ def build_quarterly(obs: DataFrame, features: dict, floor: float, now: str, most
         .withColumn("keep", (F.col("qc_flag") <= most) & F.col("value").isNotNull())
         .withColumn("w_start", start).withColumn("w_end", calendar.quarter_end(start))
     )
-    out = reduce_windows(rows, QUARTER, features, floor)
+    out = reduce_windows(rows, QUARTER, features, floor, most=most)
     sets = F.lit(None).cast("string")
     for p, t in features.items():
         sets = F.when(F.col("parameter") == p, F.lit("thresholds" if t else "statistics")).otherwise(sets)
@@ -116,6 +116,35 @@ def build_canopy(landed: DataFrame, floor: float, now: str, baseline: dict) -> t
     return with_anomalies(q, clim, ["area_m2"], ["polygon_id"], baseline, "polygon_id"), clim
 
 
+def quarterly_report(quarterly: DataFrame) -> DataFrame:
+    """Quarters, usable ones, rows, first and last quarter of each built series."""
+    label = calendar.quarter_label(F.col("year"), F.col("quarter"))
+    return quarterly.groupBy(*SERIES, "feature_set").agg(
+        F.sum("n_obs").alias("n_rows"), F.count("*").alias("n_quarters"), F.count_if("usable").alias("n_usable"),
+        F.min(label).alias("first_quarter"), F.max(label).alias("last_quarter"),
+    )
+
+
+def union_builds(builds: list[DataFrame]) -> DataFrame:
+    """The builds of several sources as one table; empty ones are ignored while another is not."""
+    full = [b for b in builds if not b.isEmpty()] or builds[:1]
+    out = full[0]
+    for b in full[1:]:
+        out = out.unionByName(b)
+    return out
+
+
+def of_series(obs: DataFrame, deployments: DataFrame) -> DataFrame:
+    """The observations of whole series that some deployment is on, so that tests run over those only."""
+    d = deployments.select("site_id", "parameter", "depth_m").distinct()
+    return null_safe_join(obs, d, ["site_id", "parameter", "depth_m"], "left_semi")
+
+
+def deployment_attrition(deployment: DataFrame) -> DataFrame:
+    """Deployments with rows, of them complete ones, and usable ones."""
+    return deployment.agg(F.count("*").alias("n_with_rows"), F.count_if("deployment_complete").alias("n_complete"), F.count_if("usable").alias("n_usable"))
+
+
 def canopy_report(canopy: DataFrame) -> DataFrame:
     """Rows, usable, observed, blind and thin quarters, first and last quarter of each polygon."""
     label = calendar.quarter_label(F.col("year"), F.col("quarter"))
@@ -156,7 +185,7 @@ def deployment_rows(obs: DataFrame, deployments: DataFrame, most: int = 2) -> Da
 
 def build_deployment(obs: DataFrame, deployments: DataFrame, features: dict, floor: float, now: str, most: int = 2) -> DataFrame:
     """Features over each deployment's own closed window; a deployment without a kept row has none."""
-    out = reduce_windows(deployment_rows(obs, deployments, most), DEPLOYMENT, features, floor, closed=True)
+    out = reduce_windows(deployment_rows(obs, deployments, most), DEPLOYMENT, features, floor, closed=True, most=most)
     return out.filter("n_obs > 0").withColumn("deployment_complete", calendar.is_complete(F.col("w_end"), now))
 
 
@@ -179,7 +208,7 @@ def build_sub_windows(obs: DataFrame, deployments: DataFrame, features: dict, fl
         .withColumn("partial", (F.col("d0") > begin) | (F.col("d1") < end)).withColumn("is_last", F.col("d1") < end)
     )
     keys = [*DEPLOYMENT, grain, "partial", "is_last"]
-    out = reduce_windows(spans, keys, features, floor, day_based=False, cadence="cad")
+    out = reduce_windows(spans, keys, features, floor, day_based=False, cadence="cad", most=most)
     more = F.col("expected_obs") + F.when(F.col("is_last"), 1).otherwise(0)
     share = F.coalesce(F.least(F.try_divide("n_obs", "expected_obs"), F.lit(1.0)), F.lit(0.0))
     return (

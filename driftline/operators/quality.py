@@ -51,11 +51,12 @@ def evaluate(obs: DataFrame, parameters: dict) -> DataFrame:
     changes nothing. Rows of unknown parameters are left as they are.
     """
     s = W.partitionBy(*SERIES).orderBy("timestamp", "fetch_run_id")
-    whole = W.partitionBy(*SERIES)
     v = F.col("value")
     before, after = F.lag("value").over(s), F.lead("value").over(s)
     dt = calendar.seconds(F.col("timestamp"), F.lag("timestamp").over(s))
-    rows = F.count("*").over(whole)
+    near = lambda k: (F.lag(F.lit(1), k) if k > 0 else F.lead(F.lit(1), -k)).over(s).isNotNull()
+    alone = ~near(1) & ~near(-1)  # a series of one row
+    two = (near(1) != near(-1)) & ~near(2) & ~near(-2)
     lim = {
         k: _limit(parameters, f)
         for k, f in {
@@ -67,12 +68,12 @@ def evaluate(obs: DataFrame, parameters: dict) -> DataFrame:
     }
     off = F.abs(v - (before + after) / 2)
     spike = (
-        F.when(lim["sp"].isNull() | (rows < 3), None).when(v.isNull(), "missing").when(off.isNull(), None)
+        F.when(lim["sp"].isNull() | alone | two, None).when(v.isNull(), "missing").when(off.isNull(), None)
         .when(off > lim["spf"], "fail").when(off > lim["sp"], "suspect").otherwise("pass")
     )
     rate = F.abs(F.try_divide(v - before, dt)) * 3600
     change = (
-        F.when(lim["ra"].isNull() | (rows < 2), None).when(v.isNull(), "missing").when(before.isNull(), None)
+        F.when(lim["ra"].isNull() | alone, None).when(v.isNull(), "missing").when(before.isNull(), None)
         .when(rate > lim["raf"], "fail").when(rate > lim["ra"], "suspect").otherwise("pass")
     )
     tests = {

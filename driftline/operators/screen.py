@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, stats
+from driftline.functions.fields import refused
 from driftline.functions.stats import null_safe_join
 from driftline.operators.comparison import gate
 from driftline.operators.quality import SERIES
@@ -65,15 +66,17 @@ def screen(cells: DataFrame, least: int = MIN_PAIRS) -> DataFrame:
     """n, n_eff, discounted, r and rho of each cell with at least ``least`` pairs.
 
     Ranks, neighbours and sums come from one shuffle by cell. r and rho are rounded to
-    three places and n_eff to one, and everything after reads the rounded figures.
+    three places and n_eff to one, and everything after reads the rounded figures. A
+    cell in which a quarter occurs twice is refused.
     """
     w = W.partitionBy(*CELL).orderBy("q")
     ranked = (
         cells.withColumn("x_rank", stats.average_rank("x", *CELL)).withColumn("y_rank", stats.average_rank("y", *CELL))
         .withColumn("q_before", F.lag("q").over(w)).withColumn("x_before", F.lag("x").over(w)).withColumn("y_before", F.lag("y").over(w))
     )
+    twice = F.bool_or(F.coalesce(F.col("q") == F.col("q_before"), F.lit(False)))
     out = ranked.groupBy(*CELL).agg(
-        F.count("*").alias("n"), stats.pearson(F.col("x"), F.col("y")).alias("r"), stats.pearson(F.col("x_rank"), F.col("y_rank")).alias("rho"),
+        refused(twice, "a cell with a repeated quarter", F.count("*"), "long").alias("n"), stats.pearson(F.col("x"), F.col("y")).alias("r"), stats.pearson(F.col("x_rank"), F.col("y_rank")).alias("rho"),
         _lag1("x").alias("r1x"), _lag1("y").alias("r1y"),
     ).filter(F.col("n") >= least)
     return out.select(
@@ -83,11 +86,11 @@ def screen(cells: DataFrame, least: int = MIN_PAIRS) -> DataFrame:
 
 
 def with_roles(cells: DataFrame, roles: dict[str, str]) -> DataFrame:
-    """The role of each cell's parameter; null where none is declared (a screen refuses those)."""
+    """The role of each cell's parameter; one without a declared role is refused."""
     role = F.lit(None).cast("string")
     for p, r in roles.items():
         role = F.when(F.col("parameter") == p, F.lit(r)).otherwise(role)
-    return cells.withColumn("role", role)
+    return cells.withColumn("role", refused(role.isNull(), "a parameter without a role", role, "string"))
 
 
 def with_scales(cells: DataFrame) -> DataFrame:
@@ -143,21 +146,86 @@ def list_change(before: DataFrame, after: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("change", F.lit("drops out")).unionByName(b.exceptAll(a).withColumn("change", F.lit("enters")))
 
 
-def scale_ranks(cells: DataFrame) -> DataFrame:
-    """Place of each cell by each scale, ties at their mean place, cut to whole numbers."""
-    out = with_scales(cells).withColumn("abs_r", F.abs(F.col("r")))
-    for c in ("abs_r", "z", "bound"):
+SCALES = ("abs_r", "z", "bound")
+
+
+def scaled(signals_: DataFrame) -> DataFrame:
+    """Signals with the size of r and its two standardised scales."""
+    return with_scales(signals_).withColumn("abs_r", F.abs(F.col("r")))
+
+
+def scale_ranks(signals_: DataFrame, role: str = "role") -> DataFrame:
+    """Place of each signal of a role by each scale, ties at their mean place, cut to whole numbers.
+
+    Signals are a pool of some hundreds (polygon x feature x lag); a role's are ranked together.
+    """
+    out = scaled(signals_)
+    for c in SCALES:
         out = out.withColumn(f"__{c}", -F.col(c))
-        out = out.withColumn(f"{c}_rank", stats.average_rank(f"__{c}").cast("int")).drop(f"__{c}")
+        out = out.withColumn(f"{c}_rank", stats.average_rank(f"__{c}", role).cast("int")).drop(f"__{c}")
     return out
 
 
-def scale_comparison(cells: DataFrame) -> DataFrame:
-    """Spearman's rho of each scale with n_eff."""
-    s = with_scales(cells).withColumn("abs_r", F.abs(F.col("r")))
-    long = s.select("n_eff", "abs_r", "z", "bound").unpivot(["n_eff"], ["abs_r", "z", "bound"], "scale", "v").filter("v is not null")
+def scale_leaders(ranked: DataFrame, k: int = 3) -> DataFrame:
+    """The k signals of each role with the smallest place on each scale; equal places fall to the signal."""
+    long = ranked.select("role", *SIGNAL, "r", "n_eff", *(F.col(f"{c}_rank").alias(c) for c in SCALES)).unpivot(["role", *SIGNAL, "r", "n_eff"], list(SCALES), "scale", "place")
+    w = W.partitionBy("role", "scale").orderBy(F.col("place").asc_nulls_last(), *SIGNAL)
+    return long.withColumn("nth", F.row_number().over(w)).filter(F.col("nth") <= k)
+
+
+def scale_comparison(signals_: DataFrame) -> DataFrame:
+    """Spearman's rho of each scale with n_eff over a pool of signals."""
+    s = scaled(signals_)
+    long = s.select("n_eff", *SCALES).unpivot(["n_eff"], list(SCALES), "scale", "v").filter("v is not null")
     ranked = long.withColumn("rv", stats.average_rank("v", "scale")).withColumn("rn", stats.average_rank("n_eff", "scale"))
-    return ranked.groupBy("scale").agg(F.count("*").alias("n_cells"), F.round(stats.pearson(F.col("rv"), F.col("rn")), 6).alias("rho_n_eff"), F.max("v").alias("largest"))
+    return ranked.groupBy("scale").agg(F.count("*").alias("n_signals"), F.round(stats.pearson(F.col("rv"), F.col("rn")), 6).alias("rho_n_eff"), F.max("v").alias("largest"))
+
+
+def scale_pools(signals_: DataFrame, k: int = 3) -> DataFrame:
+    """By role and scale: signals, largest n_eff and value, and how many reach the weakest registered signal.
+
+    Registered are the k predictors of largest size of r; ``signals_`` has role.
+    """
+    s = scaled(signals_)
+    top = s.filter("role = 'predictor'").orderBy(F.col("abs_r").desc(), *(F.col(c).asc_nulls_last() for c in CELL)).limit(k)
+    weakest = top.select(*SCALES).unpivot([], list(SCALES), "scale", "v").groupBy("scale").agg(F.min("v").alias("weakest"))
+    long = s.select("role", "n_eff", *SCALES).unpivot(["role", "n_eff"], list(SCALES), "scale", "v")
+    return long.join(F.broadcast(weakest), "scale").groupBy("role", "scale").agg(  # three rows
+        F.count("*").alias("n_signals"), F.max("n_eff").alias("max_n_eff"), F.max("v").alias("largest"),
+        F.max("weakest").alias("weakest"), F.count_if(F.col("v") >= F.col("weakest")).alias("n_reaching"),
+    )
+
+
+def role_verdict(cells: DataFrame) -> DataFrame:
+    """The largest size of r of either role and how the controls compare with the predictors."""
+    a = F.abs(F.col("r"))
+    best = cells.agg(F.max(F.when(F.col("role") == "predictor", a)).alias("predictor"), F.max(F.when(F.col("role") == "control", a)).alias("control"))
+    more = F.col("control") - F.col("predictor")
+    verdict = F.when(more.isNull(), "not comparable").when(F.abs(more) < 0.05, "as strongly as").when(more > 0, "more strongly than").otherwise("less strongly than")
+    return best.withColumn("verdict", verdict)
+
+
+def ladder_changes(cells: DataFrame, ceilings=(0.03, 0.05, 0.10, float("inf")), base: float = 0.05, k: int = 3) -> DataFrame:
+    """Signals that drop out of the k strongest or enter them under each ceiling of the rank gap, against the base ceiling.
+
+    All ceilings are ranked in one pass; ``base`` is one of them.
+    """
+    each = cells.withColumn("ceiling", F.explode(F.array(*map(F.lit, ceilings))))
+    found = signals(eligible(each, F.col("ceiling")), "ceiling")
+    order = [F.abs(F.col("r")).desc(), *(F.col(c).asc_nulls_last() for c in CELL)]
+    top = found.withColumn("nth", F.row_number().over(W.partitionBy("ceiling").orderBy(*order))).filter(F.col("nth") <= k)
+    under = top.groupBy(*SIGNAL).agg(F.collect_set("ceiling").alias("under"))
+    in_base = F.array_contains("under", F.lit(base))
+    out = under.select(*SIGNAL, in_base.alias("in_base"), "under", F.explode(F.array(*map(F.lit, ceilings))).alias("ceiling"))
+    there = F.array_contains("under", F.col("ceiling"))
+    return out.filter(there != F.col("in_base")).select(*SIGNAL, F.when(there, "enters").otherwise("drops out").alias("change"), "ceiling")
+
+
+def pairs_of(cells: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The quarters behind screened cells, on the whole key, null depths equal; a count that differs from the screen's n is refused."""
+    sized = null_safe_join(cells, chosen.select(*CELL, "n"), CELL, "inner").withColumn("found", F.count("*").over(W.partitionBy(*CELL)))
+    same = refused(F.col("found") != F.col("n"), "a cell rebuilt from other quarters", F.col("q"), "int")
+    return sized.select(*CELL, same.alias("q"), "x", "y")
 
 
 # --- series of the response and of the predictors ----------------------------------------------
@@ -180,15 +248,19 @@ def bartlett(cells: DataFrame, truncation: int | None = None) -> DataFrame:
     """Effective size of each cell by Bartlett's sum to lag K (a quarter of n unless given).
 
     ``n / (1 + 2 * sum((1 - k/n) * rx_k * ry_k))``; null if any r_k is unknown or the
-    denominator is not positive.
+    denominator is not positive. A cell's quarters, some two hundred, are gathered once as
+    maps by quarter, and each lag's pairs are found in them, so nothing is joined.
     """
-    sized = cells.groupBy(*CELL).agg(F.count("*").alias("n")).withColumn("k_max", F.lit(truncation) if truncation else F.floor(F.col("n") / 4).cast("int"))
-    rows = null_safe_join(cells, sized, CELL, "inner").filter("k_max >= 1")
-    lags = F.sequence(F.lit(1), F.col("k_max"))
-    a = rows.select(*CELL, "q", "x", "y")
-    b = rows.select(*CELL, "n", "k_max", "q", F.col("x").alias("x1"), F.col("y").alias("y1"), F.explode(lags).alias("k")).withColumn("q", F.col("q") + F.col("k"))
-    joined = null_safe_join(b, a, [*CELL, "q"], "inner")
-    per = joined.groupBy(*CELL, "n", "k_max", "k").agg(
+    by_q = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct("q", c))))
+    rows = cells.groupBy(*CELL).agg(F.count("*").alias("n"), by_q("x").alias("xs"), by_q("y").alias("ys"))
+    rows = rows.withColumn("k_max", F.lit(truncation) if truncation else F.floor(F.col("n") / 4).cast("int")).filter("k_max >= 1")
+    each = rows.select(*CELL, "n", "k_max", "xs", "ys", F.explode("xs").alias("q", "x"))
+    each = each.select(*CELL, "n", "k_max", "ys", "x", "q", "xs", F.explode(F.sequence(F.lit(1), F.col("k_max"))).alias("k"))
+    each = each.filter(F.map_contains_key("xs", F.col("q") - F.col("k")))
+    at = lambda m, q: F.element_at(F.col(m), q)
+    back = F.col("q") - F.col("k")
+    per = each.select(*CELL, "n", "k_max", "k", "x", at("ys", F.col("q")).alias("y"), at("xs", back).alias("x1"), at("ys", back).alias("y1"))
+    per = per.groupBy(*CELL, "n", "k_max", "k").agg(
         F.count("*").alias("m"), stats.pearson(F.col("x"), F.col("x1")).alias("rx"), stats.pearson(F.col("y"), F.col("y1")).alias("ry")
     ).withColumn("p", F.when(F.col("m") >= MIN_ADJACENT, F.col("rx") * F.col("ry")))
     total = per.groupBy(*CELL, "n", "k_max").agg(F.count("p").alias("known"), F.sum((1 - F.col("k") / F.col("n")) * F.col("p")).alias("s"))
@@ -196,6 +268,14 @@ def bartlett(cells: DataFrame, truncation: int | None = None) -> DataFrame:
     return total.select(*CELL, "n", "k_max", F.when((F.col("known") == F.col("k_max")) & (d > 0), F.greatest(F.col("n") / d, F.lit(1.0))).alias("n_eff_bartlett"))
 
 
+def bartlett_sweep(cells: DataFrame, truncations=(4, 8, 12, 16)) -> DataFrame:
+    """Bartlett's size of each cell at several fixed truncations."""
+    out = bartlett(cells, truncations[0])
+    for k in truncations[1:]:
+        out = out.unionByName(bartlett(cells, k))
+    return out
+
+
 def response_shape(canopy: DataFrame, value: str = "area_m2") -> DataFrame:
     """Quarters, zeros, different values and adjusted skew of each polygon's response."""
     v = F.col(value)
@@ -214,16 +294,54 @@ def leverage(canopy: DataFrame, value: str, fraction: float = 0.05) -> DataFrame
     return d.groupBy("polygon_id").agg(F.try_divide(F.sum(F.when(top, F.col("d2")).otherwise(0.0)), F.sum("d2")).alias("leverage"))
 
 
+def series_name() -> Column:
+    return F.concat_ws("|", "source", "site_id", "parameter", F.coalesce(F.col("depth_m").cast("string"), F.lit("-")))
+
+
 def redundancy(quarterly: DataFrame, column: str, least: int = 8) -> DataFrame:
-    """Pairwise-complete r between series of one anomaly, with their common quarters."""
-    name = F.concat_ws("|", "source", "site_id", "parameter", F.coalesce(F.col("depth_m").cast("string"), F.lit("-")))
-    s = quarterly.filter(F.col(column).isNotNull()).select(name.alias("a"), calendar.quarter_index(F.col("year"), F.col("quarter")).alias("q"), F.col(column).alias("x"))
-    t = s.select(F.col("a").alias("b"), "q", F.col("x").alias("y"))
-    return s.join(t, "q").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n_common"), stats.pearson(F.col("x"), F.col("y")).alias("r")).withColumn(
+    """Pairwise-complete r between series of one anomaly, with their common quarters.
+
+    A series' values, one for each quarter, are gathered as a map. Series meet in
+    BLOCKS x BLOCKS blocks dealt by a hash of their names, so no quarter is a hot key and
+    the pairs, which are the result, are spread.
+    """
+    q = calendar.quarter_index(F.col("year"), F.col("quarter"))
+    s = quarterly.filter(F.col(column).isNotNull()).groupBy(series_name().alias("a")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(q, column)))).alias("xs"))
+    s = s.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(BLOCKS)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
+    left = s.select("a", "xs", F.col("block").alias("i"), F.explode(every).alias("j"))
+    right = s.select(F.col("a").alias("b"), F.col("xs").alias("ys"), F.col("block").alias("j"), F.explode(every).alias("i"))
+    both = left.join(right, ["i", "j"]).filter("a < b")
+    both = both.select("a", "b", F.explode("xs").alias("q", "x"), "ys").select("a", "b", "x", F.try_element_at("ys", F.col("q")).alias("y"))
+    return both.filter("y is not null").groupBy("a", "b").agg(F.count("*").alias("n_common"), stats.pearson(F.col("x"), F.col("y")).alias("r")).withColumn(
         "r", F.when(F.col("n_common") >= least, F.col("r"))
     )
 
 
+#: Blocks of series on either side of :func:`redundancy`.
+BLOCKS = 8
+
+
+def overlap_change(gated: DataFrame, column: str) -> DataFrame:
+    """Pairs of series whose common predictor quarters differ between all lags and lag 0 alone."""
+    rows = gated.filter(F.coalesce("env_usable", F.lit(False)) & F.col(column).isNotNull())
+    quarters = rows.groupBy(series_name().alias("a"), calendar.quarter_index(F.col("env_year"), F.col("env_quarter")).alias("q")).agg(F.max((F.col("lag") == 0).cast("int")).alias("zero"))
+    s = quarters.groupBy("a").agg(F.collect_set("q").alias("any_q"), F.collect_set(F.when(F.col("zero") == 1, F.col("q"))).alias("zero_q"))
+    s = s.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(BLOCKS)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
+    left = s.select("a", "any_q", "zero_q", F.col("block").alias("i"), F.explode(every).alias("j"))
+    right = s.select(F.col("a").alias("b"), F.col("any_q").alias("any_b"), F.col("zero_q").alias("zero_b"), F.col("block").alias("j"), F.explode(every).alias("i"))
+    size = lambda x, y: F.size(F.array_intersect(x, y)).cast("long")
+    return left.join(right, ["i", "j"]).filter("a < b").select("a", "b", size("any_q", "any_b").alias("any_lag"), size("zero_q", "zero_b").alias("lag_0")).filter("any_lag <> lag_0")
+
+
+def quarter_matrix(quarterly: DataFrame, column: str, series: list[str]) -> DataFrame:
+    """Quarters (rows) by series (columns) of one figure; two values of a series in one quarter are refused."""
+    rows = quarterly.filter(F.col(column).isNotNull()).select("year", "quarter", series_name().alias("series"), F.col(column).alias("v"))
+    repeated = F.raise_error(F.lit("refused: a series with two values in a quarter")).cast("double")
+    return rows.groupBy("year", "quarter").pivot("series", series).agg(F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max("v")))
+
+
 def remeasurement(quarterly: DataFrame, column: str) -> DataFrame:
     """r between the parameters of a station over the quarters in which all are present, beside the pairwise r."""
     q = calendar.quarter_index(F.col("year"), F.col("quarter"))

@@ -34,11 +34,6 @@ def cadence_of(kept: DataFrame, keys: list[str]) -> DataFrame:
     return kept.withColumn("dt", dt).groupBy(*keys).agg(F.when(m > 0, m).alias("cadence_s"))
 
 
-def daily_extremes(kept: DataFrame, keys: list[str]) -> DataFrame:
-    day = F.to_date("timestamp").alias("day")
-    return kept.groupBy(*keys, day).agg(F.max("value").alias("dmax"), F.min("value").alias("dmin"), F.avg("value").alias("dmean"))
-
-
 def spells(days: DataFrame, keys: list[str], over: Column, start: str, end: str) -> DataFrame:
     """Longest run of consecutive days for which ``over`` holds, and whether a gap cut one of the longest short.
 
@@ -66,13 +61,15 @@ def spells(days: DataFrame, keys: list[str], over: Column, start: str, end: str)
 
 def reduce_windows(
     rows: DataFrame, keys: list[str], features: dict, floor: float, closed: bool = False,
-    day_based: bool = True, cadence: str | None = None,
+    day_based: bool = True, cadence: str | None = None, most: int = 2,
 ) -> DataFrame:
     """One row for each group of ``keys``, also where no row is kept.
 
     ``rows`` has the keys (parameter among them), timestamp, value, qc_flag, keep (may it
     count), w_start and w_end. With ``cadence`` that column is the cadence, measured
-    elsewhere; without, it is measured in the group. Statistics, counts and cadence
+    elsewhere; without, it is measured in the group. ``most`` is the largest flag that
+    keep let count, which each row records as qc_max_flag. clamped marks a group with
+    more rows than its cadence lets expect. Statistics, counts and cadence
     come from one shuffle by the keys; the days are reduced once for all thresholds.
     """
     columns = naming.feature_columns(features)
@@ -87,7 +84,7 @@ def reduce_windows(
         F.count_distinct(F.when(F.col("keep"), F.to_date("timestamp"))).alias("n_days_observed"),
         F.when(med > 0, med).alias("cadence_s"),
         F.first("w_start").alias("w_start"), F.first("w_end").alias("w_end"),
-        F.max(F.when(F.col("keep"), F.col("qc_flag"))).alias("qc_max_flag"),
+        F.lit(most).alias("qc_max_flag"),
         *statistics(kept_value),
         *(F.avg(F.when(F.col("keep") & (F.col("parameter") == p), F.col("value").between(a, b).cast("double"))).alias(f"frac_in_band_{naming.band_label(a, b)}") for p, a, b in bands),
     )
@@ -95,6 +92,7 @@ def reduce_windows(
     out = (
         main.withColumn("expected_obs", exp)
         .withColumn("pct_coverage", coverage(F.col("n_obs"), F.col("expected_obs")))
+        .withColumn("clamped", F.coalesce(F.col("n_obs") > F.col("expected_obs"), F.lit(False)))
         .withColumn("usable", (F.col("n_obs") >= 2) & (F.col("pct_coverage") >= floor))
     )
     with_days = [(p, t) for p, t in features.items() if any((t or {}).get(k) for k in naming.DAY_BASED)]

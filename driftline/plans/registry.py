@@ -25,7 +25,7 @@ MEASURED = ["mean", "max", "p95", "variance"]
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Doubles to six places, so that engines that sum in another order agree; medians of microseconds to three."""
-    return df.select(*(F.round(F.col(c), 3 if c == "cadence_s" else places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    return df.select(*(F.round(F.col(f"`{c}`"), 3 if c == "cadence_s" else places).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes))
 
 
 def query(sql: str | None = None):
@@ -98,7 +98,7 @@ spell_{n} AS (SELECT {k}, max(len)::DOUBLE AS spell, bool_or(cut) AS cut FROM (S
 lagged AS (SELECT r.*, CASE WHEN keep THEN (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY {k}, keep ORDER BY timestamp))) / 1e6 END AS dt FROM {rows} r),
 main AS (
   SELECT {k}, count(*) FILTER (WHERE keep) AS n_obs, count(DISTINCT CASE WHEN keep THEN timestamp::DATE END) AS n_days_observed,
-         CASE WHEN {med} > 0 THEN {med} END AS cadence_s, min(w_start) AS w_start, min(w_end) AS w_end, max(CASE WHEN keep THEN qc_flag END) AS qc_max_flag,
+         CASE WHEN {med} > 0 THEN {med} END AS cadence_s, min(w_start) AS w_start, min(w_end) AS w_end, 2 AS qc_max_flag,
          avg(value) FILTER (WHERE keep) AS mean, min(value) FILTER (WHERE keep) AS min, max(value) FILTER (WHERE keep) AS max,
          quantile_cont(value, 0.05) FILTER (WHERE keep) AS p05, quantile_cont(value, 0.95) FILTER (WHERE keep) AS p95,
          CASE WHEN count(*) FILTER (WHERE keep) > 1 THEN var_samp(value) FILTER (WHERE keep) END AS variance{extra}
@@ -185,11 +185,16 @@ def series_report(spark, sf_dir):
     return quality.series_report(_evaluated(spark, sf_dir))
 
 
-@query(f"""WITH {SQL_QC}, g AS (SELECT source, site_id, parameter, depth_m, min(dt) FILTER (WHERE dt > 0) AS least_s FROM
+# the range of "error" is narrowed here, so that no step of it reaches the declared rate
+_NARROW = {**v.PARAMETERS, "error": {"valid_range": (0.0, 0.001), "rate_per_hour": (1000.0, 2000.0)}}
+
+
+@query(f"""WITH {v.SQL_OBS}, params(parameter, lo, hi, ra) AS (VALUES ('click', 0.0::DOUBLE, 250.0::DOUBLE, 30.0::DOUBLE), ('view', 0.0, 250.0, 30.0), ('purchase', 1.0, 200.0, NULL), ('error', 0.0, 0.001, 1000.0)),
+g AS (SELECT source, site_id, parameter, depth_m, min(dt) FILTER (WHERE dt > 0) AS least_s FROM
   (SELECT *, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY source, site_id, parameter, depth_m ORDER BY timestamp))) / 1e6 AS dt FROM obs) GROUP BY ALL)
 SELECT source, site_id, parameter, depth_m, round(least_s, 6) AS least_s, round((hi - lo) / least_s * 3600, 6) AS most_per_hour FROM g JOIN params USING (parameter) WHERE (hi - lo) / least_s * 3600 < ra""")
 def unreachable_rates(spark, sf_dir):
-    return quality.unreachable_rates(v.obs(spark, sf_dir), v.PARAMETERS)
+    return quality.unreachable_rates(v.obs(spark, sf_dir), _NARROW)
 
 
 @query("SELECT s AS source, p AS parameter FROM (VALUES ('src1', 'view'), ('src9', 'purchase')) t(s, p) WHERE NOT EXISTS (SELECT 1 FROM events WHERE 'src' || (user_id % 2) = s AND event_type = p)")
@@ -202,9 +207,10 @@ def unbuilt_parameters(spark, sf_dir):
     return feat.unbuilt(v.obs(spark, sf_dir), v.FEATURES)
 
 
-@query(f"WITH {v.SQL_OBS} SELECT count(*) AS n_rows FROM obs")
+@query(f"""WITH {v.SQL_OBS}, t AS (SELECT concat_ws('|', epoch_us(timestamp)::VARCHAR, site_id, parameter, coalesce(printf('%.9e', value), '~'), coalesce(printf('%.9e', depth_m), '~'), qc_flag::VARCHAR, '', source, fetch_run_id) AS row_text FROM obs)
+SELECT count(*) AS n_rows, sum(('0x' || substr(md5(row_text), 1, 13))::BIGINT)::VARCHAR AS digest FROM t""")
 def observations_fingerprint(spark, sf_dir):
-    return zones.fingerprint(v.obs(spark, sf_dir)).select("n_rows")
+    return zones.fingerprint(v.obs(spark, sf_dir))
 
 
 # --- quarterly features ----------------------------------------------------------------------------
@@ -214,9 +220,26 @@ def _quarterly(spark, sf_dir):
     return feat.build_quarterly(_evaluated(spark, sf_dir), v.FEATURES, v.FLOOR, v.NOW)
 
 
-@query(sql_rounded("red", [*Q, *BOOK, *_FEATS], DBL | _FDBL, SQL_QUARTERLY))
+_SETS = ["feature_set", "quarter_complete", "clamped"]
+_SQL_SETS = f"(SELECT *, CASE WHEN parameter = 'click' THEN 'thresholds' ELSE 'statistics' END AS feature_set, w_end <= TIMESTAMP '{v.NOW}' AS quarter_complete, coalesce(n_obs > expected_obs, false) AS clamped FROM red)"
+
+
+@query(sql_rounded(_SQL_SETS, [*Q, *_SETS, *BOOK, *_FEATS], DBL | _FDBL, SQL_QUARTERLY))
 def quarterly_env(spark, sf_dir):
-    return _quarterly(spark, sf_dir).select(*Q, *BOOK, *_FEATS)
+    return _quarterly(spark, sf_dir).select(*Q, *_SETS, *BOOK, *_FEATS)
+
+
+@query(f"""WITH {SQL_QUARTERLY} SELECT source, site_id, parameter, depth_m, feature_set, sum(n_obs)::BIGINT AS n_rows, count(*) AS n_quarters, count(*) FILTER (WHERE usable) AS n_usable,
+min(year || 'Q' || quarter) AS first_quarter, max(year || 'Q' || quarter) AS last_quarter FROM {_SQL_SETS} GROUP BY ALL""")
+def quarterly_report(spark, sf_dir):
+    return feat.quarterly_report(_quarterly(spark, sf_dir))
+
+
+@query(f"WITH {SQL_QUARTERLY} SELECT source, count(*) AS n_quarters, sum(n_obs)::BIGINT AS n_rows FROM red GROUP BY 1")
+def union_of_builds(spark, sf_dir):
+    obs = _evaluated(spark, sf_dir)
+    builds = [feat.build_quarterly(obs.filter(F.col("source") == s), v.FEATURES, v.FLOOR, v.NOW) for s in ("src0", "src1", "src2")]
+    return feat.union_builds(builds).groupBy("source").agg(F.count("*").alias("n_quarters"), F.sum("n_obs").alias("n_rows"))
 
 
 _LFEATS = [c for c, _ in naming.feature_columns(v.LONG_FEATURES)]
@@ -332,21 +355,26 @@ def comparison(spark, sf_dir):
     return _comparison(spark, sf_dir).select(*_COMP)
 
 
-@query(f"""WITH {SQL_COMPARISON} SELECT count(*) AS n_rows, count(*) FILTER (WHERE canopy_usable) AS n_response_usable, count(*) FILTER (WHERE canopy_usable AND canopy_anom IS NOT NULL) AS n_response_anomaly,
-count(*) FILTER (WHERE canopy_usable AND canopy_anom IS NOT NULL AND env_usable IS NOT NULL) AS n_predictor_present, (SELECT count(*) FROM gated) AS n_gated,
+@query(f"""WITH {SQL_COMPARISON} SELECT count(*) AS n_rows, count(*) FILTER (WHERE canopy_usable) AS n_response_usable, count(*) FILTER (WHERE canopy_usable AND env_usable IS NOT NULL) AS n_predictor_present,
+count(*) FILTER (WHERE canopy_usable AND env_usable) AS n_predictor_usable, (SELECT count(*) FROM gated) AS n_gated, count(*) FILTER (WHERE canopy_usable AND env_usable IS NULL) AS n_predictor_missing,
 (SELECT count(*) FROM gated WHERE lag = 0) AS n_gated_lag0, (SELECT count(DISTINCT (polygon_id, year, quarter)) FROM gated) AS n_quarters_reached FROM comp""")
 def attrition(spark, sf_dir):
     return cmp.attrition(_comparison(spark, sf_dir))
 
 
-@query(f"WITH {SQL_COMPARISON} SELECT DISTINCT polygon_id, year, quarter FROM gated g WHERE lag > 0 AND NOT EXISTS (SELECT 1 FROM gated h WHERE h.lag = 0 AND h.polygon_id = g.polygon_id AND h.year = g.year AND h.quarter = g.quarter)")
+@query(f"WITH {SQL_COMPARISON.replace('LEFT JOIN anom a', 'LEFT JOIN (SELECT * FROM anom WHERE (year * 4 + quarter - 1) % 3 <> 0) a')} SELECT DISTINCT polygon_id, year, quarter FROM gated g WHERE lag > 0 AND NOT EXISTS (SELECT 1 FROM gated h WHERE h.lag = 0 AND h.polygon_id = g.polygon_id AND h.year = g.year AND h.quarter = g.quarter)")
 def quarters_by_lag_only(spark, sf_dir):
-    return cmp.reached_by_lag_only(_comparison(spark, sf_dir))
+    """With every third predictor quarter lost, as after outages."""
+    seen = _anomalies(spark, sf_dir).filter(calendar.quarter_index(F.col("year"), F.col("quarter")) % 3 != 0)
+    return cmp.reached_by_lag_only(cmp.build_comparison(_canopy(spark, sf_dir), seen, v.polygon_site(spark), ANOM))
 
 
-@query(f"WITH {SQL_COMPARISON} SELECT count(*) AS n_quarters, 0::BIGINT AS n_different FROM (SELECT DISTINCT polygon_id, year, quarter, canopy_anom FROM gated)")
+@query(f"""WITH {SQL_COMPARISON}, g AS (SELECT DISTINCT polygon_id, year, quarter, canopy_anom FROM gated)
+SELECT count(*) AS n_quarters, count(*) FILTER (WHERE g.canopy_anom IS DISTINCT FROM CASE WHEN c.quarter = 2 THEN c.area_m2_anom + 1 ELSE c.area_m2_anom END) AS n_different FROM g LEFT JOIN canopy c USING (polygon_id, year, quarter)""")
 def comparison_agreement(spark, sf_dir):
-    return cmp.agreement(_comparison(spark, sf_dir), _canopy(spark, sf_dir))
+    """Against a response table whose second quarters were changed since."""
+    later = _canopy(spark, sf_dir).withColumn("area_m2_anom", F.when(F.col("quarter") == 2, F.col("area_m2_anom") + 1).otherwise(F.col("area_m2_anom")))
+    return cmp.agreement(_comparison(spark, sf_dir), later)
 
 
 # --- the screen -----------------------------------------------------------------------------------
@@ -379,9 +407,11 @@ def lag_screen(spark, sf_dir):
     return _screen(spark, sf_dir)
 
 
-@query(f"WITH {SQL_SCREEN} SELECT {_C}, q, count(*) AS n FROM cells GROUP BY ALL HAVING count(*) > 1")
+@query(f"WITH {SQL_SCREEN} SELECT {_C}, q, count(*) AS n FROM (SELECT * FROM cells UNION ALL SELECT * FROM cells WHERE q % 5 = 0) GROUP BY ALL HAVING count(*) > 1")
 def repeated_quarters(spark, sf_dir):
-    return screen.repeated_quarters(_cells(spark, sf_dir))
+    """With every fifth quarter landed twice."""
+    cells = _cells(spark, sf_dir)
+    return screen.repeated_quarters(cells.unionByName(cells.filter("q % 5 = 0")))
 
 
 @query(f"""WITH {SQL_SCREEN} SELECT * FROM scr WHERE n_eff >= 10 AND rank_gap <= 0.05 AND r IS NOT NULL
@@ -404,7 +434,7 @@ def strongest_cells(spark, sf_dir):
 
 @query(f"WITH {SQL_SCREEN} SELECT CASE parameter WHEN 'O' THEN 'predictor' WHEN 'F' THEN 'control' END AS role, parameter, count(*) AS n_cells, max(abs(r)) AS max_abs_r, round(median(abs(r)), 6) AS median_abs_r FROM scr GROUP BY ALL")
 def role_strength(spark, sf_dir):
-    return screen.role_strength(screen.with_roles(_screen(spark, sf_dir), {"O": "predictor", "F": "control"}))
+    return screen.role_strength(screen.with_roles(_screen(spark, sf_dir), ROLES))
 
 
 @query(f"WITH {SQL_SCREEN} SELECT ceiling, count(*) AS n_cells, count(DISTINCT ({_SIG})) AS n_signals FROM scr, (SELECT unnest([0.03, 0.05, 0.10, 'infinity'::DOUBLE]) AS ceiling) WHERE rank_gap <= ceiling AND n_eff >= 10 GROUP BY ALL")
@@ -412,13 +442,58 @@ def gate_ladder(spark, sf_dir):
     return screen.gate_ladder(_screen(spark, sf_dir))
 
 
-@query(f"""WITH {SQL_SCREEN}, s AS (SELECT n_eff, abs(r) AS abs_r, CASE WHEN n_eff > 3 THEN abs(atanh(r)) * sqrt(n_eff - 3) END AS z,
-  CASE WHEN n_eff > 3 THEN tanh(greatest(abs(atanh(r)) - 1.96 / sqrt(n_eff - 3), 0.0)) END AS bound FROM scr),
-l AS (SELECT n_eff, 'abs_r' AS scale, abs_r AS v FROM s UNION ALL SELECT n_eff, 'z', z FROM s UNION ALL SELECT n_eff, 'bound', bound FROM s),
-k AS (SELECT *, rank() OVER (PARTITION BY scale ORDER BY v) + (count(*) OVER (PARTITION BY scale, v) - 1) / 2 AS rv, rank() OVER (PARTITION BY scale ORDER BY n_eff) + (count(*) OVER (PARTITION BY scale, n_eff) - 1) / 2 AS rn FROM l WHERE v IS NOT NULL)
-SELECT scale, count(*) AS n_cells, round({_R.format(x='rv', y='rn')}, 6) AS rho_n_eff, round(max(v), 6) AS largest FROM k GROUP BY 1""")
+ROLES = {"O": "predictor", "F": "control"}
+_ROLE = "CASE parameter WHEN 'O' THEN 'predictor' WHEN 'F' THEN 'control' END"
+_BY_KEY = _KEYS.replace("depth_m", "depth_m NULLS LAST")
+SQL_SIGNALS = SQL_SCREEN + f""",
+sig AS (SELECT *, {_ROLE} AS role FROM scr WHERE n_eff >= 10 AND rank_gap <= 0.05 AND r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {_ROLE}, {_SIG} ORDER BY abs(r) DESC, {_BY_KEY}) = 1),
+sc AS (SELECT *, abs(r) AS abs_r, CASE WHEN n_eff > 3 THEN abs(atanh(r)) * sqrt(n_eff - 3) END AS z, CASE WHEN n_eff > 3 THEN tanh(greatest(abs(atanh(r)) - 1.96 / sqrt(n_eff - 3), 0.0)) END AS bound FROM sig),
+l AS (SELECT role, {_SIG}, r, n_eff, 'abs_r' AS scale, abs_r AS v FROM sc UNION ALL SELECT role, {_SIG}, r, n_eff, 'z', z FROM sc UNION ALL SELECT role, {_SIG}, r, n_eff, 'bound', bound FROM sc)"""
+
+
+def _role_signals(spark, sf_dir):
+    return screen.signals(screen.eligible(screen.with_roles(_screen(spark, sf_dir), ROLES)), "role")
+
+
+@query(f"""WITH {SQL_SIGNALS}, k AS (SELECT *, rank() OVER (PARTITION BY scale ORDER BY v) + (count(*) OVER (PARTITION BY scale, v) - 1) / 2 AS rv, rank() OVER (PARTITION BY scale ORDER BY n_eff) + (count(*) OVER (PARTITION BY scale, n_eff) - 1) / 2 AS rn FROM l WHERE v IS NOT NULL AND role = 'predictor')
+SELECT scale, count(*) AS n_signals, round({_R.format(x='rv', y='rn')}, 6) AS rho_n_eff, round(max(v), 6) AS largest FROM k GROUP BY 1""")
 def scale_comparison(spark, sf_dir):
-    return screen.scale_comparison(_screen(spark, sf_dir))
+    return screen.scale_comparison(_role_signals(spark, sf_dir).filter("role = 'predictor'"))
+
+
+@query(f"""WITH {SQL_SIGNALS}, top AS (SELECT * FROM sc WHERE role = 'predictor' ORDER BY abs_r DESC, polygon_id, {_BY_KEY}, lag, feature LIMIT 3),
+w AS (SELECT 'abs_r' AS scale, min(abs_r) AS weakest FROM top UNION ALL SELECT 'z', min(z) FROM top UNION ALL SELECT 'bound', min(bound) FROM top)
+SELECT role, scale, count(*) AS n_signals, max(n_eff) AS max_n_eff, round(max(v), 6) AS largest, round(max(weakest), 6) AS weakest, count(*) FILTER (WHERE v >= weakest) AS n_reaching FROM l JOIN w USING (scale) GROUP BY ALL""")
+def scale_pools(spark, sf_dir):
+    return screen.scale_pools(_role_signals(spark, sf_dir))
+
+
+@query(f"""WITH {SQL_SIGNALS}, p AS (SELECT *, floor(rank() OVER (PARTITION BY role, scale ORDER BY v DESC NULLS LAST) + (count(*) OVER (PARTITION BY role, scale, v) - 1) / 2)::INT AS place0 FROM l)
+SELECT role, {_SIG}, r, n_eff, scale, CASE WHEN v IS NOT NULL THEN place0 END AS place, row_number() OVER (PARTITION BY role, scale ORDER BY CASE WHEN v IS NOT NULL THEN place0 END NULLS LAST, polygon_id, feature, lag) AS nth FROM p QUALIFY nth <= 3""")
+def scale_leaders(spark, sf_dir):
+    return screen.scale_leaders(screen.scale_ranks(_role_signals(spark, sf_dir)))
+
+
+@query(f"""WITH {SQL_SIGNALS}, b AS (SELECT max(abs(r)) FILTER (WHERE parameter = 'O') AS predictor, max(abs(r)) FILTER (WHERE parameter = 'F') AS control FROM scr WHERE n_eff >= 10 AND rank_gap <= 0.05)
+SELECT *, CASE WHEN control - predictor IS NULL THEN 'not comparable' WHEN abs(control - predictor) < 0.05 THEN 'as strongly as' WHEN control > predictor THEN 'more strongly than' ELSE 'less strongly than' END AS verdict FROM b""")
+def role_verdict(spark, sf_dir):
+    return screen.role_verdict(screen.eligible(screen.with_roles(_screen(spark, sf_dir), ROLES)))
+
+
+_TOP3 = f"SELECT {_SIG} FROM (SELECT * FROM scr WHERE n_eff >= 10 AND rank_gap <= {{c}} AND r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {_SIG} ORDER BY abs(r) DESC, {_BY_KEY}) = 1 ORDER BY abs(r) DESC, polygon_id, {_BY_KEY}, lag, feature LIMIT 3)"
+
+
+@query(f"WITH {SQL_SCREEN}, top0 AS ({_TOP3.format(c=0.05)}) " + " UNION ALL ".join(
+    f"SELECT *, 'drops out' AS change, {c}::DOUBLE AS ceiling FROM (SELECT * FROM top0 EXCEPT ({_TOP3.format(c=c)})) UNION ALL SELECT *, 'enters', {c}::DOUBLE FROM (({_TOP3.format(c=c)}) EXCEPT SELECT * FROM top0)"
+    for c in ("0.03", "0.05", "0.10", "'infinity'")).replace("rank_gap <= 'infinity'", "rank_gap <= 'infinity'::DOUBLE"))
+def ladder_changes(spark, sf_dir):
+    return screen.ladder_changes(_screen(spark, sf_dir))
+
+
+@query(f"WITH {SQL_SCREEN}, t AS (SELECT * FROM scr WHERE n_eff >= 10 AND rank_gap <= 0.05 AND r IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {_SIG} ORDER BY abs(r) DESC, {_BY_KEY}) = 1) SELECT {', '.join('cells.' + c for c in _C.split(', '))}, q, round(x, 6) AS x, round(y, 6) AS y FROM cells JOIN t ON {' AND '.join(f'cells.{c} IS NOT DISTINCT FROM t.{c}' for c in _C.split(', '))}")
+def signal_pairs(spark, sf_dir):
+    cells = _cells(spark, sf_dir)
+    return screen.pairs_of(cells, screen.signals(screen.eligible(screen.screen(cells))))
 
 
 @query(f"WITH {SQL_SCREEN} SELECT polygon_id, env_source, site_id, parameter, depth_m, feature, list_transform([0, 1, 2, 3, 4], lambda k: m[k]) AS profile FROM (SELECT polygon_id, env_source, site_id, parameter, depth_m, feature, map_from_entries(list((lag, r))) AS m FROM scr GROUP BY ALL)")
@@ -426,15 +501,8 @@ def lag_profiles(spark, sf_dir):
     return screen.lag_profiles(_screen(spark, sf_dir))
 
 
-@query(f"""WITH {SQL_SCREEN} SELECT feature, {', '.join(f'max(r) FILTER (WHERE lag = {k}) AS "{k}"' for k in range(5))} FROM scr
-WHERE polygon_id = 'P0' AND site_id = 'S0' AND env_source = 'N' AND parameter = 'O' GROUP BY 1""")
-def lag_feature_matrix(spark, sf_dir):
-    one = _screen(spark, sf_dir).filter("polygon_id = 'P0' and site_id = 'S0' and env_source = 'N' and parameter = 'O'")
-    return screen.lag_feature_matrix(one).select("feature", *map(str, range(5)))
-
-
 @query(f"""WITH {SQL_SCREEN} SELECT polygon_id, {_KEYS}, feature, {', '.join(f'max(r) FILTER (WHERE lag = {k}) AS "{k}"' for k in range(5))} FROM scr GROUP BY polygon_id, {_KEYS}, feature""")
-def lag_feature_matrices(spark, sf_dir):
+def lag_feature_matrix(spark, sf_dir):
     return screen.lag_feature_matrix(_screen(spark, sf_dir))
 
 
@@ -459,6 +527,31 @@ def bartlett_sizes(spark, sf_dir):
     return screen.bartlett(_cells(spark, sf_dir))
 
 
+@query(f"""WITH {SQL_SCREEN}, sz AS (SELECT {_C}, count(*) AS n, kk AS k_max FROM cells, (SELECT unnest([4, 8, 12, 16]) AS kk) GROUP BY {_C}, kk),
+b AS (SELECT cells.*, n, k_max, k FROM cells JOIN sz USING (polygon_id, env_source, site_id, parameter, lag, feature), unnest(generate_series(1, k_max)) AS t(k)),
+per AS (SELECT {', '.join('a.' + c for c in _C.split(', '))}, b.n, b.k_max, k, count(*) AS m, {_R.format(x='a.x', y='b.x')} * {_R.format(x='a.y', y='b.y')} AS p0 FROM cells a JOIN b ON {_CELL_EQ} AND a.q = b.q + k GROUP BY ALL),
+tot AS (SELECT {_C}, n, k_max, count(CASE WHEN m >= 3 THEN p0 END) AS known, sum((1 - k / n) * CASE WHEN m >= 3 THEN p0 END) AS s FROM per GROUP BY ALL)
+SELECT {_C}, n, k_max, CASE WHEN known = k_max AND 1 + 2 * s > 0 THEN round(greatest(n / (1 + 2 * s), 1.0), 6) END AS n_eff_bartlett FROM tot""")
+def bartlett_sweep(spark, sf_dir):
+    return screen.bartlett_sweep(_cells(spark, sf_dir))
+
+
+@query(f"""WITH {SQL_COMPARISON}, s AS (SELECT DISTINCT concat_ws('|', source, site_id, parameter, coalesce(depth_m::VARCHAR, '-')) AS a, env_year * 4 + env_quarter - 1 AS q, max((lag = 0)::INT) AS zero FROM comp WHERE coalesce(env_usable, false) AND mean_anom IS NOT NULL AND year >= 1998 GROUP BY ALL),
+o AS (SELECT s.a, t.a AS b, count(*) AS any_lag, count(*) FILTER (WHERE s.zero = 1 AND t.zero = 1) AS lag_0 FROM s JOIN s t ON s.q = t.q AND s.a < t.a GROUP BY ALL) SELECT * FROM o WHERE any_lag <> lag_0""")
+def overlap_change(spark, sf_dir):
+    """For a response that begins in 1998, later than its predictors."""
+    return screen.overlap_change(_comparison(spark, sf_dir).filter("year >= 1998"), "mean_anom")
+
+
+_NAMES = [f"{s}|S{k}|{p}|-" for s in ("A", "N", "R") for k in range(5) for p in ("F", "O")]
+
+
+@query(f"""WITH {SQL_QLONG}, s AS (SELECT year, quarter, concat_ws('|', source, site_id, parameter, coalesce(depth_m::VARCHAR, '-')) AS a, mean_anom AS x FROM anom WHERE mean_anom IS NOT NULL)
+SELECT year, quarter, {', '.join(f"round(max(x) FILTER (WHERE a = '{n}'), 6) AS " + '"' + n + '"' for n in _NAMES)} FROM s GROUP BY 1, 2""")
+def quarter_matrix(spark, sf_dir):
+    return screen.quarter_matrix(_anomalies(spark, sf_dir), "mean_anom", _NAMES)
+
+
 @query(f"""WITH {SQL_QLONG}, s AS (SELECT concat_ws('|', source, site_id, parameter, coalesce(depth_m::VARCHAR, '-')) AS a, year * 4 + quarter - 1 AS q, mean_anom AS x FROM anom WHERE mean_anom IS NOT NULL)
 SELECT s.a, t.a AS b, count(*) AS n_common, CASE WHEN count(*) >= 8 THEN round({_R.format(x='s.x', y='t.x')}, 6) END AS r FROM s JOIN s t ON s.q = t.q AND s.a < t.a GROUP BY ALL""")
 def redundancy_matrix(spark, sf_dir):
@@ -487,13 +580,26 @@ D = feat.DEPLOYMENT
 _DSTAT = ["n_obs", "n_days_observed", "cadence_s", "expected_obs", "pct_coverage", "usable"]
 
 
+def _of_deployments(spark, sf_dir):
+    """Evaluated observations of the series that have a deployment; a test's window is one series, so no verdict changes."""
+    return quality.evaluate(zones.dedupe(feat.of_series(v.obs(spark, sf_dir), v.deployments(spark))), v.PARAMETERS)
+
+
 def _deployment(spark, sf_dir):
-    return feat.build_deployment(_evaluated(spark, sf_dir), v.deployments(spark), v.FEATURES, v.FLOOR, v.NOW)
+    return feat.build_deployment(_of_deployments(spark, sf_dir), v.deployments(spark), v.FEATURES, v.FLOOR, v.NOW)
+
 
+_SQL_DONE = f"(SELECT *, w_end <= TIMESTAMP '{v.NOW}' AS deployment_complete FROM red WHERE n_obs > 0)"
 
-@query(sql_rounded("red WHERE n_obs > 0", [*D, *_DSTAT, *_FEATS], DBL | _FDBL, SQL_DEP + "," + sql_reduce("drows", D, v.FEATURES, closed=True)))
+
+@query(f"WITH {SQL_DEP}," + sql_reduce("drows", D, v.FEATURES, closed=True) + f" SELECT count(*) AS n_with_rows, count(*) FILTER (WHERE deployment_complete) AS n_complete, count(*) FILTER (WHERE usable) AS n_usable FROM {_SQL_DONE}")
+def deployment_attrition(spark, sf_dir):
+    return feat.deployment_attrition(_deployment(spark, sf_dir))
+
+
+@query(sql_rounded(_SQL_DONE, [*D, "qc_max_flag", "deployment_complete", *_DSTAT, *_FEATS], DBL | _FDBL, SQL_DEP + "," + sql_reduce("drows", D, v.FEATURES, closed=True)))
 def deployment(spark, sf_dir):
-    return _deployment(spark, sf_dir).select(*D, *_DSTAT, *_FEATS)
+    return _deployment(spark, sf_dir).select(*D, "qc_max_flag", "deployment_complete", *_DSTAT, *_FEATS)
 
 
 def _sql_sub(grain: str) -> str:
@@ -509,7 +615,7 @@ sub AS (SELECT * EXCLUDE (expected_obs, pct_coverage, usable), partial AS partia
 
 
 def _sub(spark, sf_dir, grain):
-    return feat.build_sub_windows(_evaluated(spark, sf_dir), v.deployments(spark), v.FEATURES, v.FLOOR, grain)
+    return feat.build_sub_windows(_of_deployments(spark, sf_dir), v.deployments(spark), v.FEATURES, v.FLOOR, grain)
 
 
 _SUB = ["n_obs", "cadence_s", "expected_obs", "pct_coverage", "usable", *STATS, "frac_in_band_10c_60c"]
@@ -525,12 +631,17 @@ def deployment_hourly(spark, sf_dir):
     return _sub(spark, sf_dir, "hour").select(*D, "hour", "partial_hour", *_SUB)
 
 
+_AUDIT = {k: v.FEATURES["click"][k] for k in ("days_above", "days_below", "degree_days_above")}
+_AUDITED = {"days_above_100c": "(max > 100.0)::INT::DOUBLE", "days_above_150c": "(max > 150.0)::INT::DOUBLE", "days_below_10c": "(min < 10.0)::INT::DOUBLE", "degree_days_above_45c": "greatest(mean - 45.0, 0.0)"}
+
+
 @query(f"""WITH a AS (WITH {SQL_DEP}, {sql_reduce("drows", D, v.FEATURES, closed=True)} SELECT * FROM red WHERE n_obs > 0),
-f AS (WITH {_sql_sub('day')} SELECT {', '.join(D)}, sum(n_obs)::BIGINT AS fine_n_obs, sum(expected_obs) AS fine_expected, sum(mean * n_obs) / sum(n_obs) AS fine_mean, count(*) AS n_spans FROM sub GROUP BY ALL)
-SELECT {', '.join('a.' + c for c in D)}, n_obs, n_days_observed, round(expected_obs, 6) AS expected_obs, round(mean, 6) AS mean, fine_n_obs, round(fine_expected, 6) AS fine_expected, round(fine_mean, 6) AS fine_mean, n_spans,
-n_obs = fine_n_obs AS counts_agree, abs(mean - fine_mean) <= 1e-9 * greatest(1.0, abs(mean)) AS means_agree FROM a LEFT JOIN f ON {' AND '.join(f'a.{c} IS NOT DISTINCT FROM f.{c}' for c in D)}""")
+f AS (WITH {_sql_sub('day')} SELECT {', '.join(D)}, sum(n_obs)::BIGINT AS fine_n_obs, sum(expected_obs) AS fine_expected, sum(mean * n_obs) / sum(n_obs) AS fine_mean, count(*) AS n_spans, {', '.join(f'sum({e}) AS fine_{n}' for n, e in _AUDITED.items())} FROM sub GROUP BY ALL)
+SELECT {', '.join('a.' + c for c in D)}, n_obs, n_days_observed, round(expected_obs, 6) AS expected_obs, round(mean, 6) AS mean, {', '.join(f'round({n}, 6) AS {n}' for n in _AUDITED)}, fine_n_obs, round(fine_expected, 6) AS fine_expected, round(fine_mean, 6) AS fine_mean, n_spans, {', '.join(f'round(fine_{n}, 6) AS fine_{n}' for n in _AUDITED)},
+n_obs = fine_n_obs AND n_days_observed = n_spans AS counts_agree, abs(mean - fine_mean) <= 1e-9 * greatest(1.0, abs(mean)) AS means_agree, {' AND '.join(f'({n} IS NULL OR abs({n} - fine_{n}) <= 1e-9 * greatest(1.0, abs({n})))' for n in _AUDITED)} AS thresholds_agree
+FROM a LEFT JOIN f ON {' AND '.join(f'a.{c} IS NOT DISTINCT FROM f.{c}' for c in D)}""")
 def deployment_grain_audit(spark, sf_dir):
-    return validation.grain_audit(_deployment(spark, sf_dir), _sub(spark, sf_dir, "day"))
+    return validation.grain_audit(_deployment(spark, sf_dir), _sub(spark, sf_dir, "day"), _AUDIT)
 
 
 @query(f"""WITH {_sql_sub('day')} SELECT {', '.join(D)}, day, round(sum(greatest(mean - 45.0, 0.0)) OVER (PARTITION BY {', '.join(D)} ORDER BY day), 6) AS degree_days, round(max - min, 6) AS daily_range FROM sub""")
@@ -547,27 +658,52 @@ _P2 = [*D, "ref", "ref_depth_m"]
 _SAME = lambda a, b, ks: " AND ".join(f"{a}.{c} IS NOT DISTINCT FROM {b}.{c}" for c in ks)
 
 
-@query(f"""WITH {SQL_DEP},
+SQL_VALIDATION = f"""{SQL_DEP},
 refs(site_id, ref, collapsed_refs) AS (VALUES ('S1', 'S2', 'S3'), ('S4', 'S5', ''), ('S7', 'S8', ''), ('S7', 'S2', 'S3')),
-own AS (SELECT * FROM drows WHERE keep),
-sp AS (SELECT DISTINCT {', '.join('own.' + c for c in D)}, w_start, w_end, ref, collapsed_refs FROM own JOIN refs USING (site_id)),
-oth AS (SELECT {', '.join('sp.' + c for c in D)}, sp.ref, qc.depth_m AS ref_depth_m, collapsed_refs, timestamp, value, qc_flag FROM sp JOIN qc ON qc.site_id = sp.ref AND qc.parameter = sp.parameter AND timestamp BETWEEN w_start AND w_end WHERE qc_flag <= 2 AND value IS NOT NULL),
-ca AS (SELECT {', '.join(D)}, CASE WHEN median(g) > 0 THEN median(g) END AS ca FROM (SELECT *, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY {', '.join(D)} ORDER BY timestamp))) / 1e6 AS g FROM own) GROUP BY ALL),
-cb AS (SELECT {', '.join(_P2)}, any_value(collapsed_refs) AS collapsed_refs, CASE WHEN median(g) > 0 THEN median(g) END AS cb FROM (SELECT *, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY {', '.join(_P2)} ORDER BY timestamp))) / 1e6 AS g FROM oth) GROUP BY {', '.join(_P2)}),
-pr AS (SELECT cb.*, coalesce(greatest(ca, cb), 1.0) AS cadence_s FROM cb LEFT JOIN ca ON {_SAME('cb', 'ca', D)}),
-x AS (SELECT {', '.join('pr.' + c for c in _P2)}, cadence_s, floor(epoch_us(timestamp) / (cadence_s * 1e6)) AS bin, avg(value) AS x, max(qc_flag) AS f FROM own JOIN pr ON {_SAME('own', 'pr', D)} GROUP BY ALL),
-y AS (SELECT {', '.join('pr.' + c for c in _P2)}, floor(epoch_us(timestamp) / (cadence_s * 1e6)) AS bin, avg(value) AS y, max(qc_flag) AS f FROM oth JOIN pr ON {_SAME('oth', 'pr', _P2)} GROUP BY ALL, cadence_s),
-b AS (SELECT x.*, y.y, greatest(x.f, y.f) AS ff FROM x JOIN y ON {_SAME('x', 'y', [*_P2, 'bin'])}),
-g AS (SELECT {', '.join(_P2)}, cadence_s, count(*) AS n_pairs, {_R.format(x='x', y='y')} AS r, avg(x - y) AS bias, sqrt(avg(pow(x - y, 2))) AS rmse, max(ff) AS qc_max_flag FROM b GROUP BY ALL)
-SELECT {', '.join('g.' + c for c in _P2)}, collapsed_refs, abs(g.depth_m - g.ref_depth_m) AS depth_gap_m, coalesce(abs(g.depth_m - g.ref_depth_m) <= 2.0, false) AS depth_comparable, round(g.cadence_s, 3) AS cadence_s, n_pairs,
-round(CASE WHEN n_pairs >= 3 THEN r END, 6) AS correlation, CASE WHEN abs(g.depth_m - g.ref_depth_m) <= 2.0 THEN round(bias, 6) END AS bias, CASE WHEN abs(g.depth_m - g.ref_depth_m) <= 2.0 THEN round(rmse, 6) END AS rmse, qc_max_flag
-FROM g JOIN pr ON {_SAME('g', 'pr', _P2)}""".replace("GROUP BY ALL, cadence_s", f"GROUP BY {', '.join('pr.' + c for c in _P2)}, floor(epoch_us(timestamp) / (cadence_s * 1e6))"))
-def validation_agreement(spark, sf_dir):
+own AS (SELECT * FROM drows WHERE keep AND depth_m IS NOT NULL),
+ref AS (SELECT site_id AS ref, parameter, depth_m AS ref_depth_m, timestamp, value, source FROM qc WHERE qc_flag <= 2 AND value IS NOT NULL AND site_id IN (SELECT ref FROM refs)),
+ca AS (SELECT {', '.join(D)}, w_start, w_end, arg_min(source, (timestamp, source)) AS source, CASE WHEN median(g) > 0 THEN median(g) END AS ca FROM (SELECT *, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY {', '.join(D)} ORDER BY timestamp))) / 1e6 AS g FROM own) GROUP BY ALL),
+cb AS (SELECT ref, parameter, ref_depth_m, arg_min(source, (timestamp, source)) AS reference_source, CASE WHEN median(g) > 0 THEN median(g) END AS cb FROM (SELECT *, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY ref, parameter, ref_depth_m ORDER BY timestamp))) / 1e6 AS g FROM ref) GROUP BY ALL),
+pr AS (SELECT ca.*, ref, ref_depth_m, reference_source, collapsed_refs, coalesce(greatest(ca, cb), 1.0) AS cadence_s FROM ca JOIN refs USING (site_id) JOIN cb USING (ref, parameter)),
+x AS (SELECT {', '.join('pr.' + c for c in _P2)}, floor(epoch_us(timestamp) / (cadence_s * 1e6)) AS bin, avg(value) AS x FROM own JOIN pr ON {_SAME('own', 'pr', D)} GROUP BY {', '.join('pr.' + c for c in _P2)}, 7),
+y AS (SELECT {', '.join('pr.' + c for c in _P2)}, floor(epoch_us(timestamp) / (cadence_s * 1e6)) AS bin, avg(value) AS y FROM ref JOIN pr ON {_SAME('ref', 'pr', ['ref', 'parameter', 'ref_depth_m'])} GROUP BY {', '.join('pr.' + c for c in _P2)}, bin),
+b AS (SELECT x.*, y.y FROM x JOIN y ON {_SAME('x', 'y', [*_P2, 'bin'])}),
+g AS (SELECT {', '.join(_P2)}, count(*) AS n_pairs, min(bin) AS b0, max(bin) AS b1, {_R.format(x='x', y='y')} AS r, avg(x - y) AS bias, sqrt(avg(pow(x - y, 2))) AS rmse FROM b GROUP BY ALL),
+val AS (SELECT {', '.join('pr.' + c for c in _P2)}, source, reference_source, collapsed_refs, abs(pr.depth_m - pr.ref_depth_m) AS depth_gap_m, coalesce(abs(pr.depth_m - pr.ref_depth_m) <= 2.0, false) AS depth_comparable, round(cadence_s, 3) AS cadence_s, coalesce(n_pairs, 0) AS n_pairs,
+make_timestamp(round(b0 * cadence_s * 1e6)::BIGINT) AS overlap_start, make_timestamp(round(b1 * cadence_s * 1e6)::BIGINT) AS overlap_end,
+round(CASE WHEN n_pairs >= 3 THEN r END, 6) AS correlation, CASE WHEN abs(pr.depth_m - pr.ref_depth_m) <= 2.0 THEN round(bias, 6) END AS bias, CASE WHEN abs(pr.depth_m - pr.ref_depth_m) <= 2.0 THEN round(rmse, 6) END AS rmse, 2 AS qc_max_flag
+FROM pr LEFT JOIN g ON {_SAME('g', 'pr', _P2)})""".replace("_P2)}, 7)", "bin)").replace(", 7),", ", bin),")
+
+
+def _validation(spark, sf_dir):
     refs = spark.createDataFrame([("S1", 1, "S2"), ("S1", 2, "S3"), ("S4", 1, "S5"), ("S7", 1, "S8"), ("S7", 2, "S3"), ("S7", 0, "S2")], "site_id string, ordinal long, ref string")
     kin = spark.createDataFrame([("S2", "S3")], "a string, b string")
-    obs = _evaluated(spark, sf_dir)
-    chosen = validation.choose_references(validation.fold_platforms(refs, kin), obs.select(F.col("site_id").alias("ref")))
-    return validation.build_validation(obs, v.deployments(spark), chosen, 2.0).drop("overlap_start", "overlap_end")
+    deployments = v.deployments(spark)
+    sites = deployments.select("site_id").union(refs.select("ref")).distinct()
+    raw = v.obs(spark, sf_dir).join(F.broadcast(sites), "site_id", "left_semi")  # a dimension of sites
+    obs = quality.evaluate(zones.dedupe(raw), v.PARAMETERS)
+    kept = obs.filter("qc_flag <= 2 and value is not null").select(F.col("site_id").alias("ref"), "parameter")
+    chosen = validation.choose_references(validation.fold_platforms(refs, kin), kept)
+    return validation.build_validation(obs, deployments, chosen, 2.0)
+
+
+@query(f"WITH {SQL_VALIDATION} SELECT * FROM val")
+def validation_agreement(spark, sf_dir):
+    return _validation(spark, sf_dir)
+
+
+@query(f"""WITH a AS (WITH {SQL_DEP}, {sql_reduce("drows", D, v.FEATURES, closed=True)} SELECT * FROM red WHERE n_obs > 0 AND usable), w AS (WITH {SQL_VALIDATION} SELECT * EXCLUDE (source, qc_max_flag) FROM val)
+SELECT {', '.join('a.' + c for c in D)}, a.n_obs, round(a.mean, 6) AS mean, w.* EXCLUDE ({', '.join(D)}) FROM a LEFT JOIN w ON {_SAME('a', 'w', D)}""")
+def deployment_validation(spark, sf_dir):
+    return validation.with_validation(_deployment(spark, sf_dir), _validation(spark, sf_dir))
+
+
+@query(f"""WITH a AS (WITH {SQL_DEP}, {sql_reduce("drows", D, v.FEATURES, closed=True)} SELECT * FROM red WHERE n_obs > 0 AND usable), f AS (WITH {_sql_sub('day')} SELECT * FROM sub),
+k AS (SELECT f.* FROM f WHERE EXISTS (SELECT 1 FROM a WHERE {_SAME('a', 'f', D)}) AND depth_m IS NOT NULL)
+SELECT site_id, depth_m, printf('%s at %.2f m', site_id, depth_m) AS label, dense_rank() OVER (PARTITION BY site_id ORDER BY depth_m)::INT AS place, day, round(mean, 6) AS mean FROM k""")
+def usable_days_by_depth(spark, sf_dir):
+    kept = validation.of_usable(_sub(spark, sf_dir, "day"), _deployment(spark, sf_dir))
+    return validation.depth_groups(kept, "day")
 
 
 # --- grids ----------------------------------------------------------------------------------------

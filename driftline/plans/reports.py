@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftline.functions import naming
 from driftline.operators import checks, screen, validation
 from driftline.plans import registry as reg
 from driftline.plans import views as v
@@ -30,9 +29,12 @@ def weighted_means(spark, sf_dir):
     return validation.weighted_mean(reg._sub(spark, sf_dir, "hour"), D, "mean")
 
 
-@query(f"WITH {_RED} SELECT {_D}, round(days_above_100c / n_days_observed, 6) AS share FROM red WHERE n_obs > 0")
+_DAYS = ["days_above_100c", "days_above_150c", "days_below_10c"]
+
+
+@query(f"WITH {_RED} SELECT {_D}, n_days_observed, {', '.join(_DAYS)}, {', '.join(f'round({d} / n_days_observed, 6) AS {d}_share' for d in _DAYS)} FROM red WHERE n_obs > 0")
 def exposure_shares(spark, sf_dir):
-    return validation.exposure_share(reg._deployment(spark, sf_dir), f"days_above_{naming.threshold_label(100.0)}")
+    return validation.exposure_share(reg._deployment(spark, sf_dir), _DAYS)
 
 
 @query(f"WITH {reg._sql_sub('hour')} SELECT {_D}, hour, coalesce(hour - lag(hour) OVER (PARTITION BY {_D} ORDER BY hour) > INTERVAL 1 HOUR, false) AS breaks FROM sub")
@@ -98,12 +100,14 @@ def file_summaries(spark, sf_dir):
 
 
 @query(f"""WITH {SQL_LOGGER}, d AS (SELECT *, (epoch_us(timestamp_local) - epoch_us(lag(timestamp_local) OVER (PARTITION BY file ORDER BY timestamp_local))) / 1e6 AS dt FROM lg),
-m AS (SELECT file, dt FROM d WHERE dt IS NOT NULL GROUP BY file, dt QUALIFY row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, dt) = 1)
-SELECT file, any_value(m.dt) AS usual_s, count(*) FILTER (WHERE d.dt <> 600) AS n_off, count(*) FILTER (WHERE d.dt > 600) AS n_gaps, min(timestamp_local) FILTER (WHERE d.dt <> 600) AS first_off_at
-FROM d LEFT JOIN m USING (file) GROUP BY file""")
+m AS (SELECT file, dt FROM d WHERE dt IS NOT NULL GROUP BY file, dt QUALIFY row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, dt) = 1),
+o AS (SELECT file, string_agg(epoch_us(timestamp_local)::VARCHAR, ',' ORDER BY timestamp_local) AS first_off FROM (SELECT * FROM d WHERE dt <> 600 QUALIFY row_number() OVER (PARTITION BY file ORDER BY timestamp_local) <= 3) GROUP BY 1)
+SELECT file, any_value(m.dt) AS usual_s, count(*) FILTER (WHERE d.dt <> 600) AS n_off, count(*) FILTER (WHERE d.dt > 600) AS n_gaps, coalesce(any_value(first_off), '') AS first_off
+FROM d LEFT JOIN m USING (file) LEFT JOIN o USING (file) GROUP BY file""")
 def cadence_audits(spark, sf_dir):
     audit = checks.cadence_audit(_logger(spark, sf_dir).withColumn("interval_s", F.lit(600.0)))
-    return audit.select("file", "usual_s", "n_off", "n_gaps", F.try_element_at("first_off", F.lit(1)).alias("first_off_at"))
+    at = F.transform("first_off", lambda t: F.unix_micros(t.cast("timestamp")).cast("string"))
+    return audit.select("file", "usual_s", "n_off", "n_gaps", F.array_join(at, ",").alias("first_off"))
 
 
 @query(f"""WITH {SQL_CANOPY} SELECT polygon_id AS file, count(*) - count(DISTINCT (year, quarter)) AS repeated, count(DISTINCT n_cells) - 1 AS footprints, count(*) FILTER (WHERE n_cells_observed > n_cells) AS observed_over_footprint,
@@ -151,8 +155,8 @@ def positions_matched(spark, sf_dir):
 
 
 @query("""WITH y AS (SELECT DISTINCT 'P' || (o_custkey % 6) AS station, year(o_orderdate)::INT AS year FROM orders)
-SELECT station, year, CASE WHEN year < 1994 THEN 'old' WHEN year < 1997 THEN 'mid' ELSE 'new' END AS dataset FROM y WHERE station IN ('P0', 'P1')""")
+SELECT station, year, CASE WHEN year < 1994 THEN 'old' WHEN year < 1997 THEN 'mid' ELSE 'new' END AS dataset FROM y""")
 def dataset_owners(spark, sf_dir):
     years = v.read(spark, sf_dir, "orders").select(F.concat(F.lit("P"), F.col("o_custkey") % 6).alias("station"), F.year("o_orderdate").alias("year")).distinct()
-    sets = spark.createDataFrame([(s, d, e) for s in ("P0", "P1") for d, e in (("old", 1994), ("mid", 1997), ("new", None))], "station string, dataset string, ends_at int")
+    sets = spark.createDataFrame([(s, d, e) for s in ("P0", "P1", "P2", "P3", "P4", "P5") for d, e in (("old", 1994), ("mid", 1997), ("new", None))], "station string, dataset string, ends_at int")
     return checks.dataset_owner(years, sets)

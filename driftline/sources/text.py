@@ -15,7 +15,7 @@ BUOY_COLUMNS = {
 }
 #: The provider's tests, in the order of their digits.
 PROVIDER_TESTS = (
-    "gap", "syntax", "location", "gross_range", "climatology", "spike", "rate_of_change", "flat_line", "multi_variate", "attenuated", "neighbor",
+    "gap", "syntax", "location", "gross_range", "climatology", "spike", "rate_of_change", "flat_line", "multi_variate", "attenuated_signal", "neighbor",
 )
 DEPTH_COLUMNS = {"T_1m": 1.0, "T_6m": 6.0, "T_15m": 15.0, "T_21m": 21.0, "T_32m": 32.0, "T_45m": 45.0, "T_57m": 57.0, "T_72m": 72.0, "T_90m": 90.0}
 
@@ -132,11 +132,13 @@ CANOPY_COLUMNS = ["year", "quarter", "kelp_area_m2", "count_cells_kelp", "count_
 
 
 def canopy(spark: SparkSession, path: str, polygons: DataFrame) -> DataFrame:
-    """Quarterly response files: derived ``max`` rows go, an unobserved quarter has no area.
+    """Quarterly response files: derived ``max`` rows go, an unobserved quarter has no area, another quarter is refused.
 
     ``polygons`` has file and polygon_id; a file that none names gives no rows.
     """
-    raw = _csv(spark, path, CANOPY_COLUMNS).filter(F.col("quarter").isin("1", "2", "3", "4"))
+    q = F.col("quarter")
+    unknown = ~F.coalesce(q.isin("1", "2", "3", "4", "max"), F.lit(False))
+    raw = _csv(spark, path, CANOPY_COLUMNS).withColumn("quarter", fields.refused(unknown, "an unknown quarter", q, "string")).filter("quarter <> 'max'")
     cells = F.col("count_cells_no_clouds").try_cast("int")
     rows = raw.select(
         "file", F.col("year").try_cast("int").alias("year"), F.col("quarter").try_cast("tinyint").alias("quarter"),
@@ -185,8 +187,15 @@ def shore_archive(spark: SparkSession, path: str, surface_m: float, bottom_m: fl
     num = lambda i: fields.number(F.get("c", i))
     rows = cells.select(
         "file", *(num(i).try_cast("int").alias(n) for i, n in enumerate(("y", "m", "d", "t", "tf"))), num(5).alias("sv"), num(6).try_cast("int").alias("sf"), num(7).alias("bv"), num(8).try_cast("int").alias("bf"),
-    ).filter("y is not null and m is not null and d is not null")
+    )
+    # padding rows go; a part of a date, a day that is none or comes twice, and a clock that is none are refused
+    given = F.array_size(F.array_compact(F.array("y", "m", "d")))
+    rows = rows.filter(given > 0).withColumn("day", F.try_make_timestamp_ntz("y", "m", "d", F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)")))
+    rows = rows.withColumn("days", F.count("*").over(W.partitionBy("file", "y", "m", "d")))
+    rows = rows.withColumn("y", fields.refused((given < 3) | F.col("day").isNull(), "a date in part", F.col("y"), "int"))
+    rows = rows.withColumn("y", fields.refused(F.col("days") > 1, "a repeated day", F.col("y"), "int"))
     minute = calendar.clock(F.col("t"))
+    minute = fields.refused(minute.isNull(), "a clock beyond its range", minute, "int")
     local = F.try_make_timestamp_ntz("y", "m", "d", F.floor(minute / 60).cast("int"), F.pmod(minute, F.lit(60)).cast("int"), F.lit(0).cast("decimal(16,6)"))
     two = F.explode(F.array(*(F.struct(F.lit(z).alias("depth_m"), F.col(v).alias("value"), F.col(f).alias("flag")) for z, v, f in ((surface_m, "sv", "sf"), (bottom_m, "bv", "bf")))))
     rows = rows.select((local + F.expr("interval 8 hours")).alias("timestamp"), F.when(F.col("t").isNotNull(), F.col("tf")).alias("tf"), two.alias("s")).select("timestamp", "tf", "s.*")

@@ -1,11 +1,15 @@
 """Assertions over files and registries on small frames."""
 
 import datetime as dt
+import json
+
+import pytest
 
 from pyspark.sql import functions as F
 
+from driftline.functions import fields, verdicts
 from driftline.operators import checks, screen, validation
-from driftline.sources import zones
+from driftline.sources import config, text, zones
 
 T0 = dt.datetime(2024, 7, 1)
 
@@ -96,7 +100,7 @@ def test_examples_notes_and_places(spark):
     assert checks.first_values(df, "k", "x").first().examples == [0, 1, 2, 3, 4]
     audit = spark.createDataFrame([("s", "mean", "ok"), ("s", "max", "excluded")], "source string, feature string, verdict string")
     assert screen.audit_note(audit, "max").count() == 1 and screen.audit_note(audit, "mean").count() == 0
-    cells = spark.createDataFrame([(0.9, 0.9, 20.0), (-0.9, -0.9, 20.0), (0.1, 0.1, 40.0)], "r double, rho double, n_eff double")
+    cells = spark.createDataFrame([(0.9, 0.9, 20.0, "p"), (-0.9, -0.9, 20.0, "p"), (0.1, 0.1, 40.0, "p")], "r double, rho double, n_eff double, role string")
     assert sorted((r.r, r.abs_r_rank, r.z_rank) for r in screen.scale_ranks(cells).collect()) == [(-0.9, 1, 1), (0.1, 3, 3), (0.9, 1, 1)]
 
 
@@ -105,3 +109,87 @@ def test_breaks_and_standardised_values(spark):
     assert [(r.k, r.q) for r in validation.breaks(df, ["k"], "q", 1).filter("breaks").collect()] == [("k", 5)]
     z = {(r.k, r.q): round(r.x_z, 4) for r in validation.standardised(df, ["k"], "x").collect()}
     assert z == {("k", 1): 0.0, ("k", 2): 0.0, ("k", 5): 0.0, ("m", 1): -0.7071, ("m", 2): 0.7071}
+
+
+# --- refusals, shore archives and logger files ---------------------------------------------------------
+
+
+def refuses(df):
+    with pytest.raises(Exception, match="refused|unknown flag code|USER_RAISED"):
+        df.collect()
+
+
+def test_what_cannot_be_right_is_refused(spark, tmp_path):
+    one = spark.range(1)
+    assert one.select(fields.depth_of_altitude(F.lit(-3.0)).alias("d")).first().d == 3.0
+    assert one.select(fields.depth_of_altitude(F.lit(None).cast("double")).alias("d")).first().d is None
+    refuses(one.select(fields.depth_of_altitude(F.lit(1.5))))
+    assert one.select(verdicts.source_code_status(F.lit(3)).alias("s")).first().s == "suspect"
+    refuses(one.select(verdicts.source_code_status(F.lit(7))))
+    refuses(screen.with_roles(spark.createDataFrame([("t",)], "parameter string"), {"u": "control"}))
+    head = "year,quarter,kelp_area_m2,count_cells_kelp,count_cells_no_clouds,count_cells_historic_footprint\n"
+    for name, quarters, n in (("good", "1 max 2", 2), ("bad", "1 Q9", None)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.csv").write_text(head + "".join(f"2001,{q},900,1,2,3\n" for q in quarters.split()))
+        rows = text.canopy(spark, str(tmp_path / name), spark.createDataFrame([(f"{name}.csv", "P")], "file string, polygon_id string"))
+        refuses(rows) if n is None else None
+        assert n is None or rows.count() == n
+
+
+@pytest.mark.parametrize("lines", ["2001,2,,1030,0,15.0,0,14.0,0", "2001,2,30,1030,0,15.0,0,14.0,0", "2001,2,3,2570,0,15.0,0,14.0,0", "2001,2,3,,,15.0,0,,\n2001,2,3,,,15.1,0,,", "2001,2,3,,,15.0,8,,"])
+def test_shore_days_and_codes_that_are_none_are_refused(spark, tmp_path, lines):
+    head = "Station: X\nYEAR,MONTH,DAY,TIME_PST,TIME_FLAG,SURF_TEMP_C,SURF_FLAG,BOT_TEMP_C,BOT_FLAG,,\n"
+    (tmp_path / "a.csv").write_text(head + "2001,1,1,,,14.0,0,13.0,0,,\n,,,,,,,,,,\n" + lines + "\n")
+    refuses(text.shore_archive(spark, str(tmp_path), 0.0, 5.0, "X"))
+    (tmp_path / "a.csv").write_text(head + "2001,1,1,,,14.0,0,13.0,0,,\n,,,,,,,,,,\n")
+    assert text.shore_archive(spark, str(tmp_path), 0.0, 5.0, "X").count() == 2
+
+
+def test_shore_pins_block_in_their_order(spark):
+    day, legend = dt.date(2024, 1, 1), {"0": "good", "5": "bad"}
+    schema = "file string, latitude double, longitude double, surface_m double, bottom_m double, archive_date date, legend map<string,string>"
+    heads = spark.createDataFrame([("a", 32.9, -117.2, 0.0, 5.0, day, legend), ("b", 32.9, -117.2, 0.0, 4.0, day, {"0": "good"}), ("c", 32.9, -117.2, 0.0, 5.0, dt.date(2024, 2, 1), legend), ("d", 0.0, 0.0, 0.0, 5.0, day, legend)], schema)
+    pins = heads.filter("file = 'a'").toDF("x", "site_lat", "site_lon", "site_surface_m", "site_bottom_m", "site_archive_date", "site_legend").drop("x")
+    pins = pins.crossJoin(spark.createDataFrame([(x,) for x in "abc"], "file string"))
+    rows = checks.shore_pins(heads, pins)
+    got = {(r.file, r.check): r.status for r in rows.collect()}
+    assert all(got["a", c] == "pass" for c in checks.SHORE_ORDER) and got["c", "archive date"] == "warn"
+    out = {r.file: (r.outcome, r.blocked_by) for r in checks.outcome(rows, checks.SHORE_ORDER).collect()}
+    assert out == {"a": ("accepted", None), "b": ("quarantined", "legend"), "c": ("accepted", None), "d": ("quarantined", "position")}
+
+
+def test_all_checks_of_a_logger_file(spark):
+    step = dt.timedelta(minutes=10)
+    rows = spark.createDataFrame([(f, i + 1, i + 1, T0 + step * i, "t", float(i)) for f in "ab" for i in range(3)], "file string, line_no long, row_number long, timestamp_local timestamp_ntz, series string, value double")
+    extra = spark.createDataFrame([("b", 2)], "file string, n_extra int")
+    files = spark.createDataFrame([("a", "1", "1"), ("b", "1", "2")], "file string, file_serial string, recorded_serial string")
+    events = spark.createDataFrame([(f, T0, T0 + step * 2, 600.0) for f in "ab"], "file string, started timestamp_ntz, ended timestamp_ntz, interval_s double")
+    said = spark.createDataFrame([(f, "t", 3, 0.0, 2.0, 1.0) for f in "ab"], "file string, series string, rep_n long, rep_min double, rep_max double, rep_mean double")
+    spans = spark.createDataFrame([(f, "PDT", T0, T0, "America/Los_Angeles") for f in "ab"], "file string, token string, first_local timestamp_ntz, last_local timestamp_ntz, zone string")
+    found = checks.logger_checks(rows, extra, files, events, said, spans, {"PDT": -7})
+    assert {c for c, in found.select("check").distinct().collect()} == set(checks.LOGGER_ORDER)
+    assert {r.file: r.blocked_by for r in checks.outcome(found, checks.LOGGER_ORDER).collect()} == {"a": None, "b": "edited"}
+
+
+def test_first_days_with_a_source_flag(spark):
+    rows = spark.createDataFrame([("a", "s", T0 + dt.timedelta(days=i), 1.0, 5 if i % 2 else 0) for i in range(16)] + [("a", "s", T0, None, 5)], "file string, series string, timestamp timestamp_ntz, value double, flag int")
+    r = checks.first_flagged(rows).first()
+    assert r.n_days == 8 and r.first_days == [(T0 + dt.timedelta(days=d)).date() for d in (1, 3, 5, 7, 9)]
+
+
+def test_declared_settings(spark, tmp_path):
+    (tmp_path / "p.json").write_text(json.dumps({"_comment": "x", "parameters": {"t": {"unit": "degC", "valid_range": [0, 40], "qc": {"spike": {"suspect": 1, "fail": 2}, "by_source": {"s": {"spike": None, "rate_of_change": {"suspect_per_hour": 3, "fail_per_hour": 6}}}}}, "w": {"unit": "m"}}}))
+    p = {r.parameter: r for r in config.parameters(spark, str(tmp_path / "p.json")).collect()}
+    assert (p["t"].valid_max, p["t"].spike_fail, p["t"].rate_fail, p["w"].valid_min) == (40.0, 2.0, None, None)
+    by = {(r.parameter, r.source, r.test): (r.suppressed, r.suspect, r.fail) for r in config.source_exceptions(spark, str(tmp_path / "p.json")).collect()}
+    assert by == {("t", "s", "spike"): (True, None, None), ("t", "s", "rate_of_change"): (False, 3.0, 6.0)}
+    (tmp_path / "f.json").write_text(json.dumps({"policy": {"coverage_floor": 0.6, "baseline": {"start_year": 2007, "end_year": 2019, "min_years": 10}, "baseline_overrides": {"_comment": "x", "A": {"start_year": 2015, "end_year": 2024}}}, "parameters": {"t": {"feature_set": "temperature", "thresholds": {"days_above_c": [20, 23], "time_in_band_c": [[14, 18]]}}, "w": {"feature_set": "statistics", "role": "control"}}}))
+    f = str(tmp_path / "f.json")
+    assert config.feature_policy(spark, f).first().start_year == 2007
+    assert [(r.series, r.start_year, r.end_year) for r in config.baseline_overrides(spark, f).collect()] == [("A", 2015, 2024)]
+    assert {r.parameter: r.role for r in config.feature_sets(spark, f).collect()} == {"t": "predictor", "w": "control"}
+    assert {(r.parameter, r.kind, tuple(r.bounds)) for r in config.thresholds(spark, f).collect()} == {("t", "days_above_c", (20.0,)), ("t", "days_above_c", (23.0,)), ("t", "time_in_band_c", (14.0, 18.0))}
+    (tmp_path / "g.json").write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"polygon_id": "P", "purpose": "control", "site_ids": ["a", "b"], "source_file": "k.csv"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}}]}))
+    g = config.polygons(spark, str(tmp_path / "g.json"))
+    assert [(r.polygon_id, r.purpose, r.file, len(r.outline)) for r in g.collect()] == [("P", "control", "k.csv", 4)]
+    assert {(r.polygon_id, r.site_id) for r in config.polygon_sites(g).collect()} == {("P", "a"), ("P", "b")}

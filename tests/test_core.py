@@ -45,7 +45,7 @@ def test_evaluation_is_idempotent_and_keeps_foreign_verdicts(spark):
     once = quality.evaluate(obs(spark, [15.0, 40.0, 15.0], tests="deployment_window:fail;spike:pass"), PARAMETERS)
     twice = quality.evaluate(once, PARAMETERS)
     assert once.orderBy("timestamp").collect() == twice.orderBy("timestamp").collect()
-    assert flags(once) == [4, 4, 4] and all(r.qc_tests.endswith("deployment_window:fail") for r in once.collect())
+    assert flags(once) == [4, 4, 4] and all(r.qc_tests.startswith("deployment_window:fail;") for r in once.collect())
 
 
 def test_unknown_parameters_and_series_over_a_year_end(spark):
@@ -120,8 +120,9 @@ def test_platforms_fold_through_shared_kin(spark):
     kin = spark.createDataFrame([("r3", "r1"), ("r3", "r4")], "a string, b string")
     folded = validation.fold_platforms(refs, kin)
     assert {r.ref: r.platform for r in folded.collect()} == {"r1": 1, "r2": 2, "r3": 1, "r4": 1}
-    have = spark.createDataFrame([("r3",), ("r4",), ("r2",)], "ref string")
-    assert {(r.ref, r.collapsed_refs) for r in validation.choose_references(folded, have).collect()} == {("r3", "r4"), ("r2", "")}
+    have = spark.createDataFrame([("r3", "t"), ("r4", "t"), ("r2", "t"), ("r1", "u")], "ref string, parameter string")
+    chosen = {(r.parameter, r.ref, r.collapsed_refs) for r in validation.choose_references(folded, have).collect()}
+    assert chosen == {("t", "r3", "r1;r4"), ("t", "r2", ""), ("u", "r1", "r3;r4")}
 
 
 # --- statistics -----------------------------------------------------------------------------------
