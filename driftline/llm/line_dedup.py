@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import log
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +11,8 @@ from .common import discard, id_and_text, stored
 PERCENT = 90
 #: Buckets of the token counts that rank tokens by rarity, a power of two; the table of ranks is this long at any size.
 BUCKETS = 1 << 16
-#: Entries of a bucket beyond which it is parted by length.
-LARGE = 1000
+#: Documents with lines to verify, of some 80 bytes each, up to which they are broadcast to the texts.
+BROADCAST_DOCS = 250_000
 _LOW = 56
 #: A line's place: the document, which of the texts under its id, and the line's number.
 PLACE = ["doc_id", "version", "line_no"]
@@ -107,7 +105,7 @@ def similar_lines(
     verified on the whole sets. Sets so small that only equal ones match have no
     prefix. A set first meets the earliest set of each of its buckets, which settles
     most of a large group of near copies without pairs inside it; only sets not
-    settled so meet the others, in large buckets parted by length. Lines without a token are
+    settled so meet the others. Lines without a token are
     not listed.
 
     Nulls: rows without an id match nothing and are not listed; a null text has no
@@ -130,26 +128,24 @@ def similar_lines(
         .select("at.*", "n", "prefix", "parity")
     )
     sets = stored(sets, "sets")
-    entries = sets.select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "token"))
+    entries = _entries(sets)
     # a set is settled by the first set of a bucket where it can; pairs in number are the prefixes at most
     pivots = entries.groupBy("token").agg(F.min(F.struct(*_ENTRY)).alias("e"), F.count("*").alias("size"))
-    pivots = pivots.filter("size > 1").select("token", F.col("e").alias("first"), "size")
-    shared = stored(entries.join(pivots, "token"), "entries")
-    met = shared.select(*_ENTRY, *(F.col(f"first.{c}").alias(f"e_{c}") for c in _ENTRY))
-    settled = _later_of(met, base, percent)
-    # what is left meets every earlier set of its buckets; a large bucket is parted by length
-    step = log(100 / percent) if percent < 100 else 1.0
-    length, large = F.floor(F.log(n) / F.lit(step)), F.col("size") > LARGE
-    earlier = shared.select("token", F.when(large, length).otherwise(0).alias("length"), *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
-    left = shared.filter(_later("first.")).join(settled, PLACE, "left_anti")
-    asked = F.when(large, F.array(length - 1, length, length + 1)).otherwise(F.array(F.lit(0).cast("long")))
-    left = left.select("token", *_ENTRY, F.explode(asked).alias("length"))
-    more = _later_of(left.join(earlier, ["token", "length"]), base, percent)
+    pivots = pivots.filter("size > 1").select("token", *(F.col(f"e.{c}").alias(f"e_{c}") for c in _ENTRY))
+    settled = _later_of(entries.join(pivots, "token"), base, percent)
+    # what is left meets every earlier set of its buckets
+    earlier = entries.select("token", *(F.col(c).alias(f"e_{c}") for c in _ENTRY))
+    rest = _entries(sets.join(settled, PLACE, "left_anti"))
+    more = _later_of(rest.join(earlier, "token"), base, percent)
     staying = stored(sets.select(*PLACE).join(settled.union(more), PLACE, "left_anti"), "staying")
-    discard(sets, shared, settled, more)
+    discard(sets, settled, more)
     return staying
 
 
+def _entries(sets: DataFrame) -> DataFrame:
+    return sets.select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "token"))
+
+
 def _later(prefix: str) -> Column:
     """Whether the row's place comes after the one under ``prefix``."""
     return F.struct(*PLACE) > F.struct(*(F.col(prefix + c) for c in PLACE))
@@ -172,9 +168,10 @@ def _later_of(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
     # whole sets again, of the wanted lines only, which are fetched with their document
     both_ends = F.array(F.struct(*PLACE), F.struct(*(F.col(o).alias(c) for o, c in zip(other, PLACE, strict=True))))
     wanted = candidates.select(F.inline(both_ends)).groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("line_no")).alias("numbers"))
-    wanted = wanted.withColumn("chosen", _chosen(F.col("numbers")))
+    wanted = stored(wanted.withColumn("chosen", _chosen(F.col("numbers"))), "wanted")
+    few = wanted.count() <= BROADCAST_DOCS  # else the texts are shuffled to them
     lines = F.filter(F.split(_plain(F.col("text")), "\n"), lambda x, i: F.coalesce(F.get("chosen", i), F.lit(False)))
-    found = base.join(wanted, ["doc_id", "version"]).select(
+    found = base.join(F.broadcast(wanted) if few else wanted, ["doc_id", "version"]).select(
         "doc_id", "version", F.inline(F.arrays_zip(F.col("numbers").alias("line_no"), lines.alias("line")))
     )
     whole = found.select(*PLACE, _numbers(F.col("line"), lambda t: F.xxhash64(t)).alias("tokens")).dropDuplicates(PLACE)
@@ -189,7 +186,7 @@ def _later_of(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
         .distinct(),
         "settled",
     )
-    discard(candidates, whole)
+    discard(candidates, wanted, whole)
     return later
 
 

@@ -162,8 +162,8 @@ def test_lines_equal_all_pairs(spark, monkeypatch):
         part = [pool[int(k)] for k in r.integers(0, len(pool), 4)]
         part = [p.replace(p.split()[0], f"n{r.integers(99)}") if r.random() < 0.3 else p for p in part]
         texts.append("\n".join(part))
-    for percent, large in ((80, 1000), (80, 3), (90, 1000)):
-        monkeypatch.setattr(line_dedup, "LARGE", large)
+    for percent, few in ((80, 1000), (90, 0)):
+        monkeypatch.setattr(line_dedup, "BROADCAST_DOCS", few)
         got = {(x.doc_id, x.line_no) for x in line_dedup.similar_lines(frame(spark, texts), percent=percent).collect()}
         assert got == brute_lines(texts, percent)
 
