@@ -146,9 +146,10 @@ def _entries(sets: DataFrame) -> DataFrame:
     return sets.select(*PLACE, "n", "parity", F.posexplode("prefix").alias("pos", "token"))
 
 
-def _later(prefix: str) -> Column:
-    """Whether the row's place comes after the one under ``prefix``."""
-    return F.struct(*PLACE) > F.struct(*(F.col(prefix + c) for c in PLACE))
+def _later() -> Column:
+    """Whether a set's place comes after the other's, compared number by number, as structs of a pair cost more."""
+    doc, version, line = ((F.col(c) > F.col(f"e_{c}"), F.col(c) == F.col(f"e_{c}")) for c in PLACE)
+    return doc[0] | (doc[1] & (version[0] | (version[1] & line[0])))
 
 
 def _later_of(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
@@ -157,7 +158,7 @@ def _later_of(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
     asked = F.ceil((n + m) * F.lit(percent) / F.lit(100.0 + percent) - 1e-9)  # shared tokens
     other = [f"e_{c}" for c in PLACE]
     candidates = (
-        pairs.filter(_later("e_"))
+        pairs.filter(_later())
         .filter((F.least(n, m) * 100 >= F.greatest(n, m) * percent))
         .filter(1 + F.least(n - F.col("pos") - 1, m - F.col("e_pos") - 1) >= asked)
         .filter(F.bit_count(F.col("parity").bitwiseXOR(F.col("e_parity"))) <= n + m - 2 * asked)
