@@ -83,7 +83,8 @@ def _by_rarity(ranks: Column, buckets: int):
 
     def number(token: Column) -> Column:
         h = F.xxhash64(token)
-        return F.shiftleft(F.get(ranks, _bucket(h, buckets)), _LOW).bitwiseOR(h.bitwiseAND(F.lit((1 << _LOW) - 1)))
+        rank = F.coalesce(F.get(ranks, _bucket(h, buckets)), F.lit(0).cast("long"))  # never null, so arrays sort as plain numbers
+        return F.shiftleft(rank, _LOW).bitwiseOR(h.bitwiseAND(F.lit((1 << _LOW) - 1)))
 
     return number
 
