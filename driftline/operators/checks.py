@@ -254,8 +254,9 @@ def dataset_owner(years: DataFrame, datasets: DataFrame) -> DataFrame:
 
 
 def canopy_file_polygon(files: DataFrame, polygons: DataFrame) -> DataFrame:
-    """The polygon whose declaration names a file; none quarantines it."""
-    return files.join(polygons, "file", "left").withColumn("outcome", F.when(F.col("polygon_id").isNull(), "quarantined").otherwise("accepted"))
+    """The one polygon whose declaration names a file; none or several quarantine it."""
+    once = polygons.groupBy("file").agg(F.count("*").alias("n")).filter("n = 1")
+    return files.join(polygons.join(once, "file", "left_semi"), "file", "left").withColumn("outcome", F.when(F.col("polygon_id").isNull(), "quarantined").otherwise("accepted"))
 
 
 def repeated_landings(files: DataFrame) -> DataFrame:
