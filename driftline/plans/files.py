@@ -63,14 +63,14 @@ def clocks_read(spark, sf_dir):
     return e.select("event_id", fields.five_column_time(part[0], month, *part[1:]).alias("stamp"), calendar.clock(hhmm).alias("clock_minute"))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN hour(ts) * 3600 + minute(ts) * 60 + second(ts) END::BIGINT AS seconds, event_type AS name, 'SN' || user_id AS serial, event_id::VARCHAR AS readout FROM events""")
+@query("""SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN hour(ts) * 3600 + minute(ts) * 60 + second(ts) END::DOUBLE AS seconds, event_type AS name, 'SN' || user_id AS serial, event_id::VARCHAR AS readout FROM events""")
 def intervals_and_names(spark, sf_dir):
     e = _events(spark, sf_dir)
     said = F.when(F.col("event_id") % 13 == 0, "none").otherwise(
         F.concat_ws(" ", F.hour("ts"), F.lit("hour"), F.minute("ts"), F.lit("minutes"), F.second("ts"), F.lit("seconds"))
     )
     name, serial, readout = fields.file_parts(F.concat("event_type", F.lit("__SN"), "user_id", F.lit("__"), "event_id", F.lit(".csv")))
-    return e.select("event_id", fields.interval_seconds(said).alias("seconds"), name.alias("name"), serial.alias("serial"), readout.alias("readout"))
+    return e.select("event_id", fields.interval_seconds(said).cast("double").alias("seconds"), name.alias("name"), serial.alias("serial"), readout.alias("readout"))
 
 
 @query("""SELECT event_id, abs(value) AS depth_m, (CASE WHEN event_id % 97 = 0 THEN 9 ELSE 2 END)::TINYINT AS qc_flag FROM events""")
@@ -324,7 +324,7 @@ def stations_of_operator(spark, sf_dir):
 
 @query("""WITH f AS (SELECT o_orderkey AS file, 'SN' || (o_custkey % 50) AS serial, o_orderkey % 5 AS n FROM orders), d AS (SELECT DISTINCT 'SN' || (c_custkey % 60) AS serial, c_nationkey::BIGINT AS number FROM customer WHERE c_custkey % 60 < 40 AND (c_custkey % 60 < 30 OR c_nationkey = 3)),
 j AS (SELECT file, number, n, count(number) OVER (PARTITION BY file) AS k FROM f LEFT JOIN d USING (serial)), o AS (SELECT file, min(number) AS number FROM j WHERE k = 1 OR number = n GROUP BY 1)
-SELECT file, serial, number AS deployment_number, CASE WHEN number IS NULL THEN 'quarantined' ELSE 'accepted' END AS outcome FROM f LEFT JOIN o USING (file)""")
+SELECT file, serial, number::VARCHAR AS deployment_number, CASE WHEN number IS NULL THEN 'quarantined' ELSE 'accepted' END AS outcome FROM f LEFT JOIN o USING (file)""")
 def deployments_of_files(spark, sf_dir):
     files = v.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("file"), F.concat(F.lit("SN"), F.col("o_custkey") % 50).alias("serial"), (F.col("o_orderkey") % 5).alias("file_number"))
     place = F.col("c_custkey") % 60
@@ -333,7 +333,7 @@ def deployments_of_files(spark, sf_dir):
     deployed = v.read(spark, sf_dir, "customer").select(
         F.concat(F.lit("SN"), place).alias("serial"), F.col("c_nationkey").cast("long").alias("deployment_number"), F.lit("2024-01-01").cast("timestamp_ntz").alias("w_start"), at("2024-02-01").alias("w_end")
     )
-    return checks.registry_gate(files, deployed)
+    return checks.registry_gate(files, deployed).withColumn("deployment_number", F.col("deployment_number").cast("string"))
 
 
 @query("""WITH s AS (SELECT DISTINCT user_id AS file, user_id % 10 AS serial, event_type AS series FROM events), m AS (SELECT DISTINCT user_id % 10 AS serial, event_type AS series FROM events WHERE user_id % 10 <> 4 AND (user_id % 10 + length(event_type)) % 3 <> 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NOW = "2030-01-01"
@@ -29,10 +29,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sensor-like observations from ``events``."""
+def obs(spark: SparkSession, sf_dir: str, of: Column | None = None) -> DataFrame:
+    """Sensor-like observations from ``events``, or from those of one batch."""
+    events = read(spark, sf_dir, "events")
     value = F.when(F.col("event_id") % 97 != 0, F.col("value"))
-    return read(spark, sf_dir, "events").select(
+    return (events if of is None else events.filter(of)).select(
         F.col("ts").alias("timestamp"),
         F.concat(F.lit("S"), F.col("user_id") % 10).alias("site_id"),
         F.col("event_type").alias("parameter"),

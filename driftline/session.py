@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -21,6 +22,17 @@ def session(app: str = "driftline", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that ``spark.checkpoint.dir`` names; only a local master may go without the setting."""
+    place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not place:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        place = tempfile.mkdtemp(prefix="driftline-")
+    return f"{place.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def _importable_by_workers() -> bool:
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     return any(p and os.path.abspath(p) == ROOT for p in paths)

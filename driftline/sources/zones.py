@@ -15,6 +15,9 @@ OBSERVATION = (
 )
 TABLES = ("quarterly_env", "quarterly_canopy", "climatology_env", "climatology_canopy", "comparison", "validation", "deployment", "deployment_daily", "deployment_hourly")
 
+#: Files that a partition (source, year) is written as at most.
+PARTITION_FILES = 16
+
 
 def dedupe(obs: DataFrame, arrival: str | None = None) -> DataFrame:
     """One row for each identity and source: the newest run, of equals the later arrival. Null depths are equal.
@@ -26,6 +29,11 @@ def dedupe(obs: DataFrame, arrival: str | None = None) -> DataFrame:
     return obs.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
@@ -59,10 +67,13 @@ def write_observations(new: DataFrame, root: str) -> None:
     every = old.withColumn("__arrival", F.lit(0)).unionByName(new.withColumn("__arrival", F.lit(1)))
     merged = dedupe(every, "__arrival").drop("__arrival")
     aside = f"{root.rstrip('/')}-merge-{uuid.uuid4().hex}"
-    merged.repartition("source", "year").sortWithinPartitions("source", "year", *IDENTITY).write.parquet(aside)
-    spark.read.schema(merged.schema).parquet(aside).repartition("source", "year").sortWithinPartitions("source", "year", *IDENTITY).write.partitionBy("source", "year").mode(
+    merged.write.parquet(aside)
+    # a partition is written by several tasks, so a long year of one source is not one task's work
+    part = ["source", "year", F.pmod(F.xxhash64("site_id"), F.lit(PARTITION_FILES))]
+    spark.read.schema(merged.schema).parquet(aside).repartition(*part).sortWithinPartitions("source", "year", *IDENTITY).write.partitionBy("source", "year").mode(
         "overwrite"
     ).option("partitionOverwriteMode", "dynamic").parquet(root)
+    _delete(spark, aside)
 
 
 def read_features(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
@@ -91,6 +102,7 @@ def write_features(df: DataFrame, root: str, table: str, key: list[str], replaci
     aside = f"{root}/{table}-{uuid.uuid4().hex}"
     df.write.parquet(aside)
     replace_features(spark.read.parquet(aside), root, table, key)
+    _delete(spark, aside)
 
 
 def stored_sources(spark: SparkSession, root: str) -> DataFrame:

@@ -71,9 +71,10 @@ def test_series_maps_and_canopy_files(spark):
     series = spark.createDataFrame([("a", "s", "x"), ("a", "s", "y"), ("b", "s", "x"), ("c", "s", "z")], "file string, serial string, series string")
     mapping = spark.createDataFrame([("s", "x", "temp")], "serial string, series string, parameter string")
     assert status(checks.series_map_gate(series, mapping)) == {"a": "warn", "b": "pass", "c": "fail"}
-    files = spark.createDataFrame([("p.csv",), ("q.csv",)], "file string")
-    polygons = spark.createDataFrame([("p.csv", "P")], "file string, polygon_id string")
-    assert {r.file: r.outcome for r in checks.canopy_file_polygon(files, polygons).collect()} == {"p.csv": "accepted", "q.csv": "quarantined"}
+    files = spark.createDataFrame([("p.csv",), ("q.csv",), ("r.csv",)], "file string")
+    polygons = spark.createDataFrame([("p.csv", "P"), ("r.csv", "P"), ("r.csv", "Q")], "file string, polygon_id string")
+    found = {r.file: r.outcome for r in checks.canopy_file_polygon(files, polygons).collect()}
+    assert found == {"p.csv": "accepted", "q.csv": "quarantined", "r.csv": "quarantined"}
     landed = spark.createDataFrame([("P", 1, "a"), ("P", 1, "b"), ("P", 2, "c")], "polygon_id string, revision int, file string")
     assert [tuple(r) for r in checks.repeated_landings(landed).collect()] == [("P", 1, 2)]
 
