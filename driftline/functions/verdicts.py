@@ -40,7 +40,28 @@ def describe(verdicts: Column) -> Column:
     keyed = F.transform(
         entries, lambda e: F.struct(F.coalesce(F.try_element_at(rank, e["key"]), F.lit(len(ORDER))).alias("r"), e["key"].alias("k"), e["value"].alias("v"))
     )
-    return F.array_join(F.transform(F.array_sort(keyed), lambda e: F.concat(e["k"], F.lit(":"), e["v"])), ";")
+    return F.array_join(F.transform(F.sort_array(keyed), lambda e: F.concat(e["k"], F.lit(":"), e["v"])), ";")
+
+
+def merged(packed: Column, foreign: Column, own: dict[str, Column]) -> tuple[Column, Column]:
+    """Flag and text of ``own`` verdicts by name and ``foreign``, a map of what other stages packed.
+
+    ``own`` names tests of ORDER, in that order. The map is looked at only where ``packed``
+    holds something, so rows without foreign verdicts cost no maps or arrays.
+    """
+    some = F.coalesce(packed, F.lit("")) != ""
+    flag = F.lit(NOT_EVALUATED)
+    for status in ("pass", "suspect", "fail", "missing"):
+        mine = F.lit(False)
+        for verdict in own.values():
+            mine = mine | F.coalesce(verdict == status, F.lit(False))
+        theirs = F.when(some, F.coalesce(F.array_contains(F.map_values(foreign), status), F.lit(False))).otherwise(F.lit(False))
+        flag = F.when(mine | theirs, STATUS[status]).otherwise(flag)
+    first = ORDER[: ORDER.index(next(iter(own)))]
+    parts = [F.when(some, F.concat(F.lit(f"{t}:"), F.try_element_at(foreign, F.lit(t)))) for t in first]
+    parts += [F.concat(F.lit(f"{t}:"), verdict) for t, verdict in own.items()]
+    rest = F.when(some, F.nullif(describe(F.map_filter(foreign, lambda k, _: ~k.isin(*first))), F.lit("")))
+    return flag.cast("tinyint"), F.concat_ws(";", *parts, rest)
 
 
 def decode_digits(digits: Column, names: tuple[str, ...]) -> Column:

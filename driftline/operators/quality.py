@@ -84,14 +84,14 @@ def evaluate(obs: DataFrame, parameters: dict) -> DataFrame:
     tested = obs
     for name, verdict in tests.items():
         tested = tested.withColumn(f"__{name}", F.when(~_suppressed(parameters, name), verdict))
-    own = F.create_map(*[x for n in tests for x in (F.lit(n), F.col(f"__{n}"))])
-    foreign = F.map_filter(verdicts.parse(F.col("qc_tests")), lambda k, _: ~k.isin(*tests))
-    every = F.map_filter(F.map_concat(foreign, own), lambda _, x: x.isNotNull())
+    packed = F.col("qc_tests")
+    foreign = F.map_filter(verdicts.parse(packed), lambda k, _: ~k.isin(*tests))
+    flag, text = verdicts.merged(packed, F.col("__foreign"), {n: F.col(f"__{n}") for n in tests})
     known = F.col("parameter").isin(*parameters)
     return (
-        tested.withColumn("__all", every)
-        .withColumn("qc_flag", F.when(known, verdicts.rollup(F.map_values("__all"))).otherwise(F.col("qc_flag")))
-        .withColumn("qc_tests", F.when(known, verdicts.describe(F.col("__all"))).otherwise(F.col("qc_tests")))
+        tested.withColumn("__foreign", F.when(F.coalesce(packed, F.lit("")) != "", foreign))
+        .select(*(c for c in tested.columns if c not in ("qc_flag", "qc_tests")),
+                F.when(known, flag).otherwise(F.col("qc_flag")).alias("qc_flag"), F.when(known, text).otherwise(packed).alias("qc_tests"))
         .select(*obs.columns)
     )
 

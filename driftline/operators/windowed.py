@@ -11,10 +11,11 @@ from driftline.functions.stats import null_safe_join
 
 
 def statistics(v: Column) -> list[Column]:
-    """Mean, extremes, linear 5 and 95 % points and sample variance (null for one value)."""
+    """Mean, extremes, linear 5 and 95 % points (of one buffer) and sample variance (null for one value)."""
+    points = F.percentile(v, [0.05, 0.95])
     return [
         F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.percentile(v, 0.05).alias("p05"), F.percentile(v, 0.95).alias("p95"), F.var_samp(v).alias("variance"),
+        points[0].alias("p05"), points[1].alias("p95"), F.var_samp(v).alias("variance"),
     ]
 
 
@@ -71,17 +72,25 @@ def reduce_windows(
     keep let count, which each row records as qc_max_flag. clamped marks a group with
     more rows than its cadence lets expect. Statistics, counts and cadence
     come from one shuffle by the keys; the days are reduced once for all thresholds.
+    Observed days are counted where the day changes along the sorted rows, without a
+    distinct; with ``cadence`` a group lies within one day. A group's values are held
+    together for the exact percentiles.
     """
     columns = naming.feature_columns(features)
     kept_value = F.when(F.col("keep"), F.col("value"))
     seen = W.partitionBy(*keys).orderBy("timestamp").rowsBetween(W.unboundedPreceding, -1)
     last = F.last(F.when(F.col("keep"), F.col("timestamp")), ignorenulls=True).over(seen)
-    measured = rows if cadence else rows.withColumn("dt", F.when(F.col("keep"), calendar.seconds(F.col("timestamp"), last)))
+    day_starts = F.col("keep") & (F.to_date("last").isNull() | (F.to_date("timestamp") != F.to_date("last")))
+    if cadence:
+        measured, n_days = rows, F.max(F.col("keep").cast("long"))
+    else:
+        measured = rows.withColumn("last", last).withColumn("dt", F.when(F.col("keep"), calendar.seconds(F.col("timestamp"), F.col("last"))))
+        n_days = F.count_if(day_starts)
     med = F.median("dt") if not cadence else F.first(cadence)
     bands = [(p, a, b) for p, t in features.items() for a, b in (t or {}).get("time_in_band", ())]
     main = measured.groupBy(*keys).agg(
         F.count(kept_value).alias("n_obs"),
-        F.count_distinct(F.when(F.col("keep"), F.to_date("timestamp"))).alias("n_days_observed"),
+        F.coalesce(n_days, F.lit(0).cast("long")).alias("n_days_observed"),
         F.when(med > 0, med).alias("cadence_s"),
         F.first("w_start").alias("w_start"), F.first("w_end").alias("w_end"),
         F.lit(most).alias("qc_max_flag"),

@@ -13,6 +13,7 @@ from driftline.operators import features as feat
 from driftline.operators import quality, screen, validation
 from driftline.operators.grid import area_mean
 from driftline.plans import views as v
+from driftline.session import written
 from driftline.sources import zones
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -261,7 +262,7 @@ def _qlong(spark, sf_dir):
 
 
 def _anomalies(spark, sf_dir):
-    q = _qlong(spark, sf_dir)
+    q = written(_qlong(spark, sf_dir), "quarterly")  # read for the baselines, their years and the quarters
     clim = feat.climatology(q, MEASURED, quality.SERIES, v.BASELINE, "site_id")
     return feat.with_anomalies(q, clim, MEASURED, quality.SERIES, v.BASELINE, "site_id")
 
@@ -304,7 +305,8 @@ canopy AS (SELECT cq.*, coalesce(baseline_years, 0) AS baseline_years, CASE WHEN
 
 
 def _canopy(spark, sf_dir):
-    return feat.build_canopy(v.canopy_landed(spark, sf_dir), 0.6, v.NOW, v.BASELINE)[0]
+    landed = written(v.canopy_landed(spark, sf_dir), "canopy")  # read as the quarters, their baselines and years
+    return feat.build_canopy(landed, 0.6, v.NOW, v.BASELINE)[0]
 
 
 @query(f"WITH {SQL_CANOPY} SELECT * REPLACE (round(pct_coverage, 6) AS pct_coverage, round(area_m2_anom, 6) AS area_m2_anom) FROM canopy")
@@ -681,7 +683,7 @@ def _validation(spark, sf_dir):
     deployments = v.deployments(spark)
     sites = deployments.select("site_id").union(refs.select("ref")).distinct()
     raw = v.obs(spark, sf_dir).join(F.broadcast(sites), "site_id", "left_semi")  # a dimension of sites
-    obs = quality.evaluate(zones.dedupe(raw), v.PARAMETERS)
+    obs = written(quality.evaluate(zones.dedupe(raw), v.PARAMETERS), "evaluated")  # six parts of the plan read it
     kept = obs.filter("qc_flag <= 2 and value is not null").select(F.col("site_id").alias("ref"), "parameter")
     chosen = validation.choose_references(validation.fold_platforms(refs, kin), kept)
     return validation.build_validation(obs, deployments, chosen, 2.0)

@@ -33,6 +33,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{place.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, where several parts of a plan need the same rows.
+
+    The files stay until whoever owns the folder clears it, as the plan reads them lazily.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _importable_by_workers() -> bool:
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     return any(p and os.path.abspath(p) == ROOT for p in paths)
