@@ -118,9 +118,91 @@ SELECT m.conv_id, m.turn, role, parent_turn, coalesce(root_turn, m.turn) AS root
 FROM m LEFT JOIN reply USING (conv_id, turn) LEFT JOIN root USING (conv_id, turn)
 """
 
+_BITS = """
+SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+WHERE embedding IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+"""
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """k-means by plain distances: every part against every entry, in ``rounds`` rounds and a last assignment."""
+    near = """near{i} AS MATERIALIZED (
+  SELECT r, j, arg_min((e, d), (d, e)) AS best
+  FROM (SELECT p.r, p.j, b.e, list_inner_product(x, x) - 2 * list_inner_product(x, y) + list_inner_product(y, y) AS d
+        FROM pieces p JOIN books{i} b USING (j)) GROUP BY r, j
+)"""
+    new = """books{n} AS MATERIALIZED (
+  SELECT b.j, b.e, coalesce(m.y, b.y) AS y
+  FROM books{i} b LEFT JOIN (
+    SELECT j, e, list(c ORDER BY k) AS y FROM (
+      SELECT p.j, n.best[1] AS e, k, floor(sum(x[k]) / count(*)) AS c
+      FROM pieces p JOIN near{i} n USING (r, j), unnest(generate_series(1, len(x))) AS g(k) GROUP BY ALL
+    ) GROUP BY j, e
+  ) m USING (j, e)
+)"""
+    steps = []
+    for i in range(rounds):
+        steps += [near.format(i=i), new.format(i=i, n=i + 1)]
+    steps.append(near.format(i=rounds))
+    return f"""WITH kept AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r FROM ({_BITS})),
+pieces AS MATERIALIZED (
+  SELECT r, j, list_slice(v, j * len(v) // {parts} + 1, (j + 1) * len(v) // {parts}) AS x FROM kept, unnest(range({parts})) AS s(j)
+),
+books0 AS MATERIALIZED (SELECT j, r - 1 AS e, x AS y FROM pieces WHERE r <= {entries}),
+{", ".join(steps)},
+hash AS (SELECT sha256(string_agg(array_to_string(list_transform(y, lambda c: c::BIGINT), ','), ',' ORDER BY j, e)) AS h FROM books{rounds}),
+coded AS (
+  SELECT r, string_agg(format('{{:02x}}', best[1]), '' ORDER BY j) AS code, sum(best[2])::BIGINT AS error FROM near{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256
+FROM kept JOIN coded USING (r), hash
+"""
+
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+t AS MATERIALIZED (SELECT r, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n
+  FROM (SELECT g.lang, g.source, term FROM g JOIN kept USING (lang))
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) USING (lang, source, term)
+),
+p AS MATERIALIZED (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+  FROM c JOIN v USING (lang)
+),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) JOIN v USING (lang)
+),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source AS s1, y.source AS s2, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y USING (lang, term) GROUP BY ALL) s
+    ON s.lang = a.lang AND s1 = a.source AND s2 = b.source
+),
+found AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 50
+"""
+
 ORACLES = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_host_rules": HOST_RULES,
     "op5_circulant_minhash": NEAR_DUPLICATES,
     "op8_quotation_links": QUOTATIONS,
+    "op11_hilbert_codes": _codes_sql(),
+    "op12_source_divergence": SOURCE_DIVERGENCE,
 }

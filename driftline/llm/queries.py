@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import circulant_minhash, convnet, crf_pii, host_rules, line_dedup, neighbour_vote, packing, qgram_filter
-from . import quotation_links, separator_scan
+from . import quotation_links, separator_scan, source_divergence, vector_codes, vector_tree
 from .common import table
 
 
@@ -55,10 +55,23 @@ def op10_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_vote.vote(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hilbert_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_table(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_means_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tree.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_line_dedup, op3_host_rules, op4_crf_pii, op5_circulant_minhash, op6_packing,
-        op7_qgram_filter, op8_quotation_links, op9_convnet, op10_neighbour_vote,
+        op7_qgram_filter, op8_quotation_links, op9_convnet, op10_neighbour_vote, op11_hilbert_codes,
+        op12_source_divergence, op13_means_tree,
     )
 }
