@@ -30,8 +30,8 @@ NEIGHBOURS = 20
 QUERY_EVERY = 20
 #: Recall of the calibrating queries that ends the widening.
 TARGET = 0.95
-#: Components of the sample that the tree is fitted on (65,536 rows of 64), a bound on the driver's share.
-SAMPLE_VALUES = 1 << 22
+#: Components of the sample that the tree is fitted on (32,768 rows of 64), a bound on the driver's share.
+SAMPLE_VALUES = 1 << 21
 #: Rows of a leaf that the tree aims at, and its leaves at most.
 LEAF_ROWS = 512
 MAX_LEAVES = 4096
@@ -261,7 +261,7 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         raise ValueError(f"vectors of {least} to {most} components")
     share = SAMPLE_VALUES / most / n
     sample = rows.select("vector") if share >= 1 else rows.select("vector").sample(share, SEED)
-    x = np.array([r.vector for r in sample.collect()], np.float64)  # SAMPLE_VALUES components or so
+    x = _matrix(sample.toArrow()["vector"])  # SAMPLE_VALUES components or so
     tree = fit(x.reshape(-1, most), max(1, min(MAX_LEAVES, n // leaf_rows)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
