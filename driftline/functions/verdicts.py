@@ -11,17 +11,30 @@ STATUS = {"pass": PASS, "suspect": SUSPECT, "fail": FAIL, "missing": MISSING}
 ORDER = ("deployment_window", "gross_range", "spike", "rate_of_change")
 
 
+def _fragments(packed: Column) -> Column:
+    """The fragments between ``;`` that hold something, as structs of name and status; no ``:`` gives no status."""
+    parts = F.transform(F.split(F.coalesce(packed, F.lit("")), ";"), lambda x: F.trim(x, F.lit(" \t\n\r\x0b\x0c")))
+    name = lambda x: F.substring_index(x, ":", 1)
+    status = lambda x: F.when(F.contains(x, F.lit(":")), F.substring(x, F.length(name(x)) + 2, F.length(x)))
+    return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.struct(name(x).alias("name"), status(x).alias("status")))
+
+
 def parse(packed: Column) -> Column:
-    """``name:status;name:status`` as a map; null and empty text give an empty map."""
-    m = F.str_to_map(F.coalesce(packed, F.lit("")), F.lit(";"), F.lit(":"))
-    return F.map_filter(m, lambda k, v: k != "")
+    """``name:status;name:status`` as a map; null and empty text give an empty map, of a repeated name the last counts."""
+    f = _fragments(packed)
+    last = F.filter(f, lambda x, i: ~F.exists(F.slice(f, i + 2, F.greatest(F.size(f) - i - 1, F.lit(0))), lambda y: y["name"] == x["name"]))
+    return F.map_from_entries(last)
 
 
 def malformed(packed: Column) -> Column:
     """True where a fragment has no name or no known status."""
-    return F.exists(
-        F.map_entries(parse(packed)), lambda e: ~F.coalesce(e["value"].isin(*STATUS), F.lit(False)) | (F.trim(e["key"]) == "")
-    )
+    return F.exists(_fragments(packed), lambda e: ~F.coalesce(e["status"].isin(*STATUS), F.lit(False)) | (e["name"] == ""))
+
+
+def readable(packed: Column) -> Column:
+    """``packed``, refused where a fragment has no name or no known status."""
+    bad = (F.coalesce(packed, F.lit("")) != "") & malformed(packed)
+    return F.when(bad, F.raise_error(F.concat(F.lit("unreadable verdicts: "), packed))).otherwise(packed)
 
 
 def rollup(statuses: Column) -> Column:

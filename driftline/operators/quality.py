@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, verdicts
+from driftline.operators.slices import SLICE, with_neighbours
 
 SERIES = ["source", "site_id", "parameter", "depth_m"]
 
@@ -38,25 +39,24 @@ def gross_range(value: Column, valid: tuple[Column, Column], span: tuple[Column,
     )
 
 
-def evaluate(obs: DataFrame, parameters: dict) -> DataFrame:
+def evaluate(obs: DataFrame, parameters: dict, width: str = SLICE) -> DataFrame:
     """qc_flag and qc_tests anew for every row of a known parameter.
 
     ``parameters`` maps a name to valid_range and, as wanted, suspect_span, spike
     (suspect, fail), rate_per_hour (suspect, fail) and by_source (tests a source is
-    excepted from). All tests come from one window over each series, so the
-    observations are shuffled once. A spike is judged against the mean of both
+    excepted from). All tests look at a row and its two neighbours, which come from
+    slices of a series (``width``) and their edges, so no task holds a whole series. A
+    spike is judged against the mean of both
     neighbours and has no verdict at the ends and beside gaps; a rate has none on the
-    first row and after a gap. Verdicts that other stages recorded stay, those of
-    tests that no longer run go, and the flag is rolled up again. Running twice
-    changes nothing. Rows of unknown parameters are left as they are.
+    first row and after a gap. Verdicts that other stages recorded stay (of a name that
+    occurs twice the last), those of tests that no longer run go, and the flag is rolled
+    up again. A recorded verdict that cannot be read is refused, as it would be lost.
+    Running twice changes nothing. Rows of unknown parameters are left as they are.
     """
-    s = W.partitionBy(*SERIES).orderBy("timestamp", "fetch_run_id")
     v = F.col("value")
-    before, after = F.lag("value").over(s), F.lead("value").over(s)
-    dt = calendar.seconds(F.col("timestamp"), F.lag("timestamp").over(s))
-    near = lambda k: (F.lag(F.lit(1), k) if k > 0 else F.lead(F.lit(1), -k)).over(s).isNotNull()
-    alone = ~near(1) & ~near(-1)  # a series of one row
-    two = (near(1) != near(-1)) & ~near(2) & ~near(-2)
+    before, after, n = F.col("__before")["value"], F.col("__after")["value"], F.col("__n")
+    dt = calendar.seconds(F.col("timestamp"), F.col("__before")["timestamp"])
+    alone, two = n == 1, n == 2
     lim = {
         k: _limit(parameters, f)
         for k, f in {
@@ -81,16 +81,15 @@ def evaluate(obs: DataFrame, parameters: dict) -> DataFrame:
         "spike": spike,
         "rate_of_change": change,
     }
-    tested = obs
-    for name, verdict in tests.items():
-        tested = tested.withColumn(f"__{name}", F.when(~_suppressed(parameters, name), verdict))
+    tested = with_neighbours(obs, SERIES, ["timestamp", "fetch_run_id"], ["value"], width)
+    tested = tested.withColumns({f"__{name}": F.when(~_suppressed(parameters, name), verdict) for name, verdict in tests.items()})
     packed = F.col("qc_tests")
-    foreign = F.map_filter(verdicts.parse(packed), lambda k, _: ~k.isin(*tests))
+    foreign = F.map_filter(verdicts.parse(verdicts.readable(packed)), lambda k, _: ~k.isin(*tests))
     flag, text = verdicts.merged(packed, F.col("__foreign"), {n: F.col(f"__{n}") for n in tests})
     known = F.col("parameter").isin(*parameters)
     return (
-        tested.withColumn("__foreign", F.when(F.coalesce(packed, F.lit("")) != "", foreign))
-        .select(*(c for c in tested.columns if c not in ("qc_flag", "qc_tests")),
+        tested.withColumn("__foreign", F.when(known & (F.coalesce(packed, F.lit("")) != ""), foreign))
+        .select(*(c for c in obs.columns if c not in ("qc_flag", "qc_tests")),
                 F.when(known, flag).otherwise(F.col("qc_flag")).alias("qc_flag"), F.when(known, text).otherwise(packed).alias("qc_tests"))
         .select(*obs.columns)
     )

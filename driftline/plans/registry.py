@@ -155,7 +155,7 @@ _FDBL = {c for c, t in naming.feature_columns(v.FEATURES) if t == "double"}
 
 
 def _evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.evaluate(zones.dedupe(v.obs(spark, sf_dir)), v.PARAMETERS)
+    return quality.evaluate(written(zones.dedupe(v.obs(spark, sf_dir)), "observations"), v.PARAMETERS)
 
 
 @query(f"""WITH {v.SQL_OBS} SELECT timestamp, site_id, parameter, value, depth_m, qc_flag::TINYINT AS qc_flag, '' AS qc_tests, source, fetch_run_id FROM obs
@@ -174,6 +174,25 @@ def qc_evaluate_twice(spark, sf_dir):
     return quality.evaluate(_evaluated(spark, sf_dir), v.PARAMETERS)
 
 
+#: What other stages recorded, by second % 5: none, a window, a stale test and a foreign one, one name twice and blanks, a window and a stale test.
+_FOREIGN = ("", "deployment_window:fail", "spike:fail;station:suspect", "station:fail; station:pass ;;agency:missing", "deployment_window:pass;rate_of_change:suspect")
+
+
+@query(f"""WITH {SQL_QC}, x AS (
+  SELECT *, {list(_FOREIGN)}[second(timestamp) % 5 + 1] AS recorded, [NULL, 'fail', NULL, NULL, 'pass'][second(timestamp) % 5 + 1] AS w,
+         [NULL, NULL, 'suspect', 'pass', NULL][second(timestamp) % 5 + 1] AS st, [NULL, NULL, NULL, 'missing', NULL][second(timestamp) % 5 + 1] AS ag FROM t
+)
+SELECT timestamp, site_id, parameter, value, depth_m,
+  (CASE WHEN NOT known THEN qc_flag WHEN list_contains([g, k, r, w, st, ag], 'missing') THEN 9 WHEN list_contains([g, k, r, w, st, ag], 'fail') THEN 4
+        WHEN list_contains([g, k, r, w, st, ag], 'suspect') THEN 3 WHEN list_contains([g, k, r, w, st, ag], 'pass') THEN 1 ELSE 2 END)::TINYINT AS qc_flag,
+  CASE WHEN known THEN concat_ws(';', 'deployment_window:' || w, 'gross_range:' || g, 'spike:' || k, 'rate_of_change:' || r, 'agency:' || ag, 'station:' || st) ELSE recorded END AS qc_tests,
+  source, fetch_run_id FROM x""")
+def qc_evaluate_foreign(spark, sf_dir):
+    recorded = F.get(F.array(*map(F.lit, _FOREIGN)), F.second("timestamp") % 5)
+    obs = written(zones.dedupe(v.obs(spark, sf_dir)), "observations").withColumn("qc_tests", recorded)
+    return quality.evaluate(obs, v.PARAMETERS)
+
+
 @query(f"WITH {SQL_QC} SELECT source, qc_flag, count(*) AS n_rows FROM qc GROUP BY ALL")
 def flag_histogram(spark, sf_dir):
     return quality.flag_histogram(_evaluated(spark, sf_dir), "source")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, fields, naming, stats, verdicts
-from driftline.operators import checks, features, grid, quality, screen, validation
+from driftline.operators import checks, features, grid, quality, screen, slices, validation
 from driftline.operators.windowed import reduce_windows
 from driftline.sources import text, zones
 
@@ -48,6 +48,57 @@ def test_evaluation_is_idempotent_and_keeps_foreign_verdicts(spark):
     assert flags(once) == [4, 4, 4] and all(r.qc_tests.startswith("deployment_window:fail;") for r in once.collect())
 
 
+def test_unreadable_verdicts_are_refused_and_the_last_of_a_name_counts(spark):
+    for bad in ("deployment_window", "spike:probably", "spike: pass", ":pass", "a:pass:fail"):
+        with pytest.raises(Exception, match="unreadable verdicts"):
+            quality.evaluate(obs(spark, [15.0], tests=bad), PARAMETERS).collect()
+        assert quality.evaluate(obs(spark, [15.0], tests=bad), {}).first().qc_tests == bad  # not judged, not touched
+    row = quality.evaluate(obs(spark, [15.0], tests=" a:fail ;; a:suspect;\tb:pass"), PARAMETERS).first()
+    assert (row.qc_flag, row.qc_tests) == (3, "gross_range:pass;a:suspect;b:pass")
+
+
+@pytest.mark.parametrize("width", ["month", "minute", "second"])
+def test_slices_cut_between_every_pair_of_rows_change_nothing(spark, width):
+    r = __import__("random").Random(3)
+    rows = []
+    for site in range(4):  # with gaps, runs of one row to a slice, repeated times, and series of one and two rows
+        t = T0 - dt.timedelta(days=2)
+        for i in range([300, 40, 2, 1][site]):
+            t += dt.timedelta(seconds=r.choice([0, 1, 1, 20, 600, 86400 * 3]))
+            rows.append((t, f"S{site}", "temp", r.choice([None, 15.0, 15.5, 16.0, 22.0, 50.0]), r.choice([1.0]) if site else None, 2, "", "s", f"r{i % 3}"))
+    df = spark.createDataFrame(rows, zones.OBSERVATION).repartition(5)
+    order = ["site_id", "timestamp", "fetch_run_id", "value"]
+    found = slices.with_neighbours(df, quality.SERIES, ["timestamp", "fetch_run_id"], ["value"], width).orderBy(*order).collect()
+    plain = sorted(rows, key=lambda x: (x[1], x[0], x[8], x[3] is not None, x[3] or 0))
+    assert len(found) == len(plain)
+    for i, (a, b) in enumerate(zip(found, plain)):
+        assert (a.site_id, a.timestamp, a.fetch_run_id, a.value) == (b[1], b[0], b[8], b[3])
+        for side, j in ((a["__before"], i - 1), (a["__after"], i + 1)):
+            want = plain[j] if 0 <= j < len(plain) and plain[j][1] == b[1] else None
+            assert (side and (side.timestamp, side.fetch_run_id, side.value)) == (want and (want[0], want[8], want[3]))
+        assert a["__n"] == [300, 40, 2, 1][int(b[1][1])]
+    whole, cut = (sorted(map(str, quality.evaluate(df, PARAMETERS, w).collect())) for w in ("year", width))
+    assert whole == cut and len(cut) == len(rows)
+    with pytest.raises(ValueError, match="spans"):
+        slices.with_neighbours(df, quality.SERIES, ["timestamp"], [], "century")
+
+
+def test_a_hot_series_is_dealt_to_many_tasks(spark):
+    df = spark.range(40_000).selectExpr(
+        "timestamp_ntz'2020-01-01' + make_dt_interval(0, 0, 0, id * 3000) AS timestamp", "'A' AS site_id", "'temp' AS parameter", "15D AS value",
+        "1D AS depth_m", "2Y AS qc_flag", "'' AS qc_tests", "'s' AS source", "'r' AS fetch_run_id",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        flagged = quality.evaluate(df, PARAMETERS).withColumn("task", F.spark_partition_id())
+        sizes = [r.n for r in flagged.groupBy("task").agg(F.count("*").alias("n"), F.max("qc_tests")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 40_000 and len(sizes) > 8 and max(sizes) < 8_000
+
+
 def test_unknown_parameters_and_series_over_a_year_end(spark):
     df = obs(spark, [15.0, 15.0, 30.0, 15.0], start=dt.datetime(2023, 12, 31, 23, 45))
     assert flags(quality.evaluate(df, PARAMETERS))[2] == 4
