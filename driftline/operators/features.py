@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from driftline.functions import calendar, naming
 from driftline.functions.stats import null_safe_join
 from driftline.operators.quality import SERIES
-from driftline.operators.windowed import reduce_windows
+from driftline.operators.windowed import cadence_of, reduce_windows
+from driftline.session import written
 
 QUARTER = [*SERIES, "year", "quarter"]
 
@@ -196,11 +197,9 @@ def build_sub_windows(obs: DataFrame, deployments: DataFrame, features: dict, fl
     the last one, which ends with the closed window, expects one sample more. Day-based
     features are left out.
     """
-    kept = deployment_rows(obs, deployments, most).filter("keep")
-    dt = calendar.seconds(F.col("timestamp"), F.lag("timestamp").over(W.partitionBy(*DEPLOYMENT).orderBy("timestamp")))
-    kept = kept.withColumn("dt", dt)
-    med = kept.groupBy(*DEPLOYMENT).agg(F.median("dt").alias("m")).withColumn("cad", F.when(F.col("m") > 0, F.col("m"))).drop("m")
-    kept = null_safe_join(kept, med, DEPLOYMENT).withColumnRenamed("w_start", "d0").withColumnRenamed("w_end", "d1")
+    kept = deployment_rows(obs, deployments, most).filter("keep").select(*DEPLOYMENT, "timestamp", "value", "keep", F.col("w_start").alias("d0"), F.col("w_end").alias("d1"))
+    kept = written(kept, "clipped")
+    kept = null_safe_join(kept, cadence_of(kept, DEPLOYMENT).withColumnRenamed("cadence_s", "cad"), DEPLOYMENT)
     begin = F.date_trunc(grain, "timestamp").cast("timestamp_ntz")
     end = begin + (F.expr("interval 1 day") if grain == "day" else F.expr("interval 1 hour"))
     spans = (

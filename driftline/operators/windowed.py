@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from driftline.functions import calendar, naming
 from driftline.functions.stats import null_safe_join
+from driftline.operators import selection
+from driftline.operators.slices import with_neighbours
+from driftline.session import written
 
 
-def statistics(v: Column) -> list[Column]:
-    """Mean, extremes, linear 5 and 95 % points (of one buffer) and sample variance (null for one value)."""
-    points = F.percentile(v, [0.05, 0.95])
+def statistics(v: Column, held: Column | None = None) -> list[Column]:
+    """Mean, extremes, linear 5 and 95 % points (of one buffer, of ``held`` if given) and sample variance (null for one value)."""
+    points = F.percentile(v if held is None else held, [0.05, 0.95])
     return [
         F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
         points[0].alias("p05"), points[1].alias("p95"), F.var_samp(v).alias("variance"),
@@ -28,11 +31,26 @@ def coverage(n: Column, exp: Column) -> Column:
     return F.coalesce(F.least(F.try_divide(n, exp), F.lit(1.0)), F.lit(0.0))
 
 
-def cadence_of(kept: DataFrame, keys: list[str]) -> DataFrame:
-    """Median interval of each key's rows in seconds; null below two rows or if not positive."""
+def _intervals(kept: DataFrame, keys: list[str]) -> DataFrame:
+    """``kept`` with dt, the seconds since the row before, found without a task that holds a group."""
+    near = with_neighbours(kept, keys, ["timestamp"], [], "day")
+    return near.withColumn("dt", calendar.seconds(F.col("timestamp"), F.col("__before")["timestamp"]))
+
+
+def cadence_of(kept: DataFrame, keys: list[str], held: int = selection.HELD) -> DataFrame:
+    """Median interval of each key's rows in seconds; null below two rows or if not positive.
+
+    Groups of up to ``held`` rows hold their intervals together, those of longer ones are counted.
+    """
+    long = selection.long_groups(kept, keys, F.lit(True), held)
+    short = kept if long is None else null_safe_join(kept, long, keys, "left_anti")
     dt = calendar.seconds(F.col("timestamp"), F.lag("timestamp").over(W.partitionBy(*keys).orderBy("timestamp")))
     m = F.median("dt")
-    return kept.withColumn("dt", dt).groupBy(*keys).agg(F.when(m > 0, m).alias("cadence_s"))
+    out = short.withColumn("dt", dt).groupBy(*keys).agg(F.when(m > 0, m).alias("cadence_s"))
+    if long is None:
+        return out
+    points = selection.percentiles(_intervals(null_safe_join(kept, long, keys, "left_semi"), keys), keys, "dt", [0.5])
+    return out.unionByName(points.select(*keys, F.when(F.col("points")[0] > 0, F.col("points")[0]).alias("cadence_s")))
 
 
 def spells(days: DataFrame, keys: list[str], over: Column, start: str, end: str) -> DataFrame:
@@ -62,7 +80,7 @@ def spells(days: DataFrame, keys: list[str], over: Column, start: str, end: str)
 
 def reduce_windows(
     rows: DataFrame, keys: list[str], features: dict, floor: float, closed: bool = False,
-    day_based: bool = True, cadence: str | None = None, most: int = 2,
+    day_based: bool = True, cadence: str | None = None, most: int = 2, held: int = selection.HELD,
 ) -> DataFrame:
     """One row for each group of ``keys``, also where no row is kept.
 
@@ -70,21 +88,29 @@ def reduce_windows(
     count), w_start and w_end. With ``cadence`` that column is the cadence, measured
     elsewhere; without, it is measured in the group. ``most`` is the largest flag that
     keep let count, which each row records as qc_max_flag. clamped marks a group with
-    more rows than its cadence lets expect. Statistics, counts and cadence
-    come from one shuffle by the keys; the days are reduced once for all thresholds.
+    more rows than its cadence lets expect. The columns named here are written
+    once, as several parts read them; statistics, counts and cadence then
+    come from one shuffle by the keys, and the days are reduced once for all thresholds.
     Observed days are counted where the day changes along the sorted rows, without a
-    distinct; with ``cadence`` a group lies within one day. A group's values are held
-    together for the exact percentiles.
+    distinct; with ``cadence`` a group lies within one day. Groups of up to ``held`` kept
+    rows hold their values together for the exact percentiles and the cadence; those of
+    longer ones are found by counting (:mod:`driftline.operators.selection`), the same numbers.
     """
     columns = naming.feature_columns(features)
+    rows = written(rows.select(*dict.fromkeys([*keys, "parameter", "timestamp", "value", "keep", "w_start", "w_end", *([cadence] if cadence else [])])), "windows")
+    long = selection.long_groups(rows, keys, F.col("keep"), held)
+    is_long = F.lit(False)
+    if long is not None:
+        rows = null_safe_join(rows, long.withColumn("__long", F.lit(True)), keys)
+        is_long = F.coalesce("__long", F.lit(False))
     kept_value = F.when(F.col("keep"), F.col("value"))
-    seen = W.partitionBy(*keys).orderBy("timestamp").rowsBetween(W.unboundedPreceding, -1)
-    last = F.last(F.when(F.col("keep"), F.col("timestamp")), ignorenulls=True).over(seen)
-    day_starts = F.col("keep") & (F.to_date("last").isNull() | (F.to_date("timestamp") != F.to_date("last")))
+    last = F.lag("timestamp").over(W.partitionBy(*keys, "keep").orderBy("timestamp"))
+    day_starts = F.col("keep") & (F.col("last").isNull() | (F.to_date("timestamp") != F.to_date("last")))
     if cadence:
         measured, n_days = rows, F.max(F.col("keep").cast("long"))
     else:
-        measured = rows.withColumn("last", last).withColumn("dt", F.when(F.col("keep"), calendar.seconds(F.col("timestamp"), F.col("last"))))
+        measured = rows.repartition(*keys).withColumn("last", last)
+        measured = measured.withColumn("dt", F.when(F.col("keep") & ~is_long, calendar.seconds(F.col("timestamp"), F.col("last"))))
         n_days = F.count_if(day_starts)
     med = F.median("dt") if not cadence else F.first(cadence)
     bands = [(p, a, b) for p, t in features.items() for a, b in (t or {}).get("time_in_band", ())]
@@ -94,9 +120,17 @@ def reduce_windows(
         F.when(med > 0, med).alias("cadence_s"),
         F.first("w_start").alias("w_start"), F.first("w_end").alias("w_end"),
         F.lit(most).alias("qc_max_flag"),
-        *statistics(kept_value),
+        *statistics(kept_value, F.when(~is_long, kept_value)),
         *(F.avg(F.when(F.col("keep") & (F.col("parameter") == p), F.col("value").between(a, b).cast("double"))).alias(f"frac_in_band_{naming.band_label(a, b)}") for p, a, b in bands),
     )
+    if long is not None:
+        counted = rows.filter(F.col("keep") & is_long)
+        points = selection.percentiles(counted, keys, "value", [0.05, 0.95])
+        main = null_safe_join(main, points, keys)
+        main = main.withColumns({"p05": F.coalesce("p05", F.col("points")[0]), "p95": F.coalesce("p95", F.col("points")[1])}).drop("points")
+        if not cadence:
+            main = null_safe_join(main, selection.percentiles(_intervals(counted, keys), keys, "dt", [0.5]), keys)
+            main = main.withColumn("cadence_s", F.coalesce("cadence_s", F.when(F.col("points")[0] > 0, F.col("points")[0]))).drop("points")
     exp = expected(F.col("w_start"), F.col("w_end"), F.col("cadence_s"), closed)
     out = (
         main.withColumn("expected_obs", exp)

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, naming
+from driftline.functions.stats import null_safe_join
 from driftline.operators import comparison as cmp
 from driftline.operators import features as feat
-from driftline.operators import quality, screen, validation
+from driftline.operators import quality, screen, selection, validation
 from driftline.operators.grid import area_mean
+from driftline.operators.windowed import cadence_of
 from driftline.plans import views as v
 from driftline.session import written
 from driftline.sources import zones
@@ -236,6 +238,19 @@ def observations_fingerprint(spark, sf_dir):
 # --- quarterly features ----------------------------------------------------------------------------
 
 
+@query(f"""WITH {v.SQL_OBS}, k AS (SELECT source, site_id, parameter, depth_m, year(timestamp) AS year, quarter(timestamp)::TINYINT AS quarter, timestamp, value FROM obs WHERE value IS NOT NULL),
+g AS (SELECT *, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY source, site_id, parameter, depth_m, year, quarter ORDER BY timestamp))) / 1e6 AS dt FROM k)
+SELECT source, site_id, parameter, depth_m, year, quarter, round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(median(dt), 3) AS cadence_s
+FROM g GROUP BY ALL""")
+def quarterly_points_counted(spark, sf_dir):
+    """Percentiles and cadence of every quarter, all by counting, none of a held buffer."""
+    keys = feat.QUARTER
+    rows = v.obs(spark, sf_dir).filter("value is not null").withColumn("year", F.year("timestamp")).withColumn("quarter", F.quarter("timestamp").cast("tinyint"))
+    rows = written(rows.select(*keys, "timestamp", "value"), "kept")
+    p = selection.percentiles(rows, keys, "value", [0.05, 0.5, 0.95]).select(*keys, *(F.col("points")[i].alias(n) for i, n in enumerate(("p05", "p50", "p95"))))
+    return null_safe_join(p, cadence_of(rows, keys, held=0), keys)
+
+
 def _quarterly(spark, sf_dir):
     return feat.build_quarterly(_evaluated(spark, sf_dir), v.FEATURES, v.FLOOR, v.NOW)
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, fields, naming, stats, verdicts
-from driftline.operators import checks, features, grid, quality, screen, slices, validation
+from driftline.operators import checks, features, grid, quality, screen, selection, slices, validation
 from driftline.operators.windowed import reduce_windows
 from driftline.sources import text, zones
 
@@ -146,6 +146,29 @@ def test_closed_windows_expect_one_more_and_failed_windows_stay(spark):
     assert r.n_obs == 0 and r["mean"] is None and r.days_above_20c is None and r.max_spell_above_20c_days is None and r.usable is False
 
 
+@pytest.mark.parametrize("bins", [4096, 2])
+def test_counted_percentiles_equal_the_buffered_ones(spark, monkeypatch, bins):
+    monkeypatch.setattr(selection, "BINS", bins)
+    r = __import__("random").Random(4)
+    kinds = {"flat": lambda: 7.0, "ties": lambda: r.choice([1.0, 2.0, 2.5]), "wide": lambda: r.choice([-1, 1]) * 10 ** r.uniform(-9, 9), "narrow": lambda: 15 + r.random() * 1e-9, None: lambda: r.gauss(0, 1)}
+    rows = [(k, i % 3, f()) for k, f in kinds.items() for i in range(600)] + [("one", 1, 4.0), ("two", 1, 4.0), ("two", 1, None), ("two", 1, 5.0), ("none", 1, None)]
+    df = spark.createDataFrame(rows, "k string, j long, x double").repartition(3)
+    want = df.filter("x is not null").groupBy("k", "j").agg(F.percentile("x", [0.05, 0.5, 0.95, 0.0, 1.0]).alias("points"))
+    got = selection.percentiles(df, ["k", "j"], "x", [0.05, 0.5, 0.95, 0.0, 1.0])
+    assert sorted(map(str, got.select("k", "j", "points").collect())) == sorted(map(str, want.collect()))
+    assert selection.percentiles(df.filter("x is null"), ["k", "j"], "x", [0.5]).count() == 0
+
+
+@pytest.mark.parametrize("bound", [selection.BROADCAST_BINS, 0])
+def test_windows_of_long_groups_are_the_same_counted(spark, monkeypatch, bound):
+    monkeypatch.setattr(selection, "BROADCAST_BINS", bound)
+    r = __import__("random").Random(5)
+    df = obs(spark, [r.choice([None, 12.0, 15.5, 21.0, r.gauss(18, 4)]) for _ in range(700)], minutes=7, depth=None).unionByName(obs(spark, [20.0, 21.0], site="B"))
+    rows = df.withColumn("keep", F.col("value").isNotNull()).withColumn("w_start", F.lit("2024-01-01").cast("timestamp_ntz")).withColumn("w_end", F.lit("2024-04-01").cast("timestamp_ntz"))
+    held, counted = (reduce_windows(rows, quality.SERIES, WARM, 0.1, held=h).orderBy("site_id").collect() for h in (10**6, 100))
+    assert held == counted and counted[0].p95 > counted[0].p05 and counted[0].cadence_s == 420.0
+
+
 def test_names_follow_thresholds():
     assert naming.threshold_label(-1.0) == "neg1c" and naming.threshold_label(20.5) == "20p5c" and naming.band_label(14.0, 20.0) == "14c_20c"
     assert [c for c, _ in naming.feature_columns(WARM)][6:] == ["days_above_20c", "max_spell_above_20c_days", "max_spell_above_20c_gap_interrupted", "frac_in_band_14c_20c"]
