@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import _parse_datatype_string
+
+from driftline.operators.checks import observation_faults
+from driftline.sources import snapshots
 
 IDENTITY = ["site_id", "parameter", "timestamp", "depth_m"]
 OBSERVATION = (
@@ -29,80 +30,83 @@ def dedupe(obs: DataFrame, arrival: str | None = None) -> DataFrame:
     return obs.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], schema)
+    df = snapshots.read(spark, path, schema)
+    return spark.createDataFrame([], schema) if df is None else df
 
 
 def read_observations(spark: SparkSession, root: str, source: str | None = None, years: tuple[int, int] | None = None) -> DataFrame:
-    """Stored observations, of one source and a range of years if given; both prune partitions."""
+    """Stored observations, of one source and a range of years if given; both prune partitions.
+
+    They are as the newest snapshot names them, one row for each identity, since every
+    merge leaves one.
+    """
     df = _stored(spark, root, OBSERVATION + ", year int")
     df = df if source is None else df.filter(F.col("source") == source)
     df = df if years is None else df.filter(F.col("year").between(*years))
-    return dedupe(df).select(*(c.split()[0] for c in OBSERVATION.split(", ")))
+    return df.select(*(c.split()[0] for c in OBSERVATION.split(", ")))
 
 
 def write_observations(new: DataFrame, root: str) -> None:
-    """Merge rows into the partitions (source, year) that they touch and rewrite only those.
+    """Merge rows into the partitions (source, year) that they touch, as one snapshot.
 
-    What is stored arrives first, so a tie of runs falls to the new rows. An empty
-    frame writes nothing. The merged rows are written aside and read back, because a
-    partition cannot be overwritten while it is read.
+    Rows that are not of the stored shape are refused before anything is written: columns
+    of another name, order or type, a flag that is none, a value that is no number. What is
+    stored arrives first, so a tie of runs falls to the new rows. An empty frame writes
+    nothing. Untouched partitions are neither read nor written; readers see all of
+    the merge or none of it.
     """
     spark = new.sparkSession
-    if new.isEmpty():
-        return
+    if faults := observation_faults(new, _parse_datatype_string(OBSERVATION)):
+        raise ValueError(f"not observations: {', '.join(f'{n} {k}' for k, n in faults.items())}")
     new = new.withColumn("year", F.year("timestamp"))
-    touched = new.select("source", "year").distinct()
-    old = _stored(spark, root, OBSERVATION + ", year int").join(touched, ["source", "year"], "left_semi")
-    every = old.withColumn("__arrival", F.lit(0)).unionByName(new.withColumn("__arrival", F.lit(1)))
+    touched: dict[str | None, list[int]] = {}
+    for source, year in new.select("source", "year").distinct().collect():  # partitions
+        touched.setdefault(source, []).append(year)
+    if not touched:
+        return
+    base = snapshots.current(spark, root)
+    every = new.withColumn("__arrival", F.lit(1))
+    old = snapshots.read(spark, root, OBSERVATION + ", year int", base) if base else None
+    if old is not None:
+        among = F.lit(False)
+        for source, years in touched.items():
+            among = among | (F.col("source").eqNullSafe(F.lit(source)) & F.col("year").isin(years))
+        every = every.unionByName(old.filter(among).withColumn("__arrival", F.lit(0)))
     merged = dedupe(every, "__arrival").drop("__arrival")
-    aside = f"{root.rstrip('/')}-merge-{uuid.uuid4().hex}"
-    merged.write.parquet(aside)
     # a partition is written by several tasks, so a long year of one source is not one task's work
     part = ["source", "year", F.pmod(F.xxhash64("site_id"), F.lit(PARTITION_FILES))]
-    spark.read.schema(merged.schema).parquet(aside).repartition(*part).sortWithinPartitions("source", "year", *IDENTITY).write.partitionBy("source", "year").mode(
-        "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").parquet(root)
-    _delete(spark, aside)
+    merged = merged.repartition(*part).sortWithinPartitions("source", "year", *IDENTITY)
+    snapshots.commit(merged, root, base, ("source", "year"))
 
 
-def read_features(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
-    """A feature table, empty with its schema if it was never built. Unknown names are refused."""
+def _table(root: str, table: str) -> str:
     if table not in TABLES:
         raise ValueError(f"no table is called {table}")
-    return _stored(spark, f"{root}/{table}", schema)
+    return f"{root.rstrip('/')}/{table}"
+
+
+def read_features(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
+    """A feature table, empty with its schema if it was never built. Unknown names are refused."""
+    return _stored(spark, _table(root, table), schema)
 
 
 def replace_features(df: DataFrame, root: str, table: str, key: list[str]) -> None:
-    """Write a whole table anew, sorted by its key, nulls last."""
-    if table not in TABLES:
-        raise ValueError(f"no table is called {table}")
-    df.sort(*(F.col(k).asc_nulls_last() for k in key)).write.mode("overwrite").parquet(f"{root}/{table}")
+    """Write a whole table anew, sorted by its key, nulls last; readers see the old table until the new one is whole."""
+    path = _table(root, table)
+    base = snapshots.current(df.sparkSession, path)
+    snapshots.commit(df.sort(*(F.col(k).asc_nulls_last() for k in key)), path, base)
 
 
 def write_features(df: DataFrame, root: str, table: str, key: list[str], replacing: list[str]) -> None:
     """Replace the rows of the rebuilt sources; others are kept in the new table's columns."""
-    spark = df.sparkSession
-    try:
-        stored = spark.read.parquet(f"{root}/{table}").filter(~F.col("source").isin(*replacing))
-        df = df.unionByName(stored, allowMissingColumns=True).select(*df.columns)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    aside = f"{root}/{table}-{uuid.uuid4().hex}"
-    df.write.parquet(aside)
-    replace_features(spark.read.parquet(aside), root, table, key)
-    _delete(spark, aside)
+    path = _table(root, table)
+    base = snapshots.current(df.sparkSession, path)
+    old = snapshots.read(df.sparkSession, path, snapshot=base) if base else None
+    if old is not None:
+        kept = old.filter(F.col("source").isNull() | ~F.col("source").isin(*replacing))
+        df = df.unionByName(kept, allowMissingColumns=True).select(*df.columns)
+    snapshots.commit(df.sort(*(F.col(k).asc_nulls_last() for k in key)), path, base)
 
 
 def stored_sources(spark: SparkSession, root: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from driftline.functions import calendar, fields, naming, stats, verdicts
 from driftline.operators import checks, features, grid, quality, screen, selection, slices, validation
 from driftline.operators.windowed import reduce_windows
-from driftline.sources import text, zones
+from driftline.sources import snapshots, text, zones
 
 T0 = dt.datetime(2024, 1, 1)
 PARAMETERS = {"temp": {"valid_range": (5.0, 35.0), "spike": (1.5, 3.0), "rate_per_hour": (18.0, 36.0)}}
@@ -337,6 +337,64 @@ def test_merge_newest_run_wins_and_other_partitions_stay(spark, tmp_path):
     assert zones.read_observations(spark, str(tmp_path / "none")).count() == 0
 
 
+@pytest.mark.parametrize("step", ["data", "between", "manifest"])
+def test_a_killed_write_leaves_the_old_table_whole(spark, tmp_path, monkeypatch, step):
+    root, table = str(tmp_path / "obs"), str(tmp_path)
+    zones.write_observations(obs(spark, [1.0, 2.0]).unionByName(obs(spark, [3.0], source="t/u v=w")), root)
+    zones.write_features(spark.createDataFrame([("s", 1.0), (None, 2.0)], "source string, mean double"), table, "validation", ["source"], ["s"])
+    before = sorted(map(str, zones.read_observations(spark, root).collect()))
+
+    def dies(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        if step == "data":  # some files of the commit are there, no manifest
+            df = obs(spark, [8.0], run="r9").withColumn("year", F.lit(2024))
+            df.write.partitionBy("source", "year").parquet(f"{root}/commit=half")
+            m.setattr(zones, "dedupe", dies)
+        else:
+            m.setattr(snapshots, "_publish" if step == "between" else "_partitions", dies)
+        with pytest.raises(KeyboardInterrupt):
+            zones.write_observations(obs(spark, [9.0], run="r9"), root)
+        if step == "between":
+            with pytest.raises(KeyboardInterrupt):
+                zones.replace_features(spark.createDataFrame([("x", 1.0)], "source string, mean double"), table, "validation", ["source"])
+    assert sorted(map(str, zones.read_observations(spark, root).collect())) == before
+    assert {r.source for r in zones.read_features(spark, table, "validation", "source string, mean double").collect()} == {"s", None}
+    zones.write_observations(obs(spark, [9.0], run="r9"), root)
+    assert [r.value for r in zones.read_observations(spark, root, "s").orderBy("timestamp").collect()] == [9.0, 2.0]
+    assert [r.value for r in zones.read_observations(spark, root, "t/u v=w", (2024, 2024)).collect()] == [3.0]
+    after = sorted(map(str, zones.read_observations(spark, root).collect()))
+    assert snapshots.expire(spark, root, 1) > 0 and sorted(map(str, zones.read_observations(spark, root).collect())) == after
+
+
+def test_readers_keep_their_snapshot_and_one_of_two_writers_fails(spark, tmp_path):
+    root = str(tmp_path / "obs")
+    zones.write_observations(obs(spark, [1.0]), root)
+    reader, base = zones.read_observations(spark, root), snapshots.current(spark, root)
+    zones.write_observations(obs(spark, [5.0], run="r5"), root)
+    assert [r.value for r in reader.collect()] == [1.0] and base.number == 1
+    with pytest.raises(RuntimeError, match="another writer"):
+        snapshots.commit(obs(spark, [7.0]).withColumn("year", F.lit(2024)), root, base, ("source", "year"))
+    assert [r.value for r in zones.read_observations(spark, root).collect()] == [5.0]
+
+
+def test_what_is_no_observation_is_refused_at_the_door(spark, tmp_path):
+    root = str(tmp_path / "obs")
+    zones.write_observations(obs(spark, [1.0]), root)
+    good = obs(spark, [2.0])
+    for bad in (
+        good.drop("qc_tests"), good.withColumn("more", F.lit(1)), good.select(*reversed(good.columns)), good.withColumn("value", F.col("value").cast("string")),
+        good.withColumn("timestamp", F.col("timestamp").cast("timestamp")), good.withColumn("qc_flag", F.lit(5).cast("tinyint")), good.withColumn("qc_flag", F.lit(None).cast("tinyint")),
+        good.withColumn("value", F.lit(float("nan"))),
+    ):
+        with pytest.raises(ValueError, match="not observations"):
+            zones.write_observations(bad, root)
+    assert [r.value for r in zones.read_observations(spark, root).collect()] == [1.0]
+    zones.write_observations(good.limit(0), root)
+    assert snapshots.current(spark, root).number == 1
+
+
 def test_source_scoped_replacement(spark, tmp_path):
     root = str(tmp_path)
     a = spark.createDataFrame([("s", 1.0), ("t", 2.0)], "source string, mean double")
