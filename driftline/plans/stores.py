@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,3 +117,72 @@ def profile_read(spark, sf_dir):
 @query(f"WITH {_PROFILE} SELECT site_id, count(*) FILTER (WHERE qc_flag <> 9 AND qc_flag <> own) AS n_disagree, count(*) AS n_rows FROM prof GROUP BY 1")
 def provider_disagreements(spark, sf_dir):
     return text.provider_disagreement(_profile(spark, sf_dir))
+
+
+# --- files whose head lines name their columns -------------------------------------------------------
+
+
+def _headed_files(lines: DataFrame, head: str, label: str, parts: int = 3) -> str:
+    """Text files of ``lines`` (one column), each below the head."""
+    def below(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([head])], names=["value"])
+        yield from (pa.RecordBatch.from_arrays(b.columns, names=["value"]) for b in batches)
+
+    path = scratch(lines.sparkSession, label)
+    lines.toDF("value").repartition(parts).mapInArrow(below, "value string").write.text(path)
+    return path
+
+
+
+@query("""WITH r AS (SELECT date_trunc('minute', ts)::TIMESTAMP AS timestamp, CASE WHEN event_id % 7 <> 0 THEN (event_id % 400) / 10.0::DOUBLE END AS w, CASE WHEN event_id % 5 <> 0 THEN (event_id % 90) / 10.0::DOUBLE END AS h FROM events),
+p AS (SELECT timestamp, 'sea_water_temperature' AS parameter, w AS value, 0.5::DOUBLE AS depth_m FROM r UNION ALL SELECT timestamp, 'wave_significant_height', h, NULL FROM r)
+SELECT timestamp, parameter, value, depth_m, (CASE WHEN value IS NULL THEN 9 ELSE 2 END)::TINYINT AS qc_flag, '' AS qc_tests, 'buoy' AS source, 'run-0' AS fetch_run_id FROM p""")
+def buoy_read(spark, sf_dir):
+    k = F.col("event_id")
+    tenths = lambda n: F.format_string("%d.%d", F.floor(n / 10), n % 10)
+    found = None
+    for archive, names, units in (
+        (0, "#YY  MM DD hh mm WDIR WSPD WVHT DPD WTMP PTDY", "#yr  mo dy hr mn degT m/s m sec degC hPa"), (1, "#YY  MM DD hh mm WTMP WVHT", "#yr  mo dy hr mn degC m"),
+    ):
+        wave = F.when(k % 5 != 0, tenths(k % 90)).otherwise("99.00" if archive else "MM")
+        water = F.when(k % 7 != 0, tenths(k % 400)).otherwise("999.0" if archive else "MM")
+        cells = [water, wave] if archive else [F.lit("MM"), F.lit("3.0"), wave, F.lit("8"), water, F.lit("-1.0")]
+        lines = v.read(spark, sf_dir, "events").filter(k % 2 == archive).select(F.concat_ws(" ", F.date_format("ts", "yyyy MM dd HH mm"), *cells))
+        path = _headed_files(lines, f"{names}\n{units}", "buoy")
+        files = spark.read.text(path).select(F.regexp_extract("_metadata.file_name", r"^([^_h.]+)", 1).alias("station")).distinct()
+        declared = [F.struct(F.lit(p).alias("parameter"), F.lit(d).cast("double").alias("depth_m")) for p, d in (("sea_water_temperature", 0.5), ("wave_significant_height", None))]
+        rows = text.buoy(spark, path, files.select("station", F.inline(F.array(*declared))), range_bytes=1 << 16).drop("site_id")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query("""SELECT year(o_orderdate)::INT AS year, quarter(o_orderdate)::TINYINT AS quarter, CASE WHEN count(*) FILTER (WHERE o_orderstatus <> 'P') > 0 THEN round(sum(o_totalprice), 2) END AS area_m2,
+CASE WHEN count(*) FILTER (WHERE o_orderstatus <> 'P') > 0 THEN (count(*) FILTER (WHERE o_orderstatus = 'F'))::DOUBLE END AS n_cells_canopy, (count(*) FILTER (WHERE o_orderstatus <> 'P'))::INT AS n_cells_observed, count(*)::INT AS n_cells, 'P' AS polygon_id
+FROM orders GROUP BY o_custkey % 6, 1, 2""")
+def canopy_read(spark, sf_dir):
+    landed = v.canopy_landed(spark, sf_dir)
+    area = F.format_string("%.2f", "area_m2")
+    line = lambda q, a: F.concat_ws(",", "year", q, a, "n_cells_canopy", "n_cells_observed", "n_cells")
+    lines = landed.select(line(F.col("quarter"), area)).union(landed.filter("quarter = 1").select(line(F.lit("max"), area)))
+    path = _headed_files(lines, ",".join(text.CANOPY_COLUMNS), "canopy")
+    polygons = spark.read.text(path).select(F.col("_metadata.file_name").alias("file")).distinct().withColumn("polygon_id", F.lit("P"))
+    return text.canopy(spark, path, polygons).drop("file")
+
+
+@query("""WITH d AS (SELECT o_orderdate::DATE AS day, count(*) AS n, sum(o_orderkey)::BIGINT AS s FROM orders GROUP BY 1),
+r AS (SELECT day::TIMESTAMP + CASE WHEN n % 3 = 0 THEN INTERVAL '18 hours 38 minutes' ELSE INTERVAL '17 hours 5 minutes' END AS timestamp, CASE WHEN n % 3 <> 0 THEN 0 END AS tf, 0.5::DOUBLE AS depth_m, n % 30 + 0.5::DOUBLE AS value, n % 6 AS flag FROM d
+UNION ALL SELECT day::TIMESTAMP + CASE WHEN n % 3 = 0 THEN INTERVAL '18 hours 38 minutes' ELSE INTERVAL '17 hours 5 minutes' END, CASE WHEN n % 3 <> 0 THEN 0 END, 5.0, CASE WHEN s % 4 <> 0 THEN s % 25 END, CASE WHEN s % 8 <> 0 THEN s % 6 END FROM d),
+t AS (SELECT *, CASE WHEN value IS NULL THEN 'missing' WHEN flag = 0 THEN 'pass' WHEN flag < 5 THEN 'suspect' WHEN flag = 5 THEN 'fail' END AS st, CASE WHEN tf = 0 THEN 'pass' END AS tt FROM r WHERE value IS NOT NULL OR flag IS NOT NULL)
+SELECT timestamp, 'pier' AS site_id, 'sea_water_temperature' AS parameter, value, depth_m, (CASE WHEN st = 'missing' THEN 9 WHEN st = 'fail' THEN 4 WHEN st = 'suspect' THEN 3 WHEN st = 'pass' OR tt = 'pass' THEN 1 ELSE 2 END)::TINYINT AS qc_flag,
+concat_ws(';', 'source_flag:' || st, 'time_flag:' || tt) AS qc_tests, 'shore_archive' AS source, 'run-0' AS fetch_run_id FROM t""")
+def shore_read(spark, sf_dir):
+    days = v.read(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("s"))
+    n, s = F.col("n"), F.col("s")
+    timed = n % 3 != 0
+    cells = [
+        F.year("day"), F.month("day"), F.dayofmonth("day"), F.when(timed, "905").otherwise(""), F.when(timed, "0").otherwise(""), F.format_string("%d.5", n % 30), n % 6,
+        F.when(s % 4 != 0, (s % 25).cast("string")).otherwise("NaN"), F.when(s % 8 != 0, (s % 6).cast("string")).otherwise(""), F.lit(""),
+    ]
+    head = "\ufeffStation: a pier\nPosition: 32° 52' 00\" N 117° 15' 30\" W\nSurface depth 0.5 m\n" + ",".join(text.SHORE_COLUMNS) + ","
+    path = _headed_files(days.select(F.concat_ws(",", *(c.cast("string") for c in cells))), head, "shore")
+    return text.shore_archive(spark, path, 0.5, 5.0, "pier", range_bytes=1 << 14)

@@ -7,12 +7,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, fields, verdicts
+from driftline.sources import headed
 
-#: Buoy columns and their parameter, sentinel in archive files, and column order of time.
+#: Buoy columns and their parameter, unit, sentinel in archive files, and column order of time.
 BUOY_COLUMNS = {
-    "WTMP": ("sea_water_temperature", 999.0), "ATMP": ("air_temperature", 999.0), "WVHT": ("wave_significant_height", 99.0),
-    "DPD": ("wave_peak_period", 99.0), "WSPD": ("wind_speed", 99.0),
+    "WTMP": ("sea_water_temperature", "degC", 999.0), "ATMP": ("air_temperature", "degC", 999.0), "WVHT": ("wave_significant_height", "m", 99.0),
+    "DPD": ("wave_peak_period", "sec", 99.0), "WSPD": ("wind_speed", "m/s", 99.0),
 }
+BUOY_TIME = {"year": "YY", "month": "MM", "day": "DD", "hour": "hh", "minute": "mm"}
 #: The provider's tests, in the order of their digits.
 PROVIDER_TESTS = (
     "gap", "syntax", "location", "gross_range", "climatology", "spike", "rate_of_change", "flat_line", "multi_variate", "attenuated_signal", "neighbor",
@@ -33,26 +35,24 @@ def _observation(site: Column, source: str, run: str, *, parameter: Column, dept
     ]
 
 
-def buoy(spark: SparkSession, path: str, stations: DataFrame, run: str = "run-0") -> DataFrame:
+def buoy(spark: SparkSession, path: str, stations: DataFrame, run: str = "run-0", range_bytes: int = headed.RANGE) -> DataFrame:
     """Observations of buoy text files, realtime or archive, plain or gzipped.
 
-    The header of each file names its columns; a ``PTDY`` column marks the realtime
-    layout, whose missing mark is ``MM``, while archive files use sentinels of nines. Only the
+    The two head lines of each file name its columns and their units; a ``PTDY`` column marks the
+    realtime layout, whose missing mark is ``MM``, while archive files use sentinels of nines. Only the
     parameters that a station declares become rows. ``stations`` has station (the
-    file name's part before the first ``_``, ``h`` or dot), parameter and depth_m.
+    file name's part before the first ``_``, ``h`` or dot), parameter and depth_m. A file
+    without two head lines, with other time columns, or with a column in another unit than
+    is expected is refused.
     """
-    raw = lines(spark, path, "ISO-8859-1")
-    head = raw.filter(F.col("line").rlike(r"^#\s*YY")).select("file", F.split(F.regexp_replace(F.trim("line"), "^#", ""), r"\s+").alias("names"))
-    body = raw.filter(~F.col("line").startswith("#") & (F.trim("line") != "")).select("file", F.split(F.trim("line"), r"\s+").alias("cells"))
-    joined = body.join(head, "file")
-    cell = lambda name: F.get("cells", (F.array_position("names", name) - 1).cast("int"))
-    time = fields.five_column_time(cell("YY"), cell("MM"), cell("DD"), cell("hh"), cell("mm"))
-    realtime = F.array_contains("names", "PTDY")
+    units = {c: unit for c, (_, unit, _) in BUOY_COLUMNS.items()}
+    raw = headed.read(spark, path, "hash", BUOY_TIME | {c: c for c in BUOY_COLUMNS}, ["PTDY"], units, list(BUOY_TIME.values()), range_bytes)
+    time = fields.five_column_time(*(F.col(c) for c in BUOY_TIME))
     values = [
-        F.struct(F.lit(p).alias("parameter"), F.when(F.array_contains("names", c), F.when(realtime, fields.number(cell(c))).otherwise(fields.number(cell(c), s))).alias("value"))
-        for c, (p, s) in BUOY_COLUMNS.items()
+        F.struct(F.lit(p).alias("parameter"), F.when(F.col("has_PTDY"), fields.number(F.col(c))).otherwise(fields.number(F.col(c), s)).alias("value"))
+        for c, (p, _, s) in BUOY_COLUMNS.items()
     ]
-    out = joined.select("file", time.alias("timestamp"), F.explode(F.array(*values)).alias("v")).select(
+    out = raw.select("file", time.alias("timestamp"), F.explode(F.array(*values)).alias("v")).select(
         F.regexp_extract("file", r"^([^_h.]+)", 1).alias("station"), "timestamp", "v.parameter", "v.value"
     )
     return out.join(stations, ["station", "parameter"]).select(
@@ -138,7 +138,7 @@ def canopy(spark: SparkSession, path: str, polygons: DataFrame) -> DataFrame:
     """
     q = F.col("quarter")
     unknown = ~F.coalesce(q.isin("1", "2", "3", "4", "max"), F.lit(False))
-    raw = _csv(spark, path, CANOPY_COLUMNS).withColumn("quarter", fields.refused(unknown, "an unknown quarter", q, "string")).filter("quarter <> 'max'")
+    raw = headed.read(spark, path, "names", CANOPY_COLUMNS, first=CANOPY_COLUMNS).withColumn("quarter", fields.refused(unknown, "an unknown quarter", q, "string")).filter("quarter <> 'max'")
     cells = F.col("count_cells_no_clouds").try_cast("int")
     rows = raw.select(
         "file", F.col("year").try_cast("int").alias("year"), F.col("quarter").try_cast("tinyint").alias("quarter"),
@@ -175,16 +175,17 @@ def shore_header(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def shore_archive(spark: SparkSession, path: str, surface_m: float, bottom_m: float, site: str, run: str = "run-0") -> DataFrame:
+SHORE_COLUMNS = ["YEAR", "MONTH", "DAY", "TIME_PST", "TIME_FLAG", "SURF_TEMP_C", "SURF_FLAG", "BOT_TEMP_C", "BOT_FLAG"]
+
+
+def shore_archive(spark: SparkSession, path: str, surface_m: float, bottom_m: float, site: str, run: str = "run-0", range_bytes: int = headed.RANGE) -> DataFrame:
     """Two depth series from shore archives below a free-text preamble.
 
     Times are HHMM in a fixed eight hours behind UTC, 10:38 where none is given. A
     series keeps only days with a value or a flag; source flags become verdicts.
     """
-    body = _whole(spark, path).select("file", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    head = body.filter(F.col("line").startswith("YEAR")).groupBy("file").agg(F.min("line_no").alias("head_no"))
-    cells = body.join(head, "file").filter("line_no > head_no").select("file", F.split("line", ",").alias("c"))
-    num = lambda i: fields.number(F.get("c", i))
+    cells = headed.read(spark, path, "year", SHORE_COLUMNS, first=SHORE_COLUMNS, range_bytes=range_bytes)
+    num = lambda i: fields.number(F.col(SHORE_COLUMNS[i]))
     rows = cells.select(
         "file", *(num(i).try_cast("int").alias(n) for i, n in enumerate(("y", "m", "d", "t", "tf"))), num(5).alias("sv"), num(6).try_cast("int").alias("sf"), num(7).alias("bv"), num(8).try_cast("int").alias("bf"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from driftline.functions import calendar, fields, naming, stats, verdicts
 from driftline.operators import checks, features, grid, quality, screen, selection, slices, validation
 from driftline.operators.windowed import reduce_windows
-from driftline.sources import snapshots, text, zones
+from driftline.sources import headed, snapshots, text, zones
 
 T0 = dt.datetime(2024, 1, 1)
 PARAMETERS = {"temp": {"valid_range": (5.0, 35.0), "spike": (1.5, 3.0), "rate_per_hour": (18.0, 36.0)}}
@@ -245,8 +245,8 @@ def test_fields(spark):
 
 
 def test_buoy_files(spark, tmp_path):
-    live = "#YY  MM DD hh mm WDIR WSPD WVHT DPD WTMP ATMP PTDY\n#yr mo dy hr mn deg m/s m sec degC degC hPa\n2024 01 01 00 10 MM 3.0 MM 8 15.5 MM -1\n"
-    old = "#YY  MM DD hh mm WDIR WSPD WVHT DPD WTMP ATMP\n#yr\n2015 01 01 00 30 999 99.0 99.00 99.0 999.0 12.0\n"
+    live = "#YY  MM DD hh mm WDIR WSPD WVHT DPD WTMP ATMP PTDY\n#yr mo dy hr mn degT m/s m sec degC degC hPa\n2024 01 01 00 10 MM 3.0 MM 8 15.5 MM -1\n"
+    old = "#YY  MM DD hh mm WDIR WSPD WVHT DPD WTMP ATMP\n#yr mo dy hr mn degT m/s m sec degC degC\n2015 01 01 00 30 999 99.0 99.00 99.0 999.0 12.0\n"
     (tmp_path / "46254_realtime.txt").write_text(live)
     with gzip.open(tmp_path / "46254h2015.txt.gz", "wt") as f:
         f.write(old)
@@ -258,6 +258,37 @@ def test_buoy_files(spark, tmp_path):
     }
 
 
+@pytest.mark.parametrize("lines,why", [
+    ("#YY MM DD hh mm WTMP\n#yr mo dy hr mn degF\n2024 1 1 0 0 60.0\n", "WTMP is declared in 'degF'"), ("#YY MM DD hh mm WVHT\n2024 1 1 0 0 1.0\n", "two # lines"),
+    ("#YYYY MM DD hh WTMP\n#yr mo dy hr degC\n1999 1 1 0 15.0\n", "first columns"), ("#YY MM DD hh mm WSPD\n#yr mo dy hr mn\n2024 1 1 0 0 1.0\n", "WSPD is declared in None"),
+])
+def test_buoy_files_of_another_unit_or_layout_are_refused(spark, tmp_path, lines, why):
+    (tmp_path / "46254_a.txt").write_text(lines)
+    stations = spark.createDataFrame([("46254", "sea_water_temperature", 0.5)], "station string, parameter string, depth_m double")
+    with pytest.raises(Exception, match=why):
+        text.buoy(spark, str(tmp_path), stations).collect()
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 20])
+def test_byte_ranges_give_every_line_once(spark, tmp_path, size):
+    r = __import__("random").Random(size)
+    lines = [" ".join(str(r.randint(0, 10 ** r.randint(1, 9))) for _ in range(6)) for _ in range(60)]
+    body = "#YY MM DD hh mm WTMP\n#yr mo dy hr mn degC\n" + "\n".join(x + "\n" * (i % 11 == 0) + "\r" * (i % 5 == 0) for i, x in enumerate(lines))
+    (tmp_path / "a_1.txt").write_text(body, newline="")
+    (tmp_path / "b_1.txt").write_text(body + "\n# a remark\n", newline="")
+    (tmp_path / "c_1.txt").write_text("#YY MM DD hh mm WTMP\n#yr mo dy hr mn degC\n")
+    (tmp_path / "_skipped").write_text("no head")
+    with gzip.open(tmp_path / "z_1.txt.gz", "wt", newline="") as f:
+        f.write(body)
+    got = headed.read(spark, str(tmp_path), "hash", ["YY", "WTMP", "GST"], ["GST"], {"WTMP": "degC"}, range_bytes=size).collect()
+    want = [(x.split()[0], x.split()[5], None) for x in lines]
+    for name in ("a_1.txt", "b_1.txt", "z_1.txt.gz"):
+        rows = sorted((g for g in got if g.file == name), key=lambda g: g.place)
+        assert [(g.YY, g.WTMP, g.GST) for g in rows] == want and not any(g.has_GST for g in rows)
+        assert all(body[g.place :].startswith(g.YY + " ") for g in rows)
+    assert {g.file for g in got} == {"a_1.txt", "b_1.txt", "z_1.txt.gz"}
+
+
 def test_profile_files(spark, tmp_path):
     head = ",".join(text.PROFILE_COLUMNS) + "\nUTC,degrees_north,degrees_east,m,degree_C,1,1\n"
     (tmp_path / "bay_2025-06.csv").write_text(head + "2025-06-01T00:00:00Z,32,-117,-1.0,15.0,1,11111111111\n2025-06-01T00:00:00Z,32,-117,-5.0,NaN,9,NaN\n2025-06-01T00:10:00Z,32,-117,-1.0,NaN,9,NaN\n2025-06-01T00:00:00Z,32,-117,-9.0,14.0,4,11141111111\n")
