@@ -1,10 +1,12 @@
 """Assertions and gates over files and registries, as DataFrames of what fails.
 
-A check row is (file, check, status, detail) with status pass, warn or fail.
+A check row is (file, check, status, detail) with status pass, warn, fail or skipped.
 """
 
 from __future__ import annotations
 
+import zoneinfo
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -68,22 +70,61 @@ def shore_pins(headers: DataFrame, pins: DataFrame, tolerance: float = 0.0005) -
     return out
 
 
-#: The order in which a shore archive's and a logger file's checks decide.
+#: The order in which a shore archive's checks decide, and in which a logger file's are recorded.
 SHORE_ORDER = ["position", "legend", "depths", "archive date"]
-LOGGER_ORDER = ["edited", "serial", "events", "cadence", "statistics", "time zone"]
+LOGGER_ORDER = ["edited", "statistics", "events", "cadence", "time zone", "serial", "registry gate", "series map"]
+#: Checks whose failure stops a logger file, in the order to report them; then a zone that is not found right.
+LOGGER_BLOCKING = ["registry gate", "series map"]
+LOGGER_ZONE = "time zone"
+
 
+def logger_checks(
+    rows: DataFrame, extra_columns: DataFrame, files: DataFrame, events: DataFrame, reported: DataFrame, spans: DataFrame, offsets: dict[str, float],
+    deployments: DataFrame, mapping: DataFrame,
+) -> DataFrame:
+    """All check rows of logger files: signs of editing, reported statistics, events, cadence, zone, serial, deployment, series.
 
-def logger_checks(rows: DataFrame, extra_columns: DataFrame, files: DataFrame, events: DataFrame, reported: DataFrame, spans: DataFrame, offsets: dict[str, float]) -> DataFrame:
-    """All check rows of logger files, in LOGGER_ORDER: signs of editing, serial, events, cadence, reported statistics, zone."""
+    ``files`` has file, file_serial, recorded_serial and file_number, ``deployments`` serial,
+    deployment_number and the window, ``mapping`` serial, series and parameter. What stops a
+    file is decided by :func:`logger_outcome`.
+    """
     edited = edited_file(rows, extra_columns).select(*check_row("edited", F.size("signs") == 0, F.array_join("signs", ",")))
     cadence = cadence_audit(rows.join(events.select("file", "interval_s"), "file"))
     paced = cadence.select(*check_row("cadence", F.col("n_off") == 0, F.col("n_off"), "warn"))
+    own = files.select("file", F.col("recorded_serial").alias("serial"), "file_number")
+    series = rows.select("file", "series").distinct().join(own.select("file", "serial"), "file")
     out = edited
-    for more in (serials(files), events_check(rows, events), paced, statistics_check(rows, reported), zone_check(spans, offsets)):
+    for more in (
+        statistics_check(rows, reported), events_check(rows, events), paced, zone_check(spans, offsets), serials(files), gate_check(own, deployments), map_check(series, mapping),
+    ):
         out = out.unionByName(more)
     return out
 
 
+def gate_check(files: DataFrame, deployments: DataFrame) -> DataFrame:
+    """:func:`registry_gate` as check rows."""
+    return registry_gate(files, deployments).select(*check_row("registry gate", F.col("outcome") == "accepted", F.col("serial")))
+
+
+def map_check(series: DataFrame, mapping: DataFrame) -> DataFrame:
+    """:func:`series_map_gate` as check rows."""
+    return series_map_gate(series, mapping).select("file", F.lit("series map").alias("check"), "status", F.concat_ws("/", "n_mapped", "n_series").alias("detail"))
+
+
+def logger_outcome(checks: DataFrame) -> DataFrame:
+    """For each logger file what stops its ingest, if anything.
+
+    A failing registry gate or series map does, and then a time zone check that is not
+    passed, be it for a warning or skipped: the offset of the times is then not known. All
+    else, such as signs of editing, other statistics, a gap, or a renamed file, is recorded
+    and the file is ingested.
+    """
+    stops = (F.col("check").isin(*LOGGER_BLOCKING) & (F.col("status") == "fail")) | ((F.col("check") == LOGGER_ZONE) & (F.col("status") != "pass"))
+    place = F.array_position(F.array(*map(F.lit, [*LOGGER_BLOCKING, LOGGER_ZONE])), F.col("check"))
+    first = checks.groupBy("file").agg(F.min(F.when(stops, F.struct(place.alias("place"), F.col("check"))))["check"].alias("blocked_by"))
+    return first.select("file", "blocked_by", F.when(F.col("blocked_by").isNull(), "accepted").otherwise("quarantined").alias("outcome"))
+
+
 def first_flagged(rows: DataFrame, code: int = 5, k: int = 5) -> DataFrame:
     """The first k days on which each series of a file has a reading of a source flag, and how many have one."""
     hit = rows.filter((F.col("flag") == code) & F.col("value").isNotNull())
@@ -126,7 +167,10 @@ def edited_file(rows: DataFrame, extra_columns: DataFrame) -> DataFrame:
 
 
 def serials(files: DataFrame) -> DataFrame:
-    return files.select(*check_row("serial", F.col("file_serial").eqNullSafe(F.col("recorded_serial")), F.col("recorded_serial")))
+    """The serial in a file's name against the recorded one, which counts: another one warns, none says nothing."""
+    one, other = F.col("file_serial"), F.col("recorded_serial")
+    same = one.isNull() | other.isNull() | (F.trim(one) == F.trim(other))
+    return files.select(*check_row("serial", same, other, "warn"))
 
 
 def statistics_check(rows: DataFrame, reported: DataFrame) -> DataFrame:
@@ -168,12 +212,18 @@ def events_check(rows: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def zone_check(spans: DataFrame, offsets: dict[str, float]) -> DataFrame:
-    """A header's zone abbreviation against the zone's offset at both ends; a change of clocks between warns."""
+    """A header's zone abbreviation against the registered zone at both ends of a file.
+
+    It warns where there is no abbreviation, the zone is none that is known, the clocks
+    change between, or the abbreviation is another one; it is skipped without a zone.
+    """
     table = F.create_map(*[F.lit(x) for k, v in offsets.items() for x in (k, float(v))])
-    hours = lambda c: calendar.seconds(F.col(c), F.to_utc_timestamp(F.col(c), F.col("zone"))) / 3600
+    known = F.when(F.col("zone").isin(*sorted(zoneinfo.available_timezones())), F.col("zone"))
+    hours = lambda c: calendar.seconds(F.col(c), F.to_utc_timestamp(F.col(c), F.coalesce(known, F.lit("UTC")))) / 3600
     a, b, want = hours("first_local"), hours("last_local"), F.try_element_at(table, F.col("token"))
-    status = F.when(want.isNull() | (a != want), "fail").when(a != b, "warn").otherwise("pass")
-    return spans.select("file", F.lit("time zone").alias("check"), status.alias("status"), F.col("token").alias("detail"))
+    agrees = F.coalesce(known.isNotNull() & (a == b) & (a == want), F.lit(False))
+    status = F.when(F.col("token").isNull(), "warn").when(F.col("zone").isNull(), "skipped").when(agrees, "pass").otherwise("warn")
+    return spans.select("file", F.lit(LOGGER_ZONE).alias("check"), status.alias("status"), F.col("token").alias("detail"))
 
 
 def first_values(df: DataFrame, key: str, value: str, k: int = 5) -> DataFrame:

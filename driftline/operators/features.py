@@ -170,18 +170,21 @@ DEPLOYMENT = ["site_id", "serial", "deployment_number", "parameter", "depth_m"]
 def deployment_rows(obs: DataFrame, deployments: DataFrame, most: int = 2) -> DataFrame:
     """Observations inside a deployment's closed window, on equal site, parameter and depth.
 
-    Equality leads the join and the window is a residual, so it never becomes a
-    product; deployments are a dimension and Spark broadcasts it while it is small.
+    A window is laid out over the months it touches, and an observation meets the windows of
+    its own month, so one at a site of many deployments is not tried against all of them;
+    deployments are a dimension and Spark broadcasts it while it is small.
     """
-    d = deployments.filter("w_start is not null and w_end is not null").select(
-        F.col("site_id").alias("__s"), F.col("parameter").alias("__p"), F.col("depth_m").alias("__d"), "serial", "deployment_number", "w_start", "w_end"
+    month = lambda c: F.date_trunc("month", c).cast("timestamp_ntz")
+    d = deployments.filter("w_start <= w_end").select(
+        F.col("site_id").alias("__s"), F.col("parameter").alias("__p"), F.col("depth_m").alias("__d"), "serial", "deployment_number", "w_start", "w_end",
+        F.explode(F.sequence(month("w_start"), month("w_end"), F.expr("interval 1 month"))).alias("__m"),
     )
     on = (
-        (F.col("site_id") == F.col("__s")) & (F.col("parameter") == F.col("__p")) & F.col("depth_m").eqNullSafe(F.col("__d"))
+        (F.col("site_id") == F.col("__s")) & (F.col("parameter") == F.col("__p")) & F.col("depth_m").eqNullSafe(F.col("__d")) & (month("timestamp") == F.col("__m"))
         & F.col("timestamp").between(F.col("w_start"), F.col("w_end"))
     )
     keep = (F.col("qc_flag") <= most) & F.col("value").isNotNull()
-    return obs.join(d, on).drop("__s", "__p", "__d").withColumn("keep", keep)
+    return obs.join(d, on).drop("__s", "__p", "__d", "__m").withColumn("keep", keep)
 
 
 def build_deployment(obs: DataFrame, deployments: DataFrame, features: dict, floor: float, now: str, most: int = 2) -> DataFrame:
@@ -217,12 +220,33 @@ def build_sub_windows(obs: DataFrame, deployments: DataFrame, features: dict, fl
     )
 
 
+def _overlaps(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """``windows`` with __rank, their place by start within the keys, and __upto, the last place that starts within them.
+
+    One sweep over the sorted starts and ends of the keys counts the starts that lie before
+    each end, so what overlaps a window and starts no earlier is a run of places.
+    """
+    k = F.struct(*keys).alias("__key")
+    rows = windows.filter("w_start <= w_end").withColumn("__key", k)
+    rows = rows.withColumn("__rank", F.row_number().over(W.partitionBy("__key").orderBy("w_start", "w_end", "serial", "deployment_number")))
+    ends = F.inline(F.array(F.struct(F.col("w_start").alias("at"), F.lit(0).alias("is_end")), F.struct(F.col("w_end").alias("at"), F.lit(1).alias("is_end"))))
+    swept = rows.select("*", ends).withColumn("__upto", F.sum(1 - F.col("is_end")).over(W.partitionBy("__key").orderBy("at", "is_end").rangeBetween(W.unboundedPreceding, W.currentRow)))
+    return swept.filter("is_end = 1").drop("at", "is_end")
+
+
 def overlapping_deployments(deployments: DataFrame) -> DataFrame:
-    """Pairs of deployments that would merge one series: same site, depth and parameter, overlapping windows."""
-    d = lambda s: deployments.select(*(F.col(c).alias(f"{s}_{c}") for c in deployments.columns))
-    on = (
-        (F.col("a_site_id") == F.col("b_site_id")) & (F.col("a_parameter") == F.col("b_parameter")) & F.col("a_depth_m").eqNullSafe(F.col("b_depth_m"))
-        & (F.struct("a_serial", "a_deployment_number") < F.struct("b_serial", "b_deployment_number"))
-        & (F.col("a_w_start") <= F.col("b_w_end")) & (F.col("b_w_start") <= F.col("a_w_end"))
-    )
-    return d("a").join(d("b"), on)
+    """Pairs of deployments that would merge one series: same site, depth and parameter, overlapping windows.
+
+    A window meets only those that overlap it (see :func:`_overlaps`), so the work grows
+    with the windows and the pairs found, not with the square of a site's windows. Windows
+    without a start or an end, or that end before they start, overlap none.
+    """
+    named = _overlaps(deployments, ["site_id", "parameter", "depth_m"])
+    side = lambda s: named.select("__key", F.struct(*deployments.columns).alias(f"__{s}"), F.col("__rank").alias(f"__{s}_rank"), F.col("__upto").alias(f"__{s}_upto"))
+    x, y = side("x").filter("__x_upto > __x_rank"), side("y").drop("__y_upto")
+    x = x.withColumn("__y_rank", F.explode(F.sequence(F.col("__x_rank") + 1, F.col("__x_upto").cast("int"))))
+    pairs = x.join(y, ["__key", "__y_rank"])
+    name = lambda s: F.struct(F.col(f"__{s}")["serial"], F.col(f"__{s}")["deployment_number"])
+    first, second = F.when(name("x") < name("y"), F.col("__x")).otherwise(F.col("__y")), F.when(name("x") < name("y"), F.col("__y")).otherwise(F.col("__x"))
+    found = pairs.filter(name("x") != name("y")).select(first.alias("a"), second.alias("b"))
+    return found.select(*(F.col(s)[c].alias(f"{s}_{c}") for s in "ab" for c in deployments.columns))

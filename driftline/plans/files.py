@@ -153,7 +153,7 @@ def edited_files(spark, sf_dir):
     return _edited(spark, sf_dir).select("file", F.array_join("signs", ",").alias("signs"))
 
 
-_SERIALS = "sn AS (SELECT c_custkey::VARCHAR AS file, CASE WHEN c_custkey % 9 = 0 THEN 'none' ELSE 'SN' || c_nationkey END AS recorded, CASE WHEN c_custkey % 9 <> 0 THEN 'pass' ELSE 'fail' END AS status FROM customer)"
+_SERIALS = "sn AS (SELECT c_custkey::VARCHAR AS file, CASE WHEN c_custkey % 9 = 0 THEN 'none' ELSE 'SN' || c_nationkey END AS recorded, CASE WHEN c_custkey % 9 <> 0 THEN 'pass' ELSE 'warn' END AS status FROM customer)"
 
 
 def _serials(spark, sf_dir):
@@ -168,11 +168,53 @@ def serial_checks(spark, sf_dir):
     return _serials(spark, sf_dir)
 
 
-@query(f"""WITH {_COUNTER}, {_SERIALS}, f AS (SELECT file, coalesce(signs, '') <> '' AS edited, coalesce(status, 'pass') = 'fail' AS other FROM signs FULL JOIN sn USING (file))
-SELECT file, CASE WHEN edited THEN 'edited' WHEN other THEN 'serial' END AS blocked_by, CASE WHEN edited OR other THEN 'quarantined' ELSE 'accepted' END AS outcome FROM f""")
+# logger files from ``customer``: serials of 50, of which 30 have a whole deployment, 10 one in part; maps of both series, one or none
+_GATES = """cu AS (SELECT c_custkey AS k, c_custkey::VARCHAR AS file, c_custkey % 50 AS p FROM customer),
+gate AS (SELECT file, 'registry gate' AS "check", CASE WHEN p < 30 THEN 'pass' ELSE 'fail' END AS status, 'SN' || p AS detail FROM cu),
+map AS (SELECT file, 'series map' AS "check", CASE p % 5 WHEN 0 THEN 'fail' WHEN 1 THEN 'warn' ELSE 'pass' END AS status, CASE p % 5 WHEN 0 THEN '0/2' WHEN 1 THEN '1/2' ELSE '2/2' END AS detail FROM cu),
+sp AS (SELECT k, file, CASE k % 4 WHEN 0 THEN 'PST' WHEN 1 THEN 'PDT' WHEN 2 THEN 'XST' END AS token, CASE k % 11 WHEN 0 THEN NULL WHEN 1 THEN 'Nowhere/City' ELSE '{zone}' END AS zone,
+  TIMESTAMP '2024-01-05 12:00:00' + to_days((k % 300)::INT) AS a, TIMESTAMP '2024-01-25 12:00:00' + to_days((k % 300)::INT) AS b FROM cu),
+hr AS (SELECT *, epoch(a - timezone('UTC', timezone('{zone}', a))) / 3600 AS ha, epoch(b - timezone('UTC', timezone('{zone}', b))) / 3600 AS hb FROM sp),
+zone AS (SELECT file, 'time zone' AS "check", CASE WHEN token IS NULL THEN 'warn' WHEN zone IS NULL THEN 'skipped' WHEN zone = 'Nowhere/City' THEN 'warn' WHEN ha <> hb THEN 'warn'
+  WHEN ha = -8 AND token = 'PST' OR ha = -7 AND token = 'PDT' THEN 'pass' ELSE 'warn' END AS status, token AS detail FROM hr)""".replace("{zone}", ZONE)
+
+
+def _gates(spark, sf_dir):
+    k = F.col("c_custkey")
+    cu = v.read(spark, sf_dir, "customer").select(k.alias("k"), k.cast("string").alias("file"), (k % 50).alias("p"))
+    serial = F.concat(F.lit("SN"), "p").alias("serial")
+    one = F.lit("2024-01-01").cast("timestamp_ntz")
+    deployed = cu.filter("p < 40").select(serial, F.lit(1).cast("long").alias("deployment_number"), one.alias("w_start"), F.when(F.col("p") < 30, one).alias("w_end")).distinct()
+    files = cu.select("file", serial, F.lit(None).cast("long").alias("file_number"))
+    both = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("series")
+    mapping = cu.select("p", serial, both).filter((F.col("p") % 5 > 1) | ((F.col("p") % 5 == 1) & (F.col("series") == "a"))).select("serial", "series", F.lit("t").alias("parameter")).distinct()
+    days = F.make_dt_interval((F.col("k") % 300).cast("int"))
+    spans = cu.select(
+        "file", F.get(F.array(*map(F.lit, ("PST", "PDT", "XST"))), (F.col("k") % 4).cast("int")).alias("token"),
+        F.when(F.col("k") % 11 == 1, "Nowhere/City").when(F.col("k") % 11 != 0, ZONE).alias("zone"),
+        (F.lit("2024-01-05 12:00:00").cast("timestamp_ntz") + days).alias("first_local"), (F.lit("2024-01-25 12:00:00").cast("timestamp_ntz") + days).alias("last_local"),
+    )
+    return [checks.gate_check(files, deployed), checks.map_check(cu.select("file", serial, both), mapping), checks.zone_check(spans, {"PST": -8.0, "PDT": -7.0})]
+
+
+def _all_checks(spark, sf_dir):
+    found = _edited(spark, sf_dir).select(*checks.check_row("edited", F.size("signs") == 0))
+    for more in (_serials(spark, sf_dir), *_gates(spark, sf_dir)):
+        found = found.unionByName(more)
+    return found
+
+
+@query(f"""WITH {_COUNTER}, {_SERIALS}, {_GATES} SELECT file, 'edited' AS "check", CASE WHEN signs = '' THEN 'pass' ELSE 'fail' END AS status, '' AS detail FROM signs UNION ALL SELECT file, 'serial', status, recorded FROM sn
+UNION ALL SELECT * FROM gate UNION ALL SELECT * FROM map UNION ALL SELECT * FROM zone""")
+def logger_file_checks(spark, sf_dir):
+    return _all_checks(spark, sf_dir)
+
+
+@query(f"""WITH {_COUNTER}, {_SERIALS}, {_GATES}, f AS (SELECT file FROM signs UNION SELECT file FROM sn)
+SELECT file, CASE WHEN gate.status = 'fail' THEN 'registry gate' WHEN map.status = 'fail' THEN 'series map' WHEN zone.status <> 'pass' THEN 'time zone' END AS blocked_by,
+CASE WHEN gate.status = 'fail' OR map.status = 'fail' OR zone.status <> 'pass' THEN 'quarantined' ELSE 'accepted' END AS outcome FROM f LEFT JOIN gate USING (file) LEFT JOIN map USING (file) LEFT JOIN zone USING (file)""")
 def blocked_files(spark, sf_dir):
-    edited = _edited(spark, sf_dir).select(*checks.check_row("edited", F.size("signs") == 0))
-    return checks.outcome(edited.unionByName(_serials(spark, sf_dir)), checks.LOGGER_ORDER)
+    return checks.logger_outcome(_all_checks(spark, sf_dir))
 
 
 @query(f"""WITH {SQL_LOGGER}, own AS (SELECT file, series, count(value) AS n, min(value) AS lo, max(value) AS hi, avg(value) AS mean FROM lg GROUP BY ALL),
@@ -204,7 +246,7 @@ _TOKENS = ("PST", "PDT", "XST")
 
 @query(f"""WITH s AS (SELECT o_orderkey AS file, {_sql_pick('o_orderkey', *_TOKENS)} AS token, o_orderdate + INTERVAL 12 HOUR AS a, o_orderdate + INTERVAL 732 HOUR AS b FROM orders),
 h AS (SELECT file, token, epoch(a - timezone('UTC', timezone('{ZONE}', a))) / 3600 AS ha, epoch(b - timezone('UTC', timezone('{ZONE}', b))) / 3600 AS hb, CASE token WHEN 'PST' THEN -8 WHEN 'PDT' THEN -7 END AS want FROM s)
-SELECT file, 'time zone' AS "check", CASE WHEN want IS NULL OR ha <> want THEN 'fail' WHEN ha <> hb THEN 'warn' ELSE 'pass' END AS status, token AS detail FROM h""")
+SELECT file, 'time zone' AS "check", CASE WHEN want IS NULL OR ha <> want OR ha <> hb THEN 'warn' ELSE 'pass' END AS status, token AS detail FROM h""")
 def zone_checks(spark, sf_dir):
     at = F.col("o_orderdate").cast("timestamp_ntz")
     spans = v.read(spark, sf_dir, "orders").select(

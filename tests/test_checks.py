@@ -39,7 +39,7 @@ def test_signs_of_an_edited_file(spark):
 
 def test_serials_and_reported_statistics(spark):
     files = spark.createDataFrame([("a", "1", "1"), ("b", "1", "2"), ("c", None, "2")], "file string, file_serial string, recorded_serial string")
-    assert status(checks.serials(files)) == {"a": "pass", "b": "fail", "c": "fail"}
+    assert status(checks.serials(files)) == {"a": "pass", "b": "warn", "c": "pass"}
     rows = spark.createDataFrame([("a", "t", 1.0), ("a", "t", 2.0), ("a", "t", None), ("b", "t", 1.0)], "file string, series string, value double")
     said = spark.createDataFrame([("a", "t", 2, 1.0, 2.0, 1.5), ("b", "t", 1, 1.0, 1.0, 1.01), ("c", "t", 0, None, None, None)], "file string, series string, rep_n long, rep_min double, rep_max double, rep_mean double")
     assert status(checks.statistics_check(rows, said)) == {"a": "pass", "b": "fail", "c": "fail"}
@@ -58,7 +58,10 @@ def test_zone_tokens_and_a_change_of_clocks(spark):
     w, s = dt.datetime(2024, 1, 5), dt.datetime(2024, 7, 5)
     spans = spark.createDataFrame([("a", "PDT", s, s), ("b", "PST", s, s), ("c", "PST", w, s), ("d", "EST", s, s)], "file string, token string, first_local timestamp_ntz, last_local timestamp_ntz")
     found = checks.zone_check(spans.withColumn("zone", F.lit("America/Los_Angeles")), {"PDT": -7, "PST": -8})
-    assert status(found) == {"a": "pass", "b": "fail", "c": "warn", "d": "fail"}
+    assert status(found) == {"a": "pass", "b": "warn", "c": "warn", "d": "warn"}
+    odd = spark.createDataFrame([("e", None, "America/Los_Angeles"), ("f", "PDT", None), ("g", "PDT", "Nowhere/City")], "file string, token string, zone string")
+    odd = odd.withColumn("first_local", F.lit(s).cast("timestamp_ntz")).withColumn("last_local", F.lit(s).cast("timestamp_ntz"))
+    assert status(checks.zone_check(odd, {"PDT": -7})) == {"e": "warn", "f": "skipped", "g": "warn"}
 
 
 def test_rows_in_and_out(spark):
@@ -167,9 +170,19 @@ def test_all_checks_of_a_logger_file(spark):
     events = spark.createDataFrame([(f, T0, T0 + step * 2, 600.0) for f in "ab"], "file string, started timestamp_ntz, ended timestamp_ntz, interval_s double")
     said = spark.createDataFrame([(f, "t", 3, 0.0, 2.0, 1.0) for f in "ab"], "file string, series string, rep_n long, rep_min double, rep_max double, rep_mean double")
     spans = spark.createDataFrame([(f, "PDT", T0, T0, "America/Los_Angeles") for f in "ab"], "file string, token string, first_local timestamp_ntz, last_local timestamp_ntz, zone string")
-    found = checks.logger_checks(rows, extra, files, events, said, spans, {"PDT": -7})
+    files = files.withColumn("file_number", F.lit(None).cast("long"))
+    deployed = spark.createDataFrame([("1", 1, T0, T0), ("2", 1, T0, T0)], "serial string, deployment_number long, w_start timestamp_ntz, w_end timestamp_ntz")
+    mapping = spark.createDataFrame([("1", "t", "temp"), ("2", "t", "temp")], "serial string, series string, parameter string")
+    found = checks.logger_checks(rows, extra, files, events, said, spans, {"PDT": -7}, deployed, mapping)
     assert {c for c, in found.select("check").distinct().collect()} == set(checks.LOGGER_ORDER)
-    assert {r.file: r.blocked_by for r in checks.outcome(found, checks.LOGGER_ORDER).collect()} == {"a": None, "b": "edited"}
+    # an edited and renamed file is recorded as such and ingested
+    assert {(r.check, r.status) for r in found.filter("file = 'b' and status <> 'pass'").collect()} == {("edited", "fail"), ("serial", "warn")}
+    assert {r.file: r.blocked_by for r in checks.logger_outcome(found).collect()} == {"a": None, "b": None}
+    assert {r.file: r.blocked_by for r in checks.logger_outcome(checks.logger_checks(rows, extra, files, events, said, spans, {"PDT": -8}, deployed, mapping)).collect()} == {"a": "time zone", "b": "time zone"}
+    no_map = checks.logger_checks(rows, extra, files, events, said, spans, {"PDT": -8}, deployed, mapping.filter("serial = '1'"))
+    assert {r.file: r.blocked_by for r in checks.logger_outcome(no_map).collect()} == {"a": "time zone", "b": "series map"}
+    nothing = checks.logger_checks(rows, extra, files, events, said, spans, {"PDT": -7}, deployed.filter("serial = '1'"), mapping.limit(0))
+    assert {r.file: r.blocked_by for r in checks.logger_outcome(nothing).collect()} == {"a": "series map", "b": "registry gate"}
 
 
 def test_first_days_with_a_source_flag(spark):

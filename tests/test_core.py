@@ -189,6 +189,33 @@ def test_deployments_clip_days_and_refuse_overlaps(spark):
     assert audit.counts_agree and audit.means_agree and whole.first().deployment_complete
 
 
+def test_overlaps_equal_trying_all_pairs_and_disjoint_windows_meet_none(spark):
+    r = __import__("random").Random(6)
+    schema = "site_id string, serial string, deployment_number long, parameter string, depth_m double, w_start timestamp_ntz, w_end timestamp_ntz"
+    at = lambda h: None if h is None else T0 + dt.timedelta(hours=h)
+    rows = []
+    for i in range(160):
+        a = r.choice([None, *range(60)]) if i % 9 == 0 else r.randrange(60)
+        rows.append((r.choice("AB"), f"s{i % 40}", i // 40, "temp", r.choice([None, 1.0]), at(a), at(a if a is None else a + r.choice([0, 1, 3, 20, -2]))))
+    got = {(g.a_serial, g.a_deployment_number, g.b_serial, g.b_deployment_number) for g in features.overlapping_deployments(spark.createDataFrame(rows, schema)).collect()}
+    whole = [x for x in rows if x[5] is not None and x[5] <= x[6]]
+    want = {(x[1], x[2], y[1], y[2]) for x in whole for y in whole if (x[0], x[3], x[4]) == (y[0], y[3], y[4]) and x[1:3] < y[1:3] and x[5] <= y[6] and y[5] <= x[6]}
+    assert got == want and len(got) > 100
+    many = spark.range(10_000).selectExpr("'A' AS site_id", "cast(id AS string) AS serial", "1L AS deployment_number", "'temp' AS parameter", "1D AS depth_m", "timestamp_ntz'2000-01-01' + make_dt_interval(0, id * 2) AS w_start", "timestamp_ntz'2000-01-01' + make_dt_interval(0, id * 2 + 1) AS w_end")
+    swept = features._overlaps(many, ["site_id"])
+    assert swept.count() == 10_000 and swept.filter("__upto > __rank").count() == 0 and features.overlapping_deployments(many).count() == 0
+
+
+def test_an_observation_meets_the_windows_of_its_month(spark):
+    r = __import__("random").Random(7)
+    times = [T0 + dt.timedelta(hours=r.randrange(0, 24 * 400)) for _ in range(300)]
+    df = spark.createDataFrame([(t, r.choice("AB"), "temp", 1.0, r.choice([None, 1.0]), 2, "", "s", str(i)) for i, t in enumerate(times)], zones.OBSERVATION)
+    windows = [(r.choice("AB"), f"s{i}", 1, "temp", r.choice([None, 1.0]), a, r.choice([a, a + dt.timedelta(hours=r.randrange(0, 3000))])) for i, a in enumerate(r.choices(times, k=40))] + [("A", "open", 1, "temp", 1.0, T0, None)]
+    d = spark.createDataFrame(windows, "site_id string, serial string, deployment_number long, parameter string, depth_m double, w_start timestamp_ntz, w_end timestamp_ntz")
+    got = sorted((x.fetch_run_id, x.serial) for x in features.deployment_rows(df, d).collect())
+    assert got == sorted((o.fetch_run_id, w[1]) for o in df.collect() for w in windows if w[6] and (o.site_id, o.depth_m) == (w[0], w[4]) and w[5] <= o.timestamp <= w[6])
+
+
 def test_platforms_fold_through_shared_kin(spark):
     refs = spark.createDataFrame([("A", "r1", 1), ("A", "r2", 2), ("A", "r3", 3), ("A", "r4", 4)], "site_id string, ref string, ordinal long")
     kin = spark.createDataFrame([("r3", "r1"), ("r3", "r4")], "a string, b string")
