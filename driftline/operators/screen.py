@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +15,7 @@ from driftline.functions.fields import refused
 from driftline.functions.stats import null_safe_join
 from driftline.operators.comparison import gate
 from driftline.operators.quality import SERIES
+from driftline.session import written
 
 ENV = ["env_source", "site_id", "parameter", "depth_m"]
 CELL = ["polygon_id", *ENV, "lag", "feature"]
@@ -231,49 +236,93 @@ def pairs_of(cells: DataFrame, chosen: DataFrame) -> DataFrame:
 # --- series of the response and of the predictors ----------------------------------------------
 
 
-def autocorrelation(series: DataFrame, keys: list[str], value: str, lags: Column) -> DataFrame:
-    """r at each lag over pairs exactly that many quarters apart; needs three pairs.
+#: Cells whose dense vectors are handled at once.
+VECTORS = 512
+
+
+def _dense(rows: Sequence, columns: tuple[str, ...]) -> list[np.ndarray]:
+    """A matrix of each column, a row for each list of (q, columns), NaN where a quarter is absent; a repeated quarter is refused."""
+    first = [min(r["q"] for r in row) for row in rows]
+    width = max(max(r["q"] for r in row) - f + 1 for row, f in zip(rows, first, strict=True))
+    out = [np.full((len(rows), width), np.nan) for _ in columns]
+    for i, (row, f) in enumerate(zip(rows, first, strict=True)):
+        at = np.array([r["q"] - f for r in row])
+        if len(np.unique(at)) < len(at):
+            raise ValueError("refused: a series with a repeated quarter")
+        for m, c in zip(out, columns, strict=True):
+            m[i, at] = [np.nan if r[c] is None else r[c] for r in row]
+    return out
+
+
+def _lagged_r(v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of quarters k apart in each row, and Pearson's r over them (NaN where a side is flat)."""
+    if k >= v.shape[1]:
+        return np.zeros(len(v), int), np.full(len(v), np.nan)
+    a, b = v[:, k:], v[:, :-k]
+    both = ~np.isnan(a) & ~np.isnan(b)
+    n = both.sum(1)
+    size = np.maximum(n, 1)
+    centred = [np.where(both, x - (np.where(both, x, 0).sum(1) / size)[:, None], 0) for x in (a, b)]
+    spread = np.sqrt((centred[0] ** 2).sum(1) / size) * np.sqrt((centred[1] ** 2).sum(1) / size)
+    return n, np.where(spread > 1e-12, (centred[0] * centred[1]).sum(1) / size / np.where(spread > 1e-12, spread, 1), np.nan)
+
 
-    ``series`` has the keys, q and the value; ``lags`` is an array column. One equi-join
-    on keys and quarter serves all lags.
+def autocorrelation(series: DataFrame, keys: list[str], value: str, lags: list[int]) -> DataFrame:
+    """r at each lag over pairs exactly that many quarters apart, where there are any; r needs three pairs.
+
+    ``series`` has the keys, q and the value. A series is gathered once, as a dense vector
+    of its quarters, and all lags are read from it.
     """
-    a = series.select(*keys, "q", F.col(value).alias("v0")).filter("v0 is not null")
-    b = a.select(*keys, F.col("q").alias("q0"), F.col("v0").alias("v1")).withColumn("k", F.explode(lags)).withColumn("q", F.col("q0") + F.col("k"))
-    joined = null_safe_join(b.drop("q0"), a, [*keys, "q"], "inner")
-    r = F.when(F.count("*") >= MIN_ADJACENT, stats.pearson(F.col("v0"), F.col("v1")))
-    return joined.groupBy(*keys, "k").agg(F.count("*").alias("n_pairs"), r.alias("r_k"))
+    rows = series.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.collect_list(F.struct("q", F.col(value).alias("v"))).alias("quarters"))
 
+    @F.pandas_udf("array<struct<k: int, n_pairs: bigint, r_k: double>>")
+    def lagged(quarters: pd.Series) -> pd.Series:
+        out: list[list] = []
+        for at in range(0, len(quarters), VECTORS):
+            (v,) = _dense(list(quarters[at : at + VECTORS]), ("v",))
+            found = [(k, *_lagged_r(v, k)) for k in lags]
+            out += [[{"k": k, "n_pairs": n[i], "r_k": r[i] if n[i] >= MIN_ADJACENT and r[i] == r[i] else None} for k, n, r in found if n[i]] for i in range(len(v))]
+        return pd.Series(out, dtype=object)
 
-def bartlett(cells: DataFrame, truncation: int | None = None) -> DataFrame:
-    """Effective size of each cell by Bartlett's sum to lag K (a quarter of n unless given).
+    return rows.select(*keys, F.inline(lagged("quarters")))
+
+
+def bartlett_sweep(cells: DataFrame, truncations: Sequence[int | None] = (4, 8, 12, 16)) -> DataFrame:
+    """Effective size of each cell by Bartlett's sum to each lag K of ``truncations`` (None: a quarter of n).
 
     ``n / (1 + 2 * sum((1 - k/n) * rx_k * ry_k))``; null if any r_k is unknown or the
-    denominator is not positive. A cell's quarters, some two hundred, are gathered once as
-    maps by quarter, and each lag's pairs are found in them, so nothing is joined.
+    denominator is not positive. A cell's quarters, some two hundred, are gathered
+    once, and all lags of all K are read from their dense vectors.
     """
-    by_q = lambda c: F.map_from_entries(F.array_sort(F.collect_list(F.struct("q", c))))
-    rows = cells.groupBy(*CELL).agg(F.count("*").alias("n"), by_q("x").alias("xs"), by_q("y").alias("ys"))
-    rows = rows.withColumn("k_max", F.lit(truncation) if truncation else F.floor(F.col("n") / 4).cast("int")).filter("k_max >= 1")
-    each = rows.select(*CELL, "n", "k_max", "xs", "ys", F.explode("xs").alias("q", "x"))
-    each = each.select(*CELL, "n", "k_max", "ys", "x", "q", "xs", F.explode(F.sequence(F.lit(1), F.col("k_max"))).alias("k"))
-    each = each.filter(F.map_contains_key("xs", F.col("q") - F.col("k")))
-    at = lambda m, q: F.element_at(F.col(m), q)
-    back = F.col("q") - F.col("k")
-    per = each.select(*CELL, "n", "k_max", "k", "x", at("ys", F.col("q")).alias("y"), at("xs", back).alias("x1"), at("ys", back).alias("y1"))
-    per = per.groupBy(*CELL, "n", "k_max", "k").agg(
-        F.count("*").alias("m"), stats.pearson(F.col("x"), F.col("x1")).alias("rx"), stats.pearson(F.col("y"), F.col("y1")).alias("ry")
-    ).withColumn("p", F.when(F.col("m") >= MIN_ADJACENT, F.col("rx") * F.col("ry")))
-    total = per.groupBy(*CELL, "n", "k_max").agg(F.count("p").alias("known"), F.sum((1 - F.col("k") / F.col("n")) * F.col("p")).alias("s"))
-    d = 1 + 2 * F.col("s")
-    return total.select(*CELL, "n", "k_max", F.when((F.col("known") == F.col("k_max")) & (d > 0), F.greatest(F.col("n") / d, F.lit(1.0))).alias("n_eff_bartlett"))
-
-
-def bartlett_sweep(cells: DataFrame, truncations=(4, 8, 12, 16)) -> DataFrame:
-    """Bartlett's size of each cell at several fixed truncations."""
-    out = bartlett(cells, truncations[0])
-    for k in truncations[1:]:
-        out = out.unionByName(bartlett(cells, k))
-    return out
+    rows = cells.groupBy(*CELL).agg(F.count("*").alias("n"), F.collect_list(F.struct("q", "x", "y")).alias("quarters"))
+
+    @F.pandas_udf("array<struct<k_max: int, n_eff_bartlett: double>>")
+    def sized(quarters: pd.Series) -> pd.Series:
+        out: list[list] = []
+        for at in range(0, len(quarters), VECTORS):
+            part = list(quarters[at : at + VECTORS])
+            x, y = _dense(part, ("x", "y"))
+            n = np.array([len(p) for p in part])
+            last = np.array([[n_i // 4 if k is None else k for k in truncations] for n_i in n])
+            found, total, known = np.zeros(last.shape), np.zeros(last.shape), np.ones(last.shape, bool)
+            for k in range(1, int(last.max(initial=0)) + 1):
+                pairs, rx = _lagged_r(x, k)
+                p = np.where(pairs >= MIN_ADJACENT, rx * _lagged_r(y, k)[1], np.nan)[:, None]
+                counts = last >= k
+                found += np.where(counts, pairs[:, None], 0)
+                known &= ~counts | ~np.isnan(p)
+                total += np.where(counts & ~np.isnan(p), (1 - k / n)[:, None] * np.nan_to_num(p), 0)
+            d = 1 + 2 * total
+            size = np.where(known & (d > 0), np.maximum(n[:, None] / np.where(d > 0, d, 1), 1.0), np.nan)
+            out += [[{"k_max": int(last[i, j]), "n_eff_bartlett": None if np.isnan(size[i, j]) else size[i, j]} for j in range(len(truncations)) if last[i, j] >= 1 and found[i, j]] for i in range(len(part))]
+        return pd.Series(out, dtype=object)
+
+    return rows.select(*CELL, "n", F.inline(sized("quarters")))
+
+
+def bartlett(cells: DataFrame, truncation: int | None = None) -> DataFrame:
+    """:func:`bartlett_sweep` for one truncation, a quarter of n unless given."""
+    return bartlett_sweep(cells, (truncation,))
 
 
 def response_shape(canopy: DataFrame, value: str = "area_m2") -> DataFrame:
@@ -298,27 +347,67 @@ def series_name() -> Column:
     return F.concat_ws("|", "source", "site_id", "parameter", F.coalesce(F.col("depth_m").cast("string"), F.lit("-")))
 
 
+def _gram(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Common quarters and Pearson's r of every row of ``a`` with every row of ``b`` (NaN: absent), by matrix products."""
+    masks = [(~np.isnan(m)).astype(float) for m in (a, b)]
+    # about a row's own mean, which r does not see, so that sums of squares lose nothing
+    x, y = (np.nan_to_num(m - (np.nan_to_num(m).sum(1) / np.maximum(w.sum(1), 1))[:, None]) for m, w in zip((a, b), masks, strict=True))
+    n = masks[0] @ masks[1].T
+    size = np.maximum(n, 1)
+    sx, sy = x @ masks[1].T / size, masks[0] @ y.T / size
+    vx, vy = (x * x) @ masks[1].T / size - sx * sx, masks[0] @ (y * y).T / size - sy * sy
+    spread = np.sqrt(np.maximum(vx, 0)) * np.sqrt(np.maximum(vy, 0))
+    return n.astype(int), np.where(spread > 1e-12, (x @ y.T / size - sx * sy) / np.where(spread > 1e-12, spread, 1), np.nan)
+
+
+#: Series of a block on either side of :func:`redundancy`.
+GRAM = 256
+
+
 def redundancy(quarterly: DataFrame, column: str, least: int = 8) -> DataFrame:
     """Pairwise-complete r between series of one anomaly, with their common quarters.
 
-    A series' values, one for each quarter, are gathered as a map. Series meet in
-    BLOCKS x BLOCKS blocks dealt by a hash of their names, so no quarter is a hot key and
-    the pairs, which are the result, are spread.
+    A series' values, one for each quarter, are gathered once. Series meet in blocks of
+    about GRAM on either side, dealt by a hash of their names; counts, sums and products of
+    a block come from matrix products of its dense vectors and their masks. The pairs
+    with a common quarter are the result. Two values of a series in one quarter are refused.
     """
     q = calendar.quarter_index(F.col("year"), F.col("quarter"))
-    s = quarterly.filter(F.col(column).isNotNull()).groupBy(series_name().alias("a")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(q, column)))).alias("xs"))
-    s = s.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(BLOCKS)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
-    left = s.select("a", "xs", F.col("block").alias("i"), F.explode(every).alias("j"))
-    right = s.select(F.col("a").alias("b"), F.col("xs").alias("ys"), F.col("block").alias("j"), F.explode(every).alias("i"))
-    both = left.join(right, ["i", "j"]).filter("a < b")
-    both = both.select("a", "b", F.explode("xs").alias("q", "x"), "ys").select("a", "b", "x", F.try_element_at("ys", F.col("q")).alias("y"))
-    return both.filter("y is not null").groupBy("a", "b").agg(F.count("*").alias("n_common"), stats.pearson(F.col("x"), F.col("y")).alias("r")).withColumn(
-        "r", F.when(F.col("n_common") >= least, F.col("r"))
-    )
-
-
-#: Blocks of series on either side of :func:`redundancy`.
+    s = quarterly.filter(F.col(column).isNotNull()).groupBy(series_name().alias("a")).agg(F.collect_list(F.struct(q.alias("q"), F.col(column).alias("v"))).alias("quarters"))
+    s = written(s, "series")
+    n_blocks = max(1, -(-s.count() // GRAM))
+    s = s.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(n_blocks)).cast("int"))
+    left = s.select(F.col("a").alias("name"), F.col("quarters").alias("cells"), F.col("block").alias("i"), F.explode(F.sequence("block", F.lit(n_blocks - 1))).alias("j"))
+    right = s.select(F.col("a").alias("name"), F.col("quarters").alias("cells"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"))
+
+    def meet(key: tuple, x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": [], "n_common": [], "r": []})
+        if x.empty or y.empty:
+            return none
+        spans = [np.array([r["q"] for row in f["cells"] for r in row]) for f in (x, y)]
+        low, width = min(v.min() for v in spans), max(v.max() for v in spans) - min(v.min() for v in spans) + 1
+        dense = []
+        for f in (x, y):
+            m = np.full((len(f), width), np.nan)
+            for i, row in enumerate(f["cells"]):
+                at = np.array([r["q"] for r in row]) - low
+                if len(np.unique(at)) < len(at):
+                    raise ValueError("refused: a series with two values in a quarter")
+                m[i, at] = [r["v"] for r in row]
+            dense.append(m)
+        n, r = _gram(*dense)
+        names = [f["name"].to_numpy(object) for f in (x, y)]
+        same = names[0][:, None] == names[1][None]
+        i, j = np.nonzero((n > 0) & ~same & ((names[0][:, None] < names[1][None]) | (key[0] != key[1])))
+        a, b = names[0][i], names[1][j]
+        lower = a < b
+        r = np.where(n[i, j] >= least, r[i, j], np.nan)
+        return pd.DataFrame({"a": np.where(lower, a, b), "b": np.where(lower, b, a), "n_common": n[i, j], "r": pd.Series(r).astype(object).where(~np.isnan(r), None)})
+
+    return left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(meet, "a string, b string, n_common long, r double")
+
+
+#: Blocks of series on either side of :func:`overlap_change`.
 BLOCKS = 8
 
 
@@ -343,19 +432,26 @@ def quarter_matrix(quarterly: DataFrame, column: str, series: list[str]) -> Data
 
 
 def remeasurement(quarterly: DataFrame, column: str) -> DataFrame:
-    """r between the parameters of a station over the quarters in which all are present, beside the pairwise r."""
+    """r between the parameters of a station over the quarters in which all are present, beside the pairwise r.
+
+    A station's parameters, one mean for each quarter, form one small matrix.
+    """
     q = calendar.quarter_index(F.col("year"), F.col("quarter"))
     s = quarterly.filter(F.col(column).isNotNull()).groupBy("site_id", "parameter", q.alias("q")).agg(F.avg(column).alias("x"))
-    n_all = s.groupBy("site_id").agg(F.count_distinct("parameter").alias("n_params"))
-    full = s.groupBy("site_id", "q").agg(F.count("*").alias("n_here")).join(n_all, "site_id").filter("n_here = n_params").select("site_id", "q", F.lit(True).alias("complete"))
-    s = s.join(full, ["site_id", "q"], "left")
-    t = s.select("site_id", "q", F.col("parameter").alias("b"), F.col("x").alias("y"))
-    both = s.withColumnRenamed("parameter", "a").join(t, ["site_id", "q"]).filter("a < b")
-    c = F.col("complete")
-    return both.groupBy("site_id", "a", "b").agg(
-        F.count("*").alias("n_pairwise"), stats.pearson(F.col("x"), F.col("y")).alias("r_pairwise"),
-        F.count_if(c).alias("n_listwise"), stats.pearson(F.when(c, F.col("x")), F.when(c, F.col("y"))).alias("r_listwise"),
-    )
+
+    def pairs(part: pd.DataFrame) -> pd.DataFrame:
+        m = part.pivot(index="parameter", columns="q", values="x").sort_index()
+        v = m.to_numpy(float)
+        n, r = _gram(v, v)
+        whole = np.where(np.isnan(v).any(0), np.nan, v)
+        n_all, r_all = _gram(whole, whole)
+        i, j = np.nonzero(np.triu(n > 0, 1))
+        null = lambda x: pd.Series(x).astype(object).where(~np.isnan(x), None)
+        return pd.DataFrame({
+            "site_id": part.site_id.iloc[0], "a": m.index[i], "b": m.index[j], "n_pairwise": n[i, j], "r_pairwise": null(r[i, j]), "n_listwise": n_all[i, j], "r_listwise": null(r_all[i, j]),
+        })
+
+    return s.groupBy("site_id").applyInPandas(pairs, "site_id string, a string, b string, n_pairwise long, r_pairwise double, n_listwise long, r_listwise double")
 
 
 def lag_feature_matrix(cells: DataFrame, lags=(0, 1, 2, 3, 4)) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -11,37 +11,67 @@ from driftline.functions.fields import refused
 from driftline.functions.stats import depth_comparable, depth_gap, null_safe_join, pearson
 from driftline.operators.features import DEPLOYMENT, deployment_rows
 from driftline.operators.windowed import cadence_of
+from driftline.session import written
 
 PAIR = [*DEPLOYMENT, "ref", "ref_depth_m"]
 SERIES_OF_REF = ["ref", "parameter", "ref_depth_m"]
 
 
-def fold_platforms(refs: DataFrame, kin: DataFrame) -> DataFrame:
+#: Pairs of kin that are folded on the driver at most; more are folded by joins.
+HELD_KIN = 10_000
+
+
+def fold_platforms(refs: DataFrame, kin: DataFrame, held: int = HELD_KIN) -> DataFrame:
     """(site_id, ref, platform, ordinal): references that are kin share the platform of the first.
 
     ``refs`` has site_id, ref and ordinal (the declared order), ``kin`` pairs (a, b) of
-    references on one platform; both come from the site registry, a settings file of
-    some hundred stations. Kinship is symmetric and followed to the end, once for the
-    few pairs that the registry declares.
+    references on one platform. Kinship is symmetric and followed to the end.
     """
+    pairs = kin.filter("a is not null and b is not null").select("a", "b").distinct()
+    few = pairs.limit(held + 1).collect()  # the registry's few pairs, or the sign that there are more
+    groups = _led(refs.sparkSession, few) if len(few) <= held else components(pairs)
+    w = W.partitionBy("site_id", "package")
+    return (
+        refs.join(groups, "ref", "left").withColumn("package", F.coalesce("package", "ref"))
+        .select("site_id", "ref", F.min("ordinal").over(w).alias("platform"), "ordinal")
+    )
+
+
+def _led(spark: SparkSession, pairs: list) -> DataFrame:
+    """ref, package (the first of its kin) of a bounded list of pairs."""
     leader: dict[str, str] = {}
 
     def lead(x: str) -> str:
         while leader.get(x, x) != x:
+            leader[x] = leader.get(leader[x], leader[x])
             x = leader[x]
         return x
 
-    for r in kin.select("a", "b").distinct().toLocalIterator():
-        if r["a"] is not None and r["b"] is not None:
-            first, second = sorted((lead(r["a"]), lead(r["b"])))
-            leader[second] = first
-    spark = refs.sparkSession
-    groups = spark.createDataFrame([(x, lead(x)) for x in leader], "ref string, package string")
-    w = W.partitionBy("site_id", "package")
-    return (
-        refs.join(F.broadcast(groups), "ref", "left").withColumn("package", F.coalesce("package", "ref"))
-        .select("site_id", "ref", F.min("ordinal").over(w).alias("platform"), "ordinal")
-    )
+    for a, b in pairs:
+        first, second = sorted((lead(a), lead(b)))
+        leader[second] = first
+    return F.broadcast(spark.createDataFrame([(x, lead(x)) for x in leader], "ref string, package string"))
+
+
+def components(pairs: DataFrame) -> DataFrame:
+    """ref, package: every member of ``pairs`` (a, b) with the first member that can be reached from it.
+
+    Each round a member's parent, and its parent's, take the least grandparent of its
+    neighbours, and every member skips to its grandparent; rounds grow with the logarithm of the
+    longest chain. Parents are written once a round, which cuts the lineage.
+    """
+    both = written(pairs.select("a", "b").union(pairs.select("b", "a")).filter("a <> b").distinct(), "kin")
+    parents = written(both.groupBy(F.col("a").alias("ref")).agg(F.least(F.col("a"), F.min("b")).alias("p")), "parents")
+    while True:
+        up = parents.join(parents.select(F.col("ref").alias("p"), F.col("p").alias("g")), "p").select("ref", "p", "g")
+        near = both.join(up.select(F.col("ref").alias("b"), F.col("g").alias("low")), "b").groupBy("a").agg(F.min("low").alias("low"))
+        seen = up.join(near.withColumnRenamed("a", "ref"), "ref")
+        offers = seen.select("ref", F.least("p", "g", "low").alias("p")).union(seen.select(F.col("p").alias("ref"), F.col("low").alias("p")))
+        after = written(offers.groupBy("ref").agg(F.min("p").alias("p")), "parents")
+        moved = after.join(parents.withColumnRenamed("p", "old"), "ref").filter("p <> old").limit(1).count()
+        parents = after
+        if not moved:
+            return parents.withColumnRenamed("p", "package")
 
 
 def choose_references(folded: DataFrame, present: DataFrame) -> DataFrame:

@@ -548,7 +548,7 @@ _ACF = f"SELECT a.polygon_id, k, count(*) AS n_pairs, CASE WHEN count(*) >= 3 TH
 @query(f"WITH {SQL_CANOPY}, s AS (SELECT polygon_id, year * 4 + quarter - 1 AS q, area_m2_anom AS v FROM canopy WHERE area_m2_anom IS NOT NULL) {_ACF}")
 def response_persistence(spark, sf_dir):
     s = _canopy(spark, sf_dir).withColumn("q", calendar.quarter_index(F.col("year"), F.col("quarter")))
-    return screen.autocorrelation(s, ["polygon_id"], "area_m2_anom", F.array(F.lit(1), F.lit(4)))
+    return screen.autocorrelation(s, ["polygon_id"], "area_m2_anom", [1, 4])
 
 
 _CELL_EQ = "a.polygon_id = b.polygon_id AND a.env_source = b.env_source AND a.site_id = b.site_id AND a.parameter = b.parameter AND a.lag = b.lag AND a.feature = b.feature"

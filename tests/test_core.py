@@ -226,9 +226,73 @@ def test_platforms_fold_through_shared_kin(spark):
     assert chosen == {("t", "r3", "r1;r4"), ("t", "r2", ""), ("u", "r1", "r3;r4")}
 
 
+def test_long_chains_of_kin_fold_by_joins_in_few_rounds(spark, monkeypatch):
+    rounds, plain = [], validation.written
+    monkeypatch.setattr(validation, "written", lambda df, label: rounds.append(label) or plain(df, label))
+    r = __import__("random").Random(8)
+    chain = [(f"c{i:04d}", f"c{i + 1:04d}") for i in range(999)]
+    others = [("x", "y"), ("y", "y"), ("z", "x"), ("m", "n")]
+    pairs = [p if r.random() < 0.5 else p[::-1] for p in chain + others]
+    r.shuffle(pairs)
+    kin = spark.createDataFrame([*pairs, (None, "q")], "a string, b string")
+    got = {x.ref: x.package for x in validation.components(kin.filter("a is not null")).collect()}
+    assert got == {f"c{i:04d}": "c0000" for i in range(1000)} | {"x": "x", "y": "x", "z": "x", "m": "m", "n": "m"}
+    assert rounds.count("parents") <= 14
+    refs = spark.createDataFrame([("A", "z", 2), ("A", "y", 1), ("A", "lone", 3)], "site_id string, ref string, ordinal long")
+    held, joined = (sorted(map(tuple, validation.fold_platforms(refs, kin.filter("a < 'c0' or a > 'd'"), h).collect())) for h in (10_000, 0))
+    assert held == joined == [("A", "lone", 3, 3), ("A", "y", 1, 1), ("A", "z", 1, 2)]
+
+
 # --- statistics -----------------------------------------------------------------------------------
 
 
+def test_gram_blocks_and_lags_equal_plain_pearson(spark, monkeypatch):
+    monkeypatch.setattr(screen, "GRAM", 3)
+    monkeypatch.setattr(screen, "VECTORS", 2)
+    r = __import__("random").Random(9)
+    values = {}
+    for k in range(11):
+        for q in range(8000, 8060):
+            if r.random() < 0.6:
+                values[(f"s{k:02d}", q)] = 3.0 if k == 0 else r.gauss(1000 * k, 1) + (q % 7 if k % 2 else 0)
+    rows = [("src", s, "temp", None, q // 4, q % 4 + 1, x) for (s, q), x in values.items()]
+    df = spark.createDataFrame(rows, "source string, site_id string, parameter string, depth_m double, year int, quarter int, m double")
+    names = sorted({s for s, _ in values})
+
+    def pearson(xs):
+        if len(xs) < 2:
+            return None
+        a, b = zip(*xs)
+        ma, mb = sum(a) / len(a), sum(b) / len(b)
+        va, vb = sum((x - ma) ** 2 for x in a), sum((x - mb) ** 2 for x in b)
+        return None if (va * vb) ** 0.5 / len(a) <= 1e-12 else sum((x - ma) * (y - mb) for x, y in xs) / (va * vb) ** 0.5
+
+    got = {(x.a.split("|")[1], x.b.split("|")[1]): (x.n_common, x.r and round(x.r, 8)) for x in screen.redundancy(df, "m").collect()}
+    want = {}
+    for a in names:
+        for b in names:
+            common = [(values[(a, q)], values[(b, q)]) for q in range(8000, 8060) if (a, q) in values and (b, q) in values]
+            if a < b and common:
+                p = pearson(common) if len(common) >= 8 else None
+                want[(a, b)] = (len(common), p and round(p, 8))
+    assert got == want and any(v[1] is None for v in want.values())
+    s = spark.createDataFrame([(k, q, x) for (k, q), x in values.items()], "k string, q int, v double")
+    found = {(x.k, x["k_lag"]): (x.n_pairs, x.r_k and round(x.r_k, 8)) for x in screen.autocorrelation(s.withColumnRenamed("k", "name"), ["name"], "v", [1, 4, 59, 90]).withColumnRenamed("k", "k_lag").withColumnRenamed("name", "k").collect()}
+    want = {}
+    for k in names:
+        for lag in (1, 4, 59, 90):
+            xs = [(values[(k, q)], values[(k, q - lag)]) for q in range(8000, 8060) if (k, q) in values and (k, q - lag) in values]
+            if xs:
+                p = pearson(xs) if len(xs) >= 3 else None
+                want[(k, lag)] = (len(xs), p and round(p, 8))
+    assert found == want
+    with pytest.raises(Exception, match="repeated quarter"):
+        screen.autocorrelation(s.union(s), ["k"], "v", [1]).collect()
+    with pytest.raises(Exception, match="two values"):
+        screen.redundancy(df.union(df), "m").collect()
+
+
+
 def test_statistics_on_flat_and_short_groups(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (None, 5.0)], "x double, y double")
     assert df.agg(stats.pearson(F.col("x"), F.col("y"))).first()[0] is None
