@@ -173,8 +173,9 @@ def grain_audit(coarse: DataFrame, fine: DataFrame, thresholds: dict | None = No
     """Deployment figures beside those re-derived from their days, and whether they agree.
 
     ``thresholds`` names what is re-derived from the days' extremes and means:
-    days_above, days_below and degree_days_above. expected_obs is shown and not judged, as
-    days end where the window is clipped. A key that occurs twice on either side is refused.
+    days_above, days_below and degree_days_above. The days' expected_obs must add up to the
+    deployment's; they fall short by the days that nothing was kept of. A key that occurs
+    twice on either side is refused. :func:`agreed` refuses deployments that disagree.
     """
     lab, kinds = naming.threshold_label, thresholds or {}
     more = {f"days_above_{lab(x)}": F.sum((F.col("max") > x).cast("double")) for x in kinds.get("days_above", ())}
@@ -190,6 +191,7 @@ def grain_audit(coarse: DataFrame, fine: DataFrame, thresholds: dict | None = No
     out = null_safe_join(coarse.select(*DEPLOYMENT, "n_obs", "n_days_observed", "expected_obs", "mean", *more), derived, DEPLOYMENT)
     near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= tolerance * F.greatest(F.lit(1.0), F.abs(F.col(a)))
     out = out.withColumn("counts_agree", (F.col("n_obs") == F.col("fine_n_obs")) & (F.col("n_days_observed") == F.col("n_spans"))).withColumn("means_agree", near("mean", "fine_mean"))
+    out = out.withColumn("expected_agrees", near("expected_obs", "fine_expected"))
     agree = F.lit(True)
     for n in more:
         # a parameter without the threshold has none on the coarse side
@@ -197,6 +199,15 @@ def grain_audit(coarse: DataFrame, fine: DataFrame, thresholds: dict | None = No
     return out.withColumn("thresholds_agree", agree) if more else out
 
 
+def agreed(audit: DataFrame) -> DataFrame:
+    """The rows of a :func:`grain_audit`, refused if any figure disagrees with the days."""
+    bad = F.lit(False)
+    for c in audit.columns:
+        if c.endswith(("_agree", "_agrees")):
+            bad = bad | ~F.coalesce(c, F.lit(False))
+    return audit.withColumn("site_id", refused(bad, "a deployment and its days disagree", F.col("site_id"), "string"))
+
+
 def band_occupancy(hourly: DataFrame, band: str) -> DataFrame:
     return hourly.groupBy("site_id", "depth_m").agg(F.count(band).alias("n_hours"), F.avg(band).alias("share"))
 

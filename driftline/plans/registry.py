@@ -229,12 +229,30 @@ def unbuilt_parameters(spark, sf_dir):
     return feat.unbuilt(v.obs(spark, sf_dir), v.FEATURES)
 
 
-@query(f"""WITH {v.SQL_OBS}, t AS (SELECT concat_ws('|', epoch_us(timestamp)::VARCHAR, site_id, parameter, coalesce(printf('%.9e', value), '~'), coalesce(printf('%.9e', depth_m), '~'), qc_flag::VARCHAR, '', source, fetch_run_id) AS row_text FROM obs)
-SELECT count(*) AS n_rows, sum(('0x' || substr(md5(row_text), 1, 13))::BIGINT)::VARCHAR AS digest FROM t""")
+_ESC = lambda c: f"replace(replace(replace({c}, chr(92), chr(92) || chr(92)), '|', chr(92) || '|'), '~', chr(92) || '~')"
+_HALF = lambda i: f"format('{{:016x}}', (sum(('0x' || substr(h, {i}, 16))::UBIGINT::HUGEINT) % 18446744073709551616::HUGEINT)::UBIGINT)"
+_SQL_HASHED = f"""{v.SQL_OBS}, hashed AS (SELECT source, year(timestamp) AS year, md5(concat_ws('|', epoch_us(timestamp)::VARCHAR, {_ESC('site_id')}, {_ESC('parameter')}, coalesce(printf('%.9e', value), '~'), coalesce(printf('%.9e', depth_m), '~'),
+qc_flag::VARCHAR, '', {_ESC('source')}, {_ESC('fetch_run_id')})) AS h FROM obs)"""
+
+
+@query(f"WITH {_SQL_HASHED} SELECT count(*) AS n_rows, {_HALF(1)} || {_HALF(17)} AS digest FROM hashed")
 def observations_fingerprint(spark, sf_dir):
     return zones.fingerprint(v.obs(spark, sf_dir))
 
 
+@query(f"WITH {_SQL_HASHED} SELECT source, count(*) AS n_rows, {_HALF(1)} || {_HALF(17)} AS digest FROM hashed GROUP BY source")
+def fingerprints_merged(spark, sf_dir):
+    """By source, merged from the fingerprints of each source's sites."""
+    return zones.merged_fingerprints(zones.fingerprint(v.obs(spark, sf_dir), "source", "site_id"), "source")
+
+
+@query(f"""WITH {v.SQL_OBS} SELECT source, site_id, parameter FROM obs GROUP BY ALL HAVING bool_or(value > 200) ORDER BY ALL""")
+def partitions_changed(spark, sf_dir):
+    """Partitions that a rebuild with values beyond 200 left out changes."""
+    obs = v.obs(spark, sf_dir)
+    return zones.changed_partitions(obs.filter("value is null or value <= 200"), obs, "source", "site_id", "parameter")
+
+
 # --- quarterly features ----------------------------------------------------------------------------
 
 
@@ -418,7 +436,9 @@ def comparison_agreement(spark, sf_dir):
 _C = "polygon_id, env_source, site_id, parameter, depth_m, lag, feature"
 _R = "CASE WHEN stddev_pop({x}) * stddev_pop({y}) > 1e-12 THEN covar_pop({x}, {y}) / (stddev_pop({x}) * stddev_pop({y})) END"
 SQL_SCREEN = SQL_COMPARISON + f""",
-cells AS (SELECT * FROM ({' UNION ALL '.join(f"SELECT polygon_id, source AS env_source, site_id, parameter, depth_m, lag, '{m}' AS feature, q, round({m}, 9) AS x, round(canopy_anom, 9) AS y FROM gated" for m in ANOM)}) WHERE x IS NOT NULL),
+skip AS (SELECT source, site_id, parameter, feature FROM ({' UNION ALL '.join(f"SELECT source, site_id, parameter, '{m}_anom' AS feature, {m} AS v FROM ql" for m in MEASURED)}) GROUP BY ALL HAVING count(DISTINCT round(v, 6)) < 10),
+cells AS (SELECT * FROM ({' UNION ALL '.join(f"SELECT polygon_id, source AS env_source, site_id, parameter, depth_m, lag, '{m}' AS feature, q, round({m}, 9) AS x, round(canopy_anom, 9) AS y FROM gated" for m in ANOM)}) WHERE x IS NOT NULL
+  AND (env_source, site_id, parameter, feature) NOT IN (SELECT (source, site_id, parameter, feature) FROM skip)),
 ranked AS (SELECT *, rank() OVER (PARTITION BY {_C} ORDER BY x) + (count(*) OVER (PARTITION BY {_C}, x) - 1) / 2 AS xr, rank() OVER (PARTITION BY {_C} ORDER BY y) + (count(*) OVER (PARTITION BY {_C}, y) - 1) / 2 AS yr,
   lag(q) OVER w AS qb, lag(x) OVER w AS xb, lag(y) OVER w AS yb FROM cells WINDOW w AS (PARTITION BY {_C} ORDER BY q)),
 adj AS (SELECT *, CASE WHEN q - qb = 1 THEN x END AS ax, CASE WHEN q - qb = 1 THEN xb END AS axb, CASE WHEN q - qb = 1 THEN y END AS ay, CASE WHEN q - qb = 1 THEN yb END AS ayb FROM ranked),
@@ -431,7 +451,10 @@ _KEYS = "env_source, site_id, parameter, depth_m"
 
 
 def _cells(spark, sf_dir):
-    return screen.long_cells(_comparison(spark, sf_dir), ANOM)
+    """The cells to screen, without the (series, feature) that the audit of the same quarters excludes."""
+    anom = written(_anomalies(spark, sf_dir), "anomalies")
+    compared = cmp.build_comparison(_canopy(spark, sf_dir), anom, v.polygon_site(spark), ANOM)
+    return screen.without_skipped(screen.long_cells(compared, ANOM), screen.resolution_audit(anom, MEASURED))
 
 
 def _screen(spark, sf_dir):
@@ -674,7 +697,7 @@ _AUDITED = {"days_above_100c": "(max > 100.0)::INT::DOUBLE", "days_above_150c":
 @query(f"""WITH a AS (WITH {SQL_DEP}, {sql_reduce("drows", D, v.FEATURES, closed=True)} SELECT * FROM red WHERE n_obs > 0),
 f AS (WITH {_sql_sub('day')} SELECT {', '.join(D)}, sum(n_obs)::BIGINT AS fine_n_obs, sum(expected_obs) AS fine_expected, sum(mean * n_obs) / sum(n_obs) AS fine_mean, count(*) AS n_spans, {', '.join(f'sum({e}) AS fine_{n}' for n, e in _AUDITED.items())} FROM sub GROUP BY ALL)
 SELECT {', '.join('a.' + c for c in D)}, n_obs, n_days_observed, round(expected_obs, 6) AS expected_obs, round(mean, 6) AS mean, {', '.join(f'round({n}, 6) AS {n}' for n in _AUDITED)}, fine_n_obs, round(fine_expected, 6) AS fine_expected, round(fine_mean, 6) AS fine_mean, n_spans, {', '.join(f'round(fine_{n}, 6) AS fine_{n}' for n in _AUDITED)},
-n_obs = fine_n_obs AND n_days_observed = n_spans AS counts_agree, abs(mean - fine_mean) <= 1e-9 * greatest(1.0, abs(mean)) AS means_agree, {' AND '.join(f'({n} IS NULL OR abs({n} - fine_{n}) <= 1e-9 * greatest(1.0, abs({n})))' for n in _AUDITED)} AS thresholds_agree
+n_obs = fine_n_obs AND n_days_observed = n_spans AS counts_agree, abs(mean - fine_mean) <= 1e-9 * greatest(1.0, abs(mean)) AS means_agree, {' AND '.join(f'({n} IS NULL OR abs({n} - fine_{n}) <= 1e-9 * greatest(1.0, abs({n})))' for n in _AUDITED)} AS thresholds_agree, abs(expected_obs - fine_expected) <= 1e-9 * greatest(1.0, abs(expected_obs)) AS expected_agrees
 FROM a LEFT JOIN f ON {' AND '.join(f'a.{c} IS NOT DISTINCT FROM f.{c}' for c in D)}""")
 def deployment_grain_audit(spark, sf_dir):
     return validation.grain_audit(_deployment(spark, sf_dir), _sub(spark, sf_dir, "day"), _AUDIT)

@@ -113,22 +113,46 @@ def stored_sources(spark: SparkSession, root: str) -> DataFrame:
     return _stored(spark, root, OBSERVATION + ", year int").select("source").distinct()
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Rows and an order-free digest of a table: the sum of 52 bits of each row's MD5, as text.
-
-    A row's text joins its columns by ``|``: times as microseconds, doubles with nine
-    decimals of an exponent form, nulls as ``~``.
+def fingerprint(df: DataFrame, *by: str) -> DataFrame:
+    """Rows and a 128-bit digest of a table, or of each of its partitions ``by``.
+
+    The digest is that of the multiset of rows: the halves of every row's MD5 added up
+    modulo 2^64, in hexadecimal. It knows no order, a repeated row changes it, and those of
+    parts add up to that of the whole (:func:`merged_fingerprints`). A row's text joins its
+    columns by ``|``: times as microseconds, doubles with nine decimals of an exponent
+    form, nulls as ``~``; these marks are escaped where a text has them.
     """
     def text(name: str, kind: str):
         c = F.col(f"`{name}`")
         if kind.startswith("timestamp"):
-            c = F.unix_micros(c.cast("timestamp"))
-        c = F.format_string("%.9e", c) if kind in ("double", "float") else c.cast("string")
+            c = F.unix_micros(c.cast("timestamp")).cast("string")
+        elif kind in ("double", "float"):
+            c = F.format_string("%.9e", c)
+        else:
+            c = F.regexp_replace(c.cast("string"), r"([\\|~])", r"\\$1")
         return F.when(F.col(f"`{name}`").isNotNull(), c).otherwise("~")
 
     row = F.md5(F.concat_ws("|", *(text(*x) for x in df.dtypes)))
-    bits = F.conv(F.substring(row, 1, 13), 16, 10).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("n_rows"), F.sum(bits).cast("string").alias("digest"))
+    halves = [F.conv(F.substring(row, i, 16), 16, 10).cast("decimal(28,0)").alias(n) for n, i in (("__hi", 1), ("__lo", 17))]
+    return _digests(df.select(*by, F.lit(1).cast("long").alias("n_rows"), *halves), by)
+
+
+def _digests(halves: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    whole = F.lit(str(2**64)).cast("decimal(38,0)")
+    part = lambda c: F.lpad(F.lower(F.conv(F.pmod(F.sum(c).cast("decimal(38,0)"), whole).cast("string"), 10, 16)), 16, "0")
+    return halves.groupBy(*by).agg(F.coalesce(F.sum("n_rows"), F.lit(0).cast("long")).alias("n_rows"), F.coalesce(F.concat(part("__hi"), part("__lo")), F.lit("0" * 32)).alias("digest"))
+
+
+def merged_fingerprints(parts: DataFrame, *by: str) -> DataFrame:
+    """The fingerprint of the whole, or of each group ``by``, from those of its parts."""
+    halves = [F.conv(F.substring("digest", i, 16), 16, 10).cast("decimal(28,0)").alias(n) for n, i in (("__hi", 1), ("__lo", 17))]
+    return _digests(parts.select(*by, "n_rows", *halves), by)
+
+
+def changed_partitions(new: DataFrame, old: DataFrame, *by: str) -> DataFrame:
+    """Keys of the partitions that differ between two builds: other rows, or in one of them only."""
+    sides = [fingerprint(df, *by).select(F.struct(*by).alias("key"), F.concat_ws("/", F.col("n_rows").cast("string"), "digest").alias(n)) for df, n in ((new, "a"), (old, "b"))]
+    return sides[0].join(sides[1], "key", "full").filter(~F.col("a").eqNullSafe(F.col("b"))).select("key.*")
 
 
 def append_audit(df: DataFrame, root: str, table: str, run_id: str) -> None:

@@ -517,6 +517,42 @@ def test_what_is_no_observation_is_refused_at_the_door(spark, tmp_path):
     assert snapshots.current(spark, root).number == 1
 
 
+def test_fingerprints_know_rows_and_repeats_but_no_order(spark):
+    def of(*rows):
+        return tuple(zones.fingerprint(spark.createDataFrame(list(rows), "a string, b string").repartition(3)).first())
+
+    assert of(("a|b", "c")) != of(("a", "b|c")) and of((None, "x")) != of(("~", "x")) and of(("a\\\\|", "b")) != of(("a\\\\", "|b"))
+    assert of(("a", "b"), ("c", "d")) == of(("c", "d"), ("a", "b")) and of(("a", "b")) != of(("a", "b"), ("a", "b"))
+    assert of() == (0, "0" * 32) and len(of(("a", None))[1]) == 32
+    df = spark.range(500).selectExpr("cast(id % 7 AS string) AS k", "cast(id AS string) AS v")
+    whole = zones.fingerprint(df).first()
+    assert zones.merged_fingerprints(zones.fingerprint(df, "k")).first() == whole
+    other = df.filter("v <> '8'").union(df.filter("v = '9'")).union(spark.createDataFrame([("new", "1")], "k string, v string"))
+    assert sorted(r.k for r in zones.changed_partitions(other, df, "k").collect()) == ["1", "2", "new"]
+
+
+def test_days_that_do_not_add_up_are_refused(spark):
+    key = "site_id string, serial string, deployment_number long, parameter string, depth_m double"
+    coarse = spark.createDataFrame([("A", "1", 1, "temp", None, 4, 2, 6.0, 15.0)], key + ", n_obs long, n_days_observed long, expected_obs double, mean double")
+    days = [("A", "1", 1, "temp", None, 2, 3.0, 14.0, 14.0, 14.0), ("A", "1", 1, "temp", None, 2, 3.0, 16.0, 16.0, 16.0)]
+    schema = key + ", n_obs long, expected_obs double, mean double, min double, max double"
+    good = validation.grain_audit(coarse, spark.createDataFrame(days, schema))
+    row = validation.agreed(good).first()
+    assert row.counts_agree and row.means_agree and row.expected_agrees and row.site_id == "A"
+    short = validation.grain_audit(coarse, spark.createDataFrame([days[0], (*days[1][:6], 2.5, *days[1][7:])], schema))
+    assert not short.first().expected_agrees
+    with pytest.raises(Exception, match="disagree"):
+        validation.agreed(short).collect()
+
+
+def test_what_the_audit_excludes_is_not_screened(spark):
+    env = "source string, site_id string, parameter string, depth_m double"
+    audit = spark.createDataFrame([("s", "A", "t", None, "max", "excluded"), ("s", "A", "t", None, "mean", "low_resolution"), ("s", "B", "t", 1.0, "mean", "not_applicable")], env + ", feature string, verdict string")
+    cells = spark.createDataFrame([("s", site, "t", d, f) for site, d in (("A", None), ("B", 1.0), ("B", None)) for f in ("max_anom", "mean_anom")], env.replace("source", "env_source") + ", feature string")
+    got = sorted((r.site_id, r.depth_m is None, r.feature) for r in screen.without_skipped(cells, audit).collect())
+    assert got == [("A", True, "mean_anom"), ("B", False, "max_anom"), ("B", True, "max_anom"), ("B", True, "mean_anom")]
+
+
 def test_source_scoped_replacement(spark, tmp_path):
     root = str(tmp_path)
     a = spark.createDataFrame([("s", 1.0), ("t", 2.0)], "source string, mean double")
