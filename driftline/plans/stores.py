@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftline.operators.grid import A_AXIS, FLATTENING, SCALE, cell_weights
 from driftline.plans import views as v
 from driftline.plans.files import _PROVIDER, ORACLES, QUERIES
 from driftline.plans.registry import query
@@ -186,3 +187,26 @@ def shore_read(spark, sf_dir):
     head = "\ufeffStation: a pier\nPosition: 32° 52' 00\" N 117° 15' 30\" W\nSurface depth 0.5 m\n" + ",".join(text.SHORE_COLUMNS) + ","
     path = _headed_files(days.select(F.concat_ws(",", *(c.cast("string") for c in cells))), head, "shore")
     return text.shore_archive(spark, path, 0.5, 5.0, "pier", range_bytes=1 << 14)
+
+
+# --- areas of grid cells -----------------------------------------------------------------------------
+
+_N = FLATTENING / (2 - FLATTENING)
+_ECC = 2 * _N**0.5 / (1 + _N)
+_SERIES = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16 + 41 * _N**4 / 180, 13 * _N**2 / 48 - 3 * _N**3 / 5 + 557 * _N**4 / 1440, 61 * _N**3 / 240 - 103 * _N**4 / 140, 49561 * _N**4 / 161280)
+_RADIUS = SCALE * A_AXIS / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+
+
+@query(f"""WITH g AS (SELECT DISTINCT 32 + (o_custkey % 40) * 0.01::DOUBLE AS latitude, -117.5::DOUBLE + (o_orderkey % 50) * 0.01::DOUBLE AS longitude FROM orders),
+c AS (SELECT latitude, longitude, i, radians(latitude + [-0.005, -0.005, 0.005, 0.005][i]) AS phi, radians(longitude + [-0.005, 0.005, 0.005, -0.005][i] + 117) AS lam FROM g, (SELECT unnest([1, 2, 3, 4]) AS i)),
+t AS (SELECT *, sinh(atanh(sin(phi)) - {_ECC!r}::DOUBLE * atanh({_ECC!r}::DOUBLE * sin(phi))) AS t FROM c),
+x AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM t),
+e AS (SELECT latitude, longitude, i, {_RADIUS!r}::DOUBLE * (eta + {' + '.join(f'{a!r}::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)' for j, a in enumerate(_SERIES, 1))}) AS x,
+  {_RADIUS!r}::DOUBLE * (xi + {' + '.join(f'{a!r}::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)' for j, a in enumerate(_SERIES, 1))}) AS y FROM x),
+q AS (SELECT latitude, longitude, list(x - x0 ORDER BY i) AS x, list(y - y0 ORDER BY i) AS y FROM (SELECT *, first(x) OVER w AS x0, first(y) OVER w AS y0 FROM e WINDOW w AS (PARTITION BY latitude, longitude ORDER BY i)) GROUP BY 1, 2)
+SELECT round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, round(abs(list_sum(list_transform([1, 2, 3, 4], lambda i: x[i] * y[i % 4 + 1] - x[i % 4 + 1] * y[i]))) / 2, 1) AS weight FROM q""")
+def cell_areas(spark, sf_dir):
+    """Areas of whole cells in their UTM zone."""
+    cells = v.read(spark, sf_dir, "orders").select((32 + F.col("o_custkey") % 40 * 0.01).alias("latitude"), (-117.5 + F.col("o_orderkey") % 50 * 0.01).alias("longitude"))
+    whole = [(-118.0, 31.0), (-116.0, 31.0), (-116.0, 33.0), (-118.0, 33.0)]
+    return cell_weights(cells, whole).withColumn("weight", F.round("weight", 1))

@@ -570,6 +570,36 @@ def test_cell_weights(spark):
     ring = [(-117.005, 32.995), (-116.995, 32.995), (-116.995, 33.005), (-117.005, 33.005)]
     rows = grid.cell_weights(cells, ring).collect()
     assert len(rows) == 1 and rows[0].latitude == 33.0 and 1.0e6 < rows[0].weight < 1.1e6
+    whole = rows[0].weight
+    inner = [(x / 2 - 117.0 / 2, y / 2 + 33.0 / 2) for x, y in ring]  # half as wide about the same middle
+    holed = grid.cell_weights(cells, [[ring, inner]]).first().weight
+    assert abs(holed / whole - 0.75) < 1e-6
+    far = [(x, y + 0.01) for x, y in ring]
+    parts = {r.latitude: r.weight for r in grid.cell_weights(cells, [[ring], [far, [(x, y + 0.01) for x, y in inner]]]).collect()}
+    assert abs(parts[33.0] / whole - 1) < 1e-12 and abs(parts[33.01] / whole - 0.75) < 1e-3
+    diagonal = grid.cell_weights(cells, [ring[0], ring[1], ring[2]]).first().weight
+    assert abs(diagonal / whole - 0.5) < 1e-4
+    for nowhere in ([(10.0, 10.0), (10.1, 10.0), (10.1, 10.1)], [(-117.0051, 33.02), (-117.0, 33.02), (-117.0, 33.03)]):
+        with pytest.raises(ValueError, match="meets no cell"):
+            grid.cell_weights(cells, nowhere)
+
+
+@pytest.mark.parametrize("lon,lat,zone", [(-117.25, 32.86, 11), (-119.9, 34.4, 11), (-79.387, 43.6426, 17), (5.999, 0.005, 31), (151.2, -33.86, 56)])
+def test_projected_areas_equal_the_ellipsoid_times_the_scale(lon, lat, zone):
+    import numpy as np
+
+    assert grid.utm_zone(lon) == zone
+    e2 = grid.FLATTENING * (2 - grid.FLATTENING)
+    phi = np.radians(lat + (np.arange(400) + 0.5) / 400 * 0.01 - 0.005)
+    on_ellipsoid = np.sum(grid.A_AXIS**2 * (1 - e2) * np.cos(phi) / (1 - e2 * np.sin(phi) ** 2) ** 2) * np.radians(0.01) / 400 * np.radians(0.01)
+    # the scale of the projection as Snyder (1987) gives it
+    f, x = np.radians(lat), np.radians(lon - (6 * zone - 183)) * np.cos(np.radians(lat))
+    c, t = e2 / (1 - e2) * np.cos(f) ** 2, np.tan(f) ** 2
+    k = grid.SCALE * (1 + (1 + c) * x**2 / 2 + (5 - 4 * t + 42 * c + 13 * c * c - 28 * e2 / (1 - e2)) * x**4 / 24)
+    box = grid.utm(lon + np.array([-1, 1, 1, -1]) * 0.005, lat + np.array([-1, -1, 1, 1]) * 0.005, zone)
+    assert abs(grid.clip_area(box, box) / (on_ellipsoid * k * k) - 1) < 1e-6
+    if zone == 17:
+        assert np.allclose(grid.utm(-79.387139, 43.642567, 17), [630084.0, 4833438.0], atol=2.0)
 
 
 def test_gates(spark):
