@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 from driftline.functions import calendar, naming
 from driftline.functions.stats import null_safe_join
 from driftline.operators.quality import SERIES
+from driftline.operators.watch import Watch, counted, counted_once
 from driftline.operators.windowed import cadence_of, reduce_windows
 from driftline.session import written
 
 QUARTER = [*SERIES, "year", "quarter"]
 
 
-def build_quarterly(obs: DataFrame, features: dict, floor: float, now: str, most: int = 2) -> DataFrame:
+def build_quarterly(obs: DataFrame, features: dict, floor: float, now: str, most: int = 2, watch: Watch | None = None) -> DataFrame:
     """One row for each series and UTC quarter that has any row, however its quality.
 
-    Parameters without a declared feature set are left out (see :func:`unbuilt`).
+    Parameters without a declared feature set are left out (see :func:`unbuilt`). ``watch`` counts
+    their rows, quarters with more rows than their cadence lets expect, and quarters without a kept row.
     """
     start = calendar.quarter_start(F.col("timestamp"))
+    obs = counted(watch, obs, "quarterly_env", rows_of_unbuilt_parameters=~F.col("parameter").isin(*features))
     rows = (
         obs.filter(F.col("parameter").isin(*features))
         .withColumn("year", F.year("timestamp")).withColumn("quarter", F.quarter("timestamp").cast("tinyint"))
@@ -28,6 +31,7 @@ def build_quarterly(obs: DataFrame, features: dict, floor: float, now: str, most
         .withColumn("w_start", start).withColumn("w_end", calendar.quarter_end(start))
     )
     out = reduce_windows(rows, QUARTER, features, floor, most=most)
+    out = counted_once(watch, out, "quarterly_env", quarters_clamped=F.col("clamped"), quarters_without_rows=F.col("n_obs") == 0)
     sets = F.lit(None).cast("string")
     for p, t in features.items():
         sets = F.when(F.col("parameter") == p, F.lit("thresholds" if t else "statistics")).otherwise(sets)
@@ -187,12 +191,22 @@ def deployment_rows(obs: DataFrame, deployments: DataFrame, most: int = 2) -> Da
     return obs.join(d, on).drop("__s", "__p", "__d", "__m").withColumn("keep", keep)
 
 
-def build_deployment(obs: DataFrame, deployments: DataFrame, features: dict, floor: float, now: str, most: int = 2) -> DataFrame:
-    """Features over each deployment's own closed window; a deployment without a kept row has none."""
+def build_deployment(obs: DataFrame, deployments: DataFrame, features: dict, floor: float, now: str, most: int = 2, watch: Watch | None = None) -> DataFrame:
+    """Features over each deployment's own closed window; a deployment without a kept row has none.
+
+    ``watch`` counts clamped deployments and those whose rows are none of them kept;
+    :func:`empty_deployments` names all that are not built.
+    """
     out = reduce_windows(deployment_rows(obs, deployments, most), DEPLOYMENT, features, floor, closed=True, most=most)
+    out = counted_once(watch, out, "deployment", deployments_clamped=F.col("clamped"), deployments_without_kept_rows=F.col("n_obs") == 0)
     return out.filter("n_obs > 0").withColumn("deployment_complete", calendar.is_complete(F.col("w_end"), now))
 
 
+def empty_deployments(deployments: DataFrame, built: DataFrame) -> DataFrame:
+    """Declared deployments of which the build has no row: nothing was observed in them, or nothing kept."""
+    return null_safe_join(deployments, built.select(*DEPLOYMENT), DEPLOYMENT, "left_anti")
+
+
 def build_sub_windows(obs: DataFrame, deployments: DataFrame, features: dict, floor: float, grain: str, most: int = 2) -> DataFrame:
     """Features of each observed UTC day or hour of a deployment, clipped to its window.
 

@@ -13,9 +13,10 @@ from driftline.operators import comparison as cmp
 from driftline.operators import features as feat
 from driftline.operators import quality, screen, selection, validation
 from driftline.operators.grid import area_mean
+from driftline.operators.watch import Watch
 from driftline.operators.windowed import cadence_of
 from driftline.plans import views as v
-from driftline.session import written
+from driftline.session import scratch, written
 from driftline.sources import zones
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -282,6 +283,19 @@ def quarterly_env(spark, sf_dir):
     return _quarterly(spark, sf_dir).select(*Q, *_SETS, *BOOK, *_FEATS)
 
 
+@query(f"""WITH {SQL_QUARTERLY}, w AS (
+  SELECT 'rows_of_unbuilt_parameters' AS warning, count(*) AS n_rows FROM obs WHERE parameter NOT IN ({', '.join(repr(p) for p in v.FEATURES)})
+  UNION ALL SELECT 'quarters_clamped', count(*) FILTER (WHERE clamped) FROM {_SQL_SETS} UNION ALL SELECT 'quarters_without_rows', count(*) FILTER (WHERE n_obs = 0) FROM {_SQL_SETS})
+SELECT 'quarterly_env' AS stage, warning, n_rows, 'run-1' AS run_id FROM w WHERE n_rows > 0""")
+def run_warnings(spark, sf_dir):
+    """What a quarterly build left out or bent, counted while it was stored."""
+    root, seen = scratch(spark, "zone"), Watch()
+    built = feat.build_quarterly(_evaluated(spark, sf_dir), v.FEATURES, v.FLOOR, v.NOW, watch=seen)
+    zones.replace_features(built, root, "quarterly_env", feat.QUARTER)
+    zones.append_audit(seen.warnings(spark), root, "run_warnings", "run-1")
+    return spark.read.schema("stage string, warning string, n_rows bigint, run_id string").parquet(f"{root}/run_warnings")
+
+
 @query(f"""WITH {SQL_QUARTERLY} SELECT source, site_id, parameter, depth_m, feature_set, sum(n_obs)::BIGINT AS n_rows, count(*) AS n_quarters, count(*) FILTER (WHERE usable) AS n_usable,
 min(year || 'Q' || quarter) AS first_quarter, max(year || 'Q' || quarter) AS last_quarter FROM {_SQL_SETS} GROUP BY ALL""")
 def quarterly_report(spark, sf_dir):

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, fields, verdicts
+from driftline.operators.watch import Watch, counted
 from driftline.sources import headed
 
 #: Buoy columns and their parameter, unit, sentinel in archive files, and column order of time.
@@ -131,14 +132,15 @@ def grid(spark: SparkSession, path: str, fill: float = -7.768) -> DataFrame:
 CANOPY_COLUMNS = ["year", "quarter", "kelp_area_m2", "count_cells_kelp", "count_cells_no_clouds", "count_cells_historic_footprint"]
 
 
-def canopy(spark: SparkSession, path: str, polygons: DataFrame) -> DataFrame:
+def canopy(spark: SparkSession, path: str, polygons: DataFrame, watch: Watch | None = None) -> DataFrame:
     """Quarterly response files: derived ``max`` rows go, an unobserved quarter has no area, another quarter is refused.
 
-    ``polygons`` has file and polygon_id; a file that none names gives no rows.
+    ``polygons`` has file and polygon_id; a file that none names gives no rows. ``watch`` counts the derived rows.
     """
     q = F.col("quarter")
     unknown = ~F.coalesce(q.isin("1", "2", "3", "4", "max"), F.lit(False))
-    raw = headed.read(spark, path, "names", CANOPY_COLUMNS, first=CANOPY_COLUMNS).withColumn("quarter", fields.refused(unknown, "an unknown quarter", q, "string")).filter("quarter <> 'max'")
+    raw = headed.read(spark, path, "names", CANOPY_COLUMNS, first=CANOPY_COLUMNS).withColumn("quarter", fields.refused(unknown, "an unknown quarter", q, "string"))
+    raw = counted(watch, raw, "canopy", derived_rows_dropped=q == "max").filter("quarter <> 'max'")
     cells = F.col("count_cells_no_clouds").try_cast("int")
     rows = raw.select(
         "file", F.col("year").try_cast("int").alias("year"), F.col("quarter").try_cast("tinyint").alias("quarter"),
@@ -220,14 +222,20 @@ def logger_rows(sheets: DataFrame, series_columns: list[str]) -> DataFrame:
     )
 
 
-def logger_observations(rows: DataFrame, mapping: DataFrame, deployments: DataFrame, target: str = "degC", run: str = "run-0") -> DataFrame:
+def logger_observations(rows: DataFrame, mapping: DataFrame, deployments: DataFrame, target: str = "degC", run: str = "run-0", vocabulary: list[str] | None = None, watch: Watch | None = None) -> DataFrame:
     """Logger rows as observations: unit, parameter, one UTC offset for each file, and the window's verdict.
 
     ``mapping`` has series and parameter, ``deployments`` file, site_id, depth_m, zone, w_start and
-    w_end (UTC). A reading outside the closed window is flagged 4, an absent one 9.
+    w_end (UTC). A reading outside the closed window is flagged 4, an absent one 9. Rows of a
+    series that is not mapped are left out, and ``watch`` counts them; a mapping to a
+    parameter outside ``vocabulary`` is refused.
     """
+    if vocabulary is not None:
+        unknown = ~F.coalesce(F.col("parameter").isin(*vocabulary), F.lit(False))
+        mapping = mapping.withColumn("parameter", fields.refused(unknown, "a series mapped to an unknown parameter", F.col("parameter"), "string"))
     first = F.min("timestamp_local").over(W.partitionBy("file"))
-    r = rows.withColumn("first_local", first).join(mapping, "series").join(deployments, "file")
+    r = rows.withColumn("first_local", first).join(mapping, "series", "left")
+    r = counted(watch, r, "logger", rows_of_unmapped_series=F.col("parameter").isNull()).filter("parameter is not null").join(deployments, "file")
     r = r.withColumn("timestamp", calendar.to_utc_at_first(F.col("timestamp_local"), F.col("first_local"), F.col("zone")).cast("timestamp_ntz"))
     r = r.withColumn("value", fields.convert(F.col("value"), F.col("unit"), target))
     inside = F.col("timestamp").between(F.col("w_start"), F.col("w_end"))

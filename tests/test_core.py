@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from driftline.functions import calendar, fields, naming, stats, verdicts
 from driftline.operators import checks, features, grid, quality, screen, selection, slices, validation
+from driftline.operators.watch import Watch
 from driftline.operators.windowed import reduce_windows
 from driftline.sources import headed, snapshots, text, zones
 
@@ -553,6 +554,21 @@ def test_what_the_audit_excludes_is_not_screened(spark):
     assert got == [("A", True, "mean_anom"), ("B", False, "max_anom"), ("B", True, "max_anom"), ("B", True, "mean_anom")]
 
 
+def test_builds_count_what_they_leave_out_in_their_own_pass(spark, tmp_path):
+    seen = Watch()
+    df = obs(spark, [15.0, 16.0, None]).unionByName(obs(spark, [1.0] * 4).withColumn("parameter", F.lit("other"))).unionByName(obs(spark, [None], site="B"))
+    zones.replace_features(features.build_quarterly(df, {"temp": {}}, 0.1, "2030-01-01", watch=seen), str(tmp_path), "quarterly_env", ["site_id"])
+    assert {(r.warning, r.n_rows) for r in seen.warnings(spark).collect()} == {("rows_of_unbuilt_parameters", 4), ("quarters_without_rows", 1)}
+    seen = Watch()
+    sheet = spark.createDataFrame([("f", i, T0, s, "degC", 1.0) for i, s in enumerate("aab")], "file string, row_number long, timestamp_local timestamp_ntz, series string, unit string, value double")
+    deployed = spark.createDataFrame([("f", "A", 1.0, "UTC", T0, T0)], "file string, site_id string, depth_m double, zone string, w_start timestamp_ntz, w_end timestamp_ntz")
+    mapping = spark.createDataFrame([("a", "temp")], "series string, parameter string")
+    assert text.logger_observations(sheet, mapping, deployed, vocabulary=["temp"], watch=seen).collect()[1].parameter == "temp"
+    assert [tuple(r) for r in seen.warnings(spark).collect()] == [("logger", "rows_of_unmapped_series", 1)]
+    with pytest.raises(Exception, match="unknown parameter"):
+        text.logger_observations(sheet, mapping, deployed, vocabulary=["salt"]).collect()
+
+
 def test_source_scoped_replacement(spark, tmp_path):
     root = str(tmp_path)
     a = spark.createDataFrame([("s", 1.0), ("t", 2.0)], "source string, mean double")
