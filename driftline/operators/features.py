@@ -131,7 +131,8 @@ def quarterly_report(quarterly: DataFrame) -> DataFrame:
 
 
 def union_builds(builds: list[DataFrame]) -> DataFrame:
-    """The builds of several sources as one table; empty ones are ignored while another is not."""
+    """The builds of several sources as one table; empty ones are ignored while another is not. Each is built once."""
+    builds = [written(b, "build") for b in builds]
     full = [b for b in builds if not b.isEmpty()] or builds[:1]
     out = full[0]
     for b in full[1:]:

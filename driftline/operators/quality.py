@@ -108,6 +108,30 @@ def series_report(obs: DataFrame) -> DataFrame:
     )
 
 
+def evaluation_report(obs: DataFrame, parameters: dict) -> DataFrame:
+    """:func:`series_report` of the series of known parameters, with the tests that ran and notes on those that could not.
+
+    A test runs where its thresholds are declared, the source is not excepted from it, and
+    the series has rows enough: three for spikes, two for rates. What is declared and
+    cannot run is noted; an exception is not, as it is a decision.
+    """
+    known = series_report(obs.filter(F.col("parameter").isin(*parameters)))
+    n, declared = F.col("n_rows"), {t: ~_suppressed(parameters, t) for t in ("gross_range", "spike", "rate_of_change")}
+    range_, spike = (_limit(parameters, f) for f in (lambda p: p.get("valid_range", (None,))[0], lambda p: p.get("spike", (None,))[0]))
+    rated = F.col("parameter").isin([name for name, p in parameters.items() if p.get("rate_per_hour")])
+    rate = _limit(parameters, lambda p: p.get("rate_per_hour", (None,))[0])
+    tests = F.array(
+        F.when(declared["gross_range"] & range_.isNotNull(), "gross_range"), F.when(declared["spike"] & spike.isNotNull() & (n >= 3), "spike"),
+        F.when(declared["rate_of_change"] & rate.isNotNull() & (n >= 2), "rate_of_change"),
+    )
+    notes = F.array(
+        F.when(declared["gross_range"] & range_.isNull(), "gross_range not run: no valid_range"), F.when(declared["spike"] & spike.isNotNull() & (n < 3), "spike not run: fewer than three rows"),
+        F.when(declared["rate_of_change"] & rated & rate.isNull(), "rate_of_change not run: no suspect rate"),
+        F.when(declared["rate_of_change"] & rate.isNotNull() & (n < 2), "rate_of_change not run: fewer than two rows"),
+    )
+    return known.withColumns({"tests": F.array_join(F.array_compact(tests), ","), "notes": F.array_join(F.array_compact(notes), "; ")})
+
+
 def unreachable_rates(obs: DataFrame, parameters: dict) -> DataFrame:
     """Series whose whole valid range over their shortest interval stays below the suspect rate."""
     s = W.partitionBy(*SERIES).orderBy("timestamp")

@@ -208,6 +208,16 @@ def series_report(spark, sf_dir):
     return quality.series_report(_evaluated(spark, sf_dir))
 
 
+@query(f"""WITH {SQL_QC}, p AS (SELECT source, site_id, parameter, depth_m, count(*) AS n_rows, count(*) FILTER (WHERE qc_flag = 4) AS flag_4 FROM qc WHERE parameter IN ({', '.join(repr(p) for p in v.PARAMETERS)}) GROUP BY ALL)
+SELECT source, site_id, parameter, depth_m, n_rows, flag_4,
+  concat_ws(',', 'gross_range', CASE WHEN parameter IN ('click', 'view', 'purchase') AND NOT (parameter = 'view' AND source = 'src1') AND NOT (parameter = 'purchase' AND source = 'src9') AND n_rows >= 3 THEN 'spike' END,
+    CASE WHEN parameter IN ('click', 'view') AND n_rows >= 2 THEN 'rate_of_change' END) AS tests,
+  concat_ws('; ', CASE WHEN parameter IN ('click', 'view', 'purchase') AND NOT (parameter = 'view' AND source = 'src1') AND n_rows < 3 THEN 'spike not run: fewer than three rows' END,
+    CASE WHEN parameter IN ('click', 'view') AND n_rows < 2 THEN 'rate_of_change not run: fewer than two rows' END) AS notes FROM p""")
+def evaluation_report(spark, sf_dir):
+    return quality.evaluation_report(_evaluated(spark, sf_dir), v.PARAMETERS).select(*quality.SERIES, "n_rows", "flag_4", "tests", "notes")
+
+
 # the range of "error" is narrowed here, so that no step of it reaches the declared rate
 _NARROW = {**v.PARAMETERS, "error": {"valid_range": (0.0, 0.001), "rate_per_hour": (1000.0, 2000.0)}}
 
@@ -304,8 +314,10 @@ def quarterly_report(spark, sf_dir):
 
 @query(f"WITH {SQL_QUARTERLY} SELECT source, count(*) AS n_quarters, sum(n_obs)::BIGINT AS n_rows FROM red GROUP BY 1")
 def union_of_builds(spark, sf_dir):
-    obs = _evaluated(spark, sf_dir)
-    builds = [feat.build_quarterly(obs.filter(F.col("source") == s), v.FEATURES, v.FLOOR, v.NOW) for s in ("src0", "src1", "src2")]
+    """Of every source that occurs, and of one that does not."""
+    obs = written(_evaluated(spark, sf_dir), "evaluated")
+    sources = sorted(r.source for r in obs.select("source").distinct().collect())
+    builds = [feat.build_quarterly(obs.filter(F.col("source") == s), v.FEATURES, v.FLOOR, v.NOW) for s in (*sources, "none")]
     return feat.union_builds(builds).groupBy("source").agg(F.count("*").alias("n_quarters"), F.sum("n_obs").alias("n_rows"))
 
 

@@ -569,6 +569,17 @@ def test_builds_count_what_they_leave_out_in_their_own_pass(spark, tmp_path):
         text.logger_observations(sheet, mapping, deployed, vocabulary=["salt"]).collect()
 
 
+def test_the_report_names_the_tests_that_ran(spark):
+    declared = {"temp": {"spike": (1.5, 3.0), "rate_per_hour": (None, 36.0), "by_source": {"x": ("spike", "gross_range")}}, "salt": PARAMETERS["temp"]}
+    df = obs(spark, [1.0] * 3).unionByName(obs(spark, [1.0] * 2, source="x")).unionByName(obs(spark, [1.0], site="B").withColumn("parameter", F.lit("salt"))).unionByName(
+        obs(spark, [1.0], site="C").withColumn("parameter", F.lit("unknown")))
+    got = {(r.source, r.site_id): (r.tests, r.notes) for r in quality.evaluation_report(df, declared).collect()}
+    assert got == {
+        ("s", "A"): ("spike", "gross_range not run: no valid_range; rate_of_change not run: no suspect rate"), ("x", "A"): ("", "rate_of_change not run: no suspect rate"),
+        ("s", "B"): ("gross_range", "spike not run: fewer than three rows; rate_of_change not run: fewer than two rows"),
+    }
+
+
 def test_source_scoped_replacement(spark, tmp_path):
     root = str(tmp_path)
     a = spark.createDataFrame([("s", 1.0), ("t", 2.0)], "source string, mean double")
