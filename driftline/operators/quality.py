@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from driftline.functions import calendar, verdicts
@@ -133,12 +132,15 @@ def evaluation_report(obs: DataFrame, parameters: dict) -> DataFrame:
 
 
 def unreachable_rates(obs: DataFrame, parameters: dict) -> DataFrame:
-    """Series whose whole valid range over their shortest interval stays below the suspect rate."""
-    s = W.partitionBy(*SERIES).orderBy("timestamp")
-    dt = calendar.seconds(F.col("timestamp"), F.lag("timestamp").over(s))
+    """Series whose whole valid range over their shortest interval stays below the suspect rate.
+
+    Intervals come from slices of a series and their edges, so no task holds a whole series.
+    """
+    dt = calendar.seconds(F.col("timestamp"), F.col("__before")["timestamp"])
     span = _limit(parameters, lambda p: p["valid_range"][1] - p["valid_range"][0] if "valid_range" in p else None)
     rate = _limit(parameters, lambda p: p.get("rate_per_hour", (None,))[0])
-    least = obs.withColumn("dt", dt).groupBy(*SERIES).agg(F.min(F.when(F.col("dt") > 0, F.col("dt"))).alias("least_s"))
+    near = with_neighbours(obs.select(*SERIES, "timestamp"), SERIES, ["timestamp"], [])
+    least = near.withColumn("dt", dt).groupBy(*SERIES).agg(F.min(F.when(F.col("dt") > 0, F.col("dt"))).alias("least_s"))
     return least.withColumn("most_per_hour", span / F.col("least_s") * 3600).filter(F.col("most_per_hour") < rate)
 
 

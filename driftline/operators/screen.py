@@ -425,8 +425,13 @@ def overlap_change(gated: DataFrame, column: str) -> DataFrame:
 
 
 def quarter_matrix(quarterly: DataFrame, column: str, series: list[str]) -> DataFrame:
-    """Quarters (rows) by series (columns) of one figure; two values of a series in one quarter are refused."""
-    rows = quarterly.filter(F.col(column).isNotNull()).select("year", "quarter", series_name().alias("series"), F.col(column).alias("v"))
+    """Quarters (rows) by series (columns) of one figure.
+
+    Two values of a series in one quarter are refused, and so is a value of a series that is not listed.
+    """
+    name = series_name()
+    name = refused(~name.isin(*series), "a series that is no column of the matrix", name, "string")
+    rows = quarterly.filter(F.col(column).isNotNull()).select("year", "quarter", name.alias("series"), F.col(column).alias("v"))
     repeated = F.raise_error(F.lit("refused: a series with two values in a quarter")).cast("double")
     return rows.groupBy("year", "quarter").pivot("series", series).agg(F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.max("v")))
 

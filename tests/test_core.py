@@ -647,3 +647,15 @@ def test_lag_feature_matrix_keeps_series_apart(spark):
     assert got == {"S0": (0.1, 0.2, None), "S1": (0.3, None, None)}
     with pytest.raises(Exception, match="two cells"):
         screen.lag_feature_matrix(spark.createDataFrame(rows + rows[:1], schema)).collect()
+
+
+def test_a_series_that_is_no_column_of_the_matrix_is_refused(spark):
+    rows = spark.createDataFrame([(2000, 1, "N", "S0", "O", None, 1.5), (2000, 1, "N", "S1", "O", 2.0, None)], "year int, quarter tinyint, source string, site_id string, parameter string, depth_m double, mean double")
+    assert [tuple(r) for r in screen.quarter_matrix(rows, "mean", ["N|S0|O|-", "N|S9|O|-"]).collect()] == [(2000, 1, 1.5, None)]
+    with pytest.raises(Exception, match="no column of the matrix"):
+        screen.quarter_matrix(rows, "mean", ["N|S9|O|-"]).collect()
+
+
+def test_rates_that_no_step_can_reach(spark):
+    far = quality.unreachable_rates(obs(spark, [15.0, 15.0, 15.0], minutes=60 * 24 * 20, site="slow").unionByName(obs(spark, [15.0, 15.0], site="fast")).unionByName(obs(spark, [15.0], site="one")), PARAMETERS)
+    assert [(r.site_id, r.least_s) for r in far.collect()] == [("slow", 20 * 86400.0)]
