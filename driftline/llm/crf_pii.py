@@ -382,9 +382,23 @@ MAX_LABELLED = 20_000
 
 
 def _rows_of(labelled: DataFrame) -> list[tuple[list[str], list[int]]]:
-    """Sentences of a labelled table: tokens and labels, arrays of strings; unknown labels are refused."""
+    """Sentences of a labelled table: tokens and labels, arrays of strings.
+
+    Rows in which either is null are left out. A row with more tokens than labels or fewer, a
+    null token, or a label that is null or unknown is refused. Of more than MAX_LABELLED
+    rows those with the smallest hashes are taken, the same in every run. Tokens without a
+    digit or an ``@`` are outside whatever their label.
+    """
     number = {k: i for i, k in enumerate(LABELS)}
-    rows = labelled.select("tokens", "labels").filter("tokens is not null and labels is not null").limit(MAX_LABELLED).collect()
+    some = labelled.select("tokens", "labels").filter("tokens is not null and labels is not null")
+    rows = some.orderBy(F.xxhash64("tokens", "labels"), F.to_json("tokens"), F.to_json("labels")).limit(MAX_LABELLED).collect()
+    for r in rows:
+        if len(r["tokens"]) != len(r["labels"]):
+            raise ValueError(f"a labelled row has {len(r['tokens'])} tokens and {len(r['labels'])} labels")
+        if any(x is None for x in r["tokens"]):
+            raise ValueError("a labelled row holds a null token")
+        if unknown := sorted({str(x) for x in r["labels"]} - set(LABELS)):
+            raise ValueError(f"labels other than {', '.join(LABELS)}: {', '.join(unknown)}")
     return [(r["tokens"], [number[x] for x in r["labels"]]) for r in rows]
 
 
@@ -410,7 +424,7 @@ def find_pii(
     """doc_id and spans (kind, start, end, base) of every row, over whole texts.
 
     Base spans follow fixed patterns and checks; the chain, trained from the small
-    ``labelled`` table (tokens, labels; MAX_LABELLED rows at most) or, without one, from
+    ``labelled`` table (tokens, labels; MAX_LABELLED rows at most, malformed ones are refused) or, without one, from
     that of this module, adds addresses, numbers and secrets that the patterns do not
     cover and that overlap no base span. Tokens without a digit or
     an ``@`` are outside by definition, so the Viterbi search runs over the other

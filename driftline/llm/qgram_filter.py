@@ -9,17 +9,22 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from .common import id_and_text, stored
+from .common import discard, id_and_text, stored
 from .textarrays import FOLD, batches
 
 Q = 8
 ERROR_RATIO = 0.06
-#: Items that one broadcast block holds; a larger benchmark is searched block by block.
-BLOCK_ITEMS = 20_000
+#: Bytes of different folded items in one broadcast block; a larger benchmark is searched block by block.
+BLOCK_BYTES = 4 << 20
+#: Slices for each block in which the items are dealt by a hash; a block is made of whole slices.
+SLICES = 16
 #: Places of one q-gram in a block of items beyond which items do without it where they can.
 COMMON = 64
 _BATCH_BYTES = 1 << 20
+#: Places of q-grams that a search lays out at once.
+_LAID_OUT = 1 << 22
 _BITS = 20
 _SCATTER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -45,9 +50,8 @@ def grams(data: bytes, q: int = Q) -> np.ndarray:
 
 @dataclass
 class Index:
-    """A block of benchmark items, ready for the search."""
+    """A block of different folded benchmark items, ready for the search."""
 
-    ids: list[int]
     items: list[bytes]
     budget: np.ndarray  # edits that are allowed
     least: np.ndarray  # shared q-grams that the lemma asks for
@@ -59,7 +63,7 @@ class Index:
     window: int  # length of the density window
     dense: int  # q-grams that some window of a match holds
     longest: int
-    short: list[int]  # items too short for q-grams, found as exact strings
+    short: list[int]  # items too short for q-grams, found as whole words
 
 
 def budget_of(length: int, ratio: float, q: int = Q) -> int:
@@ -67,9 +71,8 @@ def budget_of(length: int, ratio: float, q: int = Q) -> int:
     return max(0, min(int(ratio * length), (length - q) // q))
 
 
-def build_index(items: list[tuple[int, str]], ratio: float = ERROR_RATIO, q: int = Q) -> Index:
-    kept = [(i, f) for i, t in items if t is not None and i is not None and (f := fold(t))]
-    ids, texts = [i for i, _ in kept], [f for _, f in kept]
+def build_index(texts: list[bytes], ratio: float = ERROR_RATIO, q: int = Q) -> Index:
+    """The index of ``texts``, which are folded, not empty and all different."""
     m = np.array([len(t) for t in texts], np.int64)
     k = np.array([budget_of(int(x), ratio, q) for x in m], np.int64)
     least = m - q + 1 - q * k
@@ -92,7 +95,7 @@ def build_index(items: list[tuple[int, str]], ratio: float = ERROR_RATIO, q: int
     window = int((m + k)[long].min()) if long.any() else 1
     span = -(-(m + k)[long] // window)
     return Index(
-        ids, texts, k, least, gram, np.append(first, len(every)), item_of[order], place[order], present, window,
+        texts, k, least, gram, np.append(first, len(every)), item_of[order], place[order], present, window,
         int(max(1, (-(-least[long] // span)).min())) if long.any() else 1,
         int((m + k).max()) if len(m) else 0,
         np.flatnonzero(~long).tolist(),
@@ -138,8 +141,9 @@ def search(ix: Index, texts: list[bytes], q: int = Q) -> Iterator[tuple[int, int
     starts = np.concatenate(([0], np.cumsum(sizes + q)[:-1]))
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for i in ix.short:
+        word = b" " + ix.items[i] + b" "
         for d, t in enumerate(texts):
-            if (at := t.find(ix.items[i])) >= 0:
+            if ix.items[i] in t and (at := (b" " + t + b" ").find(word)) >= 0:
                 best[d, i] = (0, at, at + len(ix.items[i]))
     if len(ix.gram):
         g = grams(joined, q)
@@ -156,17 +160,8 @@ def search(ix: Index, texts: list[bytes], q: int = Q) -> Iterator[tuple[int, int
             row[row == len(ix.gram)] = 0
             real = ix.gram[row] == g[pos]
             pos, row = pos[real], row[real]
-            many = ix.first[row + 1] - ix.first[row]
-            at = np.repeat(ix.first[row] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
-            item, shift = ix.item_of[at], ix.place[at]
-            pos = np.repeat(pos, many)
-            doc = np.searchsorted(starts, pos, side="right") - 1
-            diagonal = pos - starts[doc] - shift + ix.longest  # never negative
-            width = ix.budget[item] + 1
-            band = diagonal // width
-            bands = int(band.max(initial=0)) + 2
-            code = (doc * len(ix.items) + item) * bands + band
-            codes, counts = np.unique(code, return_counts=True)
+            bands = int((sizes.max(initial=0) + 2 * ix.longest) // (int(ix.budget.min()) + 1)) + 2
+            codes, counts = _band_counts(ix, pos, row, starts, bands)
             # a band and the next together, which half-overlap with those about them
             following = np.searchsorted(codes, codes + 1)
             has = (following < len(codes)) & (codes[np.minimum(following, len(codes) - 1)] == codes + 1)
@@ -189,10 +184,36 @@ def search(ix: Index, texts: list[bytes], q: int = Q) -> Iterator[tuple[int, int
         yield d, i, edits, a, b
 
 
+def _band_counts(ix: Index, pos: np.ndarray, row: np.ndarray, starts: np.ndarray, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of (text, item, band), sorted, and the shared q-grams of each, from positions and their rows in the index.
+
+    A position stands for every place of its q-gram in the items; these are laid out a
+    bounded number at a time and added up.
+    """
+    many = ix.first[row + 1] - ix.first[row]
+    upto = np.cumsum(many)
+    cuts = np.searchsorted(upto, np.arange(0, int(many.sum()) + _LAID_OUT, _LAID_OUT), side="right")
+    codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if a == b:
+            continue
+        n = many[a:b]
+        at = np.repeat(ix.first[row[a:b]] - (upto[a:b] - n - (upto[a] - n[0])), n) + np.arange(n.sum())
+        item, shift = ix.item_of[at], ix.place[at]
+        here = np.repeat(pos[a:b], n)
+        doc = np.searchsorted(starts, here, side="right") - 1
+        diagonal = here - starts[doc] - shift + ix.longest  # never negative
+        more, times = np.unique((doc * len(ix.items) + item) * bands + diagonal // (ix.budget[item] + 1), return_counts=True)
+        both = np.concatenate((codes, more))
+        codes, inverse = np.unique(both, return_inverse=True)
+        counts = np.bincount(inverse, np.concatenate((counts, times)), len(codes)).astype(np.int64)
+    return codes, counts
+
+
 class Block:
-    """Some items of the benchmark; each worker builds its own index of them, once."""
+    """Some different items of the benchmark, folded; each worker builds its own index of them, once."""
 
-    def __init__(self, items: list[tuple[int, str]], ratio: float, q: int) -> None:
+    def __init__(self, items: list[bytes], ratio: float, q: int) -> None:
         self.items, self.ratio, self.q = items, ratio, q
         self._index: Index | None = None
 
@@ -206,30 +227,71 @@ class Block:
         return self._index
 
     def found(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
-        """(text, item's id, edits, start, end) of every match."""
+        """(text, item's place in the block, edits, start, end) of every match."""
         folded = [fold(t) for t in texts]
         for part in batches(folded, _BATCH_BYTES):
-            for d, i, *rest in search(self.index, folded[part], self.q):
-                yield part.start + d, self.index.ids[i], *rest
+            for d, *rest in search(self.index, folded[part], self.q):
+                yield part.start + d, *rest
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, ratio: float, q: int, block_items: int) -> Iterator:
-    """Broadcast blocks of the items, about ``block_items`` in each; the driver holds the raw texts of one at a time."""
-    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), F.col(f"`{text_col}`").alias("text"))
-    items = items.filter("item_id is not null and text is not null")
-    blocks = max(1, -(-items.count() // block_items))
-    for part in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == part) if blocks > 1 else items
-        block = Block([(r["item_id"], r["text"]) for r in rows.toLocalIterator()], ratio, q)
-        yield benchmark.sparkSession.sparkContext.broadcast(block), part == blocks - 1
+@F.pandas_udf(BinaryType())
+def _folded(texts: pd.Series) -> pd.Series:
+    return texts.map(fold, na_action="ignore")
 
 
-def _search_block(block):
+class Items:
+    """The benchmark, read and folded once and kept in the shared folder.
+
+    ``named`` has item_id and key (128 bits of the folded text) of every item, ``texts`` key,
+    folded and slice of every different folded text. ``blocks`` gives runs of slices that hold
+    about ``block_bytes`` each; a text longer than that is a block by itself at most with
+    the others of its slice.
+    """
+
+    def __init__(self, benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> None:
+        items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("item_id"), _folded(F.col(f"`{text_col}`").cast("string")).alias("folded"))
+        items = items.filter("item_id is not null and length(folded) > 0").withColumn("key", F.md5("folded"))
+        self.all = stored(items, "items")
+        self.named = self.all.select("key", "item_id")
+        texts = self.all.select("key", "folded").dropDuplicates(["key"])
+        size = self.all.agg(F.sum(F.length("folded"))).first()[0] or 0
+        slices = SLICES * -(-size // block_bytes) if size > block_bytes else 1
+        texts = texts.withColumn("slice", F.pmod(F.xxhash64("key"), F.lit(slices)).cast("int"))
+        if slices > 1:  # a block's read then skips the files of the other slices
+            texts = stored(texts.repartitionByRange("slice").sortWithinPartitions("slice"), "item_texts")
+        self.texts, self.slices, self.block_bytes = texts, slices, block_bytes
+
+    def discard(self) -> None:
+        """Delete what is kept, once no plan reads it."""
+        discard(self.all, *([self.texts] if self.slices > 1 else []))
+
+    def blocks(self) -> list[tuple[int, int]]:
+        """First and last slice of each block; sums of bytes by slice come to the driver, SLICES for a block's bytes."""
+        if self.slices == 1:
+            return [(0, 0)]
+        size = {r["slice"]: r["n"] for r in self.texts.groupBy("slice").agg(F.sum(F.length("folded")).alias("n")).collect()}
+        out, held = [], 0
+        for i in range(self.slices):
+            n = size.get(i, 0)
+            if not out or held + n > self.block_bytes and held:
+                out, held = [*out, (i, i)], 0
+            out[-1], held = (out[-1][0], i), held + n
+        return out
+
+    def broadcast(self, ratio: float, q: int) -> Iterator:
+        """(broadcast block, its keys, whether it is the last); the driver holds the texts of one block at a time."""
+        spark, blocks = self.all.sparkSession, self.blocks()
+        for k, (a, b) in enumerate(blocks):
+            rows = sorted((bytes(r["folded"]), r["key"]) for r in self.texts.filter(F.col("slice").between(a, b)).toLocalIterator())
+            yield spark.sparkContext.broadcast(Block([t for t, _ in rows], ratio, q)), [key for _, key in rows], k == len(blocks) - 1
+
+
+def _search_block(block, keys):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ids = frame["doc_id"].tolist()
-            rows = [(ids[d], *rest) for d, *rest in block.value.found(frame["text"].tolist())]
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "start", "end"]).astype({"doc_id": "Int64"})
+            rows = [(ids[d], keys.value[i], *rest) for d, i, *rest in block.value.found(frame["text"].tolist())]
+            yield pd.DataFrame(rows, columns=["doc_id", "key", "edits", "start", "end"]).astype({"doc_id": "Int64"})
 
     return run
 
@@ -255,34 +317,39 @@ def contaminated(
     item_text_col: str = "text",
     error_ratio: float = ERROR_RATIO,
     q: int = Q,
-    block_items: int = BLOCK_ITEMS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """doc_id, item_id, edits, start, end: every benchmark item that occurs in a document.
 
     An item occurs if some part of the folded text is within
     ``floor(error_ratio * length)`` edits of the folded item (fewer where the q-gram
-    lemma would ask for no shared q-gram; none for items shorter than q). The row has
-    the fewest edits and where that part lies in the folded text, in bytes.
-
-    The benchmark is read in blocks of about ``block_items`` items, dealt by a hash.
-    A block's raw texts are broadcast, so what is broadcast is bounded whatever the
-    benchmark's size, and each worker builds the index. Every document meets every
+    lemma would ask for no shared q-gram). An item shorter than q occurs where its words
+    stand as whole words. The row has the fewest edits and where that part lies in the folded text, in bytes.
+
+    The benchmark is read once. Items that fold to one text are searched as one and named by a
+    join at the end. The different texts are dealt by a hash and searched in blocks of about
+    ``block_bytes``; a block's folded texts are broadcast, so what is broadcast is bounded
+    whatever the benchmark's size and however often items repeat, and each worker builds
+    the index. Every document meets every
     block, one pass for each. A q-gram that a block holds very often is left out
-    for the items that can do without it.
+    for the items that can do without it, the others are laid out a bounded number at a time.
     Nulls: null or empty texts on either side match nothing, an item
     without an id is left out, a document without one is searched and reported with a
-    null id. Items that repeat an id are each searched, rows that repeat are reported each. A
+    null id. Items that repeat an id are each reported, rows that repeat are reported each. A
     long text is searched whole. Empty tables give no rows. Only the named columns are read.
     """
     base = id_and_text(docs, id_col, text_col)
+    items = Items(benchmark, item_id_col, item_text_col, block_bytes)
     found = None
-    for block, last in _blocks(benchmark, item_id_col, item_text_col, error_ratio, q, block_items):
-        one = base.mapInPandas(_search_block(block), "doc_id long, item_id long, edits long, start long, end long")
+    for block, keys, last in items.broadcast(error_ratio, q):
+        named = docs.sparkSession.sparkContext.broadcast(keys)
+        one = base.mapInPandas(_search_block(block, named), "doc_id long, key string, edits long, start long, end long")
         if not last:
             one = stored(one, "leaks")
             block.unpersist()
+            named.unpersist()
         found = one if found is None else found.unionByName(one)
-    return found
+    return found.join(items.named, "key").select("doc_id", "item_id", "edits", "start", "end")
 
 
 def without_contaminated(
@@ -293,7 +360,7 @@ def without_contaminated(
     item_text_col: str = "text",
     error_ratio: float = ERROR_RATIO,
     q: int = Q,
-    block_items: int = BLOCK_ITEMS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item occurs, with all their columns.
 
@@ -301,9 +368,11 @@ def without_contaminated(
     that repeat one are judged each. Null and empty texts stay. Empty tables: no rows,
     or all of them.
     """
-    for block, last in _blocks(benchmark, item_id_col, item_text_col, error_ratio, q, block_items):
+    items = Items(benchmark, item_id_col, item_text_col, block_bytes)
+    for block, _, last in items.broadcast(error_ratio, q):
         docs = docs.filter(~_holds(block, F.col(f"`{text_col}`")))
         if not last:
             docs = stored(docs, "clean")
             block.unpersist()
+    items.discard()
     return docs

@@ -295,6 +295,17 @@ def test_a_labelled_table_can_be_given(spark):
     docs = frame(spark, ["call (743) 555-3824 now", None])
     got = {r.doc_id: r for r in crf_pii.digest(crf_pii.find_pii(docs, labelled=labelled)).collect()}
     assert (got[0].n_added_phone, got[0].has_pii, got[1].has_pii) == (1, True, False)
+    same = spark.createDataFrame(rows[::-1] + [(None, ["O"]), (["x"], None)], labelled.schema)
+    assert crf_pii._rows_of(same) == crf_pii._rows_of(labelled)
+
+
+@pytest.mark.parametrize("tokens, labels, why", [
+    (["a", "1"], ["O"], "2 tokens and 1 labels"), (["a"], ["O", "O"], "1 tokens and 2 labels"), ([None], ["O"], "null token"), (["1"], ["name"], "name"), (["1"], [None], "None"),
+])
+def test_a_malformed_labelled_row_is_refused(spark, tokens, labels, why):
+    labelled = spark.createDataFrame([(["x"], ["O"]), (tokens, labels)], "tokens array<string>, labels array<string>")
+    with pytest.raises(ValueError, match=why):
+        crf_pii.find_pii(frame(spark, ["x"]), labelled=labelled)
 
 
 def test_neighbouring_numbers_are_told_apart():
@@ -481,7 +492,7 @@ def test_leaks_equal_full_alignment(spark, monkeypatch):
         texts.append(word(60) + damaged(items[i][1], i % 9) + word(60))
         texts.append(items[i][1].upper().replace(" ", ",  ") if i % 2 else damaged(items[i][1], 2) + damaged(items[i - 1][1], 1))
     got = qgram_filter.contaminated(
-        frame(spark, texts).withColumn("item_id", F.lit(1)), spark.createDataFrame(items, "item_id long, text string"), block_items=7
+        frame(spark, texts).withColumn("item_id", F.lit(1)), spark.createDataFrame(items, "item_id long, text string"), block_bytes=600
     ).collect()
     want = set()
     for d, t in enumerate(texts):
@@ -495,13 +506,33 @@ def test_leaks_equal_full_alignment(spark, monkeypatch):
         assert brute_edits(qgram_filter.fold(dict(items)[x.item_id]), part) == x.edits
     for common in (0, 3):  # q-grams that many items share are done without
         monkeypatch.setattr(qgram_filter, "COMMON", common)
-        block = qgram_filter.Block([(i, s) for i, s in items if i is not None], qgram_filter.ERROR_RATIO, qgram_filter.Q)
-        assert {x[:3] for x in block.found([t or "" for t in texts])} == want
+        named = {qgram_filter.fold(s): i for i, s in items if i is not None and s and s.strip()}
+        block = qgram_filter.Block(list(named), qgram_filter.ERROR_RATIO, qgram_filter.Q)
+        ids = list(named.values())
+        assert {(d, ids[i], e) for d, i, e, *_ in block.found([t or "" for t in texts])} == want
     none = spark.createDataFrame([], "item_id long, text string")
     assert qgram_filter.contaminated(frame(spark, texts), none).count() == 0
     assert qgram_filter.contaminated(frame(spark, []), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_repeated_items_and_rows_are_searched_once_and_reported_each(spark, monkeypatch):
+    monkeypatch.setattr(qgram_filter, "_LAID_OUT", 8)
+    item, other = "the quick brown fox jumps over the lazy dog", "some wholly different passage of any length"
+    items = [(i, item.upper()) for i in range(500)] + [(7, other), (8, "a"), (9, "on it"), (None, other)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    held = qgram_filter.Items(table, "item_id", "text", 60)
+    blocks = [(block.value.items, last) for block, _, last in held.broadcast(qgram_filter.ERROR_RATIO, qgram_filter.Q)]
+    assert sorted(t for texts, _ in blocks for t in texts) == sorted(map(qgram_filter.fold, (item, other, "a", "on it")))
+    assert all(texts for texts, _ in blocks) and [last for _, last in blocks] == [False] * (len(blocks) - 1) + [True]
+    rows = [(1, "so " + item), (1, "so " + item), (None, other), (2, "call upon italy"), (3, "Go ON, it"), (4, None), (5, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for size in (60, qgram_filter.BLOCK_BYTES):
+        got = sorted((-1 if r.doc_id is None else r.doc_id, r.item_id) for r in qgram_filter.contaminated(docs, table, block_bytes=size).collect())
+        assert got == sorted([(1, i) for i in range(500)] * 2 + [(-1, 7), (3, 9), (5, 8)])
+        clean = qgram_filter.without_contaminated(docs.withColumn("folded", F.lit(1)), table, block_bytes=size).collect()
+        assert sorted(r.doc_id for r in clean) == [2, 4]
+
+
 # --- 8: conversations -------------------------------------------------------------------
 
 
