@@ -109,11 +109,12 @@ def build_validation(obs: DataFrame, deployments: DataFrame, references: DataFra
     is ``most``, the policy the row was built with.
     """
     own = deployment_rows(obs, deployments.filter("depth_m is not null"), most).filter("keep")
-    own = own.select(*DEPLOYMENT, "timestamp", "value", "source", "w_start", "w_end")
+    own = written(own.select(*DEPLOYMENT, "timestamp", "value", "source", "w_start", "w_end"), "own")  # four parts read it
     wanted = references.select("ref", "parameter").distinct()
     ref = obs.filter((F.col("qc_flag") <= most) & F.col("value").isNotNull()).select(
         F.col("site_id").alias("ref"), "parameter", F.col("depth_m").alias("ref_depth_m"), "timestamp", "value", "source"
     ).join(wanted, ["ref", "parameter"], "left_semi")
+    ref = written(ref, "references")
     earliest = lambda name: F.min_by("source", F.struct("timestamp", "source")).alias(name)
     mine = own.groupBy(*DEPLOYMENT, "w_start", "w_end").agg(earliest("source"))
     series = ref.groupBy(*SERIES_OF_REF).agg(earliest("reference_source"))
@@ -121,6 +122,7 @@ def build_validation(obs: DataFrame, deployments: DataFrame, references: DataFra
     series = null_safe_join(series, cadence_of(ref, SERIES_OF_REF).withColumnRenamed("cadence_s", "cb"), SERIES_OF_REF)
     pair = mine.join(references, ["site_id", "parameter"]).join(series, ["ref", "parameter"])
     pair = pair.withColumn("cadence_s", F.coalesce(F.greatest("ca", "cb"), F.lit(1.0))).drop("ca", "cb")
+    pair = written(pair, "pairs")  # both sides and the result read it; Spark broadcasts the file while it is small
     x = binned(null_safe_join(own.drop("source", "w_start", "w_end"), pair.select(*PAIR, "cadence_s"), DEPLOYMENT, "inner"), PAIR, "cadence_s")
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("cadence_s").cast("decimal(18,6)"))
     near = F.col("timestamp").between(F.col("w_start") - step, F.col("w_end") + step)  # what can share a bin with the deployment
