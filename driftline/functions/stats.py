@@ -80,3 +80,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
         same = F.col(k).eqNullSafe(F.col(f"__{k}"))
         on = same if on is None else on & same
     return left.join(named, on, how).drop(*(f"__{k}" for k in keys))
+
+
+def exact_mean(value: Column) -> Column:
+    """The mean of a group to nine places, from the sum of its values as decimals of nine, which no order of the rows changes.
+
+    A group with a value beyond such decimals (an infinity, 19 digits before the point) takes the plain average.
+    """
+    exact = value.try_cast("decimal(28,9)")
+    return F.when(F.count(exact) == F.count(value), F.round(F.sum(exact).cast("double") / F.count(value), 9)).otherwise(F.avg(value))

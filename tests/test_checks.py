@@ -1,6 +1,7 @@
 """Assertions over files and registries on small frames."""
 
 import datetime as dt
+import itertools
 import json
 
 import pytest
@@ -45,6 +46,16 @@ def test_serials_and_reported_statistics(spark):
     assert status(checks.statistics_check(rows, said)) == {"a": "pass", "b": "fail", "c": "fail"}
 
 
+def test_a_mean_halfway_between_two_places_does_not_follow_the_order_of_rows(spark):
+    values = [0.07, 0.1, 0.1, 0.03, 5.0, 3.13]
+    value = "file string, series string, place long, value double"
+    orders = {f"o{i}": v for i, v in enumerate(itertools.permutations(values))}
+    rows = spark.createDataFrame([(f, "t", i, x) for f, v in orders.items() for i, x in enumerate(v)], value).coalesce(1)
+    # 8.43 of six is 1.405, halfway
+    said = spark.createDataFrame([(f, "t", 6, 0.03, 5.0, 1.405) for f in orders], "file string, series string, rep_n long, rep_min double, rep_max double, rep_mean double")
+    assert set(status(checks.statistics_check(rows, said)).values()) == {"pass"}
+
+
 def test_events_and_cadence(spark):
     step = dt.timedelta(minutes=10)
     rows = spark.createDataFrame([(f, T0 + step * i) for f in "ab" for i in range(3)] + [("b", T0 + step * 9)], "file string, timestamp_local timestamp_ntz")
