@@ -3,6 +3,7 @@
 import hashlib
 import re
 import unicodedata
+import zlib
 from itertools import combinations
 
 import numpy as np
@@ -654,6 +655,29 @@ def test_thresholds_are_set_on_rows_that_the_net_was_not_fitted_on(spark, monkey
     assert 0 < max(seen) < 0.3 * rows
 
 
+def test_training_reads_every_label_that_is_not_held_out(spark, monkeypatch):
+    texts = [prose(i, 30) + (" awful" if i % 3 == 0 else "") for i in range(4200)]
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(4200)], "doc_id long, quality int, toxic int")
+    learned, judged, learn, judge = [], [], convnet._learned, convnet._judged
+    monkeypatch.setattr(convnet, "_learned", lambda rows, *rest: learned.append((rows.count(), rows.select("shard").distinct().count())) or learn(rows, *rest))
+    monkeypatch.setattr(convnet, "_judged", lambda rows, *rest: judged.append(rows.count()) or judge(rows, *rest))
+    monkeypatch.setattr(convnet, "SHARD_ROWS", 1000)
+    monkeypatch.setattr(convnet, "LEARNED_ROWS", 4200)
+    net = convnet.fit(frame(spark, texts), labels)
+    usable = [i for i in range(4200) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert {n + judged[0] for n, _ in learned} == {len(usable)} and learned[0][1] > 1
+    again = convnet.fit(frame(spark, texts).repartition(7), labels)
+    assert np.array_equal(net.embedding, again.embedding) and net.scale == again.scale
+    score = net.scores([convnet.fold(t) for t in texts[:600]])
+    assert score[::3].min() > 0.5 > max(score[1::3].max(), score[2::3].max())
+
+
+def test_calibration_holds_for_classes_far_apart():
+    z = np.concatenate([np.full(500, -20.0), np.full(60, 14.0), [13.0]])
+    a, b = convnet._platt(z, (z > 0).astype(float), np.ones(len(z)))
+    assert 0 < a < 5 and 1 / (1 + np.exp(-(a * 13 + b))) > 0.9 > 0.1 > 1 / (1 + np.exp(-(b - 20 * a)))
+
+
 def test_convnet_equals_a_plain_loop():
     texts = [prose(i, 25, 60) + (" awful thing" if i % 3 == 0 else "") for i in range(150)] + ["", "one"]
     net, _ = convnet.train(texts, [int(i % 3 == 0) for i in range(152)], epochs=2)
