@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ STATUS = {"pass": PASS, "suspect": SUSPECT, "fail": FAIL, "missing": MISSING}
 ORDER = ("deployment_window", "gross_range", "spike", "rate_of_change")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _fragments(packed: Column) -> Column:
     """The fragments between ``;`` that hold something, as structs of name and status; no ``:`` gives no status."""
     parts = F.transform(F.split(F.coalesce(packed, F.lit("")), ";"), lambda x: F.trim(x, F.lit(" \t\n\r\x0b\x0c")))
@@ -21,9 +28,10 @@ def _fragments(packed: Column) -> Column:
 
 def parse(packed: Column) -> Column:
     """``name:status;name:status`` as a map; null and empty text give an empty map, of a repeated name the last counts."""
-    f = _fragments(packed)
-    last = F.filter(f, lambda x, i: ~F.exists(F.slice(f, i + 2, F.greatest(F.size(f) - i - 1, F.lit(0))), lambda y: y["name"] == x["name"]))
-    return F.map_from_entries(last)
+    def last(f: Column) -> Column:
+        return F.filter(f, lambda x, i: ~F.exists(F.slice(f, i + 2, F.greatest(F.size(f) - i - 1, F.lit(0))), lambda y: y["name"] == x["name"]))
+
+    return F.map_from_entries(_once(_fragments(packed), last))
 
 
 def malformed(packed: Column) -> Column:
@@ -39,11 +47,14 @@ def readable(packed: Column) -> Column:
 
 def rollup(statuses: Column) -> Column:
     """The flag of an array of statuses: missing, then fail, suspect, pass, else not evaluated."""
-    has = lambda s: F.array_contains(statuses, s)
-    return (
-        F.when(has("missing"), MISSING).when(has("fail"), FAIL).when(has("suspect"), SUSPECT)
-        .when(has("pass"), PASS).otherwise(NOT_EVALUATED).cast("tinyint")
-    )
+    def flag(found: Column) -> Column:
+        has = lambda s: F.array_contains(found, s)
+        return (
+            F.when(has("missing"), MISSING).when(has("fail"), FAIL).when(has("suspect"), SUSPECT)
+            .when(has("pass"), PASS).otherwise(NOT_EVALUATED).cast("tinyint")
+        )
+
+    return _once(statuses, flag)
 
 
 def describe(verdicts: Column) -> Column:

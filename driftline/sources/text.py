@@ -90,7 +90,8 @@ def moored_profile(spark: SparkSession, path: str, declared: DataFrame, run: str
         F.col("sea_water_temperature_qc_agg").try_cast("tinyint").alias("agg"), F.col("sea_water_temperature_qc_tests").alias("digits"),
     )
     sites = declared.select("site_id").distinct().withColumn("declares", F.lit(True))
-    rows = rows.join(sites, "site_id", "left").join(declared.withColumn("known", F.lit(True)), ["site_id", "depth_m"], "left")
+    # the registry goes to the rows: a shuffle by site would put a whole site in one task
+    rows = rows.join(F.broadcast(sites), "site_id", "left").join(F.broadcast(declared.withColumn("known", F.lit(True))), ["site_id", "depth_m"], "left")
     rows = rows.filter(F.when(F.col("declares"), F.col("known")).otherwise(F.col("value").isNotNull()))
     any_value = F.max(F.col("value").isNotNull()).over(W.partitionBy("site_id", "timestamp"))
     rows = rows.withColumn("any_value", any_value).filter("any_value")

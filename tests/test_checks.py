@@ -218,3 +218,12 @@ def test_declared_settings(spark, tmp_path):
     g = config.polygons(spark, str(tmp_path / "g.json"))
     assert [(r.polygon_id, r.purpose, r.file, len(r.outline)) for r in g.collect()] == [("P", "control", "k.csv", 4)]
     assert {(r.polygon_id, r.site_id) for r in config.polygon_sites(g).collect()} == {("P", "a"), ("P", "b")}
+
+
+def test_profiles_meet_the_registry_without_a_shuffle_by_site(spark, tmp_path):
+    (tmp_path / "a_2024-1.csv").write_text(",".join(text.PROFILE_COLUMNS) + "\nUTC,d,d,m,C,1,1\n2024-01-01T00:00:00Z,32,-117,-5.0,14.5,1,11111111111\n")
+    declared = spark.createDataFrame([("a", 5.0)], "site_id string, depth_m double")
+    rows = text.moored_profile(spark, str(tmp_path), declared)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert [(r.site_id, r.depth_m, r.value, r.qc_flag) for r in rows.collect()] == [("a", 5.0, 14.5, 1)]
