@@ -16,8 +16,8 @@ OBSERVATION = (
 )
 TABLES = ("quarterly_env", "quarterly_canopy", "climatology_env", "climatology_canopy", "comparison", "validation", "deployment", "deployment_daily", "deployment_hourly")
 
-#: Files that a partition (source, year) is written as at most.
-PARTITION_FILES = 16
+#: New rows of a partition (source, year) that one file holds on average at most; a larger partition has more files.
+FILE_ROWS = 1 << 20
 
 
 def dedupe(obs: DataFrame, arrival: str | None = None) -> DataFrame:
@@ -61,8 +61,10 @@ def write_observations(new: DataFrame, root: str) -> None:
         raise ValueError(f"not observations: {', '.join(f'{n} {k}' for k, n in faults.items())}")
     new = new.withColumn("year", F.year("timestamp"))
     touched: dict[str | None, list[int]] = {}
-    for source, year in new.select("source", "year").distinct().collect():  # partitions
+    most = 0
+    for source, year, n in new.groupBy("source", "year").agg(F.count("*").alias("n")).collect():  # partitions
         touched.setdefault(source, []).append(year)
+        most = max(most, n)
     if not touched:
         return
     base = snapshots.current(spark, root)
@@ -74,9 +76,11 @@ def write_observations(new: DataFrame, root: str) -> None:
             among = among | (F.col("source").eqNullSafe(F.lit(source)) & F.col("year").isin(years))
         every = every.unionByName(old.filter(among).withColumn("__arrival", F.lit(0)))
     merged = dedupe(every, "__arrival").drop("__arrival")
-    # a partition is written by several tasks, so a long year of one source is not one task's work
-    part = ["source", "year", F.pmod(F.xxhash64("site_id"), F.lit(PARTITION_FILES))]
-    merged = merged.repartition(*part).sortWithinPartitions("source", "year", *IDENTITY)
+    # a partition is written by as many tasks as its rows ask for, dealt by identity, so neither a long year nor a few sites make one task's work grow
+    files = -(-most // FILE_ROWS)
+    part = ["source", "year", F.pmod(F.xxhash64(*IDENTITY), F.lit(files))]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), files * sum(map(len, touched.values())))
+    merged = merged.repartition(tasks, *part).sortWithinPartitions("source", "year", *IDENTITY)
     snapshots.commit(merged, root, base, ("source", "year"))
 
 

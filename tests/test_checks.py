@@ -227,3 +227,15 @@ def test_profiles_meet_the_registry_without_a_shuffle_by_site(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
     assert [(r.site_id, r.depth_m, r.value, r.qc_flag) for r in rows.collect()] == [("a", 5.0, 14.5, 1)]
+
+
+def test_a_long_year_of_one_site_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(zones, "FILE_ROWS", 100, raising=False)
+    at = F.timestamp_seconds(F.lit(1720000000) + F.col("id") * 60).cast("timestamp_ntz")
+    rows = spark.range(1000).select(
+        at.alias("timestamp"), F.lit("S").alias("site_id"), F.lit("t").alias("parameter"), F.col("id").cast("double").alias("value"), F.lit(1.0).alias("depth_m"),
+        F.lit(2).cast("tinyint").alias("qc_flag"), F.lit("").alias("qc_tests"), F.lit("s").alias("source"), F.lit("run-0").alias("fetch_run_id"),
+    )
+    zones.write_observations(rows, str(tmp_path / "o"))
+    sizes = [r["count"] for r in zones.read_observations(spark, str(tmp_path / "o")).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 1000 and len(sizes) > 1 and max(sizes) < 600
